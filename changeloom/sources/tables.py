@@ -137,7 +137,7 @@ def legacy_rows(customer: DataFrame) -> DataFrame:
 def commands(orders: DataFrame) -> DataFrame:
     """Write commands: creates, updates and legacy updates, by order status."""
     status = F.col("o_orderstatus")
-    # Every 13th create and every 17th update use the family's own columns.
+    # Every 13th create uses the family's own columns.
     kind = (
         F.when((status == "O") & every("o_orderkey", 13), "legacy_create")
         .when(status == "O", "create")
@@ -146,7 +146,14 @@ def commands(orders: DataFrame) -> DataFrame:
     )
     create = status == "O"
     tenant = F.when(every("o_orderkey", 61), "tenant_zz").otherwise(by_index(F.col("o_custkey") % 4, TENANT_IDS))
-    legacy_id = F.when(create, F.lit(1000000) + F.col("o_orderkey")).otherwise(div("o_custkey", 4))
+    # Some updates name an id that does not exist, that an earlier order created, or that a later one will create.
+    legacy_id = (
+        F.when(create, F.lit(1000000) + F.col("o_orderkey"))
+        .when(every("o_orderkey", 37), F.lit(500000) + div("o_custkey", 4))
+        .when(every("o_orderkey", 43), F.lit(1000000 - 43) + F.col("o_orderkey"))
+        .when(every("o_orderkey", 47), F.lit(1000000 + 47) + F.col("o_orderkey"))
+        .otherwise(div("o_custkey", 4))
+    )
     absent = every("o_orderkey", 11)
     extra = F.when(absent, F.lit(None)).when(every("o_orderkey", 7), "").otherwise(F.col("o_orderpriority"))
     patch = F.when(every("o_orderkey", 9), F.col("o_orderdate").cast("date"))

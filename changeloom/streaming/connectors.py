@@ -25,10 +25,20 @@ POLLS = T.StructType([
     T.StructField("state", T.StringType()),
 ])
 
+STATE_CHANGES = T.StructType([
+    T.StructField("cluster_id", T.IntegerType()),
+    T.StructField("poll_seq", T.LongType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("from_state", T.StringType()),
+    T.StructField("to_state", T.StringType()),
+    T.StructField("severity", T.StringType()),
+    T.StructField("message", T.StringType()),
+])
+
 
 def last_polls(polls: DataFrame) -> DataFrame:
     """The rows that later polls are compared with: the last one of each name, and the last one of each cluster."""
-    columns = [f.name for f in POLLS]
+    columns = POLLS.names
     named = polls.where(F.col("reachable")).groupBy("cluster_id", "name").agg(
         F.max_by(F.struct("poll_seq", "reachable", "state"), "poll_seq").alias("r")
     ).select("cluster_id", "r.poll_seq", "r.reachable", "name", "r.state")
@@ -42,7 +52,7 @@ def last_polls(polls: DataFrame) -> DataFrame:
 def batch_function(folder: str) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        polls = batch.select(*[f.name for f in POLLS])
+        polls = batch.select(*POLLS.names)
         seeds = schemas.empty(spark, POLLS) if batch_id == 0 else sinks.read_batch(
             spark, f"{folder}/state", batch_id - 1, POLLS)
         both = seeds.withColumn("seed", F.lit(True)).unionByName(polls.withColumn("seed", F.lit(False))).persist()
