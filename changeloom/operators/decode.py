@@ -8,7 +8,7 @@ dimension) and no Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeloom import schemas
@@ -20,28 +20,23 @@ STAGING_COLUMNS = [f.name for f in schemas.STAGING]
 DEAD_LETTER_COLUMNS = [f.name for f in schemas.DEAD_LETTERS]
 
 
-def _text_problem(image: Column) -> Column:
+def _text_problem(image: str) -> str:
     """The first text column that the table would refuse.
 
     Almost all rows pass one cheap test of all texts together; only the others are looked at column by column. This
     also keeps the generated method small enough for the JIT.
     """
-    joined = F.concat_ws("", *schemas.TEXT_COLUMNS)
-    suspect = (F.length(joined) > schemas.TEXT_LIMIT) | joined.rlike(r"[\x00{\[]")
-    texts = F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(c).alias("text"), E.field(image, c).alias("doc"))
-        for c in schemas.TEXT_COLUMNS
-    ])
-
-    def problem(x: Column) -> Column:
-        looks_nested = x["text"].startswith("{") | x["text"].startswith("[")
-        return (
-            F.when(looks_nested & E.is_nested(x["doc"]), F.concat(F.lit("TEXT_NOT_SCALAR: "), x["name"]))
-            .when(x["text"].rlike(r"\x00"), F.concat(F.lit("TEXT_HAS_NUL: "), x["name"]))
-            .when(F.length(F.rtrim(x["text"])) > schemas.TEXT_LIMIT, F.concat(F.lit("TEXT_TOO_LONG: "), x["name"]))
-        )
-
-    return F.when(suspect, F.get(F.array_compact(F.transform(texts, problem)), F.lit(0)))
+    limit = schemas.TEXT_LIMIT
+    joined = f"concat_ws('', {', '.join(schemas.TEXT_COLUMNS)})"
+    texts = ", ".join(
+        f"named_struct('name', '{c}', 'text', {c}, 'doc', {E.field(image, c)})" for c in schemas.TEXT_COLUMNS
+    )
+    problem = f"""CASE
+        WHEN left(x.text, 1) IN ('{{', '[') AND {E.is_nested('x.doc')} THEN concat('TEXT_NOT_SCALAR: ', x.name)
+        WHEN rlike(x.text, '\\\\x00') THEN concat('TEXT_HAS_NUL: ', x.name)
+        WHEN length(rtrim(x.text)) > {limit} THEN concat('TEXT_TOO_LONG: ', x.name) END"""
+    return f"""CASE WHEN length({joined}) > {limit} OR rlike({joined}, '[\\\\x00{{\\\\[]')
+        THEN get(array_compact(transform(array({texts}), x -> {problem})), 0) END"""
 
 
 def parse(changes: DataFrame, dimension: DataFrame, delete_mode: str = "dead_letter") -> DataFrame:
@@ -51,112 +46,106 @@ def parse(changes: DataFrame, dimension: DataFrame, delete_mode: str = "dead_let
     """
     if delete_mode not in ("dead_letter", "apply"):
         raise ValueError(f"unknown delete_mode: {delete_mode}")
-    routed = changes.join(dimension.select("topic", "tenant_id"), "topic", "left")
-    docs = routed.withColumn("doc", F.try_parse_json(E.json_text(F.col("value"))))
-    payloads = docs.withColumn("inner", E.field(F.col("doc"), "payload")).withColumn(
-        "payload", F.coalesce("inner", "doc")
-    )
-    fields = payloads.withColumns({
-        "op": F.try_variant_get("payload", "$.op", "string"),
-        "after": E.field(F.col("payload"), "after"),
-        "before": E.field(F.col("payload"), "before"),
-    }).withColumn("operation", E.operation(F.col("op")))
-    image = F.col("after")
+    image = "after"
     if delete_mode == "apply":
-        deleted = (F.col("operation") == "DELETE") & F.col("before").isNotNull() & ~F.is_variant_null("before")
-        image = F.when(deleted, F.col("before")).otherwise(image)
-    return fields.withColumn("image", image)
+        deleted = "op = 'd' AND before IS NOT NULL AND NOT is_variant_null(before)"
+        image = f"CASE WHEN {deleted} THEN before ELSE after END"
+    return (
+        changes.join(dimension.select("topic", "tenant_id"), "topic", "left")
+        .selectExpr("*", f"try_parse_json({E.json_text('value')}) AS doc")
+        .selectExpr("*", f"{E.field('doc', 'payload')} AS inner_doc")
+        .selectExpr("*", "coalesce(inner_doc, doc) AS payload")
+        .selectExpr(
+            "*",
+            f"{E.text_field('payload', 'op')} AS op",
+            f"{E.field('payload', 'before')} AS before",
+            f"{E.field('payload', 'after')} AS after",
+        )
+        .selectExpr("*", f"{E.operation('op')} AS operation", f"{image} AS image")
+    )
 
 
-def _envelope_problem() -> Column:
+def _envelope_problem() -> str:
     """The first reason why the envelope holds no row; NULL where it holds one, or holds no `after` at all.
 
     A path only resolves inside an object, so a field that is found proves its parent to be an object. The type of a
     whole document is looked at only where nothing was found.
     """
-    doc_ok = F.col("inner").isNotNull() | F.col("after").isNotNull() | F.col("op").isNotNull()
-    payload_ok = F.col("after").isNotNull() | F.col("op").isNotNull() | F.col("before").isNotNull()
-    return (
-        F.when(~doc_ok & ~E.is_object(F.col("doc")), F.lit("NOT_AN_OBJECT: message"))
-        .when(~payload_ok & ~E.is_object(F.col("payload")), F.lit("NOT_AN_OBJECT: payload"))
-        .when((F.col("op").startswith("{") | F.col("op").startswith("["))
-              & E.is_nested(E.field(F.col("payload"), "op")), F.lit("OP_NOT_SCALAR: op"))
-        .when(E.is_json_null(F.col("image")) & (F.col("operation") == "DELETE"),
-              F.lit("DELETE_WITHOUT_ROW: after is null"))
-        .when(E.is_json_null(F.col("image")), F.lit("ROW_IS_NULL: after is null"))
-        .when(F.col("image").isNotNull() & F.col("id_value").isNull() & ~E.is_object(F.col("image")),
-              F.lit("ROW_NOT_OBJECT: after"))
-    )
+    return f"""CASE
+        WHEN inner_doc IS NULL AND after IS NULL AND op IS NULL AND NOT {E.is_object('doc')}
+          THEN 'NOT_AN_OBJECT: message'
+        WHEN after IS NULL AND op IS NULL AND before IS NULL AND NOT {E.is_object('payload')}
+          THEN 'NOT_AN_OBJECT: payload'
+        WHEN left(op, 1) IN ('{{', '[') AND {E.is_nested(E.field('payload', 'op'))} THEN 'OP_NOT_SCALAR: op'
+        WHEN {E.is_json_null('image')} THEN
+          CASE WHEN operation = 'DELETE' THEN 'DELETE_WITHOUT_ROW: after is null' ELSE 'ROW_IS_NULL: after is null' END
+        WHEN image IS NOT NULL AND id_value IS NULL AND NOT {E.is_object('image')} THEN 'ROW_NOT_OBJECT: after' END"""
 
 
-def _id_problem() -> Column:
-    return (
-        F.when(F.col("id_kind").isNull() | (F.col("id_kind") == "VOID"), F.lit("ID_MISSING: id"))
-        .when(F.col("id_number").isNull(), F.lit("ID_NOT_INTEGER: id"))
-        .when(~F.col("id_number").between(E.INT_MIN, E.INT_MAX), F.lit("ID_OUT_OF_RANGE: id"))
-    )
+ID_PROBLEM = f"""CASE
+    WHEN id_kind IS NULL OR id_kind = 'VOID' THEN 'ID_MISSING: id'
+    WHEN id_number IS NULL THEN 'ID_NOT_INTEGER: id'
+    WHEN id_number NOT BETWEEN {E.INT_MIN} AND {E.INT_MAX} THEN 'ID_OUT_OF_RANGE: id' END"""
+
+DATE_PROBLEM = """CASE WHEN date_kind IS NOT NULL AND date_kind <> 'VOID' AND date_of_birth IS NULL
+    THEN 'DATE_INVALID: date_of_birth' END"""
 
+OUTCOME = f"""CASE WHEN reason IS NULL THEN '{STAGED}'
+    WHEN reason IN ('NULL_VALUE', 'UNKNOWN_TOPIC') THEN '{DROPPED}' ELSE '{DEAD_LETTER}' END"""
 
-def _date_problem() -> Column:
-    given = F.col("date_kind").isNotNull() & (F.col("date_kind") != "VOID")
-    return F.when(given & F.col("date_of_birth").isNull(), F.lit("DATE_INVALID: date_of_birth"))
+# The message was understood well enough to be announced, whether or not its row is accepted afterwards.
+RECEIVED = f"""reason IS NULL OR (
+    reason NOT IN ('NULL_VALUE', 'NOT_UTF8', 'NOT_JSON', 'UNKNOWN_TOPIC', 'NOT_AN_OBJECT', 'OP_NOT_SCALAR')
+    AND (image IS NULL OR is_variant_null(image) OR id_value IS NOT NULL OR {E.is_object('image')}
+      OR {E.is_falsy('image')}))"""
 
 
 def decode(changes: DataFrame, dimension: DataFrame, delete_mode: str = "dead_letter") -> DataFrame:
     """Decode each message to one row: its outcome, the reason where it is not staged, and the staging columns."""
-    parsed = parse(changes, dimension, delete_mode)
-    image = F.col("image")
-    raw = parsed.withColumns({
-        "id_value": E.field(image, "id"),
-        "date_value": E.field(image, "date_of_birth"),
-        **{c: E.text_field(image, c) for c in schemas.TEXT_COLUMNS},
-    })
-    typed = raw.withColumns({"id_kind": E.kind(F.col("id_value")), "date_kind": E.kind(F.col("date_value"))}) \
-        .withColumns({
-            "id_number": E.whole_id(F.col("id_value"), F.col("id_kind")),
-            "date_of_birth": E.normal_date(F.col("date_value"), F.col("date_kind")),
-        })
-    row_problem = F.coalesce(_id_problem(), _date_problem(), _text_problem(image))
-    problem = (
-        F.when(F.col("value").isNull(), F.lit("NULL_VALUE: no message"))
-        .when(F.col("doc").isNull() & ~F.is_valid_utf8(F.col("value").cast("string")), F.lit("NOT_UTF8: message"))
-        .when(F.col("doc").isNull(), F.lit("NOT_JSON: message"))
-        .when(F.col("tenant_id").isNull(), F.lit("UNKNOWN_TOPIC: topic"))
-        .otherwise(F.coalesce(_envelope_problem(), row_problem))
-    )
-    judged = typed.withColumn("error", problem).withColumn("reason", F.substring_index("error", ":", 1))
-    outcome = (
-        F.when(F.col("reason").isNull(), F.lit(STAGED))
-        .when(F.col("reason").isin("NULL_VALUE", "UNKNOWN_TOPIC"), F.lit(DROPPED))
-        .otherwise(F.lit(DEAD_LETTER))
-    )
-    # The message was understood well enough to be announced, whether or not its row is accepted afterwards.
-    row_announced = (
-        F.col("image").isNull() | F.is_variant_null("image") | F.col("id_value").isNotNull()
-        | E.is_object(F.col("image")) | E.is_falsy(F.col("image"))
-    )
-    received = F.col("reason").isNull() | (
-        ~F.col("reason").isin("NULL_VALUE", "NOT_UTF8", "NOT_JSON", "UNKNOWN_TOPIC", "NOT_AN_OBJECT", "OP_NOT_SCALAR")
-        & row_announced
-    )
-    row = F.struct(
-        outcome.alias("outcome"), "reason", "error",
-        F.coalesce(received, F.lit(False)).alias("received"),
-        F.try_variant_get("id_value", "$", "string").alias("id_text"),
-        F.col("id_number").try_cast("int").alias("source_id"),
-        F.lit("person").alias("source_table"),
-        "operation",
-        E.fit_text(F.col("firstname"), schemas.TEXT_LIMIT).alias("firstname"),
-        E.fit_text(F.col("surname"), schemas.TEXT_LIMIT).alias("surname"),
-        "date_of_birth",
-        E.fit_text(F.col("city"), schemas.TEXT_LIMIT).alias("city"),
-        *[E.fit_text(F.col(c), schemas.TEXT_LIMIT).alias(c) for c in schemas.DATA_COLUMNS],
+    problem = f"""CASE
+        WHEN value IS NULL THEN 'NULL_VALUE: no message'
+        WHEN doc IS NULL AND NOT is_valid_utf8(CAST(value AS STRING)) THEN 'NOT_UTF8: message'
+        WHEN doc IS NULL THEN 'NOT_JSON: message'
+        WHEN tenant_id IS NULL THEN 'UNKNOWN_TOPIC: topic'
+        ELSE coalesce({_envelope_problem()}, {ID_PROBLEM}, {DATE_PROBLEM}, {_text_problem('image')}) END"""
+    judged = (
+        parse(changes, dimension, delete_mode)
+        .selectExpr(
+            "*",
+            f"{E.field('image', 'id')} AS id_value",
+            f"{E.field('image', 'date_of_birth')} AS date_value",
+            *[f"{E.text_field('image', c)} AS {c}" for c in schemas.TEXT_COLUMNS],
+        )
+        .selectExpr("*", f"{E.kind('id_value')} AS id_kind", f"{E.kind('date_value')} AS date_kind")
+        .selectExpr(
+            "*",
+            f"{E.whole_id('id_value', 'id_kind')} AS id_number",
+            f"{E.normal_date('date_value', 'date_kind')} AS date_of_birth",
+        )
+        .selectExpr("*", f"{problem} AS error")
+        .selectExpr("*", "substring_index(error, ':', 1) AS reason")
     )
+    columns = {
+        "outcome": OUTCOME,
+        "reason": "reason",
+        "error": "error",
+        "received": f"coalesce({RECEIVED}, false)",
+        "id_text": E.get("id_value", "$", "string"),
+        "source_id": "try_cast(id_number AS INT)",
+        "source_table": "'person'",
+        "operation": "operation",
+        "firstname": E.fit_text("firstname", schemas.TEXT_LIMIT),
+        "surname": E.fit_text("surname", schemas.TEXT_LIMIT),
+        "date_of_birth": "date_of_birth",
+        "city": E.fit_text("city", schemas.TEXT_LIMIT),
+        **{c: E.fit_text(c, schemas.TEXT_LIMIT) for c in schemas.DATA_COLUMNS},
+    }
+    row = ", ".join(f"'{name}', {expr}" for name, expr in columns.items())
     # One row in, one row out. Without the generator, a filter on a decoded column would move below the projections,
     # and each use of a column in it would parse the message again.
-    return judged.select(
-        "topic", "partition", "offset", "value", "tenant_id", F.col("timestamp").alias("created_at"),
-        F.inline(F.array(row)),
+    return judged.selectExpr(
+        "topic", "partition", "offset", "value", "tenant_id", "timestamp AS created_at",
+        f"inline(array(named_struct({row})))",
     )
 
 
@@ -188,9 +177,10 @@ def outcome_counts(decoded: DataFrame) -> DataFrame:
 
 def deleted_ids(letters: DataFrame) -> DataFrame:
     """The key of the deleted row, read out of the raw text of each dead-lettered delete, wrapped or bare."""
-    doc = letters.withColumn("doc", F.try_parse_json("raw_value"))
-    payload = doc.withColumn("payload", F.coalesce(E.field(F.col("doc"), "payload"), F.col("doc")))
-    return payload.where(F.col("reason") == "DELETE_WITHOUT_ROW").select(
-        "topic", "partition", "offset", "tenant_id",
-        F.try_variant_get("payload", "$.before.id", "int").alias("deleted_id"),
+    deletes = letters.where(F.col("reason") == "DELETE_WITHOUT_ROW")
+    return (
+        deletes.selectExpr("*", "try_parse_json(raw_value) AS doc")
+        .selectExpr("*", f"coalesce({E.field('doc', 'payload')}, doc) AS payload")
+        .selectExpr("topic", "partition", "offset", "tenant_id",
+                    f"{E.get('payload', '$.before.id', 'int')} AS deleted_id")
     )

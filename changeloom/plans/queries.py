@@ -38,8 +38,12 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.load(spark, sf_dir, "events")
 
 
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.load_spread(spark, sf_dir, "events", "event_id")
+
+
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Y.decoded_events(spark, _events(spark, sf_dir))
+    return Y.decoded_events(spark, _messages(spark, sf_dir))
 
 
 def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +104,7 @@ def merge_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def preserve_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest second-half row of each key with the target-only column of the first half's target."""
-    _, second = T.halves(_events(spark, sf_dir))
+    _, second = T.halves(_messages(spark, sf_dir))
     target = Y.patch_tenth(Y.person_after_first(spark, sf_dir))
     latest = M.map_columns(M.latest_per_key(M.accepted(Y.staged_events(spark, second))))
     return M.preserve_join(latest, target).select(*KEY, "firstname", "extra_field", "modernized_only")
@@ -115,7 +119,7 @@ def merge_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def evolve_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch brings a column that the target does not have yet."""
-    _, second = T.halves(_events(spark, sf_dir))
+    _, second = T.halves(_messages(spark, sf_dir))
     wider = Y.staged_events(spark, second).withColumn("nickname", F.upper("firstname"))
     return M.merge(Y.person_after_first(spark, sf_dir), wider, Y.SECOND_SYNC)
 
@@ -385,14 +389,14 @@ def system_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    first, _ = T.halves(events)
+    first, _ = T.halves(_messages(spark, sf_dir))
     return P.topic_progress(T.change_feed(events), Y.decoded_events(spark, first))
 
 
 def barrier_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 50th message is a marker; half of the feed was handled."""
     events = _events(spark, sf_dir)
-    first, _ = T.halves(events)
+    first, _ = T.halves(_messages(spark, sf_dir))
     markers = T.change_feed(events).where((F.col("offset") % 50 == 0) & (F.col("topic") != T.OTHER_TOPIC)).select(
         "topic", "partition", F.col("offset").alias("marker_offset"))
     return P.barrier(markers, Y.decoded_events(spark, first))

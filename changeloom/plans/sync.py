@@ -34,18 +34,18 @@ def patch_tenth(target: DataFrame) -> DataFrame:
 
 
 def person_after_first(spark: SparkSession, sf_dir: str, delete_mode: str = "dead_letter") -> DataFrame:
-    first, _ = T.halves(T.load(spark, sf_dir, "events"))
+    first, _ = T.halves(T.load_spread(spark, sf_dir, "events", "event_id"))
     return M.merge_first(staged_events(spark, first, delete_mode), FIRST_SYNC, delete_mode)
 
 
 def person_after_both(spark: SparkSession, sf_dir: str, delete_mode: str = "dead_letter") -> DataFrame:
-    _, second = T.halves(T.load(spark, sf_dir, "events"))
+    _, second = T.halves(T.load_spread(spark, sf_dir, "events", "event_id"))
     target = patch_tenth(person_after_first(spark, sf_dir, delete_mode))
     return M.merge(target, staged_events(spark, second, delete_mode), SECOND_SYNC, delete_mode)
 
 
 def person_in_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.merge_first(staged_events(spark, T.load(spark, sf_dir, "events")), FIRST_SYNC)
+    return M.merge_first(staged_events(spark, T.load_spread(spark, sf_dir, "events", "event_id")), FIRST_SYNC)
 
 
 def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:

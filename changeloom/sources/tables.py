@@ -35,55 +35,52 @@ def every(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
 
-def _json(column: Column) -> Column:
+def load_spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table that is read in fewer parts than there are cores, spread over them by its key.
+
+    Parsing a message costs far more than moving it. A feed in few parts (a small file, or topics of one partition
+    each) would otherwise be parsed by as many tasks. A large table has more parts than cores and is not moved.
+    """
+    df = load(spark, sf_dir, name)
+    tasks = spark.sparkContext.defaultParallelism
+    return df.repartition(tasks, key) if df.rdd.getNumPartitions() < tasks else df
+
+
+def _json(sql: str) -> str:
     """A text as a JSON value. The sample texts hold nothing that needs escaping."""
-    return F.coalesce(F.concat(F.lit('"'), column, F.lit('"')), F.lit("null"))
+    return f"""coalesce('"' || {sql} || '"', 'null')"""
+
+
+def _one_of(index: str, values: list[str]) -> str:
+    return f"CASE {index} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
 
 
 def change_feed(events: DataFrame) -> DataFrame:
     """Raw change messages from `events`: four topics, both envelope forms, and every kind of bad message."""
-    index = F.col("user_id") % 4
-    is_a = by_index(index, FAMILIES) == "legacy_a"
-    legacy_id = div("user_id", 4).cast("string")
-    day = (F.col("event_id") % 20000).cast("int")
-    birth = F.when(every("event_id", 2), day.cast("string")).otherwise(
-        _json(F.date_add(F.lit("1970-01-01").cast("date"), day).cast("string")))
-    city = F.when(every("event_id", 71), F.repeat(F.lit("c"), 101)).otherwise(
-        F.concat(F.lit("city"), (F.col("event_id") % 10).cast("string")))
-    extra = F.when(~every("event_id", 5), (F.col("event_id") % 100).cast("string"))
-    firstname = F.when(~every("event_id", 73), F.col("event_type"))
-
-    def data(first: str, second: str, third: str, extra_is_second: bool) -> Column:
-        if extra_is_second:
-            return F.concat(F.lit(f',"{first}":"one","{second}":'), _json(extra), F.lit(f',"{third}":"three"'))
-        return F.concat(F.lit(f',"{first}":"one","{second}":"two","{third}":'), _json(extra))
-
-    after = F.concat(
-        F.lit("{"),
-        F.when(every("event_id", 79), "").otherwise(F.concat(F.lit('"id":'), legacy_id, F.lit(","))),
-        F.lit('"firstname":'), _json(firstname),
-        F.lit(',"surname":"user-'), F.col("user_id").cast("string"),
-        F.lit('","date_of_birth":'), birth,
-        F.lit(',"city":"'), city, F.lit('"'),
-        F.when(is_a, data("data_1", "data_2", "data_3", True)).otherwise(data("data_a", "data_b", "data_c", False)),
-        F.lit("}"),
-    )
-    deleted = F.col("event_type") == "error"
-    op = F.when(deleted, "d").when(F.col("event_type") == "signup", "c").when(
-        F.col("event_type") == "view", "r").otherwise("u")
-    payload = F.concat(
-        F.lit('{"op":"'), op, F.lit('","before":'),
-        F.when(deleted, F.concat(F.lit('{"id":'), legacy_id, F.lit("}"))).otherwise("null"),
-        F.lit(',"after":'), F.when(deleted, "null").otherwise(after), F.lit("}"),
-    )
-    wrapped = F.when(every("event_id", 3), payload).otherwise(F.concat(F.lit('{"payload":'), payload, F.lit("}")))
-    value = F.when(~every("event_id", 89), F.when(every("event_id", 83), "not json").otherwise(wrapped))
-    return events.select(
-        F.when(every("event_id", 97), OTHER_TOPIC).otherwise(by_index(index, TOPICS)).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("ts").alias("timestamp"),
-        value.cast("binary").alias("value"),
+    legacy_id = "CAST(user_id DIV 4 AS STRING)"
+    birth = "CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 20000 AS STRING) ELSE " + _json(
+        "CAST(date_add(DATE'1970-01-01', CAST(event_id % 20000 AS INT)) AS STRING)") + " END"
+    city = "CASE WHEN event_id % 71 = 0 THEN repeat('c', 101) ELSE concat('city', event_id % 10) END"
+    extra = _json("CASE WHEN event_id % 5 <> 0 THEN CAST(event_id % 100 AS STRING) END")
+    firstname = _json("CASE WHEN event_id % 73 <> 0 THEN event_type END")
+    after = f"""concat('{{', CASE WHEN event_id % 79 <> 0 THEN concat('"id":', {legacy_id}, ',') ELSE '' END,
+        '"firstname":', {firstname}, ',"surname":"user-', user_id, '","date_of_birth":', {birth},
+        ',"city":"', {city}, '"',
+        CASE WHEN user_id % 4 < 2 THEN concat(',"data_1":"one","data_2":', {extra}, ',"data_3":"three"}}')
+          ELSE concat(',"data_a":"one","data_b":"two","data_c":', {extra}, '}}') END)"""
+    op = "CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' ELSE 'u' END"
+    payload = f"""CASE WHEN event_type = 'error' THEN concat('{{"op":"d","before":{{"id":', {legacy_id}, '}},"after":null}}')
+        ELSE concat('{{"op":"', {op}, '","before":null,"after":', {after}, '}}') END"""
+    return events.selectExpr(
+        f"CASE WHEN event_id % 97 = 0 THEN '{OTHER_TOPIC}' ELSE {_one_of('user_id % 4', TOPICS)} END AS topic",
+        "0 AS partition",
+        "event_id AS offset",
+        "ts AS timestamp",
+        f"{payload} AS payload",
+    ).selectExpr(
+        "topic", "partition", "offset", "timestamp",
+        """CAST(CASE WHEN offset % 89 = 0 THEN NULL WHEN offset % 83 = 0 THEN 'not json'
+            WHEN offset % 3 = 0 THEN payload ELSE concat('{"payload":', payload, '}') END AS BINARY) AS value""",
     )
 
 
