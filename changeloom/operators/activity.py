@@ -17,7 +17,7 @@ from changeloom import schemas
 STEPS = 8
 API_STEP, TARGET_ONLY_STEP, RECEIVED_STEP, RETRY_STEP, STAGED_STEP, DEAD_LETTER_STEP = range(6)
 MAX_PARTITIONS = 64  # per topic
-SLOTS = MAX_PARTITIONS * len(schemas.TENANTS)
+SLOTS = MAX_PARTITIONS * (len(schemas.TENANTS) + 1)  # the first ones are for all other topics
 STAGES = ("api", "consumer.received", "consumer.staged")
 
 # Retention of the log, and the pause before a message is retried.
@@ -34,7 +34,7 @@ def _detail(*columns) -> Column:
 
 def event_id(position: Column, step: int, topic: Column, partition: Column) -> Column:
     topics = F.array(*[F.lit(t) for t, _, _ in schemas.TENANTS])
-    slot = (F.array_position(topics, topic) - 1) * MAX_PARTITIONS + partition
+    slot = F.array_position(topics, topic) * MAX_PARTITIONS + partition
     return ((position * STEPS + step) * SLOTS + F.coalesce(slot, F.lit(0))).cast("bigint")
 
 

@@ -418,8 +418,8 @@ readiness AS (
 
 
 def event_id(position: str, step: int, idx: str) -> str:
-    """Ids: 8 steps per position, 256 slots per step, 64 slots per topic."""
-    return f"CAST(({position} * 8 + {step}) * 256 + {idx} * 64 AS BIGINT)"
+    """Ids: 8 steps per position, 320 slots per step, 64 slots per topic; the first 64 are for unknown topics."""
+    return f"CAST(({position} * 8 + {step}) * 320 + {idx} * 64 AS BIGINT)"
 
 
 WHERE_TEXT = (
@@ -433,16 +433,16 @@ record AS (
     CASE WHEN no_id OR event_type = 'error' THEN NULL ELSE id END AS known_id
   FROM raw
 )
-SELECT {event_id('event_id', 2, 'idx')} AS id, ts, 'cdc-consumer' AS source, 'consumer.received' AS stage,
+SELECT {event_id('event_id', 2, '(idx + 1)')} AS id, ts, 'cdc-consumer' AS source, 'consumer.received' AS stage,
   'info' AS severity, tenant_id, known_id AS legacy_id,
   who || ' change captured from legacy via Kafka (' || topic || ')' AS message, {WHERE_TEXT} AS detail
 FROM record WHERE outcome = 'staged' OR reason IN ('DELETE_WITHOUT_ROW', 'ID_MISSING', 'TEXT_TOO_LONG')
 UNION ALL
-SELECT {event_id('event_id', 4, 'idx')}, ts, 'cdc-consumer', 'consumer.staged', 'info', tenant_id, known_id,
+SELECT {event_id('event_id', 4, '(idx + 1)')}, ts, 'cdc-consumer', 'consumer.staged', 'info', tenant_id, known_id,
   who || ' staged in new system (person_staging)', {WHERE_TEXT}
 FROM record WHERE outcome = 'staged'
 UNION ALL
-SELECT {event_id('event_id', 5, 'CASE WHEN other THEN 0 ELSE idx END')}, ts, 'cdc-consumer', 'consumer.dead_letter',
+SELECT {event_id('event_id', 5, 'CASE WHEN other THEN 0 ELSE idx + 1 END')}, ts, 'cdc-consumer', 'consumer.dead_letter',
   'error', tenant_id, NULL, 'dead-lettered ' || topic || '@' || event_id || ': ' || error,
   '{{"topic":"' || topic || '","partition":0,"offset":' || event_id || ',"error":"' || error
     || '","raw_value":"' || replace(raw_value, '"', '\\"') || '"}}'
@@ -450,7 +450,7 @@ FROM record WHERE outcome = 'dead_letter'"""
 
 COMMAND_EVENTS = f"""{RESOLVED},
 spoken AS (
-  SELECT *, list_position({TOPICS}, topic) - 1 AS tidx,
+  SELECT *, list_position({TOPICS}, topic) AS tidx,
     kind IN ('create', 'legacy_create') AS creates, status <> 'rejected' AS done
   FROM resolved
 ),
@@ -471,8 +471,8 @@ api AS (
 
 JOURNEY = f"""WITH {COMMAND_EVENTS},
 writes AS (
-  SELECT tenant_id, legacy_id, seq, list_position({TOPICS}, topic) - 1 AS tidx FROM created
-  UNION ALL SELECT tenant_id, legacy_id, seq, list_position({TOPICS}, topic) - 1 FROM images
+  SELECT tenant_id, legacy_id, seq, list_position({TOPICS}, topic) AS tidx FROM created
+  UNION ALL SELECT tenant_id, legacy_id, seq, list_position({TOPICS}, topic) FROM images
 ),
 firsts AS (
   SELECT tenant_id, legacy_id, min(a) AS api, min(r) AS received, min(s) AS staged FROM (
@@ -487,7 +487,7 @@ merges AS (
 )
 SELECT tenant_id, legacy_id, api, received, staged, coalesce(api < received AND received < staged, false) AS in_order,
   m.id AS merged, coalesce(m.id > staged, false) AS merge_followed
-FROM firsts f LEFT JOIN merges m ON staged // 2048 // 1000 = m.batch_id"""
+FROM firsts f LEFT JOIN merges m ON staged // 2560 // 1000 = m.batch_id"""
 
 TOP_FIVE = """
 ranked AS (
@@ -536,8 +536,8 @@ ORACLE: dict[str, str] = {
     "preserve_join": f"""WITH {FIRST_HALF},{patched('p1x', 'p1')},{latest('l2', 'late')}
         SELECT l2.tenant_id, l2.legacy_id, l2.firstname, l2.extra_field, p.modernized_only
         FROM l2 LEFT JOIN p1x p ON l2.tenant_id = p.tenant_id AND l2.legacy_id = p.legacy_id""",
-    "merge_survivors": f"""WITH {FIRST_HALF} SELECT tenant_id, legacy_id, firstname, created_at FROM p1
-        WHERE (tenant_id, legacy_id) NOT IN (SELECT tenant_id, source_id FROM staged WHERE batch_id > 8)""",
+    "merge_survivors": f"""WITH {ONE_BATCH} SELECT tenant_id, legacy_id, firstname, created_at FROM person
+        WHERE (tenant_id, legacy_id) NOT IN (SELECT tenant_id, source_id FROM staged WHERE firstname IS NULL)""",
     "evolve_schema": f"""WITH {FIRST_HALF},{latest('l2', 'late')},{merged('p2', 'l2', 'p1', SECOND)}
         SELECT p2.*, upper(l2.firstname) AS nickname
         FROM p2 LEFT JOIN l2 ON p2.tenant_id = l2.tenant_id AND p2.legacy_id = l2.legacy_id""",

@@ -104,22 +104,22 @@ def merge_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def preserve_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest second-half row of each key with the target-only column of the first half's target."""
-    _, second = T.halves(_messages(spark, sf_dir))
+    _, second = T.message_halves(spark, sf_dir)
     target = Y.patch_tenth(Y.person_after_first(spark, sf_dir))
     latest = M.map_columns(M.latest_per_key(M.accepted(Y.staged_events(spark, second))))
     return M.preserve_join(latest, target).select(*KEY, "firstname", "extra_field", "modernized_only")
 
 
 def merge_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target rows of the first half that the rest of the batches do not touch."""
-    target = Y.person_after_first(spark, sf_dir)
-    late = M.unapplied(_batched(spark, sf_dir), 8)
-    return M.survivors(target, M.affected_keys(late)).select(*KEY, "firstname", "created_at")
+    """Target rows whose key has no quarantined event."""
+    refused = _batched(spark, sf_dir).where(F.col("firstname").isNull())
+    target = Y.person_in_one_batch(spark, sf_dir)
+    return M.survivors(target, M.affected_keys(refused)).select(*KEY, "firstname", "created_at")
 
 
 def evolve_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch brings a column that the target does not have yet."""
-    _, second = T.halves(_messages(spark, sf_dir))
+    _, second = T.message_halves(spark, sf_dir)
     wider = Y.staged_events(spark, second).withColumn("nickname", F.upper("firstname"))
     return M.merge(Y.person_after_first(spark, sf_dir), wider, Y.SECOND_SYNC)
 
@@ -389,14 +389,14 @@ def system_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    first, _ = T.halves(_messages(spark, sf_dir))
+    first, _ = T.message_halves(spark, sf_dir)
     return P.topic_progress(T.change_feed(events), Y.decoded_events(spark, first))
 
 
 def barrier_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 50th message is a marker; half of the feed was handled."""
     events = _events(spark, sf_dir)
-    first, _ = T.halves(_messages(spark, sf_dir))
+    first, _ = T.message_halves(spark, sf_dir)
     markers = T.change_feed(events).where((F.col("offset") % 50 == 0) & (F.col("topic") != T.OTHER_TOPIC)).select(
         "topic", "partition", F.col("offset").alias("marker_offset"))
     return P.barrier(markers, Y.decoded_events(spark, first))
@@ -449,18 +449,15 @@ def command_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.command_events(resolved, F.col("written_at")).drop("detail")
 
 
-def _command_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved = C.resolve(Y.legacy(spark, sf_dir), Y.commands(spark, sf_dir), schemas.tenants(spark))
-    decoded = D.decode(Y.command_changes(spark, sf_dir), schemas.tenants(spark))
-    return A.command_events(resolved, F.col("written_at")).unionByName(A.consumer_events(decoded))
-
-
 def record_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way of every record that a command wrote; every third batch is not merged yet."""
-    log = _command_journal(spark, sf_dir)
-    batch = F.floor(A.position_of(F.col("id")) / BATCH_SIZE).cast("bigint")
-    merges = log.where(F.col("stage") == "consumer.staged").groupBy(batch.alias("batch_id")).agg(
-        (F.max("id") + 1).alias("id")).where(F.col("batch_id") % 3 != 2)
+    resolved = C.resolve(Y.legacy(spark, sf_dir), Y.commands(spark, sf_dir), schemas.tenants(spark))
+    decoded = D.decode(Y.command_changes(spark, sf_dir), schemas.tenants(spark))
+    log = A.command_events(resolved, F.col("written_at")).unionByName(A.consumer_events(decoded))
+    staged_id = A.event_id(F.col("seq"), A.STAGED_STEP, F.col("topic"), F.lit(0))
+    merges = resolved.where(F.col("status") == "applied").groupBy(
+        F.floor(F.col("seq") / BATCH_SIZE).cast("bigint").alias("batch_id")
+    ).agg((F.max(staged_id) + 1).alias("id")).where(F.col("batch_id") % 3 != 2)
     staged_batch = F.floor(A.position_of(F.col("staged")) / BATCH_SIZE).cast("bigint")
     return A.record_journey(log, merges, staged_batch)
 

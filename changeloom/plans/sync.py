@@ -34,12 +34,12 @@ def patch_tenth(target: DataFrame) -> DataFrame:
 
 
 def person_after_first(spark: SparkSession, sf_dir: str, delete_mode: str = "dead_letter") -> DataFrame:
-    first, _ = T.halves(T.load_spread(spark, sf_dir, "events", "event_id"))
+    first, _ = T.message_halves(spark, sf_dir)
     return M.merge_first(staged_events(spark, first, delete_mode), FIRST_SYNC, delete_mode)
 
 
 def person_after_both(spark: SparkSession, sf_dir: str, delete_mode: str = "dead_letter") -> DataFrame:
-    _, second = T.halves(T.load_spread(spark, sf_dir, "events", "event_id"))
+    _, second = T.message_halves(spark, sf_dir)
     target = patch_tenth(person_after_first(spark, sf_dir, delete_mode))
     return M.merge(target, staged_events(spark, second, delete_mode), SECOND_SYNC, delete_mode)
 

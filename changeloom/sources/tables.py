@@ -84,12 +84,20 @@ def change_feed(events: DataFrame) -> DataFrame:
     )
 
 
-def halves(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The events below half of the row count, and the rest. The count is a subquery of the plan, not a driver step."""
-    middle = events.agg(F.floor(F.count("*") / 2).cast("bigint")).scalar()
+def halves(events: DataFrame, counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The events below half of the row count, and the rest. The count is a subquery of the plan, not a driver step.
+
+    `counted` is the same table before it was spread, so that counting it moves nothing.
+    """
+    rows = events if counted is None else counted
+    middle = rows.agg(F.floor(F.count("*") / 2).cast("bigint")).scalar()
     return events.where(F.col("event_id") < middle), events.where(F.col("event_id") >= middle)
 
 
+def message_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return halves(load_spread(spark, sf_dir, "events", "event_id"), load(spark, sf_dir, "events"))
+
+
 def legacy_source(customer: DataFrame, tenant_id: str) -> DataFrame:
     """One legacy table, with the columns of its own family only."""
     index = TENANT_IDS.index(tenant_id)
