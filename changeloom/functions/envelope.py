@@ -95,10 +95,6 @@ def fit_text(text: str, limit: int) -> str:
     return f"CASE WHEN length({text}) > {limit} THEN substring({text}, 1, {limit}) ELSE {text} END"
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
-
-
 def envelope(op: Column, before: Column | None, after: Column | None) -> Column:
     """The bytes of a wrapped change envelope. Null fields are written as null, not left out."""
     nothing = F.lit(None).cast("string")

@@ -1,6 +1,6 @@
 """Write commands, applied as a batch: validate, route by schema family, apply to the legacy rows, emit changes.
 
-A command is one row: seq (unique, gives the order), kind, tenant_id, legacy_id, the person columns, extra_field,
+A command is one row: seq (unique, not negative, gives the order), kind, tenant_id, legacy_id, the person columns, extra_field,
 modernized_only, the six data columns, and `present`, the names of the fields that were given. Kinds are `create` and
 `update` (they know extra_field only) and `legacy_create` and `legacy_update` (they know the family's own columns).
 Callers supply the ids of new rows.
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeloom import schemas
-from changeloom.functions.envelope import blank_to_null, envelope
+from changeloom.functions.envelope import envelope
 from changeloom.operators.ordered import carry_forward
 from changeloom.schemas import COMMON_COLUMNS, DATA_COLUMNS, EXTRA_FIELD_COLUMN, FAMILY_COLUMNS, KEY
 
@@ -41,48 +41,39 @@ def validate(commands: DataFrame, dimension: DataFrame) -> DataFrame:
     )
 
 
-def _is_extra_column(name: str) -> Column:
-    family = next(f for f, columns in FAMILY_COLUMNS.items() if name in columns)
-    if EXTRA_FIELD_COLUMN[family] != name:
-        return F.lit(False)
-    return F.col("legacy_type") == family
+def _family(name: str) -> str:
+    return next(f for f, columns in FAMILY_COLUMNS.items() if name in columns)
 
 
-def _in_family(name: str) -> Column:
-    family = next(f for f, columns in FAMILY_COLUMNS.items() if name in columns)
-    return F.col("legacy_type") == family
+def _create_value(name: str) -> str:
+    """What a create puts into a data column, as SQL. Empty texts become NULL."""
+    family = _family(name)
+    from_extra = "nullif(extra_field, '')" if EXTRA_FIELD_COLUMN[family] == name else "CAST(NULL AS STRING)"
+    return f"CASE WHEN legacy_type = '{family}' THEN CASE kind WHEN 'create' THEN {from_extra} ELSE nullif({name}, '') END END"
 
 
 def route_creates(valid: DataFrame) -> DataFrame:
-    """The legacy rows that accepted creates insert. Empty texts become NULL in the data columns."""
-
-    def data(name: str) -> Column:
-        from_extra = F.when(_is_extra_column(name), blank_to_null(F.col("extra_field")))
-        own = F.when(_in_family(name), blank_to_null(F.col(name)))
-        return F.when(F.col("kind") == "create", from_extra).otherwise(own).alias(name)
-
+    """The legacy rows that accepted creates insert."""
     return valid.where((F.col("status") == "accepted") & F.col("kind").isin(*CREATES)).select(
         "seq", "topic", "tenant_id", "legacy_type", "legacy_id",
         *COMMON_COLUMNS,
-        *[data(c) for c in DATA_COLUMNS],
+        *[F.expr(_create_value(c)).alias(c) for c in DATA_COLUMNS],
     )
 
 
-def _set_value(name: str) -> Column:
-    """What an update sets a data column to; NULL where it leaves the column alone.
+def _set_value(name: str) -> str:
+    """What an update sets a data column to, as SQL; NULL where it leaves the column alone.
 
     `update` always sets the family's extra_field column: to '' where the field is missing, to NULL where it is given
-    as null. `legacy_update` sets a column only to a non-empty text. Wrapped in a struct, so that NULL can be set.
+    as null. `legacy_update` sets a column only to a non-empty text. The struct with its seq lets NULL be set.
     """
-    given = F.array_contains("present", "extra_field")
-    by_update = F.when(
-        (F.col("kind") == "update") & _is_extra_column(name),
-        F.struct(F.when(given, F.col("extra_field")).otherwise(F.lit("")).alias("v")),
-    )
-    by_legacy = F.when(
-        (F.col("kind") == "legacy_update") & _in_family(name) & ~_blank(name), F.struct(F.col(name).alias("v"))
-    )
-    return F.coalesce(by_update, by_legacy)
+    family = _family(name)
+    by_update = ""
+    if EXTRA_FIELD_COLUMN[family] == name:
+        value = "CASE WHEN array_contains(present, 'extra_field') THEN extra_field ELSE '' END"
+        by_update = f"WHEN kind = 'update' AND legacy_type = '{family}' THEN named_struct('v', {value}, 'seq', seq)"
+    return f"""CASE {by_update} WHEN kind = 'legacy_update' AND legacy_type = '{family}' AND {name} <> ''
+        THEN named_struct('v', {name}, 'seq', seq) END"""
 
 
 def _first_creates(valid: DataFrame) -> DataFrame:
@@ -92,36 +83,49 @@ def _first_creates(valid: DataFrame) -> DataFrame:
     return rows.groupBy(*KEY).agg(F.min_by(F.struct(*payload), "seq").alias("__row")).select(*KEY, "__row.*")
 
 
+def _timeline(snapshot: DataFrame, commands: DataFrame, dimension: DataFrame, images: bool) -> DataFrame:
+    """Each command with its final status and, where wanted, the data columns of its row right after it.
+
+    The existing rows that commands ask for are put before the first command (they have no kind). A row and its
+    commands then form one timeline per key, which `carry_forward` handles in slices; a join of the commands with
+    their rows would send all commands of a hot key to one task. `base` is the first row of a key, existing or created:
+    a later create of the key is refused, and an update before it finds no row.
+    """
+    columns = list(DATA_COLUMNS) if images else []
+    asked = commands.select(*KEY).distinct()
+    existing = snapshot.select(*KEY, *columns).join(asked, KEY, "left_semi").withColumn(
+        "seq", F.lit(-1).cast("bigint"))
+    rows = validate(commands, dimension).unionByName(existing, allowMissingColumns=True)
+    whole_row = ", ".join(f"'{c}', CASE WHEN kind IS NULL THEN {c} ELSE {_create_value(c)} END" for c in columns)
+    base = F.expr(f"""CASE WHEN kind IS NULL OR (status = 'accepted' AND kind IN ('create', 'legacy_create'))
+        THEN named_struct('seq', seq{', ' + whole_row if images else ''}) END""")
+    sets = {
+        f"set_{c}": F.expr(f"CASE WHEN status = 'accepted' THEN {_set_value(c)} END") for c in columns
+    }
+    seen = carry_forward(rows, KEY, "seq", sets, {"base": base}, inclusive=True).where(F.col("kind").isNotNull())
+    fault = """CASE WHEN status = 'rejected' THEN reason
+        WHEN kind IN ('create', 'legacy_create') AND base.seq < seq THEN 'duplicate id'
+        WHEN kind = 'legacy_update' AND base IS NULL THEN 'record not found' END"""
+    return seen.withColumn("fault", F.expr(fault)).withColumns({
+        "status": F.expr("""CASE WHEN fault IS NOT NULL THEN 'rejected'
+            WHEN kind = 'update' AND base IS NULL THEN 'no_row' ELSE 'applied' END"""),
+        "reason": F.col("fault"),
+    }).drop("fault")
+
+
 def resolve(snapshot: DataFrame, commands: DataFrame, dimension: DataFrame) -> DataFrame:
     """Each command with its final status: applied, no_row (an update of an unknown id) or rejected."""
-    valid = validate(commands, dimension)
-    found = valid.join(snapshot.select(*KEY, F.lit(True).alias("__exists")), KEY, "left").join(
-        _first_creates(valid).select(*KEY, F.col("seq").alias("__created_seq")), KEY, "left"
-    )
-    exists = F.coalesce(F.col("__exists"), F.col("__created_seq") < F.col("seq"), F.lit(False))
-    accepted = F.col("status") == "accepted"
-    duplicate = accepted & F.col("kind").isin(*CREATES) & (
-        F.col("__exists").isNotNull() | (F.col("__created_seq") != F.col("seq"))
-    )
-    missing = accepted & (F.col("kind") == "legacy_update") & ~exists
-    status = (
-        F.when(~accepted | duplicate | missing, "rejected")
-        .when((F.col("kind") == "update") & ~exists, "no_row")
-        .otherwise("applied")
-    )
-    reason = F.when(duplicate, "duplicate id").when(missing, "record not found").otherwise(F.col("reason"))
-    return found.withColumns({"status": status, "reason": reason}).drop("__exists", "__created_seq")
+    return _timeline(snapshot, commands, dimension, images=False).drop("base")
 
 
 def fold_updates(valid: DataFrame) -> DataFrame:
     """All updates of a key as one row: the common columns of the last one, and per data column the last value set."""
     updates = valid.where((F.col("status") == "accepted") & F.col("kind").isin(*UPDATES))
-    with_sets = updates.withColumns({f"__set_{c}": _set_value(c) for c in DATA_COLUMNS})
+    with_sets = updates.selectExpr("*", *[f"{_set_value(c)} AS __set_{c}" for c in DATA_COLUMNS])
     return with_sets.groupBy(*KEY).agg(
         F.max_by(F.struct(*COMMON_COLUMNS, "seq"), "seq").alias("__last"),
         *[
-            F.max_by(F.struct(F.col(f"__set_{c}.v").alias("v"), "seq"),
-                     F.when(F.col(f"__set_{c}").isNotNull(), F.col("seq"))).alias(f"__set_{c}")
+            F.expr(f"max_by(__set_{c}, __set_{c}.seq) AS __set_{c}")
             for c in DATA_COLUMNS
         ],
     )
@@ -143,15 +147,14 @@ def apply(snapshot: DataFrame, commands: DataFrame, dimension: DataFrame) -> Dat
     )
 
     def updated(rows: DataFrame) -> DataFrame:
-        def effective(seq: Column) -> Column:
-            return seq.isNotNull() & (F.col("created_seq").isNull() | (seq > F.col("created_seq")))
+        def pick(update: str, seq: str, name: str) -> str:
+            later = f"{seq} IS NOT NULL AND (created_seq IS NULL OR {seq} > created_seq)"
+            return f"CASE WHEN {later} THEN {update} ELSE {name} END AS {name}"
 
-        return rows.join(folded, KEY, "left").select(
+        return rows.join(folded, KEY, "left").selectExpr(
             *KEY,
-            *[F.when(effective(F.col("__last.seq")), F.col(f"__last.{c}")).otherwise(F.col(c)).alias(c)
-              for c in COMMON_COLUMNS],
-            *[F.when(effective(F.col(f"__set_{c}.seq")), F.col(f"__set_{c}.v")).otherwise(F.col(c)).alias(c)
-              for c in DATA_COLUMNS],
+            *[pick(f"__last.{c}", "__last.seq", c) for c in COMMON_COLUMNS],
+            *[pick(f"__set_{c}.v", f"__set_{c}.seq", c) for c in DATA_COLUMNS],
         )
 
     return updated(existing).unionByName(updated(created))
@@ -175,25 +178,18 @@ def patch_target_only(target: DataFrame, commands: DataFrame, dimension: DataFra
 
 
 def row_images(snapshot: DataFrame, commands: DataFrame, dimension: DataFrame) -> DataFrame:
-    """The legacy row as it stood right after each applied command."""
-    applied = resolve(snapshot, commands, dimension).where(F.col("status") == "applied").withColumn(
-        "status", F.lit("accepted")
-    )
-    created = route_creates(applied).withColumn("op", F.lit("c"))
-    updates = applied.where(F.col("kind").isin(*UPDATES))
-    running = carry_forward(updates, KEY, "seq", {f"__set_{c}": _set_value(c) for c in DATA_COLUMNS}, inclusive=True)
-    data = F.struct(*DATA_COLUMNS)
-    based = running.drop(*DATA_COLUMNS).join(snapshot.select(*KEY, data.alias("__old")), KEY, "left").join(
-        created.select(*KEY, data.alias("__created")), KEY, "left"
-    ).withColumn("__base", F.coalesce("__old", "__created"))
-    updated = based.select(
+    """The legacy row as it stood right after each applied command.
+
+    The common columns are the command's own. A data column is the last value set up to and with the command: by the
+    existing row, by the create, or by an update.
+    """
+    applied = _timeline(snapshot, commands, dimension, images=True).where(F.col("status") == "applied")
+    return applied.select(
         "seq", "topic", "tenant_id", "legacy_type", "legacy_id",
         *COMMON_COLUMNS,
-        *[F.when(F.col(f"__set_{c}").isNotNull(), F.col(f"__set_{c}.v")).otherwise(F.col(f"__base.{c}")).alias(c)
-          for c in DATA_COLUMNS],
-        F.lit("u").alias("op"),
+        *[F.expr(f"CASE WHEN set_{c}.seq > base.seq THEN set_{c}.v ELSE base.{c} END AS {c}") for c in DATA_COLUMNS],
+        F.when(F.col("kind").isin(*CREATES), "c").otherwise("u").alias("op"),
     )
-    return created.unionByName(updated)
 
 
 def to_changes(images: DataFrame, written_at: Column) -> DataFrame:

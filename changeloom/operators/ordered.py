@@ -12,44 +12,50 @@ def carry_forward(
     df: DataFrame,
     keys: list[str],
     order: str,
-    values: dict[str, Column],
+    last: dict[str, Column],
+    first: dict[str, Column] | None = None,
     inclusive: bool = False,
     width: int = SLICE_WIDTH,
 ) -> DataFrame:
-    """Add, per row, the last non-null value of each expression among the earlier rows of the same key.
+    """Add, per row, the last (or first) non-null value of each expression among the earlier rows of the same key.
 
     `order` is an integer column, unique within a key. A window over the key alone would sort a hot key in one task.
     Instead the order axis is cut into slices of `width`, so that a window group has at most `width` rows; the last
     value of each slice is pre-aggregated before its shuffle, and one row per key and slice carries it to the slices
     after it. `inclusive` lets a row see its own value. Wrap a value in a struct to carry nulls too (this is `lag`).
     """
+    first = first or {}
     slice_id = F.floor(F.col(order) / F.lit(width)).cast("bigint")
-    named = {f"__v_{name}": expr for name, expr in values.items()}
-    rows = df.withColumns({"__slice": slice_id, **named})
+    inputs = {f"__v_{name}": expr for name, expr in (last | first).items()}
+    # The key as one struct: equal where both are null, and never taken for a partitioning by the bare key columns,
+    # which would bring all slices of a hot key back into one task.
+    rows = df.withColumns({"__key": F.struct(*keys), "__slice": slice_id, **inputs})
 
-    ends = rows.groupBy(*keys, "__slice").agg(
-        *[F.max_by(F.col(v), F.when(F.col(v).isNotNull(), F.col(order))).alias(v) for v in named]
-    )
-    before_slice = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.col("__slice").alias("__carried_slice"),
-        *[F.last(v, ignorenulls=True).over(before_slice).alias(f"__c{v}") for v in named],
-    )
+    def ends(name: str) -> Column:
+        pick = F.max_by if name in last else F.min_by
+        value = F.col(f"__v_{name}")
+        return pick(value, F.when(value.isNotNull(), F.col(order))).alias(f"__v_{name}")
+
+    def over(name: str, window) -> Column:
+        pick = F.last if name in last else F.first
+        return pick(f"__v_{name}", ignorenulls=True).over(window)
 
-    in_slice = Window.partitionBy(*keys, "__slice").orderBy(order).rowsBetween(
+    names = list(last | first)
+    before_slice = Window.partitionBy("__key").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    in_slice = Window.partitionBy("__key", "__slice").orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1
     )
-    local = rows.withColumns({f"__l{v}": F.last(v, ignorenulls=True).over(in_slice) for v in named})
+    carried = rows.groupBy("__key", "__slice").agg(*[ends(n) for n in names]).select(
+        "__key", "__slice", *[over(n, before_slice).alias(f"__carried_{n}") for n in names]
+    )
+    local = rows.withColumns({f"__local_{n}": over(n, in_slice) for n in names})
+
+    def nearest(name: str) -> Column:
+        near, far = f"__local_{name}", f"__carried_{name}"
+        return F.coalesce(near, far) if name in last else F.coalesce(far, near)
 
-    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [F.col("__slice") == F.col("__carried_slice")]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
-    joined = local.join(carried, condition, "left")
-    return joined.select(
-        *df.columns,
-        *[F.coalesce(F.col(f"__l__v_{name}"), F.col(f"__c__v_{name}")).alias(name) for name in values],
+    return local.join(carried, ["__key", "__slice"], "left").select(
+        *df.columns, *[nearest(n).alias(n) for n in names]
     )
 
 

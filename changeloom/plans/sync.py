@@ -68,7 +68,7 @@ def legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.commands(T.load(spark, sf_dir, "orders"))
+    return T.commands(T.load_spread(spark, sf_dir, "orders", "o_orderkey"))
 
 
 def command_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,13 @@ from changeloom.functions.envelope import envelope
 from changeloom.schemas import FAMILY_COLUMNS
 
 
-def kafka_options(servers: str, topics: list[str] | None = None, max_offsets: int | None = None) -> dict[str, str]:
-    """Subscribe to the topics of all tenants, from the earliest offset. `max_offsets` bounds one micro-batch."""
+def kafka_options(servers: str, topics: list[str] | None = None, max_offsets: int | None = None,
+                  min_partitions: int | None = None) -> dict[str, str]:
+    """Subscribe to the topics of all tenants, from the earliest offset.
+
+    `max_offsets` bounds one micro-batch. `min_partitions` splits topic partitions over more tasks without a shuffle:
+    a topic of one partition would otherwise be parsed by one task.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics or [t for t, _, _ in schemas.TENANTS]),
@@ -20,6 +25,8 @@ def kafka_options(servers: str, topics: list[str] | None = None, max_offsets: in
     }
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
@@ -30,12 +37,12 @@ def _feed_columns(df: DataFrame) -> DataFrame:
 def read_changes(spark: SparkSession, spec: dict, stream: bool = False) -> DataFrame:
     """The change feed as (topic, partition, offset, timestamp, value), batch or streaming.
 
-    `spec` is {"format": "kafka", "servers": ..., "topics": [...], "max_offsets": n} (needs the Kafka connector on the
+    `spec` is {"format": "kafka", "servers": ..., "topics": [...], "max_offsets": n, "min_partitions": n} (needs the Kafka connector on the
     class path) or {"format": "parquet", "path": ..., "max_files": n}.
     """
     reader = spark.readStream if stream else spark.read
     if spec["format"] == "kafka":
-        options = kafka_options(spec["servers"], spec.get("topics"), spec.get("max_offsets"))
+        options = kafka_options(spec["servers"], spec.get("topics"), spec.get("max_offsets"), spec.get("min_partitions"))
         return _feed_columns(reader.format("kafka").options(**options).load())
     if spec["format"] != "parquet":
         raise ValueError(f"unknown change feed format: {spec['format']}")

@@ -19,14 +19,25 @@ def series(seed, n=400):
 def test_carry_forward_equals_a_scan(spark, inclusive, width):
     rows = series(width)
     df = spark.createDataFrame(rows, "k STRING, pos BIGINT, v STRING")
-    got = carry_forward(df, ["k"], "pos", {"seen": F.col("v")}, inclusive, width)
-    last, expected = {}, {}
+    got = carry_forward(df, ["k"], "pos", {"seen": F.col("v")}, {"origin": F.col("v")}, inclusive, width)
+    first, last, expected = {}, {}, {}
     for k, pos, v in sorted(rows, key=lambda r: r[1]):
-        before = last.get(k)
+        before = last.get(k), first.get(k)
         if v is not None:
             last[k] = v
-        expected[(k, pos)] = last.get(k) if inclusive else before
-    assert {(r["k"], r["pos"]): r["seen"] for r in got.collect()} == expected
+            first.setdefault(k, v)
+        expected[(k, pos)] = (last.get(k), first.get(k)) if inclusive else before
+    assert {(r["k"], r["pos"]): (r["seen"], r["origin"]) for r in got.collect()} == expected
+
+
+def test_a_hot_key_is_spread_over_tasks(spark):
+    """All rows have one key: no task of the window stage may get most of them."""
+    df = spark.range(40000).select(F.lit("hot").alias("k"), F.col("id").alias("pos"), F.lit("v").alias("v"))
+    got = carry_forward(df, ["k"], "pos", {"seen": F.col("v")}, width=1000)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(__key" in text and "hashpartitioning(k#" not in text
+    share = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert share < 25000
 
 
 def test_a_struct_carries_nulls(spark):

@@ -38,6 +38,19 @@ def test_latest_per_key_aggregates_before_its_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in plan(QUERIES["latest_window"](spark, sf_dir))
 
 
+def test_top_rows_per_group_are_limited_before_the_shuffle(spark, sf_dir):
+    assert "WindowGroupLimit" in plan(QUERIES["batch_summary"](spark, sf_dir))
+
+
+def test_commands_are_not_partitioned_by_the_bare_key(spark, sf_dir):
+    """The commands of a hot key go to one task per slice; only pre-aggregated keys meet the legacy rows."""
+    text = plan(QUERIES["command_changes"](spark, sf_dir))
+    for line in text.splitlines():
+        if "Window [" in line:
+            assert "__key" in line, line
+    assert "Exchange hashpartitioning(__key" in text
+
+
 def test_scans_read_only_what_they_need(spark, sf_dir):
     text = QUERIES["duplicate_keys"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in text
