@@ -38,9 +38,9 @@ def event_id(position: Column, step: int, topic: Column, partition: Column) -> C
     return ((position * STEPS + step) * SLOTS + F.coalesce(slot, F.lit(0))).cast("bigint")
 
 
-def position_of(event_id_column: Column) -> Column:
+def position_of(event_id_column: str) -> Column:
     """The offset (or seq) inside an event id."""
-    return F.floor(event_id_column / F.lit(STEPS * SLOTS)).cast("bigint")
+    return F.expr(f"`{event_id_column}` DIV {STEPS * SLOTS}")
 
 
 def consumer_events(decoded: DataFrame) -> DataFrame:

@@ -20,12 +20,12 @@ def carry_forward(
     """Add, per row, the last (or first) non-null value of each expression among the earlier rows of the same key.
 
     `order` is an integer column, unique within a key. A window over the key alone would sort a hot key in one task.
-    Instead the order axis is cut into slices of `width`, so that a window group has at most `width` rows; the last
+    Instead the order axis is cut into slices of `width`, so that a window group has about `width` rows at most; the last
     value of each slice is pre-aggregated before its shuffle, and one row per key and slice carries it to the slices
     after it. `inclusive` lets a row see its own value. Wrap a value in a struct to carry nulls too (this is `lag`).
     """
     first = first or {}
-    slice_id = F.floor(F.col(order) / F.lit(width)).cast("bigint")
+    slice_id = F.expr(f"`{order}` DIV {width}")
     inputs = {f"__v_{name}": expr for name, expr in (last | first).items()}
     # The key as one struct: equal where both are null, and never taken for a partitioning by the bare key columns,
     # which would bring all slices of a hot key back into one task.
@@ -72,7 +72,7 @@ def exact_percentiles(
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("bigint").alias("__x"))
         .agg(F.count("*").alias("__c"))
-        .withColumn("__range", F.floor(F.col("__x") / F.lit(width)).cast("bigint"))
+        .withColumn("__range", F.expr(f"`__x` DIV {width}"))
     )
     ranges = counts.groupBy(*keys, "__range").agg(F.sum("__c").alias("__rc"))
     whole = Window.partitionBy(*keys)

@@ -458,7 +458,7 @@ def record_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
     merges = resolved.where(F.col("status") == "applied").groupBy(
         F.floor(F.col("seq") / BATCH_SIZE).cast("bigint").alias("batch_id")
     ).agg((F.max(staged_id) + 1).alias("id")).where(F.col("batch_id") % 3 != 2)
-    staged_batch = F.floor(A.position_of(F.col("staged")) / BATCH_SIZE).cast("bigint")
+    staged_batch = F.floor(A.position_of("staged") / BATCH_SIZE).cast("bigint")
     return A.record_journey(log, merges, staged_batch)
 
 
