@@ -43,49 +43,43 @@ def position_of(event_id_column: str) -> Column:
     return F.expr(f"`{event_id_column}` DIV {STEPS * SLOTS}")
 
 
+def _id_sql(step: int) -> str:
+    """`event_id` of a message, as SQL."""
+    topics = ", ".join(f"'{t}'" for t, _, _ in schemas.TENANTS)
+    slot = f"array_position(array({topics}), topic) * {MAX_PARTITIONS} + partition"
+    return f"CAST((offset * {STEPS} + {step}) * {SLOTS} + coalesce({slot}, 0) AS BIGINT)"
+
+
 def consumer_events(decoded: DataFrame) -> DataFrame:
     """What the consumer reports for each message: received and then staged, or a dead letter.
 
     A message that was understood but then refused is reported as received too. The events of a message come from one
-    `explode`, so the decode runs once.
+    `inline`, so the decode runs once.
     """
-    record = F.concat(
-        F.col("tenant_id"), F.lit(" person#"), F.coalesce("id_text", F.lit("None")), F.lit(" "), F.col("operation"))
-    where = _detail("operation", "topic", "partition", "offset")
+    record = "concat(tenant_id, ' person#', coalesce(id_text, 'None'), ' ', operation)"
+    keep_nulls = "map('ignoreNullFields', 'false')"
+    where = f"to_json(struct(operation, topic, partition, offset), {keep_nulls})"
+    raw = "make_valid_utf8(CAST(value AS STRING)) AS raw_value"
 
-    def event(step: int, stage: str, severity: str, message: Column, legacy_id: Column, detail: Column) -> Column:
-        return F.struct(
-            event_id(F.col("offset"), step, F.col("topic"), F.col("partition")).alias("id"), F.lit(stage).alias("stage"), F.lit(severity).alias("severity"),
-            legacy_id.cast("int").alias("legacy_id"), message.alias("message"), detail.alias("detail"),
-        )
+    def event(step: int, stage: str, severity: str, legacy_id: str, message: str, detail: str) -> str:
+        return f"""named_struct('id', {_id_sql(step)}, 'ts', created_at, 'source', 'cdc-consumer', 'stage', '{stage}',
+            'severity', '{severity}', 'tenant_id', tenant_id, 'legacy_id', {legacy_id}, 'message', {message},
+            'detail', {detail})"""
 
     received = event(
-        RECEIVED_STEP, "consumer.received", "info",
-        F.concat(record, F.lit(" change captured from legacy via Kafka ("), F.col("topic"), F.lit(")")),
-        F.col("source_id"), where,
-    )
+        RECEIVED_STEP, "consumer.received", "info", "source_id",
+        f"concat({record}, ' change captured from legacy via Kafka (', topic, ')')", where)
     staged = event(
-        STAGED_STEP, "consumer.staged", "info",
-        F.concat(record, F.lit(" staged in new system (person_staging)")), F.col("source_id"), where,
-    )
+        STAGED_STEP, "consumer.staged", "info", "source_id",
+        f"concat({record}, ' staged in new system (person_staging)')", where)
     letter = event(
-        DEAD_LETTER_STEP, "consumer.dead_letter", "error",
-        F.concat(F.lit("dead-lettered "), F.col("topic"), F.lit("@"), F.col("offset"), F.lit(": "), F.col("error")),
-        F.lit(None),
-        _detail("topic", "partition", "offset", "error",
-                F.make_valid_utf8(F.col("value").cast("string")).alias("raw_value")),
-    )
-    events = F.array_compact(F.array(
-        F.when(F.col("received"), received),
-        F.when(F.col("outcome") == "staged", staged),
-        F.when(F.col("outcome") == "dead_letter", letter),
-    ))
-    return (
-        decoded.where(F.col("outcome") != "dropped")
-        .select(F.col("created_at").alias("ts"), "tenant_id", F.explode(events).alias("e"))
-        .select("e.id", "ts", F.lit("cdc-consumer").alias("source"), "e.stage", "e.severity", "tenant_id",
-                "e.legacy_id", "e.message", "e.detail")
-    )
+        DEAD_LETTER_STEP, "consumer.dead_letter", "error", "CAST(NULL AS INT)",
+        "concat('dead-lettered ', topic, '@', offset, ': ', error)",
+        f"to_json(struct(topic, partition, offset, error, {raw}), {keep_nulls})")
+    return decoded.where("outcome <> 'dropped'").selectExpr(f"""inline(array_compact(array(
+        CASE WHEN received THEN {received} END,
+        CASE WHEN outcome = 'staged' THEN {staged} END,
+        CASE WHEN outcome = 'dead_letter' THEN {letter} END)))""")
 
 
 def retry_events(failures: DataFrame) -> DataFrame:

@@ -14,9 +14,8 @@ PERSON_COLUMNS = [f.name for f in schemas.PERSON]
 TARGET_ONLY = "modernized_only"
 
 
-def log_position() -> Column:
-    """Messages of one key share a topic partition, so (partition, offset) is their order. No timestamp takes part."""
-    return F.struct("partition", "offset")
+# Messages of one key share a topic partition, so this is their order. No timestamp takes part.
+LOG_POSITION = "struct(partition, offset)"
 
 
 def unapplied(staging: DataFrame, last_applied: int) -> DataFrame:
@@ -24,6 +23,16 @@ def unapplied(staging: DataFrame, last_applied: int) -> DataFrame:
     return staging.where(F.col("batch_id") > F.lit(last_applied))
 
 
+def dedupe_stream(changes: DataFrame, delay: str) -> DataFrame:
+    """The same for a streaming feed: repeats are dropped if they come within `delay` of the first copy's time.
+
+    Spark also drops messages that are older than the newest one by more than `delay`, so choose it longer than any
+    replay reaches back. The sync does not use this: its merge is idempotent and needs no bound on lateness.
+    """
+    timed = changes.withColumn("event_time", F.col("timestamp").cast("timestamp")).withWatermark("event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(["topic", "partition", "offset"]).drop("event_time")
+
+
 def dedupe_log(df: DataFrame) -> DataFrame:
     """One row per log position, for tables that append. The merge itself needs no dedup: it is idempotent."""
     return df.dropDuplicates(["topic", "partition", "offset"])
@@ -62,12 +71,12 @@ def latest_per_key(staging: DataFrame) -> DataFrame:
     `max_by` keeps one row per key and task before the shuffle, so a key with a third of all events costs one row per
     task, not one task.
     """
-    payload = [c for c in staging.columns if c not in ("tenant_id", "source_id")]
+    payload = ", ".join(f"`{c}`" for c in staging.columns if c not in ("tenant_id", "source_id"))
     return (
         staging.groupBy("tenant_id", "source_id")
         .agg(
-            F.max_by(F.struct(*payload), log_position()).alias("row"),
-            F.max(F.col("operation") == "DELETE").alias("had_delete"),
+            F.expr(f"max_by(struct({payload}), {LOG_POSITION}) AS row"),
+            F.expr("max(operation = 'DELETE') AS had_delete"),
         )
         .select("tenant_id", "source_id", "row.*", "had_delete")
     )
@@ -82,15 +91,10 @@ def latest_by_window(df: DataFrame, keys: list[str], order: list[Column]) -> Dat
 def map_columns(latest: DataFrame) -> DataFrame:
     """Staging columns to target columns. Columns that the staging table gained later are kept (see `merge`)."""
     known = set(schemas.STAGING.fieldNames()) | {"had_delete", "batch_id"}
-    added = [c for c in latest.columns if c not in known]
-    return latest.select(
-        "tenant_id",
-        F.col("source_id").alias("legacy_id"),
-        "firstname", "surname", "date_of_birth", "city",
-        F.coalesce("data_2", "data_c").alias("extra_field"),
-        "created_at",
-        *added,
-        "operation", "had_delete",
+    added = [f"`{c}`" for c in latest.columns if c not in known]
+    return latest.selectExpr(
+        "tenant_id", "source_id AS legacy_id", "firstname", "surname", "date_of_birth", "city",
+        "coalesce(data_2, data_c) AS extra_field", "created_at", *added, "operation", "had_delete",
     )
 
 
@@ -104,6 +108,10 @@ def survivors(target: DataFrame, keys: DataFrame) -> DataFrame:
     return target.join(keys.select(*KEY), KEY, "left_anti")
 
 
+def _as_struct(df: DataFrame, name: str) -> str:
+    return f"struct({', '.join(f'`{c}`' for c in df.columns if c not in KEY)}) AS {name}"
+
+
 def merge(
     target: DataFrame, staging: DataFrame, now: datetime, delete_mode: str = "dead_letter"
 ) -> DataFrame:
@@ -114,29 +122,27 @@ def merge(
     Columns that only one side has are kept and filled with NULL. With `delete_mode="apply"` a key whose latest event
     is a DELETE leaves the target, and a key that was deleted anywhere in the batch does not inherit `modernized_only`.
     """
-    incoming = map_columns(latest_per_key(accepted(staging, delete_mode)))
     stamp = F.lit(now).cast("timestamp_ntz")
-    incoming = incoming.withColumns({"synced_at": stamp, "updated_at": stamp})
-    columns = target.columns + [
-        c for c in incoming.columns if c not in target.columns and c not in ("operation", "had_delete")
-    ]
-    arriving = incoming.select(*KEY, F.struct(*[c for c in incoming.columns if c not in KEY]).alias("__new"))
-    current = target.select(*KEY, F.struct(*[c for c in target.columns if c not in KEY]).alias("__old"))
+    incoming = map_columns(latest_per_key(accepted(staging, delete_mode))).withColumns(
+        {"synced_at": stamp, "updated_at": stamp}
+    )
+    arriving = incoming.selectExpr(*KEY, _as_struct(incoming, "__new"))
+    current = target.selectExpr(*KEY, _as_struct(target, "__old"))
     joined = current.join(arriving, KEY, "full")
-    arrived = F.col("__new").isNotNull()
+    carried = f"__old.{TARGET_ONLY}"
+    if delete_mode == "apply":
+        joined = joined.where("__new IS NULL OR __new.operation <> 'DELETE'")
+        carried = f"CASE WHEN __new.had_delete THEN NULL ELSE {carried} END"
 
-    def column(name: str) -> Column:
-        new = F.col(f"__new.{name}") if name in incoming.columns else F.lit(None)
-        old = F.col(f"__old.{name}") if name in target.columns else F.lit(None)
+    def column(name: str) -> str:
         if name == TARGET_ONLY:
-            if delete_mode == "apply":
-                old = F.when(arrived & F.col("__new.had_delete"), F.lit(None)).otherwise(old)
-            return old.alias(name)
-        return F.when(arrived, new).otherwise(old).alias(name)
+            return f"{carried} AS {name}"
+        new = f"__new.`{name}`" if name in incoming.columns else "NULL"
+        old = f"__old.`{name}`" if name in target.columns else "NULL"
+        return f"CASE WHEN __new IS NOT NULL THEN {new} ELSE {old} END AS `{name}`"
 
-    if delete_mode == "apply":
-        joined = joined.where(~arrived | (F.col("__new.operation") != "DELETE"))
-    return joined.select(*KEY, *[column(c) for c in columns if c not in KEY])
+    added = [c for c in incoming.columns if c not in target.columns and c not in ("operation", "had_delete")]
+    return joined.selectExpr(*KEY, *[column(c) for c in [*target.columns, *added] if c not in KEY])
 
 
 def merge_first(staging: DataFrame, now: datetime, delete_mode: str = "dead_letter") -> DataFrame:
@@ -144,9 +150,9 @@ def merge_first(staging: DataFrame, now: datetime, delete_mode: str = "dead_lett
     return merge(schemas.empty(staging.sparkSession, schemas.PERSON), staging, now, delete_mode)
 
 
-def affected_keys(staging: DataFrame) -> DataFrame:
+def affected_keys(staging: DataFrame, by: list[str] | None = None) -> DataFrame:
     """The keys of a batch, one row per staged event, as a table and not as one list."""
-    return staging.select("tenant_id", F.col("source_id").alias("legacy_id"))
+    return staging.select(*(by or []), "tenant_id", F.col("source_id").alias("legacy_id"))
 
 
 def evolve(target: DataFrame, incoming: DataFrame) -> DataFrame:

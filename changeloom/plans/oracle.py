@@ -538,6 +538,7 @@ ORACLE: dict[str, str] = {
         FROM l2 LEFT JOIN p1x p ON l2.tenant_id = p.tenant_id AND l2.legacy_id = p.legacy_id""",
     "merge_survivors": f"""WITH {ONE_BATCH} SELECT tenant_id, legacy_id, firstname, created_at FROM person
         WHERE (tenant_id, legacy_id) NOT IN (SELECT tenant_id, source_id FROM staged WHERE firstname IS NULL)""",
+    "affected_keys": f"WITH {FEED} SELECT batch_id, tenant_id, source_id AS legacy_id FROM staged",
     "evolve_schema": f"""WITH {FIRST_HALF},{latest('l2', 'late')},{merged('p2', 'l2', 'p1', SECOND)}
         SELECT p2.*, upper(l2.firstname) AS nickname
         FROM p2 LEFT JOIN l2 ON p2.tenant_id = l2.tenant_id AND p2.legacy_id = l2.legacy_id""",

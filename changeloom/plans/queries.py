@@ -117,6 +117,12 @@ def merge_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.survivors(target, M.affected_keys(refused)).select(*KEY, "firstname", "created_at")
 
 
+def affected_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of each merged batch, one row per staged event."""
+    batches = _batched(spark, sf_dir)
+    return M.affected_keys(batches, ["batch_id"])
+
+
 def evolve_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch brings a column that the target does not have yet."""
     _, second = T.message_halves(spark, sf_dir)
@@ -510,7 +516,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         decode_changes, dead_letters, dropped_messages, outcome_counts, deleted_ids, backfill_snapshot,
         merge_first, merge_incremental, merge_apply_deletes, merge_unapplied, merge_quarantine, preserve_join,
-        merge_survivors, evolve_schema, latest_window, replay_diff, replay_dedup, snapshot_diff,
+        merge_survivors, affected_keys, evolve_schema, latest_window, replay_diff, replay_dedup, snapshot_diff,
         tenant_counts, layer_counts, prefix_counts, duplicate_keys, staging_backlog,
         missing_keys, reconcile, quality_report, check_summary, shared_ids,
         commands_validate, commands_resolve, commands_create, commands_legacy_create, commands_update,

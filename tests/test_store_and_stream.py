@@ -85,6 +85,16 @@ def test_stream_in_small_batches_equals_one_batch(spark, dimension, sf_dir, tmp_
     assert sync.catch_up(again, tables.staging, LATER, mode) == 2
 
 
+def test_repeats_in_a_stream_are_dropped(spark, sf_dir, tmp_path):
+    feed = T.change_feed(T.load(spark, sf_dir, "events").where("event_id < 200"))
+    feed.unionByName(feed).repartition(3).write.parquet(f"{tmp_path}/feed")
+    stream = changes.read_changes(spark, {"format": "parquet", "path": f"{tmp_path}/feed", "max_files": 1}, stream=True)
+    query = M.dedupe_stream(stream, "60 days").writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+        "checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 200
+
+
 def test_a_failed_event_write_does_not_fail_the_batch(spark, tmp_path):
     (tmp_path / "events").write_text("a file where the folder should be")
     assert sinks.append_events(staging(spark, event(1)), f"{tmp_path}/events", 0) is False
