@@ -36,9 +36,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = os.path.join(tempfile.gettempdir(), "changeloom")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return os.path.join(tempfile.gettempdir(), "changeloom")
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
