@@ -32,7 +32,7 @@ def differences(spark_df, con, sql: str) -> list[str]:
     if left != right:
         return [f"columns {left} against {right}"]
     types = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
-             "timestamp_ntz": "TIMESTAMP"}
+             "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
     spark_types = {k: types.get(v, v) for k, v in spark_df.dtypes}
     duck_types = dict(zip(rel.columns, map(str, rel.types)))
     found = [f"type of {c}: {spark_types[c]} against {duck_types[c]}" for c in left if spark_types[c] != duck_types[c]]

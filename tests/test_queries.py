@@ -4,9 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
-
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from changeloom.plans.oracle import ORACLE
+from changeloom.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -25,3 +24,8 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
