@@ -106,8 +106,39 @@ SELECT doc_id, {', '.join(f"coalesce(n_{kind}, 0)::BIGINT AS n_{kind}" for kind
 FROM texts LEFT JOIN listed USING (row)
 """
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def contamination(documents: str = "documents") -> str:
+    def words(text: str) -> str:
+        return f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, {words('text')} AS words FROM {documents}),
+items AS (SELECT item_id, {words('text')} AS words FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, words[i:i + 9] AS run
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM items WHERE len(words) > 0)),
+lengths AS (SELECT DISTINCT len(run) AS length FROM windows),
+runs AS (
+    SELECT row, i, length, words[i:i + length - 1] AS run
+    FROM (SELECT row, words, length, unnest(range(1, len(words) - length + 2)) AS i FROM texts, lengths)),
+found AS (SELECT row, i, length, item_id FROM runs JOIN windows USING (run)),
+hit AS (
+    SELECT row, count(DISTINCT word) AS n_hit
+    FROM (SELECT row, unnest(range(i, i + length)) AS word FROM (SELECT DISTINCT row, i, length FROM found)) GROUP BY row),
+listed AS (
+    SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY row)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hit USING (row) LEFT JOIN listed USING (row)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_mix_sources": mixing(),
+    "op8_decontaminate": contamination(),
     "op6_exact_dedup": EXACT,
     "op10_personal_data": PII,
 }

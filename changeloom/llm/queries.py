@@ -4,26 +4,57 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changeloom.llm import exact, mixing, pii
+from changeloom.llm import contamination, exact, lm, mixing, near, pages, pii, tokens, toxicity
 from changeloom.llm.tables import read
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(read(spark, sf_dir, "pages"))
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(read(spark, sf_dir, "documents"))
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(read(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_main_text": op2,
     "op3_mix_sources": op3,
+    "op4_count_tokens": op4,
+    "op5_toxicity": op5,
     "op6_exact_dedup": op6,
+    "op7_near_duplicates": op7,
+    "op8_decontaminate": op8,
+    "op9_lattice_score": op9,
     "op10_personal_data": op10,
 }
