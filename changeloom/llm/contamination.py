@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.llm.hashing import run_hashes, signed, word_hashes
-from changeloom.llm.tables import stage
+from changeloom.llm.tables import document_keys, stage, without
 
 WINDOW = 10
 SHINGLE = 3
@@ -127,7 +127,7 @@ def prefixes(found: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, passing: Broadcast, window: int = WINDOW) -> DataFrame:
-    """row, doc_id, n_words of every document; and row, at, shingle, lead, context of its shingles that pass the filter.
+    """row, doc_id, keys and n_words of every document; and row, at, shingle, lead, context of its shingles that pass the filter.
 
     The context holds the words around the shingle that a window can reach, `lead` of them before it.
     """
@@ -143,9 +143,9 @@ def candidates(docs: DataFrame, passing: Broadcast, window: int = WINDOW) -> Dat
                 row, at, value, lead, context = zip(*out)
                 out.clear()
                 return pa.record_batch(
-                    [pa.array(row, pa.int64()), pa.nulls(len(row), batch.column("doc_id").type), pa.nulls(len(row), pa.int64()),
+                    [pa.array(row, pa.int64()), *(pa.nulls(len(row), batch.column(c).type) for c in keys), pa.nulls(len(row), pa.int64()),
                      pa.array(at, pa.int64()), pa.array(value, pa.int64()), pa.array(lead, pa.int32()), pa.array(context, pa.string())],
-                    names=["row", "doc_id", "n_words", "at", "shingle", "lead", "context"])
+                    names=names)
 
             for row, text in zip(ids, batch.column("text")):
                 found = words(text.as_py())
@@ -162,13 +162,15 @@ def candidates(docs: DataFrame, passing: Broadcast, window: int = WINDOW) -> Dat
                 yield rows()
             n = len(ids)
             yield pa.record_batch(
-                [batch.column("row"), batch.column("doc_id"), pa.array(lengths, pa.int64()), pa.nulls(n, pa.int64()),
+                [batch.column("row"), *(batch.column(c) for c in keys), pa.array(lengths, pa.int64()), pa.nulls(n, pa.int64()),
                  pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())],
-                names=["row", "doc_id", "n_words", "at", "shingle", "lead", "context"])
+                names=names)
 
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("binary").alias("text"))
+    keys = ("doc_id", "_doc", "_doc2")
+    names = ["row", *keys, "n_words", "at", "shingle", "lead", "context"]
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", *document_keys(), F.col("text").cast("binary").alias("text"))
     return texts.mapInArrow(
-        find, f"row long, doc_id {dict(texts.dtypes)['doc_id']}, n_words long, at long, shingle long, lead int, context string")
+        find, f"row long, doc_id {dict(texts.dtypes)['doc_id']}, _doc long, _doc2 long, n_words long, at long, shingle long, lead int, context string")
 
 
 def occurrences(found: DataFrame, heads: DataFrame) -> DataFrame:
@@ -182,7 +184,7 @@ def occurrences(found: DataFrame, heads: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, one row per row of `docs`.
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and the keys of the document, one row per row of `docs`.
 
     A word is hit if it lies in an occurrence of a window of any item. Null and empty texts have no words and no hits;
     items without words have no windows. An item with a null id counts for hits and not among the items; equal items
@@ -201,10 +203,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         "row", F.col("item_id").cast("string").alias("item")).distinct()
     # the list holds items that occur in one text, no more than its windows for distinct items
     listed = items.groupBy("row").agg(F.count("item").alias("n_items"), F.sort_array(F.collect_list("item")).alias("items"))
-    all_docs = near.filter("at IS NULL").select("row", "doc_id", "n_words")
+    all_docs = near.filter("at IS NULL").select("row", "doc_id", "_doc", "_doc2", "n_words")
     joined = all_docs.join(hit, "row", "left").join(listed, "row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return joined.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("items", F.array().cast("array<string>")), ","), 256).alias("items_sha256"),
-        (n_hit > 0).alias("contaminated"))
+        (n_hit > 0).alias("contaminated"), "_doc", "_doc2")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """`docs` without those that hold a window of the benchmark."""
+    gone = stage(decontaminate(docs, benchmark, window).filter("contaminated").select("_doc", "_doc2"), "bench-gone")
+    return without(docs, gone)

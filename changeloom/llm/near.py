@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from changeloom.llm.components import connect
 from changeloom.llm.hashing import mixed, run_hashes, signed, word_hashes
-from changeloom.llm.tables import stage
+from changeloom.llm.tables import document_keys, stage, without
 
 SHINGLE = 5
 #: A link needs 100 * intersection >= SIMILARITY * union.
@@ -72,7 +72,7 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest (of the set), registers, one row per row of `docs`."""
+    """doc_id, the keys of the document, n_shingles, digest (of the set), registers, one row per row of `docs`."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,13 +80,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                 part = batch.slice(at, 256)
                 sets = [shingle_set(text.as_py()) for text in part.column("text")]
                 yield pa.record_batch(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    [*(part.column(c) for c in ("doc_id", "_doc", "_doc2")), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                      pa.array([row.tobytes() for row in registers(sets)], pa.binary())],
-                    names=["doc_id", "n_shingles", "digest", "registers"])
+                    names=["doc_id", "_doc", "_doc2", "n_shingles", "digest", "registers"])
 
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(sketch, f"doc_id {dict(texts.dtypes)['doc_id']}, n_shingles long, digest binary, registers binary")
+    texts = docs.select("doc_id", *document_keys(), F.col("text").cast("binary").alias("text"))
+    return texts.mapInArrow(sketch, f"doc_id {dict(texts.dtypes)['doc_id']}, _doc long, _doc2 long, n_shingles long, digest binary, registers binary")
 
 
 def bands(classes: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -
 
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, n_links, one row per row of `docs`.
+    """doc_id, n_shingles, component_id, kept, n_links and the keys of the document, one row per row of `docs`.
 
     Texts with the same set are one class, so that groups of copies cost one row. n_links counts the classes that were
     confirmed as linked with that of the document on the way to its component, which need not be all. A null or empty
@@ -207,6 +207,13 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
         named.join(names, "component").select("node", "component_id", "n_links"), "node", "left")
     of_class = of_class.select("digest", F.coalesce("component_id", "class_id").alias("class_component"), "n_links")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("class_component"))
-    return found.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left").select(
+    return found.drop("registers").join(of_class, "digest", "left").select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
-        F.when(F.col("n_shingles") == 0, 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"))
+        F.when(F.col("n_shingles") == 0, 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
+        "_doc", "_doc2")
+
+
+def dedup(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """`docs` without the rows that `near_duplicates` does not keep: one document of each group stays."""
+    gone = stage(near_duplicates(docs, similarity).filter("NOT kept").select("_doc", "_doc2"), "near-gone")
+    return without(docs, gone)

@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changeloom.llm import contamination, exact, lm, mixing, near, pages, pii, tokens, toxicity
+from changeloom.llm import contamination, exact, lines, lm, mixing, near, pages, pii, tokens, toxicity
 from changeloom.llm.tables import read
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_text(read(spark, sf_dir, "pages"))
 
@@ -32,11 +36,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.near_duplicates(read(spark, sf_dir, "documents"))
+    return near.near_duplicates(read(spark, sf_dir, "documents")).drop("_doc", "_doc2")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return contamination.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("_doc", "_doc2")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +52,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fuzzy_lines": op1,
     "op2_main_text": op2,
     "op3_mix_sources": op3,
     "op4_count_tokens": op4,

@@ -52,3 +52,30 @@ def running_sums(df: DataFrame, order: list[str], sums: dict[str, str], purpose:
 def words_in(text: str = "text") -> Column:
     """Number of words; null counts as empty."""
     return F.size(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), F.lit(0))).cast("long")
+
+
+#: Buckets of document keys; a table with a row for each is 16 MB, whatever the size of the corpus.
+KEY_BUCKETS = 1 << 20
+
+
+def document_keys() -> tuple[Column, Column]:
+    """_doc and _doc2, two hashes that name a document by its id and text. Rows that share both are one document."""
+    return (F.xxhash64("doc_id", "text").alias("_doc"), F.xxhash64("text", "doc_id", F.lit(1)).alias("_doc2"))
+
+
+def parted(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`docs` with their keys: those whose key may be among `keys` (_doc, _doc2), and all others.
+
+    A small table of buckets of keys decides, so that a join on the keys need not move the texts of the others.
+    """
+    bucket = F.pmod("_doc", F.lit(KEY_BUCKETS)).cast("int")
+    some = F.broadcast(keys.select(bucket.alias("_bucket")).distinct())  # KEY_BUCKETS rows at most
+    keyed = docs.select("*", *document_keys()).withColumn("_bucket", bucket)
+    return keyed.join(some, "_bucket", "left_semi").drop("_bucket"), keyed.join(some, "_bucket", "left_anti").drop("_bucket")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """`docs` without the documents in `gone` (_doc, _doc2)."""
+    touched, others = parted(docs, gone)
+    left = touched.join(gone.select("_doc", "_doc2"), ["_doc", "_doc2"], "left_anti")
+    return left.select(others.columns).union(others).drop("_doc", "_doc2")

@@ -11,10 +11,10 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +23,15 @@ FOLDS, HELD_OUT = 3, 1
 CUT = 0.7
 #: Labelled rows that the model is fitted on, at most; stems that it knows; voters among them.
 SAMPLE = 20_000
-STEMS = 2_000
+STEMS = 600
 VOTERS = 48
+#: Thresholds of the patterns: words with a stem, and their share of all words (TIMES and SHARES).
+#: Least log-odds of a stem, and least log-odds times the root of its toxic texts.
+MIN_ODDS, MIN_GAIN = 2.0, 8.0
+TIMES = (1, 2, 3, 5)
+SHARES = (0.003, 0.006, 0.01, 0.015, 0.02, 0.03)
+#: Weight of the squares of the classifier's weights.
+PENALTY = 1e-4
 #: Lengths of the beginnings of words that can be stems; a whole word ends with a mark.
 PREFIXES = range(4, 9)
 END = "$"
@@ -57,30 +64,45 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
 
 
 def stems(sampled: DataFrame, size: int = STEMS) -> list[str]:
-    """The beginnings of words that speak most for toxic texts, by the log-odds of the texts that have them."""
+    """The beginnings of words that speak most for toxic texts, by how much more of their words have them, best first.
+
+    What a stem says is the log of the ratio of its shares of the words, times the root of the number of toxic texts that
+    have it. Of stems with the same counts, one of which begins the other, only the shorter is taken.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: tuple[Counter, Counter] = (Counter(), Counter())
+        times: tuple[Counter, Counter] = (Counter(), Counter())
+        texts: Counter = Counter()
         for batch in batches:
             for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                words = set(WORDS.findall(text.as_py().lower()))
-                found[toxic].update({form for word in words for form in forms(word)})
-        known = list(found[0].keys() | found[1].keys())
+                words = Counter(WORDS.findall(text.as_py().lower()))
+                of_text: Counter = Counter()
+                for word, n in words.items():
+                    for form in forms(word):
+                        of_text[form] += n
+                of_text[""] = words.total()
+                times[toxic].update(of_text)
+                if toxic:
+                    texts.update(of_text.keys())
+        known = list(times[0].keys() | times[1].keys())
         for at in range(0, len(known), 50_000):
             part = known[at : at + 50_000]
-            yield pa.record_batch([pa.array(part, pa.string()), *(pa.array([n[form] for form in part], pa.int64()) for n in found)],
-                                  names=["stem", "clean", "toxic"])
-
-    sizes = {row["toxic"]: row["count"] for row in sampled.groupBy("toxic").count().collect()}
-    if len(sizes) < 2:
+            yield pa.record_batch([pa.array(part, pa.string()), *(pa.array([n[form] for form in part], pa.int64()) for n in (*times, texts))],
+                                  names=["stem", "clean", "toxic", "texts"])
+
+    counts = sampled.mapInArrow(count, "stem string, clean long, toxic long, texts long").groupBy("stem").agg(
+        *(F.sum(c).alias(c) for c in ("clean", "toxic", "texts"))).filter("texts >= 3 OR stem = ''").persist()
+    whole = counts.filter("stem = ''").first()
+    if whole is None or not whole["clean"] or not whole["toxic"]:
+        counts.unpersist()
         return []
-    counts = sampled.mapInArrow(count, "stem string, clean long, toxic long").groupBy("stem").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    odds = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
-    # how much a stem says: its log-odds, times the root of the number of toxic texts that have it
-    gain = (odds * F.sqrt("toxic")).alias("gain")
-    best = counts.filter("toxic >= 3").select("stem", gain).filter("gain > 3").orderBy(F.desc("gain"), "stem").limit(size)
-    return [row["stem"] for row in best.collect()]
+    odds = F.log((F.col("toxic") + 0.5) / whole["toxic"]) - F.log((F.col("clean") + 0.5) / whole["clean"])
+    gain = odds * F.sqrt("texts")
+    best = counts.filter("stem <> ''").filter(odds > MIN_ODDS).withColumn("gain", gain).filter(F.col("gain") > MIN_GAIN).groupBy(
+        "clean", "toxic", "texts", "gain", F.substring("stem", 1, min(PREFIXES)).alias("start")).agg(F.min(F.struct(F.length("stem"), "stem")).alias("least"))
+    found = [row["stem"] for row in best.select("least.stem", "gain").orderBy(F.desc("gain"), "stem").limit(size).collect()]
+    counts.unpersist()
+    return found
 
 
 class Features:
@@ -112,20 +134,28 @@ class Features:
         return stems_found, hits, words.total()
 
 
-def weights_of(found: Counter, hits: int, total: int) -> tuple[list[int], list[float]]:
-    """Features: per stem its times per hundred words, damped; behind them the same of all stems. Index -1, -2: the last two."""
+def patterns(hits: int, total: int) -> list[float]:
+    """Which thresholds the words with a stem reach, in number and as a share."""
+    share = hits / max(total, 1)
+    return [float(hits >= n) for n in TIMES] + [float(share >= x) for x in SHARES]
+
+
+PATTERNS = len(TIMES) + len(SHARES)
+
+
+def features_of(found: Counter, hits: int, total: int) -> tuple[list[int], list[float]]:
+    """Of the classifier: first the patterns, then per stem its times per hundred words, damped."""
     rate = 100 / max(total, 20)
-    return ([*found, -2, -1], [*(np.log1p(n * rate) for n in found.values()), np.log1p(hits * rate), np.log1p(hits)])
+    return ([*range(PATTERNS), *(PATTERNS + i for i in found)], [*patterns(hits, total), *(float(np.log1p(n * rate)) for n in found.values())])
 
 
 def votes_of(found: Counter, hits: int, total: int) -> np.ndarray:
-    """Of each voter 1 (toxic) or 0: the first stems, and patterns of how many and how dense the stems are."""
-    votes = np.zeros(VOTERS + 8)
+    """Of each voter 1 (toxic) or 0: the first stems, and the patterns."""
+    votes = np.zeros(VOTERS + PATTERNS)
     for i in found:
         if i < VOTERS:
             votes[i] = 1
-    rate = hits / max(total, 1)
-    votes[VOTERS:] = [hits >= 1, hits >= 2, hits >= 4, hits >= 8, rate >= 0.005, rate >= 0.01, rate >= 0.02, rate >= 0.04]
+    votes[VOTERS:] = patterns(hits, total)
     return votes
 
 
@@ -145,23 +175,21 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 10) -> np.nd
     return posterior
 
 
-class Model(NamedTuple):
-    stems: list[str]
-    weights: np.ndarray
-    bias: float
+#: Stems, the weights of the patterns and the stems, and the bias.
+Model = tuple[list[str], np.ndarray, float]
 
 
 def fit_linear(rows: list[tuple[list[int], list[float]]], target: np.ndarray, width: int, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, classes weighted evenly up to a factor, by gradient steps with momentum (Adam)."""
+    """Logistic regression on soft labels, by gradient steps with momentum (Adam)."""
     place = np.concatenate([np.full(len(columns), i) for i, (columns, _) in enumerate(rows)])
-    column = np.concatenate([np.array(columns) % width for columns, _ in rows])
+    column = np.concatenate([np.array(columns) for columns, _ in rows])
     value = np.concatenate([np.array(values, float) for _, values in rows])
     weights, bias = np.zeros(width), 0.0
     first, second = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, rounds + 1):
         logit = np.bincount(place, value * weights[column], len(rows)) + bias
         error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - target) / len(rows)
-        gradient = np.append(np.bincount(column, value * error[place], width) + 1e-5 * weights, error.sum())
+        gradient = np.append(np.bincount(column, value * error[place], width) + PENALTY * weights, error.sum())
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         move = 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         weights, bias = weights - move[:-1], bias - move[-1]
@@ -193,8 +221,24 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model | None:
         sampled.unpersist()
     found = [(Counter(dict(zip(r["stems"], r["times"]))), r["hits"], r["total"]) for r in rows]
     posterior = label_model(np.array([votes_of(*f) for f in found]), np.array([r["toxic"] for r in rows]))
-    weights, bias = fit_linear([weights_of(*f) for f in found], posterior, len(known) + 2)
-    return Model(known, weights, bias)
+    weights, bias = fit_linear([features_of(*f) for f in found], posterior, PATTERNS + len(known))
+    return known, weights, bias
+
+
+class Scores:
+    def __init__(self, model: Model | None) -> None:
+        self._known = model is not None
+        if model is not None:
+            stems_known, self._weights, self._bias = model
+            self._features = Features(stems_known)
+
+    def of(self, texts: pa.Array) -> pa.Array:
+        out = np.zeros(len(texts))
+        for i, text in enumerate(texts if self._known else ()):
+            columns, values = features_of(*self._features.counts(text.as_py() or ""))
+            logit = self._bias + float(np.dot(self._weights[columns], values))
+            out[i] = 1 / (1 + np.exp(-min(max(logit, -30), 30)))
+        return pa.array(out)
 
 
 def score(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
@@ -204,21 +248,26 @@ def score(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     can be learned and every score is 0. Null ids, repeated rows and other columns change nothing (only the text is
     scored); an empty table gives an empty result. Texts are read whole.
     """
-    model = fit(docs, labels, size)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, size))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        features = Features(known.stems) if known else None
+        scores = Scores(shared.value)
         for batch in batches:
-            scores = []
-            for text in batch.column("text") if known else ():
-                columns, values = weights_of(*features.counts(text.as_py()))
-                logit = known.bias + float(np.dot(known.weights[columns], values))
-                scores.append(1 / (1 + np.exp(-min(max(logit, -30), 30))))
-            yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(scores or [0.0] * batch.num_rows, pa.float64())],
+            yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), scores.of(batch.column("text"))],
                                   names=["doc_id", "held_out", "score"])
 
-    texts = docs.select("doc_id", held_out().alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", held_out().alias("held_out"), "text")
     scored = texts.mapInArrow(apply, f"doc_id {dict(texts.dtypes)['doc_id']}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
+def reject(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
+    """`docs` without the toxic rows: those whose score reaches CUT."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, size))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = Scores(shared.value)
+        for batch in batches:
+            yield batch.filter(pc.less(scores.of(batch.column("text")), CUT))
+
+    return docs.mapInArrow(apply, docs.schema)
