@@ -1,53 +1,40 @@
-"""The activity log: events per stage, retention, batch summaries, retry counts and the journey of a record.
+"""The activity log: events per stage, their numbers, retention, batch summaries, retry counts and record journeys.
 
-There is no global sequence. An event id is made of the message offset (or the command's seq), the step in the life of
-the record, and a slot for the topic partition. So ids are unique without any coordination, and order the events of a
-record.
+Operators make events without an id: with their place among the events of a batch (position, step, topic, partition).
+`number` gives them ids that follow those already in the log, so that ids grow in the order of arrival and have no gaps
+to speak of; retention by id distance and paging by id rely on both.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeloom import schemas
+from changeloom.operators.ordered import SLICE_WIDTH, numbered
 
-STEPS = 8
-API_STEP, TARGET_ONLY_STEP, RECEIVED_STEP, RETRY_STEP, STAGED_STEP, DEAD_LETTER_STEP = range(6)
-MAX_PARTITIONS = 64  # per topic
-SLOTS = MAX_PARTITIONS * (len(schemas.TENANTS) + 1)  # the first ones are for all other topics
+API_STEP, TARGET_ONLY_STEP, RECEIVED_STEP, RETRY_STEP, STAGED_STEP, DEAD_LETTER_STEP, MERGE_STEP, CONNECTOR_STEP = range(8)
 STAGES = ("api", "consumer.received", "consumer.staged")
 
-# Retention of the log, and the pause before a message is retried.
+# Retention of the log, the pause before a message is retried, and the name of the merge in the log.
 MAX_AGE = "24 HOURS"
 MAX_ROWS = 5000
 RETRY_DELAY = 5
+MERGE_STAGE = "dbt"
 
 COLUMNS = [f.name for f in schemas.EVENT_LOG]
+EVENT_COLUMNS = [f.name for f in schemas.EVENTS]
 
 
 def _detail(*columns) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def event_id(position: Column, step: int, topic: Column, partition: Column) -> Column:
-    topics = F.array(*[F.lit(t) for t, _, _ in schemas.TENANTS])
-    slot = F.array_position(topics, topic) * MAX_PARTITIONS + partition
-    return ((position * STEPS + step) * SLOTS + F.coalesce(slot, F.lit(0))).cast("bigint")
-
-
-def position_of(event_id_column: str) -> Column:
-    """The offset (or seq) inside an event id."""
-    return F.expr(f"`{event_id_column}` DIV {STEPS * SLOTS}")
-
-
-def _id_sql(step: int) -> str:
-    """`event_id` of a message, as SQL."""
-    topics = ", ".join(f"'{t}'" for t, _, _ in schemas.TENANTS)
-    slot = f"array_position(array({topics}), topic) * {MAX_PARTITIONS} + partition"
-    return f"CAST((offset * {STEPS} + {step}) * {SLOTS} + coalesce({slot}, 0) AS BIGINT)"
+def number(events: DataFrame, after: int = 0, width: int = SLICE_WIDTH) -> DataFrame:
+    """Events as rows of the log; `after` is the newest id that the log holds already."""
+    return numbered(events, "position", ["step", "topic", "partition", "message"], after, width).select(*COLUMNS)
 
 
 def consumer_events(decoded: DataFrame) -> DataFrame:
@@ -62,7 +49,7 @@ def consumer_events(decoded: DataFrame) -> DataFrame:
     raw = "make_valid_utf8(CAST(value AS STRING)) AS raw_value"
 
     def event(step: int, stage: str, severity: str, legacy_id: str, message: str, detail: str) -> str:
-        return f"""named_struct('id', {_id_sql(step)}, 'ts', created_at, 'source', 'cdc-consumer', 'stage', '{stage}',
+        return f"""named_struct('position', offset, 'step', {step}, 'topic', topic, 'partition', partition, 'ts', created_at, 'source', 'cdc-consumer', 'stage', '{stage}',
             'severity', '{severity}', 'tenant_id', tenant_id, 'legacy_id', {legacy_id}, 'message', {message},
             'detail', {detail})"""
 
@@ -87,7 +74,7 @@ def retry_events(failures: DataFrame) -> DataFrame:
     message = F.format_string(
         f"%s@%d not staged, retrying in {RETRY_DELAY}s (attempt %d)", "topic", "offset", "attempt")
     return failures.select(
-        event_id(F.col("offset"), RETRY_STEP, F.col("topic"), F.col("partition")).alias("id"), "ts",
+        F.col("offset").alias("position"), F.lit(RETRY_STEP).alias("step"), "topic", "partition", "ts",
         F.lit("cdc-consumer").alias("source"), F.lit("consumer.retry").alias("stage"),
         F.lit("warn").alias("severity"), "tenant_id", F.lit(None).cast("int").alias("legacy_id"),
         message.alias("message"), _detail("topic", "partition", "offset", "attempt").alias("detail"),
@@ -122,7 +109,7 @@ def command_events(resolved: DataFrame, ts: Column) -> DataFrame:
 
     def event(step: int, message: Column, severity: Column, legacy_id: Column) -> Column:
         return F.struct(
-            event_id(F.col("seq"), step, F.col("topic"), F.lit(0)).alias("id"), message.alias("message"),
+            F.lit(step).alias("step"), message.alias("message"),
             severity.alias("severity"), legacy_id.cast("int").alias("legacy_id"))
 
     events = F.array_compact(F.array(
@@ -138,7 +125,8 @@ def command_events(resolved: DataFrame, ts: Column) -> DataFrame:
     return (
         resolved.withColumn("e", F.explode(events))
         .select(
-            "e.id", ts.cast("timestamp_ntz").alias("ts"), F.lit("api").alias("source"),
+            F.col("seq").cast("bigint").alias("position"), "e.step", "topic", F.lit(0).alias("partition"),
+            ts.cast("timestamp_ntz").alias("ts"), F.lit("api").alias("source"),
             F.lit("api").alias("stage"), "e.severity",
             F.when(~unknown, F.col("tenant_id")).alias("tenant_id"), "e.legacy_id", "e.message",
             F.lit(None).cast("string").alias("detail"),
@@ -170,6 +158,49 @@ def batch_summary(staging: DataFrame, duration_s: Column, n: int = 5) -> DataFra
     return totals.join(shown, "batch_id").select("batch_id", "rows", text.alias("shown"), message.alias("message"))
 
 
+def _merge_event(spark: SparkSession, ts: datetime, severity: str, message: Column, detail: Column, position: int) -> DataFrame:
+    columns = {
+        "position": F.lit(position), "step": F.lit(MERGE_STEP), "topic": F.lit(None), "partition": F.lit(None), "ts": F.lit(ts),
+        "source": F.lit("cdc-consumer"), "stage": F.lit(MERGE_STAGE), "severity": F.lit(severity), "tenant_id": F.lit(None),
+        "legacy_id": F.lit(None), "message": message, "detail": detail}
+    return spark.range(1).select(*(columns[f.name].cast(f.dataType).alias(f.name) for f in schemas.EVENTS))
+
+
+def merge_started(spark: SparkSession, ts: datetime) -> DataFrame:
+    return _merge_event(spark, ts, "info", F.lit("dbt run started"), F.lit(None), 0)
+
+
+def merge_finished(batch: DataFrame, ts: datetime, duration_s: float) -> DataFrame:
+    """The event of one merged batch: its duration, its rows and its first keys; no event for a batch without rows."""
+    summary = batch_summary(batch.withColumn("batch_id", F.lit(0)), F.lit(str(duration_s)))
+    detail = F.to_json(F.struct(F.lit(duration_s).alias("duration_s"), "rows", F.col("shown").alias("records")))
+    message = summary.select("message").scalar()  # one row at most
+    return _merge_event(batch.sparkSession, ts, "info", message, summary.select(detail).scalar(), 0).where("message IS NOT NULL")
+
+
+def merge_failed(spark: SparkSession, ts: datetime, error: str) -> DataFrame:
+    detail = F.to_json(F.struct(F.lit(error).alias("error")))
+    return _merge_event(spark, ts, "error", F.lit(f"dbt run failed: {error}"), detail, 0)
+
+
+def connector_events(changes: DataFrame, ts: Column) -> DataFrame:
+    """State changes of connectors as events; an outage says no more than that there was no answer."""
+    detail = F.to_json(F.struct(F.col("name").alias("connector"), F.col("from_state").alias("from"), F.col("to_state").alias("to")),
+                       {"ignoreNullFields": "false"})
+    return changes.select(
+        F.col("poll_seq").alias("position"), F.lit(CONNECTOR_STEP).alias("step"), F.col("name").alias("topic"),
+        F.col("cluster_id").alias("partition"), ts.cast("timestamp_ntz").alias("ts"), F.lit("api").alias("source"),
+        F.lit("connector").alias("stage"), "severity", F.lit(None).cast("string").alias("tenant_id"),
+        F.lit(None).cast("int").alias("legacy_id"), "message", detail.alias("detail"))
+
+
+def failures_of(batch: DataFrame, dimension: DataFrame, attempt: int, ts: datetime) -> DataFrame:
+    """The failure of a micro-batch: per topic partition the first message that has to be read again."""
+    first = batch.groupBy("topic", "partition").agg(F.min("offset").alias("offset"))
+    return first.join(dimension.select("topic", "tenant_id"), "topic", "left").select(
+        "topic", "partition", "offset", "tenant_id", F.lit(ts).cast("timestamp_ntz").alias("ts"), F.lit(attempt).alias("attempt"))
+
+
 def prune(log: DataFrame, now: datetime) -> DataFrame:
     """The events that retention keeps: younger than the age limit, and within the id distance of the newest one."""
     newest = log.agg(F.max("id")).scalar()
@@ -177,23 +208,24 @@ def prune(log: DataFrame, now: datetime) -> DataFrame:
     return log.where(~((F.col("ts") < cutoff) | (F.col("id") <= newest - MAX_ROWS)))
 
 
-def first_event_ids(log: DataFrame) -> DataFrame:
+def first_event_ids(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     """The first event id of each stage, per record; one pass and one shuffle for all stages."""
     return (
         log.where(F.col("legacy_id").isNotNull() & F.col("stage").isin(*STAGES))
         .groupBy("tenant_id", "legacy_id")
-        .agg(*[F.min(F.when(F.col("stage") == s, F.col("id"))).alias(s.split(".")[-1]) for s in STAGES])
+        .agg(*[F.min(F.when(F.col("stage") == s, F.col("id"))).alias(s.split(".")[-1]) for s in STAGES],
+             *[F.min_by(c, F.when(F.col("stage") == STAGES[-1], F.col("id"))).alias(c) for c in by or []])
     )
 
 
-def record_journey(log: DataFrame, merges: DataFrame, batch_of: Column) -> DataFrame:
+def record_journey(log: DataFrame, merges: DataFrame) -> DataFrame:
     """Per record: the first event of each stage, whether they are in order, and the merge that followed.
 
-    `merges` has one row per finished merge (batch_id, id); `batch_of` gives the batch of a staged event id. The merge
-    that follows is found by its batch, not by a search over all merges.
+    `log` has the batch_id of each event, and `merges` one row per finished merge (batch_id, id). The merge that follows
+    is found by the batch of the first staged event, not by a search over all merges.
     """
     finished = merges.groupBy("batch_id").agg(F.min("id").alias("merged"))
-    firsts = first_event_ids(log).withColumn("batch_id", batch_of)
+    firsts = first_event_ids(log, ["batch_id"])
     in_order = (F.col("api") < F.col("received")) & (F.col("received") < F.col("staged"))
     return (
         firsts.join(finished, "batch_id", "left")

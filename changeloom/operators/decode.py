@@ -8,6 +8,8 @@ dimension) and no Python.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,8 +102,13 @@ RECEIVED = f"""reason IS NULL OR (
       OR {E.is_falsy('image')}))"""
 
 
-def decode(changes: DataFrame, dimension: DataFrame, delete_mode: str = "dead_letter") -> DataFrame:
-    """Decode each message to one row: its outcome, the reason where it is not staged, and the staging columns."""
+def decode(changes: DataFrame, dimension: DataFrame, delete_mode: str = "dead_letter",
+           staged_at: datetime | None = None) -> DataFrame:
+    """Decode each message to one row: its outcome, the reason where it is not staged, and the staging columns.
+
+    `created_at` is the time of staging, a parameter; without one, it is the time of the message, as `message_time` is.
+    """
+    created_at = "timestamp" if staged_at is None else f"TIMESTAMP_NTZ '{staged_at.isoformat(sep=' ')}'"
     problem = f"""CASE
         WHEN value IS NULL THEN 'NULL_VALUE: no message'
         WHEN doc IS NULL AND NOT is_valid_utf8(CAST(value AS STRING)) THEN 'NOT_UTF8: message'
@@ -144,7 +151,8 @@ def decode(changes: DataFrame, dimension: DataFrame, delete_mode: str = "dead_le
     # One row in, one row out. Without the generator, a filter on a decoded column would move below the projections,
     # and each use of a column in it would parse the message again.
     return judged.selectExpr(
-        "topic", "partition", "offset", "value", "tenant_id", "timestamp AS created_at",
+        "topic", "partition", "offset", "value", "tenant_id", "timestamp AS message_time",
+        f"{created_at} AS created_at",
         f"inline(array(named_struct({row})))",
     )
 
@@ -166,11 +174,6 @@ def dropped(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("outcome") == DROPPED).select("topic", "partition", "offset", "reason")
 
 
-def split(decoded: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three outcomes. Persist `decoded` first where more than one of them is written."""
-    return staged(decoded), dead_letters(decoded), dropped(decoded)
-
-
 def outcome_counts(decoded: DataFrame) -> DataFrame:
     return decoded.groupBy("outcome", "reason").agg(F.count("*").alias("messages"))
 

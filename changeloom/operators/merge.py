@@ -154,7 +154,3 @@ def affected_keys(staging: DataFrame, by: list[str] | None = None) -> DataFrame:
     """The keys of a batch, one row per staged event, as a table and not as one list."""
     return staging.select(*(by or []), "tenant_id", F.col("source_id").alias("legacy_id"))
 
-
-def evolve(target: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Append rows whose columns differ: new columns are added, old ones are kept, missing ones are NULL."""
-    return target.unionByName(incoming, allowMissingColumns=True)

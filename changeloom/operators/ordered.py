@@ -99,3 +99,18 @@ def exact_percentiles(
         .where((F.col("__end") >= F.col("__rank")) & (F.col("__end") - F.col("__c") < F.col("__rank")))
         .select(*keys, "percentile", F.col("__x").alias(value))
     )
+
+
+def numbered(df: DataFrame, position: str, order: list[str], after: int = 0, width: int = SLICE_WIDTH) -> DataFrame:
+    """Add `id`: after + 1, after + 2, ... in the order of `position` (an integer, not negative) and then `order`.
+
+    The positions are cut into slices, each numbered on its own; one row per slice carries the number of earlier rows.
+    """
+    rows = df.withColumn("__slice", F.expr(f"`{position}` DIV {width}"))
+    counts = rows.groupBy("__slice").agg(F.count("*").alias("__n"))
+    earlier = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("__slice").alias("__of"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__slice").orderBy(position, *order))
+    joined = rows.withColumn("__within", within).join(offsets, F.col("__slice") == F.col("__of"))
+    number = (F.lit(after) + F.col("__before") + F.col("__within")).cast("bigint")
+    return joined.withColumn("id", number).select("id", *df.columns)

@@ -27,7 +27,8 @@ def barrier(markers: DataFrame, handled: DataFrame) -> DataFrame:
     """Per marker row: whether everything before it in its topic partition was consumed. Valid per tenant only."""
     done = handled.groupBy("topic", "partition").agg(F.max("offset").alias("handled"))
     passed = F.coalesce(F.col("handled") >= F.col("marker_offset"), F.lit(False))
-    return markers.join(done, ["topic", "partition"], "left").select(
+    # one row per topic partition, so that the markers stay where they are
+    return markers.join(F.broadcast(done), ["topic", "partition"], "left").select(
         "topic", "partition", "marker_offset", "handled", passed.alias("passed"))
 
 

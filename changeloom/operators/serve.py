@@ -18,8 +18,9 @@ def tenant_list(dimension: DataFrame) -> DataFrame:
     return dimension.select("tenant_id")
 
 
-def check_tenant(tenant_id: str) -> None:
-    if tenant_id not in {t for _, t, _ in schemas.TENANTS}:
+def check_tenant(tenant_id: str, tenants: tuple[str, ...] | None = None) -> None:
+    """`tenants` are the known ones; without them, those of the built-in dimension."""
+    if tenant_id not in (tenants or [t for _, t, _ in schemas.TENANTS]):
         raise ValueError(f"Unknown tenant: {tenant_id}")
 
 
@@ -29,8 +30,8 @@ def person_list(person: DataFrame) -> DataFrame:
     return person.orderBy(F.col("synced_at").desc_nulls_first(), *KEY)
 
 
-def legacy_list(legacy: DataFrame, tenant_id: str) -> DataFrame:
-    check_tenant(tenant_id)
+def legacy_list(legacy: DataFrame, tenant_id: str, tenants: tuple[str, ...] | None = None) -> DataFrame:
+    check_tenant(tenant_id, tenants)
     return legacy.where(F.col("tenant_id") == tenant_id).orderBy(F.col("legacy_id").desc_nulls_first())
 
 

@@ -56,7 +56,7 @@ staged AS (
 
 STAGING_COLUMNS = (
     'topic, "partition", "offset", tenant_id, source_id, source_table, operation, firstname, surname, date_of_birth, '
-    "city, data_1, data_2, data_3, data_a, data_b, data_c, created_at"
+    "city, data_1, data_2, data_3, data_a, data_b, data_c, message_time, created_at"
 )
 
 # The text that was sent.
@@ -417,37 +417,35 @@ readiness AS (
 )"""
 
 
-def event_id(position: str, step: int, idx: str) -> str:
-    """Ids: 8 steps per position, 320 slots per step, 64 slots per topic; the first 64 are for unknown topics."""
-    return f"CAST(({position} * 8 + {step}) * 320 + {idx} * 64 AS BIGINT)"
-
-
 WHERE_TEXT = (
     "'{\"operation\":\"' || operation || '\",\"topic\":\"' || topic || '\",\"partition\":0,\"offset\":' || event_id || '}'"
 )
 
-EVENT_LOG = f"""WITH {FEED},{RAW},
+EVENTS = f"""WITH {FEED},{RAW},
 record AS (
   SELECT *, tenant_id || ' person#'
     || CASE WHEN no_id OR event_type = 'error' THEN 'None' ELSE CAST(id AS VARCHAR) END || ' ' || operation AS who,
     CASE WHEN no_id OR event_type = 'error' THEN NULL ELSE id END AS known_id
   FROM raw
 )
-SELECT {event_id('event_id', 2, '(idx + 1)')} AS id, ts, 'cdc-consumer' AS source, 'consumer.received' AS stage,
+SELECT event_id AS position, 2 AS step, ts, 'cdc-consumer' AS source, 'consumer.received' AS stage,
   'info' AS severity, tenant_id, known_id AS legacy_id,
   who || ' change captured from legacy via Kafka (' || topic || ')' AS message, {WHERE_TEXT} AS detail
 FROM record WHERE outcome = 'staged' OR reason IN ('DELETE_WITHOUT_ROW', 'ID_MISSING', 'TEXT_TOO_LONG')
 UNION ALL
-SELECT {event_id('event_id', 4, '(idx + 1)')}, ts, 'cdc-consumer', 'consumer.staged', 'info', tenant_id, known_id,
+SELECT event_id, 4, ts, 'cdc-consumer', 'consumer.staged', 'info', tenant_id, known_id,
   who || ' staged in new system (person_staging)', {WHERE_TEXT}
 FROM record WHERE outcome = 'staged'
 UNION ALL
-SELECT {event_id('event_id', 5, 'CASE WHEN other THEN 0 ELSE idx + 1 END')}, ts, 'cdc-consumer', 'consumer.dead_letter',
+SELECT event_id, 5, ts, 'cdc-consumer', 'consumer.dead_letter',
   'error', tenant_id, NULL, 'dead-lettered ' || topic || '@' || event_id || ': ' || error,
   '{{"topic":"' || topic || '","partition":0,"offset":' || event_id || ',"error":"' || error
     || '","raw_value":"' || replace(raw_value, '"', '\\"') || '"}}'
 FROM record WHERE outcome = 'dead_letter'"""
 
+# Events in the order of arrival: by message, and the events of a message by step.
+OWN_LOG = f"""SELECT row_number() OVER (ORDER BY position, step) AS id, * EXCLUDE (step) FROM ({EVENTS})"""
+
 COMMAND_EVENTS = f"""{RESOLVED},
 spoken AS (
   SELECT *, list_position({TOPICS}, topic) AS tidx,
@@ -455,7 +453,7 @@ spoken AS (
   FROM resolved
 ),
 api AS (
-  SELECT {event_id('seq', 0, 'coalesce(tidx, 0)')} AS id, written_at AS ts, 'api' AS source, 'api' AS stage,
+  SELECT seq AS position, 0 AS step, written_at AS ts, 'api' AS source, 'api' AS stage,
     CASE WHEN done THEN 'info' ELSE 'warn' END AS severity,
     CASE WHEN tenant_id <> 'tenant_zz' OR reason NOT LIKE 'unknown%' THEN tenant_id END AS tenant_id,
     CASE WHEN done THEN legacy_id END AS legacy_id,
@@ -464,30 +462,34 @@ api AS (
       ELSE CASE WHEN creates THEN 'POST' ELSE 'PUT' END || ' /api/persons rejected: ' || reason END AS message
   FROM spoken WHERE done OR kind IN ('create', 'update')
   UNION ALL
-  SELECT {event_id('seq', 1, 'tidx')}, written_at, 'api', 'api', 'info', tenant_id, legacy_id,
+  SELECT seq, 1, written_at, 'api', 'api', 'info', tenant_id, legacy_id,
     tenant_id || ' person#' || legacy_id || ' modernized_only written to new system (person table)'
   FROM spoken WHERE done AND kind = 'update' AND modernized_only IS NOT NULL
 )"""
 
 JOURNEY = f"""WITH {COMMAND_EVENTS},
 writes AS (
-  SELECT tenant_id, legacy_id, seq, list_position({TOPICS}, topic) AS tidx FROM created
-  UNION ALL SELECT tenant_id, legacy_id, seq, list_position({TOPICS}, topic) FROM images
+  SELECT tenant_id, legacy_id, seq FROM created UNION ALL SELECT tenant_id, legacy_id, seq FROM images
 ),
-firsts AS (
-  SELECT tenant_id, legacy_id, min(a) AS api, min(r) AS received, min(s) AS staged FROM (
-    SELECT tenant_id, legacy_id, id AS a, NULL AS r, NULL AS s FROM api WHERE legacy_id IS NOT NULL
-    UNION ALL
-    SELECT tenant_id, legacy_id, NULL, {event_id('seq', 2, 'tidx')}, {event_id('seq', 4, 'tidx')} FROM writes)
-  GROUP BY ALL
+batches AS (SELECT DISTINCT seq // 1000 AS batch_id FROM resolved WHERE status = 'applied'),
+arrived AS (
+  SELECT position, step, 'api' AS stage, tenant_id, legacy_id, position // 1000 AS batch_id,
+    position // 1000 * 8 + 2 + CASE WHEN position // 1000 % 5 = 4 THEN 2 ELSE 0 END AS turn FROM api
+  UNION ALL SELECT seq, 2, 'received', tenant_id, legacy_id, seq // 1000, seq // 1000 * 8 + 3 FROM writes
+  UNION ALL SELECT seq, 4, 'staged', tenant_id, legacy_id, seq // 1000, seq // 1000 * 8 + 3 FROM writes
+  UNION ALL SELECT 0, 6, 'merge', NULL, NULL, batch_id,
+    batch_id * 8 + 2 + CASE WHEN batch_id % 7 = 6 THEN -1 ELSE 3 END
+  FROM batches WHERE batch_id <= (SELECT max(batch_id) // 2 FROM batches)
 ),
-merges AS (
-  SELECT seq // 1000 AS batch_id, max({event_id('seq', 4, 'tidx')}) + 1 AS id FROM writes
-  WHERE seq // 1000 <= 4 GROUP BY ALL
+log AS (SELECT *, row_number() OVER (ORDER BY turn, position, step) AS id FROM arrived),
+firsts AS (
+  SELECT tenant_id, legacy_id, min(id) FILTER (stage = 'api') AS api, min(id) FILTER (stage = 'received') AS received,
+    min(id) FILTER (stage = 'staged') AS staged, arg_min(batch_id, id) FILTER (stage = 'staged') AS batch_id
+  FROM log WHERE legacy_id IS NOT NULL GROUP BY ALL
 )
 SELECT tenant_id, legacy_id, api, received, staged, coalesce(api < received AND received < staged, false) AS in_order,
   m.id AS merged, coalesce(m.id > staged, false) AS merge_followed
-FROM firsts f LEFT JOIN merges m ON staged // 2560 // 1000 = m.batch_id"""
+FROM firsts f LEFT JOIN (SELECT batch_id, id FROM log WHERE stage = 'merge') m USING (batch_id)"""
 
 TOP_FIVE = """
 ranked AS (
@@ -513,7 +515,8 @@ SELECT tenant_id, percentile, lag_ms FROM ranked
 JOIN (VALUES ('p50', 50), ('p95', 95), ('max', 100)) AS w(percentile, pct) ON rn = greatest(1, (n * pct + 99) // 100)"""
 
 ORACLE: dict[str, str] = {
-    "decode_changes": f"WITH {FEED} SELECT {STAGING_COLUMNS} FROM staged",
+    "decode_changes": f"""WITH {FEED} SELECT {STAGING_COLUMNS}
+        FROM (SELECT * EXCLUDE created_at, created_at AS message_time, TIMESTAMP '{FIRST}' AS created_at FROM staged)""",
     "dead_letters": f"""WITH {FEED},{RAW} SELECT topic, CAST(0 AS INTEGER) AS "partition", event_id AS "offset",
         tenant_id, raw_value, reason, error, ts AS created_at FROM raw WHERE outcome = 'dead_letter'""",
     "dropped_messages": f"""WITH {FEED} SELECT topic, CAST(0 AS INTEGER) AS "partition", event_id AS "offset", reason
@@ -525,8 +528,8 @@ ORACLE: dict[str, str] = {
     "backfill_snapshot": f"""WITH {LEGACY} SELECT topic, CAST(0 AS INTEGER) AS "partition",
         CAST(legacy_id AS BIGINT) AS "offset", tenant_id, legacy_id AS source_id, 'person' AS source_table,
         'INSERT' AS operation, firstname, surname, date_of_birth, city, {", ".join(DATA)},
-        TIMESTAMP '{FIRST}' AS created_at FROM legacy""",
-    "merge_first": f"WITH {FIRST_HALF} SELECT * FROM p1",
+        TIMESTAMP '{FIRST}' AS message_time, TIMESTAMP '{FIRST}' AS created_at FROM legacy""",
+    "merge_first": f"WITH {ONE_BATCH} SELECT * FROM person",
     "merge_incremental": f"WITH {BOTH} SELECT * FROM p2",
     "merge_apply_deletes": f"WITH {DELETES}",
     "merge_unapplied": f"""WITH {FEED},{latest('lu', 'batch_id > 4')},{merged('person', 'lu', None, FIRST)}
@@ -640,6 +643,8 @@ ORACLE: dict[str, str] = {
     "event_feed_first": f"WITH {LOG} SELECT * FROM log WHERE id > 0 ORDER BY id DESC LIMIT 200",
     "event_feed_since": f"""WITH {LOG} SELECT * FROM log WHERE id > 1000 AND severity IN ('warn', 'error')
         AND tenant_id = 'tenant_b1' ORDER BY id LIMIT 100""",
+    "event_feed_own": f"""WITH log AS ({OWN_LOG}) SELECT * EXCLUDE position FROM log
+        WHERE position >= (SELECT count(*) // 2 FROM events) ORDER BY id LIMIT 300""",
     "event_search": f"""WITH {LOG} SELECT * FROM log WHERE contains(lower(message), 'user 1')
         AND severity IN ('error', 'info') AND tenant_id = 'tenant_a2' ORDER BY id DESC""",
     "system_status": f"""WITH {FEED},{LOG} SELECT
@@ -660,9 +665,12 @@ ORACLE: dict[str, str] = {
         SELECT topic, CAST(0 AS INTEGER) AS "partition", event_id AS marker_offset, handled,
           coalesce(handled >= event_id, false) AS passed
         FROM feed LEFT JOIN done USING (topic) WHERE NOT other""",
-    "quiet_check": f"""WITH {FEED} SELECT count(*) AS total, CAST(0 AS BIGINT) AS pending,
-        max(created_at) AS last_staged,
-        count(*) >= 8 AND TIMESTAMP '{FIRST}' - max(created_at) >= INTERVAL 15 SECOND AS quiet FROM staged""",
+    "quiet_check": f"""WITH {FEED},
+        timed AS (SELECT batch_id, TIMESTAMP '{FIRST}' + to_seconds(batch_id) AS staged_at FROM staged),
+        cases AS (SELECT * FROM (VALUES ('waiting', 4, 60), ('just merged', NULL, 5), ('settled', NULL, 15)) AS t(state, applied, after))
+        SELECT state, count(*) AS total, count(*) FILTER (batch_id > applied) AS pending, max(staged_at) AS last_staged,
+          count(*) >= 8 AND count(*) FILTER (batch_id > applied) = 0 AND after >= 15 AS quiet
+        FROM timed, cases GROUP BY state, applied, after""",
     "sync_lag": LAG,
     "state_changes": STATE_CHANGES,
     "current_state": f"""WITH {POLLS},
@@ -674,15 +682,26 @@ ORACLE: dict[str, str] = {
     "restart_list": f"WITH {READY} SELECT cluster_id, name, state FROM readiness WHERE NOT ready",
     "prune_events": f"""WITH {LOG} SELECT * FROM log
         WHERE NOT (ts < TIMESTAMP '2024-01-16 00:00:00' - INTERVAL 24 HOUR OR id <= (SELECT max(id) FROM log) - 5000)""",
-    "event_log": EVENT_LOG,
-    "command_log": f"WITH {COMMAND_EVENTS} SELECT * FROM api",
+    "prune_own_log": f"""WITH log AS ({OWN_LOG}) SELECT * EXCLUDE position FROM log
+        WHERE NOT (ts < TIMESTAMP '2024-01-16 00:00:00' - INTERVAL 24 HOUR OR id <= (SELECT max(id) FROM log) - 5000)""",
+    "event_log": f"SELECT * EXCLUDE position FROM ({OWN_LOG})",
+    "command_log": f"""WITH {COMMAND_EVENTS} SELECT row_number() OVER (ORDER BY position, step) AS id, * EXCLUDE (position, step)
+        FROM api""",
+    "connector_log": f"""SELECT row_number() OVER (ORDER BY poll_seq, name, cluster_id) AS id, TIMESTAMP '{FIRST}' AS ts,
+        'api' AS source, 'connector' AS stage, severity, CAST(NULL AS VARCHAR) AS tenant_id, CAST(NULL AS INTEGER) AS legacy_id,
+        message, '{{"connector":"' || name || '","from":' || coalesce('"' || from_state || '"', 'null')
+          || ',"to":"' || to_state || '"}}' AS detail FROM ({STATE_CHANGES})""",
     "record_journey": JOURNEY,
-    "retry_counts": f"""WITH {FEED} SELECT topic, CAST(0 AS INTEGER) AS "partition", event_id AS "offset",
-        event_id % 4 + 1 AS retries, CAST(event_id % 4 + 1 AS INTEGER) AS last_attempt
-        FROM feed WHERE NOT other""",
+    # two batches; each fails twice, and reports the first message of each topic partition
+    "retry_counts": f"""WITH {FEED} SELECT topic, CAST(0 AS INTEGER) AS "partition", min(event_id) AS "offset",
+        CAST(2 AS BIGINT) AS retries, CAST(2 AS INTEGER) AS last_attempt
+        FROM feed GROUP BY topic, event_id >= (SELECT count(*) // 2 FROM events)""",
     "batch_summary": f"""WITH {FEED},{TOP_FIVE} SELECT batch_id, "rows", shown,
         'dbt run finished in 0.5s: ' || "rows" || ' staged row(s) merged into person (' || shown || ')' AS message
         FROM summed""",
-    "stream_merge": f"WITH {BOTH} SELECT * FROM p2",
+    "stream_merge": f"WITH {BOTH} SELECT * REPLACE (synced_at AS created_at) FROM p2",
+    "stream_replay": f"""WITH {BOTH} SELECT tenant_id, legacy_id, firstname, surname, extra_field, modernized_only,
+        (SELECT count(*) + count(*) FILTER (NOT late) FROM staged) AS staged FROM p2""",
     "stream_state_changes": STATE_CHANGES,
+    "stream_late_names": f"""{STATE_CHANGES} WHERE to_state <> 'UNREACHABLE'""",
 }

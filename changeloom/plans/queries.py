@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from changeloom.operators import commands as C
 from changeloom.operators import connectors as N
 from changeloom.operators import decode as D
 from changeloom.operators import merge as M
+from changeloom.operators import ordered
 from changeloom.operators import progress as P
 from changeloom.operators import serve as R
 from changeloom.plans import sync as Y
@@ -55,7 +58,7 @@ def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- decode ---
 
 def decode_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.staged(_decoded(spark, sf_dir))
+    return D.staged(D.decode(T.change_feed(_messages(spark, sf_dir)), schemas.tenants(spark), staged_at=Y.FIRST_SYNC))
 
 
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +84,7 @@ def backfill_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- merge ---
 
 def merge_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Y.person_after_first(spark, sf_dir)
+    return Y.person_in_one_batch(spark, sf_dir)
 
 
 def merge_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,7 +308,7 @@ def patch_target_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def command_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Y.command_staging(spark, sf_dir).drop("source_table", "created_at")
+    return Y.command_staging(spark, sf_dir).drop("source_table", "message_time", "created_at")
 
 
 def command_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,8 +330,10 @@ def tenant_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tenant_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tenants that the dimension lists, with whether the feed has brought anything from each."""
+    dimension = schemas.tenants(spark)
     heard = T.change_feed(_events(spark, sf_dir)).groupBy("topic").agg(F.count("*").alias("messages"))
-    return schemas.tenants(spark).join(heard, "topic", "left").select(
+    by_tenant = heard.join(dimension, "topic").select("tenant_id", "messages")
+    return R.tenant_list(dimension).join(by_tenant, "tenant_id", "left").select(
         "tenant_id", F.coalesce("messages", F.lit(0)).alias("messages"))
 
 
@@ -380,6 +385,15 @@ def event_feed_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.event_page(log, since_id=1000, limit=100, severities=["warn", "error"], tenant_id="tenant_b1")
 
 
+def event_feed_own(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of the engine's own log: what came after the events of the first half of the feed."""
+    halves = T.message_halves(spark, sf_dir)
+    first, second = (session.written(A.consumer_events(Y.decoded_events(spark, half)), "own-events") for half in halves)
+    early = A.number(first)
+    seen = early.agg(F.max("id")).first()[0] or 0  # the reader's place, one number
+    return R.event_page(early.unionByName(A.number(second, seen)), since_id=seen, limit=300)
+
+
 def event_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = T.activity_log(_events(spark, sf_dir))
     return R.event_search(log, "USER 1", severities=["error", "info"], tenant_id="tenant_a2")
@@ -395,21 +409,30 @@ def system_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    first, _ = T.message_halves(spark, sf_dir)
-    return P.topic_progress(T.change_feed(events), Y.decoded_events(spark, first))
+    first, _ = T.halves(events)
+    # every message has an outcome, so the raw offsets say how far the decode has come
+    return P.topic_progress(T.change_feed(events), T.change_feed(first))
 
 
 def barrier_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message is a marker; half of the feed was handled."""
     events = _events(spark, sf_dir)
-    first, _ = T.message_halves(spark, sf_dir)
+    first, _ = T.halves(events)
     markers = T.change_feed(events).where(F.col("topic") != T.OTHER_TOPIC).select(
         "topic", "partition", F.col("offset").alias("marker_offset"))
-    return P.barrier(markers, Y.decoded_events(spark, first))
+    return P.barrier(markers, T.change_feed(first))
 
 
 def quiet_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.quiet(_batched(spark, sf_dir), 1 << 40, Y.FIRST_SYNC, 8)
+    """Old messages that were staged one second per batch from FIRST_SYNC on: while they wait, when all are merged, and
+    when nothing was staged for a while as well."""
+    staged_at = F.lit(Y.FIRST_SYNC).cast("timestamp_ntz") + F.make_interval(secs=F.col("batch_id"))
+    staged = session.written(_batched(spark, sf_dir).withColumn("created_at", staged_at).select("batch_id", "created_at"), "quiet")
+    last, newest = staged.agg(F.max("batch_id"), F.max("created_at")).first()
+    cases = {"waiting": (LAST_APPLIED, 60), "just merged": (last, 5), "settled": (last, 15)}
+    checks = [P.quiet(staged, applied, newest + timedelta(seconds=after), 8).withColumn("state", F.lit(name))
+              for name, (applied, after) in cases.items()]
+    return reduce(DataFrame.unionByName, checks)
 
 
 def sync_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -446,35 +469,70 @@ def prune_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.prune(T.activity_log(_events(spark, sf_dir)), PRUNE_NOW)
 
 
+def _own_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consumer's events, written once: numbering them reads them twice."""
+    return session.written(A.consumer_events(_decoded(spark, sf_dir)), "own-events")
+
+
+def prune_own_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention of the engine's own log."""
+    return A.prune(session.written(A.number(_own_events(spark, sf_dir)), "own-log"), PRUNE_NOW)
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.consumer_events(_decoded(spark, sf_dir))
+    return A.number(_own_events(spark, sf_dir))
 
 
 def command_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = C.resolve(Y.legacy(spark, sf_dir), Y.commands(spark, sf_dir), schemas.tenants(spark))
-    return A.command_events(resolved, F.col("written_at")).drop("detail")
+    return A.number(A.command_events(resolved, F.col("written_at"))).drop("detail")
+
+
+def connector_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.number(A.connector_events(N.state_changes(_polls(spark, sf_dir)), F.lit(Y.FIRST_SYNC)))
 
 
 def record_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way of every record that a command wrote; only the first batches are merged yet."""
-    resolved = C.resolve(Y.legacy(spark, sf_dir), Y.commands(spark, sf_dir), schemas.tenants(spark))
-    decoded = D.decode(Y.command_changes(spark, sf_dir), schemas.tenants(spark))
-    log = A.command_events(resolved, F.col("written_at")).unionByName(A.consumer_events(decoded))
-    staged_id = A.event_id(F.col("seq"), A.STAGED_STEP, F.col("topic"), F.lit(0))
-    merges = resolved.where(F.col("status") == "applied").groupBy(
-        F.floor(F.col("seq") / BATCH_SIZE).cast("bigint").alias("batch_id")
-    ).agg((F.max(staged_id) + 1).alias("id")).where(F.col("batch_id") <= LAST_APPLIED)
-    staged_batch = F.floor(A.position_of("staged") / BATCH_SIZE).cast("bigint")
-    return A.record_journey(log, merges, staged_batch)
+    """The way of every record that a command wrote, in batches of commands.
+
+    In every fifth batch the events of the write path come after those of the consumer, which then are out of order; and
+    the first half of the batches is merged, every seventh of them before its events were logged.
+    """
+    dimension = schemas.tenants(spark)
+    resolved = session.written(C.resolve(Y.legacy(spark, sf_dir), Y.commands(spark, sf_dir), dimension), "journey-commands")
+    decoded = D.decode(Y.command_changes(spark, sf_dir), dimension)
+    batch = T.div("position", BATCH_SIZE).alias("batch_id")
+    written = A.command_events(resolved, F.col("written_at")).withColumn("batch_id", batch)
+    consumed = A.consumer_events(decoded).withColumn("batch_id", batch)
+    batches = resolved.where("status = 'applied'").select(T.div("seq", BATCH_SIZE).alias("batch_id")).distinct()
+    half = batches.agg(F.floor(F.max("batch_id") / 2)).scalar()
+    merged = batches.where(F.col("batch_id") <= half)
+    late = F.when(F.col("batch_id") % 5 == 4, 2).otherwise(0)
+    early = F.when(F.col("batch_id") % 7 == 6, -1).otherwise(3)
+    turn = F.col("batch_id") * 8 + 2
+    arrivals = [written.withColumn("turn", turn + late), consumed.withColumn("turn", turn + 1),
+                merged.select(F.lit(0).cast("bigint").alias("position"), F.lit(A.MERGE_STEP).alias("step"), F.lit(A.MERGE_STAGE).alias("stage"),
+                              "batch_id", (turn + early).alias("turn"))]
+    log = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), arrivals)
+    numbered = session.written(ordered.numbered(log, "turn", ["position", "step", "topic"], width=8), "journey-log")
+    return A.record_journey(numbered, numbered.where(F.col("stage") == A.MERGE_STAGE).select("batch_id", "id"))
 
 
 def retry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message of a known topic failed one to four times."""
-    feed = T.change_feed(_events(spark, sf_dir))
-    failures = feed.join(schemas.tenants(spark).select("topic", "tenant_id"), "topic").select(
-        "topic", "partition", "offset", "tenant_id", F.col("timestamp").alias("ts"),
-        F.explode(F.sequence(F.lit(1), (F.col("offset") % 4 + 1).cast("int"))).alias("attempt"))
-    return A.retry_counts(A.retry_events(failures))
+    """A sync whose target refuses each batch twice before it takes it: the failed attempts that the log holds."""
+    folder = session.fresh_folder(spark, "retries")
+    for half in T.halves(_events(spark, sf_dir)):
+        T.change_feed(half).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+    feed = S.read_changes(spark, {"format": "parquet", "path": f"{folder}/feed", "max_files": 1}, stream=True)
+    target = T.Stubborn(PersonStore(spark, f"{folder}/sync/person"), 2)
+    for _ in range(8):
+        query = stream_sync.start_sync(feed, f"{folder}/sync", clock=lambda: Y.FIRST_SYNC, interval=None, target=target)
+        try:
+            query.awaitTermination()
+            break
+        except StreamingQueryException:
+            continue  # the next start reads the batch again
+    return A.retry_counts(sinks.EventLog(spark, f"{folder}/sync/events").stored())
 
 
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -499,6 +557,22 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the feed, a target-only write, and then a new checkpoint on the same tables, which reads all of it."""
+    folder = session.fresh_folder(spark, "stream-replay")
+    source = f"{folder}/feed"
+    store = PersonStore(spark, f"{folder}/sync/person")
+    for number, (half, now) in enumerate(zip(T.halves(_events(spark, sf_dir)), (Y.FIRST_SYNC, Y.SECOND_SYNC))):
+        T.change_feed(half).write.mode("append").parquet(source)
+        feed = S.read_changes(spark, {"format": "parquet", "path": source}, stream=True)
+        stream_sync.start_sync(feed, f"{folder}/sync", clock=lambda now=now: now, interval=None,
+                               checkpoint=f"{folder}/checkpoint-{number}").awaitTermination()
+        if number == 0:
+            store.patch(Y.patch_tenth)
+    staged = sinks.read_batches(spark, f"{folder}/sync/staging", schemas.STAGING).agg(F.count("*").alias("n")).scalar()
+    return store.read().select(*KEY, "firstname", "surname", "extra_field", "modernized_only", staged.alias("staged"))
+
+
 def stream_state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Connector monitoring as a stream over files, in two runs; the state survives the restart."""
     folder = session.fresh_folder(spark, "stream-monitor")
@@ -510,6 +584,19 @@ def stream_state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_batches(spark, f"{folder}/monitor/changes", stream_connectors.STATE_CHANGES).drop("batch_id")
 
 
+def stream_late_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of some names come a whole run after the later polls of all other names."""
+    folder = session.fresh_folder(spark, "stream-late-names")
+    source = f"{folder}/polls"
+    polls = _polls(spark, sf_dir).where("reachable").select(*stream_connectors.POLLS.names)
+    behind = F.col("name").cast("int") % 3 == 0
+    for part in (polls.where(~behind), polls.where(behind)):
+        part.write.mode("append").parquet(source)
+        feed = spark.readStream.schema(stream_connectors.POLLS).parquet(source)
+        stream_connectors.start_monitor(feed, f"{folder}/monitor", interval=None).awaitTermination()
+    return sinks.read_batches(spark, f"{folder}/monitor/changes", stream_connectors.STATE_CHANGES).drop("batch_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -522,10 +609,10 @@ QUERIES: dict[str, Query] = {
         commands_legacy_patch, commands_apply, patch_target_only, command_changes, command_roundtrip,
         tenant_isolation,
         tenant_list, person_list, legacy_list, legacy_lookup, existing_keys, person_find, latest_staged,
-        latest_synced, event_feed_first, event_feed_since, event_search, system_status,
+        latest_synced, event_feed_first, event_feed_since, event_feed_own, event_search, system_status,
         topic_progress, barrier_check, quiet_check, sync_lag,
         state_changes, current_state, connector_readiness, restart_list,
-        prune_events, event_log, command_log, record_journey, retry_counts, batch_summary,
-        stream_merge, stream_state_changes,
+        prune_events, prune_own_log, event_log, command_log, connector_log, record_journey, retry_counts, batch_summary,
+        stream_merge, stream_replay, stream_state_changes, stream_late_names,
     )
 }

@@ -50,7 +50,8 @@ STAGING = T.StructType(
         T.StructField("city", T.StringType()),
     ]
     + [T.StructField(c, T.StringType()) for c in DATA_COLUMNS]
-    + [T.StructField("created_at", T.TimestampNTZType())]
+    # when the message was written, and when it was staged
+    + [T.StructField("message_time", T.TimestampNTZType()), T.StructField("created_at", T.TimestampNTZType())]
 )
 
 PERSON = T.StructType([
@@ -90,6 +91,15 @@ EVENT_LOG = T.StructType([
     T.StructField("detail", T.StringType()),
 ])
 
+# An event before it is numbered: where it stands among the events of its batch, and the log's columns but the id.
+EVENTS = T.StructType([
+    T.StructField("position", T.LongType()),
+    T.StructField("step", T.IntegerType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    *EVENT_LOG.fields[1:],
+])
+
 
 def tenants(spark: SparkSession, rows=TENANTS) -> DataFrame:
     """The tenant dimension (topic, tenant_id, legacy_type).

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str | int = "*", app: str = "changeloom", shuffle_partitions: int = 8) -> SparkSession:
@@ -18,6 +18,7 @@ def local_session(cpus: str | int = "*", app: str = "changeloom", shuffle_partit
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("changeloom.feed.parts", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
@@ -25,6 +26,16 @@ def local_session(cpus: str | int = "*", app: str = "changeloom", shuffle_partit
     return spark
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written to a new folder and read again, for plans that need it more than once. The folder goes with the session."""
+    spark = df.sparkSession
+    path = fresh_folder(spark, purpose)
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: what `spark.checkpoint.dir` names.
 

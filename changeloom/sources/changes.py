@@ -9,6 +9,9 @@ from changeloom import schemas
 from changeloom.functions.envelope import envelope
 from changeloom.schemas import FAMILY_COLUMNS
 
+#: What one micro-batch reads at most, unless a feed says otherwise: messages from Kafka, or files.
+MAX_OFFSETS, MAX_FILES = 1_000_000, 64
+
 
 def kafka_options(servers: str, topics: list[str] | None = None, max_offsets: int | None = None,
                   min_partitions: int | None = None) -> dict[str, str]:
@@ -42,12 +45,13 @@ def read_changes(spark: SparkSession, spec: dict, stream: bool = False) -> DataF
     """
     reader = spark.readStream if stream else spark.read
     if spec["format"] == "kafka":
-        options = kafka_options(spec["servers"], spec.get("topics"), spec.get("max_offsets"), spec.get("min_partitions"))
+        options = kafka_options(spec["servers"], spec.get("topics"), spec.get("max_offsets", MAX_OFFSETS if stream else None),
+                                spec.get("min_partitions"))
         return _feed_columns(reader.format("kafka").options(**options).load())
     if spec["format"] != "parquet":
         raise ValueError(f"unknown change feed format: {spec['format']}")
-    if stream and spec.get("max_files"):
-        reader = reader.option("maxFilesPerTrigger", spec["max_files"])
+    if stream:
+        reader = reader.option("maxFilesPerTrigger", spec.get("max_files", MAX_FILES))
     return _feed_columns(reader.schema(schemas.CHANGES).parquet(spec["path"]))
 
 
@@ -67,9 +71,12 @@ def row_image(family: str) -> Column:
     )
 
 
-def snapshot_changes(legacy: DataFrame, topic: str, timestamp: Column) -> DataFrame:
-    """Existing rows of one legacy table as change messages with op `r`. A row's id is its offset."""
-    family = {t: f for t, _, f in schemas.TENANTS}[topic]
+def snapshot_changes(legacy: DataFrame, topic: str, timestamp: Column, family: str | None = None) -> DataFrame:
+    """Existing rows of one legacy table as change messages with op `r`. A row's id is its offset.
+
+    `family` is the schema family of the table; a topic of the built-in dimension has one already.
+    """
+    family = family or {t: f for t, _, f in schemas.TENANTS}[topic]
     return legacy.select(
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),

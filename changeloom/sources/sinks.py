@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 import logging
+import threading
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from changeloom import schemas
+from changeloom.operators import activity
+
 LOG = logging.getLogger(__name__)
+#: Parts of a batch from this number on are its failed attempts.
+RETRY_PART = 1000
+#: The part of a batch that holds connector events.
+CONNECTOR_PART = 500
+#: The streams of one driver number their events one after another. Two drivers must not share a log.
+APPENDING = threading.Lock()
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -22,14 +33,62 @@ def write_dead_letters(letters: DataFrame, path: str, batch_id: int) -> None:
     write_batch(letters, path, batch_id)
 
 
-def append_events(events: DataFrame, path: str, batch_id: int) -> bool:
-    """Write activity events, best effort: a failure is logged and never fails the batch."""
-    try:
-        write_batch(events, path, batch_id)
-        return True
-    except Exception:
-        LOG.warning("activity events of batch %s not written", batch_id, exc_info=True)
-        return False
+class EventLog:
+    """The activity log on files. Each write is a part of a batch and replaces that part when it is repeated.
+
+    Writing is best effort: a failure is logged and never fails the batch. Ids follow the newest one in the log.
+    Retention drops whole parts, at most once per `PRUNE_SECONDS`; `read` leaves out the rest of what is too old.
+    """
+
+    PRUNE_SECONDS = 60
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self._pruned: datetime | None = None
+
+    def _folder(self, *below: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *below]))
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def stored(self) -> DataFrame:
+        """Everything that is on files, with batch_id and part."""
+        folder, fs = self._folder()
+        places = [T.StructField("batch_id", T.LongType()), T.StructField("part", T.IntegerType())]
+        schema = T.StructType([*schemas.EVENT_LOG.fields, *places])
+        return self.spark.read.schema(schema).parquet(self.path) if fs.exists(folder) else schemas.empty(self.spark, schema)
+
+    def read(self, now: datetime) -> DataFrame:
+        return activity.prune(self.stored().drop("batch_id", "part"), now)
+
+    def append(self, events: DataFrame, batch_id: int, part: int = 0) -> bool:
+        try:
+            with APPENDING:
+                others = self.stored().where(f"batch_id <> {batch_id} OR part <> {part}")
+                newest = others.agg({"id": "max"}).first()[0]  # the log is short: retention keeps it so
+                numbered = activity.number(events, newest or 0)
+                numbered.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}/part={part}")
+            return True
+        except Exception:
+            LOG.warning("activity events of batch %s not written", batch_id, exc_info=True)
+            return False
+
+    def retries(self, batch_id: int) -> int:
+        """How often a batch failed before."""
+        return self.stored().where(f"batch_id = {batch_id} AND part >= {RETRY_PART}").select("part").distinct().count()
+
+    def prune(self, now: datetime) -> int:
+        """Delete the parts of which retention keeps no event; returns how many went."""
+        if self._pruned is not None and (now - self._pruned).total_seconds() < self.PRUNE_SECONDS:
+            return 0
+        self._pruned = now
+        stored = self.stored()
+        kept = activity.prune(stored, now).select("batch_id", "part").distinct()
+        gone = stored.select("batch_id", "part").distinct().join(kept, ["batch_id", "part"], "left_anti").collect()
+        for row in gone:  # one row per part on files
+            folder, fs = self._folder(f"batch_id={row['batch_id']}", f"part={row['part']}")
+            fs.delete(folder, True)
+        return len(gone)
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -2,17 +2,19 @@
 
 A version is the folder of one Spark write, committed by its _SUCCESS marker, so readers never see half a batch and a
 retried batch starts over in its own folder. With `buckets`, versions are bucketed and sorted by the key: a merge then
-shuffles only the incoming rows and reads the target in place. A merge still writes the whole table. Where the catalog
-has tables that support row-level changes, use `merge_into` instead, which rewrites only what a batch touches.
+shuffles only the incoming rows and reads the target in place. A merge still writes the whole table, so this store is a
+stand-in for small targets and tests: at scale, give the sync a `CatalogTarget`, which rewrites only what a batch touches.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changeloom import schemas
 from changeloom.operators import merge as M
@@ -20,10 +22,12 @@ from changeloom.schemas import KEY
 
 
 class PersonStore:
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, keep: int | None = None):
+        """`keep` versions stay when a batch is applied; None keeps all."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.buckets = buckets
+        self.keep = keep
 
     def _fs(self):
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -88,6 +92,8 @@ class PersonStore:
             return False
         target = self.read(before_batch=batch_id)
         self._write(M.merge(target, staging, now, delete_mode), (batch_id, 0, self.buckets or 0))
+        if self.keep:
+            self.vacuum(self.keep)
         return True
 
     def patch(self, change: Callable[[DataFrame], DataFrame]) -> None:
@@ -108,36 +114,55 @@ class PersonStore:
 
 
 def merge_into_sql(table: str, source: str, columns: list[str], delete_mode: str = "dead_letter") -> str:
-    """The same upsert as one MERGE statement. `source` has the mapped columns, operation and had_delete."""
+    """The same upsert as one MERGE statement. `source` has the mapped columns, operation and had_delete.
+
+    Columns that the target does not have yet are added to it, in catalogs that can.
+    """
     own = [c for c in columns if c not in KEY and c != M.TARGET_ONLY]
     on = " AND ".join(f"t.{k} = s.{k}" for k in KEY)
     sets = [f"t.{c} = s.{c}" for c in own]
     insert = ", ".join([*KEY, *own])
     values = ", ".join(f"s.{c}" for c in [*KEY, *own])
+    start = f"MERGE WITH SCHEMA EVOLUTION INTO {table} t USING {source} s ON {on} "
     if delete_mode != "apply":
         return (
-            f"MERGE INTO {table} t USING {source} s ON {on} "
-            f"WHEN MATCHED THEN UPDATE SET {', '.join(sets)} "
+            f"{start}WHEN MATCHED THEN UPDATE SET {', '.join(sets)} "
             f"WHEN NOT MATCHED THEN INSERT ({insert}) VALUES ({values})"
         )
     sets.append(f"t.{M.TARGET_ONLY} = CASE WHEN s.had_delete THEN NULL ELSE t.{M.TARGET_ONLY} END")
     return (
-        f"MERGE INTO {table} t USING {source} s ON {on} "
-        f"WHEN MATCHED AND s.operation = 'DELETE' THEN DELETE "
+        f"{start}WHEN MATCHED AND s.operation = 'DELETE' THEN DELETE "
         f"WHEN MATCHED THEN UPDATE SET {', '.join(sets)} "
         f"WHEN NOT MATCHED AND s.operation <> 'DELETE' THEN INSERT ({insert}) VALUES ({values})"
     )
 
 
-def merge_into(table: str, staging: DataFrame, now: datetime, delete_mode: str = "dead_letter") -> None:
-    """Merge one batch into a catalog table with row-level changes (Delta, Iceberg); needs its connector."""
-    from pyspark.sql import functions as F
+class CatalogTarget:
+    """The current-state table in a catalog with row-level changes (Delta, Iceberg; needs its connector).
 
-    spark = staging.sparkSession
-    stamp = F.lit(now).cast("timestamp_ntz")
-    incoming = M.map_columns(M.latest_per_key(M.accepted(staging, delete_mode))).withColumns(
-        {"synced_at": stamp, "updated_at": stamp}
-    )
-    incoming.createOrReplaceTempView("changeloom_incoming")
-    columns = [c for c in incoming.columns if c not in ("operation", "had_delete")]
-    spark.sql(merge_into_sql(table, "changeloom_incoming", columns, delete_mode))
+    A merge rewrites only what a batch touches, so its cost follows the batch and not the table. Repeating a batch
+    changes nothing, so none has to be skipped.
+    """
+
+    def __init__(self, spark: SparkSession, table: str):
+        self.spark = spark
+        self.table = table
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.table)
+
+    def last_batch(self) -> int:
+        return -1
+
+    def apply_batch(self, staging: DataFrame, batch_id: int, now: datetime, delete_mode: str = "dead_letter") -> bool:
+        stamp = F.lit(now).cast("timestamp_ntz")
+        incoming = M.map_columns(M.latest_per_key(M.accepted(staging, delete_mode))).withColumns(
+            {"synced_at": stamp, "updated_at": stamp})
+        view = f"changeloom_incoming_{uuid.uuid4().hex}"
+        incoming.createOrReplaceTempView(view)
+        try:
+            columns = [c for c in incoming.columns if c not in ("operation", "had_delete")]
+            self.spark.sql(merge_into_sql(self.table, view, columns, delete_mode))
+        finally:
+            self.spark.catalog.dropTempView(view)
+        return True

@@ -36,14 +36,14 @@ def every(column: str, n: int) -> Column:
 
 
 def load_spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table that is read in fewer parts than there are cores, spread over them by its key.
+    """A table spread over `changeloom.feed.parts` parts by its key; as it is where the session does not set that.
 
     Parsing a message costs far more than moving it. A feed in few parts (a small file, or topics of one partition
-    each) would otherwise be parsed by as many tasks. A large table has more parts than cores and is not moved.
+    each) would otherwise be parsed by as many tasks.
     """
     df = load(spark, sf_dir, name)
-    tasks = spark.sparkContext.defaultParallelism
-    return df.repartition(tasks, key) if df.rdd.getNumPartitions() < tasks else df
+    parts = spark.conf.get("changeloom.feed.parts", None)
+    return df.repartition(int(parts), key) if parts else df
 
 
 def _json(sql: str) -> str:
@@ -217,3 +217,22 @@ def connector_polls(events: DataFrame) -> DataFrame:
         F.when(up, state).alias("state"),
         F.when(up, task).alias("tasks"),
     )
+
+
+class Stubborn:
+    """A target that refuses each batch `refusals` times before it takes it."""
+
+    def __init__(self, target, refusals: int):
+        self.spark = target.spark
+        self.target = target
+        self.refusals = refusals
+        self.tries: dict[int, int] = {}
+
+    def last_batch(self) -> int:
+        return self.target.last_batch()
+
+    def apply_batch(self, staging: DataFrame, batch_id: int, *rest) -> bool:
+        self.tries[batch_id] = self.tries.get(batch_id, 0) + 1
+        if self.tries[batch_id] <= self.refusals:
+            raise RuntimeError(f"batch {batch_id} is refused")
+        return self.target.apply_batch(staging, batch_id, *rest)

@@ -1,21 +1,22 @@
 """The sync as a stream: decode each micro-batch, write its outcomes, merge it into the current-state table.
 
-Every write of a batch goes to a folder named by the batch id, and the merge skips a batch that was applied, so a batch
+Every write of a batch goes to a folder named by its number, and the merge skips a batch that was applied, so a batch
 that is retried after a failure leaves the same result. Offsets are committed by the checkpoint, after the batch.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from changeloom import schemas
 from changeloom.operators import activity, decode, merge
 from changeloom.sources import sinks
-from changeloom.sources.store import PersonStore
+from changeloom.sources.store import CatalogTarget, PersonStore
 
 
 def utc_now() -> datetime:
@@ -25,33 +26,77 @@ def utc_now() -> datetime:
 class Tables:
     """Where the tables of one sync are, below one shared folder."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, checkpoint: str | None = None):
         folder = folder.rstrip("/")
         self.staging = f"{folder}/staging"
         self.dead_letters = f"{folder}/dead_letters"
         self.events = f"{folder}/events"
         self.person = f"{folder}/person"
-        self.checkpoint = f"{folder}/checkpoint"
+        self.checkpoint = checkpoint or f"{folder}/checkpoint"
+
+
+def first_batch(spark: SparkSession, tables: Tables, target) -> int:
+    """The number of the first batch of a checkpoint.
+
+    Spark counts the batches of each checkpoint from 0. A new checkpoint on existing tables goes on after the last
+    batch that they hold, so that a replay adds batches and replaces none. The number is kept inside the checkpoint, and
+    so goes when that is deleted.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{tables.checkpoint}/first_batch")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        return int(spark.read.text(path.toString()).first()[0])
+    known = [target.last_batch()]
+    staging = spark._jvm.org.apache.hadoop.fs.Path(tables.staging)
+    if fs.exists(staging):
+        names = [entry.getPath().getName() for entry in fs.listStatus(staging)]
+        known += [int(name.split("=")[1]) for name in names if name.startswith("batch_id=")]
+    out = fs.create(path)
+    out.writeBytes(str(max(known) + 1))
+    out.close()
+    return max(known) + 1
 
 
 def batch_function(
-    store: PersonStore, tables: Tables, dimension: DataFrame | None, clock: Callable[[], datetime], delete_mode: str
+    target, tables: Tables, dimension: DataFrame | None, clock: Callable[[], datetime], delete_mode: str, first: int = 0
 ) -> Callable[[DataFrame, int], None]:
-    def run(batch: DataFrame, batch_id: int) -> None:
+    """What the stream does with each micro-batch. Batches are numbered from `first` on."""
+    log = sinks.EventLog(target.spark, tables.events)
+
+    def handle(batch: DataFrame, number: int, known: DataFrame) -> None:
         spark = batch.sparkSession
         # Three outputs read the decoded rows; without persist each would parse the messages again.
-        known = schemas.tenants(spark) if dimension is None else dimension
-        decoded = decode.decode(batch, known, delete_mode).persist()
+        decoded = decode.decode(batch, known, delete_mode, clock()).persist()
         try:
             staged = decode.staged(decoded)
-            sinks.write_staging(staged, tables.staging, batch_id)
+            sinks.write_staging(staged, tables.staging, number)
             letters = decode.dead_letters(decoded).unionByName(merge.quarantined(staged, delete_mode))
-            sinks.write_dead_letters(letters, tables.dead_letters, batch_id)
-            sinks.append_events(activity.consumer_events(decoded), tables.events, batch_id)
+            sinks.write_dead_letters(letters, tables.dead_letters, number)
+            log.append(activity.consumer_events(decoded), number, 0)
         finally:
             decoded.unpersist()
-        written = sinks.read_batch(spark, tables.staging, batch_id, schemas.STAGING)
-        store.apply_batch(written, batch_id, clock(), delete_mode)
+        written = sinks.read_batch(spark, tables.staging, number, schemas.STAGING)
+        started = time.monotonic()
+        log.append(activity.merge_started(spark, clock()), number, 1)
+        try:
+            target.apply_batch(written, number, clock(), delete_mode)
+        except Exception as error:
+            log.append(activity.merge_failed(spark, clock(), f"{type(error).__name__}: {error}"[:2000]), number, 2)
+            raise
+        log.append(activity.merge_finished(written, clock(), round(time.monotonic() - started, 2)), number, 2)
+        log.prune(clock())
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        number = first + epoch
+        known = schemas.tenants(batch.sparkSession) if dimension is None else dimension
+        try:
+            handle(batch, number, known)
+        except Exception:
+            # The query ends and is started again by whoever runs it; the checkpoint makes it read this batch again.
+            attempt = log.retries(number) + 1
+            failures = activity.failures_of(batch, known, attempt, clock())
+            log.append(activity.retry_events(failures), number, sinks.RETRY_PART + attempt)
+            raise
 
     return run
 
@@ -64,12 +109,19 @@ def start_sync(
     delete_mode: str = "dead_letter",
     interval: str | None = "1 second",
     buckets: int | None = None,
+    keep: int | None = 2,
+    target: CatalogTarget | PersonStore | None = None,
+    checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Start the sync of a streaming change feed. With `interval=None` it handles what is there and stops."""
+    """Start the sync of a streaming change feed. With `interval=None` it handles what is there and stops.
+
+    `target` is the current-state table: a `CatalogTarget` at scale; without one, files below `folder`, of which `keep`
+    versions stay. A new `checkpoint` reads the feed from its start again and goes on with the tables as they are.
+    """
     spark = changes.sparkSession
-    tables = Tables(folder)
-    store = PersonStore(spark, tables.person, buckets)
-    run = batch_function(store, tables, dimension, clock, delete_mode)
+    tables = Tables(folder, checkpoint)
+    store = target or PersonStore(spark, tables.person, buckets, keep)
+    run = batch_function(store, tables, dimension, clock, delete_mode, first_batch(spark, tables, store))
     writer = changes.writeStream.foreachBatch(run).option("checkpointLocation", tables.checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()

@@ -175,7 +175,7 @@ def test_events_of_commands(spark, dimension):
         command(1, "create", legacy_id=7, firstname="A", surname="B"), command(2, "create", firstname="A"),
         command(3, "update", modernized_only=day), command(4, "update", "tenant_zz")])
     log = activity.command_events(C.resolve(before, batch, dimension), F.lit(datetime.datetime(2024, 1, 1)))
-    got = [(r["severity"], r["tenant_id"], r["message"]) for r in log.orderBy("id").collect()]
+    got = [(r["severity"], r["tenant_id"], r["message"]) for r in log.orderBy("position", "step").collect()]
     assert got == [
         ("info", "tenant_a1", "tenant_a1 person#7 INSERT written to legacy DB (postgres-legacy-a1)"),
         ("warn", "tenant_a1", "POST /api/persons rejected: tenant_id, firstname, and surname are required"),

@@ -52,6 +52,7 @@ def test_merge_statements_parse(spark):
         sql = merge_into_sql("cat.db.person", "incoming", M.PERSON_COLUMNS, mode)
         parser.parsePlan(sql)
         assert ("had_delete" in sql) == (mode == "apply")
+        assert sql.startswith("MERGE WITH SCHEMA EVOLUTION INTO")
     assert "modernized_only" not in merge_into_sql("t", "s", M.PERSON_COLUMNS)
 
 
@@ -61,21 +62,24 @@ def test_stream_in_small_batches_equals_one_batch(spark, dimension, sf_dir, tmp_
     feed.repartitionByRange(5, "offset").write.parquet(f"{tmp_path}/feed")
     source = {"format": "parquet", "path": f"{tmp_path}/feed", "max_files": 2}
     stream = changes.read_changes(spark, source, stream=True)
-    sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: NOW, mode, interval=None, buckets=2).awaitTermination()
+    sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: NOW, mode, interval=None, buckets=2, keep=None).awaitTermination()
     tables = sync.Tables(f"{tmp_path}/sync")
     store = PersonStore(spark, tables.person)
     assert store.last_batch() == 2
     from changeloom.operators import decode as D
 
-    decoded = D.decode(changes.read_changes(spark, source), dimension, mode)
+    decoded = D.decode(changes.read_changes(spark, source), dimension, mode, NOW)
     assert rows(store.read()) == rows(M.merge_first(D.staged(decoded), NOW, mode))
     staged = sinks.read_batches(spark, tables.staging, schemas.STAGING)
     assert staged.count() == D.staged(decoded).count()
     letters = sinks.read_batches(spark, tables.dead_letters, schemas.DEAD_LETTERS)
     assert letters.count() == D.dead_letters(decoded).count() + M.quarantined(D.staged(decoded), mode).count()
-    log = sinks.read_batches(spark, tables.events, schemas.EVENT_LOG)
+    log = sinks.EventLog(spark, tables.events).stored()
     assert log.where("stage = 'consumer.staged'").count() == staged.count()
-    assert log.select("id").distinct().count() == log.count()
+    ids = sorted((r["id"], r["batch_id"], r["part"]) for r in log.select("id", "batch_id", "part").collect())
+    assert [i for i, _, _ in ids] == list(range(1, len(ids) + 1)) and [r[1:] for r in ids] == sorted(r[1:] for r in ids)
+    merges = [r["message"] for r in log.where("stage = 'dbt'").orderBy("id").collect()]
+    assert len(merges) == 6 and merges[0] == "dbt run started" and " staged row(s) merged into person (" in merges[1]
     # started again with nothing new, and then with the merges lost: both end in the same table
     sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: LATER, mode, interval=None).awaitTermination()
     assert store.last_batch() == 2
@@ -95,9 +99,71 @@ def test_repeats_in_a_stream_are_dropped(spark, sf_dir, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 200
 
 
+def log_events(spark, n, topic="t", partition=0, first=0, ts=NOW):
+    rows_ = [(first + i, 1, topic, partition, ts, "cdc-consumer", "consumer.staged", "info", None, None, f"{topic} {i}", None) for i in range(n)]
+    return spark.createDataFrame(rows_, schemas.EVENTS)
+
+
 def test_a_failed_event_write_does_not_fail_the_batch(spark, tmp_path):
     (tmp_path / "events").write_text("a file where the folder should be")
-    assert sinks.append_events(staging(spark, event(1)), f"{tmp_path}/events", 0) is False
+    assert sinks.EventLog(spark, f"{tmp_path}/events").append(log_events(spark, 1), 0) is False
+
+
+def test_event_ids_follow_arrival_for_any_topic_and_partition(spark, tmp_path):
+    from changeloom.operators import serve
+
+    log = sinks.EventLog(spark, f"{tmp_path}/events")
+    many = [log_events(spark, 3, topic, partition, first=1000) for topic in ("a", "other") for partition in (0, 64, 65, 500)]
+    for part in many[1:]:
+        many[0] = many[0].unionByName(part)
+    assert log.append(many[0], 0)
+    seen = log.stored().agg({"id": "max"}).first()[0]
+    assert seen == 24 and log.stored().select("id").distinct().count() == 24
+    assert log.append(log_events(spark, 2, "late", 7, first=5), 1)  # arrives later, with lower offsets
+    page = serve.event_page(log.read(NOW), since_id=seen).collect()
+    assert [(r["id"], r["message"]) for r in page] == [(25, "late 0"), (26, "late 1")]
+    assert log.append(log_events(spark, 2, "late", 7, first=5), 1)  # a repeated write takes the same numbers
+    assert log.stored().count() == 26 and log.stored().agg({"id": "max"}).first()[0] == 26
+
+
+def test_retention_keeps_the_newest_events_of_the_stored_log(spark, tmp_path):
+    log = sinks.EventLog(spark, f"{tmp_path}/events")
+    for batch in range(4):
+        assert log.append(log_events(spark, 3000), batch)
+    assert log.read(NOW).count() == 5000
+    assert log.prune(NOW) == 2 and log.stored().count() == 6000
+    log.append(log_events(spark, 3000), 4)
+    assert log.prune(NOW) == 0 and log.prune(NOW + datetime.timedelta(seconds=61)) == 1
+    assert log.read(NOW + datetime.timedelta(hours=25)).count() == 0
+
+
+def test_a_failing_merge_is_logged_and_tried_again(spark, dimension, sf_dir, tmp_path):
+    from changeloom.operators import activity
+
+    T.change_feed(T.load(spark, sf_dir, "events").where("event_id < 200")).coalesce(1).write.parquet(f"{tmp_path}/feed")
+    stream = changes.read_changes(spark, {"format": "parquet", "path": f"{tmp_path}/feed"}, stream=True)
+    target = T.Stubborn(PersonStore(spark, f"{tmp_path}/sync/person"), 1)
+    with pytest.raises(Exception, match="is refused"):
+        sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: NOW, interval=None, target=target).awaitTermination()
+    sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: NOW, interval=None, target=target).awaitTermination()
+    log = sinks.EventLog(spark, f"{tmp_path}/sync/events").stored()
+    assert {(r["retries"], r["last_attempt"]) for r in activity.retry_counts(log).collect()} == {(1, 1)}
+    assert log.select("id").distinct().count() == log.count()
+    assert target.target.read().count() > 0 and target.last_batch() == 0
+
+
+def test_a_new_checkpoint_goes_on_after_the_last_batch(spark, dimension, sf_dir, tmp_path):
+    events = T.load(spark, sf_dir, "events")
+    T.change_feed(events.where("event_id < 300")).coalesce(1).write.parquet(f"{tmp_path}/feed")
+    for number, now in enumerate((NOW, LATER)):
+        stream = changes.read_changes(spark, {"format": "parquet", "path": f"{tmp_path}/feed"}, stream=True)
+        sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda now=now: now, interval=None,
+                        checkpoint=f"{tmp_path}/checkpoint-{number}").awaitTermination()
+        T.change_feed(events.where("event_id >= 300 AND event_id < 500")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
+    staged = sinks.read_batches(spark, f"{tmp_path}/sync/staging", schemas.STAGING)
+    assert sorted(r["batch_id"] for r in staged.select("batch_id").distinct().collect()) == [0, 1]
+    person = PersonStore(spark, f"{tmp_path}/sync/person")
+    assert person.last_batch() == 1 and {r["synced_at"] for r in person.read().collect()} == {LATER}
 
 
 def test_writing_a_batch_again_replaces_it(spark, tmp_path):
