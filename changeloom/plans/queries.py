@@ -142,13 +142,13 @@ def latest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _replayed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The target after one run over the feed, and after a second run over all of it that also brings marker rows."""
-    staged = D.staged(_decoded(spark, sf_dir))
+    staged = session.written(D.staged(_decoded(spark, sf_dir)), "replay-staged")
     markers = staged.where(F.col("firstname") == "purchase").withColumns({
         "source_id": (F.lit(1000000) + F.col("offset")).cast("int"),
         "surname": F.concat("surname", F.lit(Q.MARKER_SUFFIX)),
     })
-    once = M.merge_first(staged, Y.FIRST_SYNC)
-    return once, M.merge(once, staged.unionByName(markers), Y.SECOND_SYNC)
+    once = session.written(M.merge_first(staged, Y.FIRST_SYNC), "replay-once")
+    return once, session.written(M.merge(once, staged.unionByName(markers), Y.SECOND_SYNC), "replay-again")
 
 
 def replay_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,12 +182,14 @@ def tenant_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = _decoded(spark, sf_dir)
+    decoded = _decoded(spark, sf_dir).select("outcome", *D.STAGING_COLUMNS)
+    once = session.written(decoded.where(F.col("outcome") != D.DROPPED), "layers")
+    staged = once.where(F.col("outcome") == D.STAGED)
     return R.layer_counts({
         "legacy": Y.legacy(spark, sf_dir),
-        "staging": D.staged(decoded),
-        "dead_letter": D.dead_letters(decoded),
-        "person": Y.person_in_one_batch(spark, sf_dir),
+        "staging": staged,
+        "dead_letter": once.where(F.col("outcome") == D.DEAD_LETTER),
+        "person": M.merge_first(staged.drop("outcome"), Y.FIRST_SYNC),
     })
 
 
@@ -235,15 +237,15 @@ def _faulty(person: DataFrame) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    person = Y.person_from_backfill(spark, sf_dir)
-    faulty = _faulty(person)
+    person = session.written(Y.person_from_backfill(spark, sf_dir), "quality-person")
+    faulty = session.written(_faulty(person), "quality-faulty")
     return Q.quality_report(faulty, Y.legacy(spark, sf_dir), person, faulty)
 
 
 def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passed, failed and skipped checks over a sound target and a faulty one."""
-    person = Y.person_from_backfill(spark, sf_dir)
-    faulty = _faulty(person)
+    person = session.written(Y.person_from_backfill(spark, sf_dir), "summary-person")
+    faulty = session.written(_faulty(person), "summary-faulty")
     tenant_ids = [t for _, t, _ in schemas.TENANTS]
     results = Q.report(
         Q.column_checks(person, tenant_ids), Q.key_checks(person),
@@ -400,8 +402,10 @@ def event_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def system_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch = F.floor(F.col("offset") / BATCH_SIZE).cast("bigint").alias("batch_id")
+    once = session.written(_decoded(spark, sf_dir).select("outcome", batch), "status")
     return R.status(
-        spark, STATUS_NOW, _batched(spark, sf_dir), D.dead_letters(_decoded(spark, sf_dir)),
+        spark, STATUS_NOW, once.where(F.col("outcome") == D.STAGED), once.where(F.col("outcome") == D.DEAD_LETTER),
         T.activity_log(_events(spark, sf_dir)), LAST_APPLIED)
 
 
@@ -436,9 +440,13 @@ def quiet_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sync_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    writes = M.latest_per_key(M.accepted(D.staged(_decoded(spark, sf_dir)))).select(
+    decoded = session.written(D.staged(_decoded(spark, sf_dir)), "lag-staged")
+    writes = M.latest_per_key(M.accepted(decoded)).select(
         "tenant_id", F.col("source_id").alias("legacy_id"), F.col("created_at").alias("written_at"))
-    return P.sync_lag(writes, Y.person_after_both(spark, sf_dir))
+    middle = T.load(spark, sf_dir, "events").agg(F.floor(F.count("*") / 2).cast("bigint")).scalar()
+    first = M.merge_first(decoded.where(F.col("offset") < middle), Y.FIRST_SYNC)
+    both = M.merge(first, decoded.where(F.col("offset") >= middle), Y.SECOND_SYNC)
+    return P.sync_lag(writes, both)
 
 
 # --- connectors ---
@@ -536,7 +544,7 @@ def retry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.batch_summary(_batched(spark, sf_dir), F.lit("0.5"))
+    return A.batch_summary(session.written(_batched(spark, sf_dir), "summary"), F.lit("0.5"))
 
 
 # --- streaming ---
