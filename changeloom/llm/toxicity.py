@@ -159,8 +159,11 @@ def votes_of(found: Counter, hits: int, total: int) -> np.ndarray:
     return votes
 
 
-def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 10) -> np.ndarray:
-    """Posterior probability of toxic for each row: EM over class means (accuracies) and a shared covariance (correlations)."""
+def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 1) -> np.ndarray:
+    """Posterior probability of toxic for each row: EM over class means (accuracies) and a shared covariance (correlations).
+
+    It starts from the given labels and takes one round: more of them would end with the voters' own opinion.
+    """
     posterior = np.where(given > 0, 1 - LABEL_NOISE, LABEL_NOISE)
     for _ in range(rounds):
         share = np.clip(posterior.mean(), 1e-3, 1 - 1e-3)
@@ -170,7 +173,7 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 10) -> np.nd
         weights = np.linalg.solve(covariance, means[1] - means[0])
         margin = (votes - (means[0] + means[1]) / 2) @ weights
         label = np.where(given > 0, 1, -1) * np.log((1 - LABEL_NOISE) / LABEL_NOISE)
-        logit = np.clip(margin, -6, 6) + label + np.log(share / (1 - share))
+        logit = np.clip(margin, -5, 5) + label + np.log(share / (1 - share))
         posterior = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
     return posterior
 
