@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of the table that is sent to the tasks, and the length of its longest piece: 24 MB at most.
-HEAD = 1 << 18
+#: Entries of the table that is sent to the tasks, and the length of its longest piece: 12 MB at most.
+HEAD = 1 << 17
 HEAD_BYTES = 64
-#: Distinct units that a task holds before it hands them on, and rows of a batch that it hands on.
-HELD = 500_000
-ROWS = 50_000
+#: Distinct units that a task holds before it hands them on, units whose sums it remembers, and rows that it hands on.
+HELD = 250_000
+REMEMBERED = 100_000
+ROWS = 20_000
 
 
 class Bag(Protocol):
@@ -99,8 +100,17 @@ def summed(docs: DataFrame, bag: Callable[[], Bag], values: DataFrame, names: li
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, known = shared.value
         cut = bag()
+        memo: dict = {}  # per unit the places of its frequent pieces, and its other pieces
+
+        def learn(unit) -> tuple[tuple[int, ...], tuple[bytes, ...]]:
+            if len(memo) >= REMEMBERED:
+                memo.clear()
+            pieces = cut.pieces(unit)
+            found = memo[unit] = (tuple([at[piece] for piece in pieces if piece in at]), tuple([piece for piece in pieces if piece not in at]))
+            return found
+
         for batch in batches:
-            ids = batch.column("row").to_numpy()
+            ids = batch.column("row").to_pylist()
             sums = np.zeros((len(ids), len(names)))
             more_rows: list[int] = []
             more_pieces: list[bytes] = []
@@ -118,12 +128,11 @@ def summed(docs: DataFrame, bag: Callable[[], Bag], values: DataFrame, names: li
             for i, text in enumerate(batch.column("text")):
                 places, times = [], []
                 for unit, n in Counter(cut.units(text.as_py())).items():
-                    for piece in cut.pieces(unit):
-                        place = at.get(piece)
-                        if place is None:
-                            more_rows.append(ids[i]), more_pieces.append(piece), more_n.append(n)
-                        else:
-                            places.append(place), times.append(n)
+                    found = memo.get(unit) or learn(unit)
+                    for place in found[0]:
+                        places.append(place), times.append(n)
+                    for piece in found[1]:
+                        more_rows.append(ids[i]), more_pieces.append(piece), more_n.append(n)
                 if places:
                     sums[i] = np.array(times, np.float64) @ known[places]
                 if len(more_rows) >= ROWS:

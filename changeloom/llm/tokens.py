@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from functools import partial
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from changeloom.llm.bags import ROWS, counted, summed
+from changeloom.llm.bags import counted, summed
 from changeloom.llm.tables import stage
 
 LIMIT = 512
@@ -19,12 +20,18 @@ LIMIT = 512
 #: byte-level pre-tokenizer always cuts: white space only stands at the start of a pre-token, or alone.
 INK = r"[!-~¡-ʯͰ-֏]"
 CUT = re.compile(f"(?<={INK})(?= {INK})")
-#: Units whose pre-tokens a task remembers.
-REMEMBERED = 300_000
+#: A space at which a text must not be cut without a closer look.
+ODD = re.compile(f"(?<!{INK}) | (?!{INK})")
+#: Letters, and then signs other than the apostrophe: by the pre-tokenizer's rules two pre-tokens, or one. Most units are so.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Pre-tokens that are encoded together.
+ENCODED = 2_000
+#: Stands before a unit that does not begin with the space before it.
+BARE = "\0"
 
 
 class PreTokens:
-    """Cuts a text into units, and those into the library's own pre-tokens."""
+    """Cuts a text into units, and those into the library's own pre-tokens. A unit is a word after a space, or a marked text."""
 
     def __init__(self, file: str) -> None:
         tokenizer = Tokenizer.from_file(file)
@@ -32,34 +39,48 @@ class PreTokens:
         special = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self._names = set(special)
-        self._known: dict[str, tuple[bytes, ...]] = {}
+        # whether the pre-tokenizer is the byte-level one with its own pattern
+        self._by_signs = [self._part(a) for a in (" it's", "a, b", "it.)x")] == [[" it", "'s"], ["a", ",", " b"], ["it", ".)", "x"]]
+
+    def _part(self, text: str) -> list[str]:
+        return [text[a:b] for _, (a, b) in self._cut(text)]
+
+    @staticmethod
+    def _units(text: str) -> list[str]:
+        if ODD.search(text):
+            return [BARE + unit for unit in CUT.split(text)]
+        units = text.split(" ")
+        units[0] = BARE + units[0]
+        return units
 
     def units(self, text: bytes) -> list[str]:
         whole = text.decode()
         if self._special is None or not self._special.search(whole):
-            return CUT.split(whole) if whole else []
-        return [unit for part in self._special.split(whole) if part
-                for unit in ([part] if part in self._names else CUT.split(part))]
+            return self._units(whole) if whole else []
+        parts = [part for part in self._special.split(whole) if part]
+        return [unit for part in parts for unit in ([BARE + part] if part in self._names else self._units(part))]
 
     def pieces(self, unit: str) -> tuple[bytes, ...]:
-        known = self._known.get(unit)
-        if known is None:
-            if len(self._known) >= REMEMBERED:
-                self._known.clear()
-            spans = [(0, len(unit))] if unit in self._names else [span for _, span in self._cut(unit)]
-            known = self._known[unit] = tuple(unit[a:b].encode() for a, b in spans)
-        return known
+        text, space = (unit[1:], "") if unit[0] == BARE else (" " + unit, " ")
+        plain = PLAIN.fullmatch(text, len(space))
+        if plain and self._by_signs:
+            word, signs = (space + plain[1]).encode(), plain[2].encode()
+            return (word, signs) if signs else (word,)
+        if text in self._names:
+            return (text.encode(),)
+        return tuple(text[a:b].encode() for _, (a, b) in self._cut(text))
 
 
 def lengths(pieces: DataFrame, file: str) -> DataFrame:
     """piece, n, tokens: the number of tokens of each distinct pre-token."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         tokenizer = Tokenizer.from_file(file)
         tokenizer.no_truncation(), tokenizer.no_padding()
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
+            for at in range(0, batch.num_rows, ENCODED):
+                part = batch.slice(at, ENCODED)
                 texts = [piece.decode() for piece in part.column("piece").to_pylist()]
                 sizes = [len(found) for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
                 yield pa.record_batch([part.column("piece"), part.column("n"), pa.array(sizes, pa.int64())], names=["piece", "n", "tokens"])
