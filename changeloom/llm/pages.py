@@ -189,10 +189,14 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     """
     found = stage(parsed(pages), "html-blocks")
     recurring = templates(found, min_pages, min_share)
-    inside = found.select("row", "host", F.posexplode("blocks").alias("place", "block")).select(
+    # blocks of a marked article are in no subtree that could go: their pages need not move
+    open_blocks = F.exists("blocks", lambda b: F.size(b["subtrees"]) > 0)
+    checked, settled = found.filter(open_blocks), found.filter(~open_blocks)
+    inside = checked.select("row", "host", F.posexplode("blocks").alias("place", "block")).select(
         "row", "host", "place", F.explode("block.subtrees").alias("subtree"))
     dropped = inside.join(recurring, ["host", "subtree"]).groupBy("row").agg(F.collect_set("place").alias("dropped"))  # places of one page
     kept = F.expr("filter(transform(blocks, (b, i) -> CASE WHEN dropped IS NULL OR NOT array_contains(dropped, i) THEN b.text END), "
                   "t -> t IS NOT NULL)")
-    text = found.join(dropped, "row", "left").select("page_id", "url", F.array_join(kept, "\n").alias("text"))
+    text = checked.join(dropped, "row", "left").select("page_id", "url", F.array_join(kept, "\n").alias("text")).union(
+        settled.select("page_id", "url", F.array_join(F.col("blocks.text"), "\n").alias("text")))
     return text.withColumn("n_chars", F.length("text").cast("long"))
