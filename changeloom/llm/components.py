@@ -40,33 +40,67 @@ def _pairs(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def connect(blocks: DataFrame, confirm: Callable[[DataFrame], DataFrame], purpose: str) -> tuple[DataFrame, DataFrame]:
-    """Components of the confirmed links between nodes that share a block (key, node); and the links (a, b) found.
+def connect(members: DataFrame, possible: str, lead: list[str], confirm: Callable[[DataFrame], DataFrame],
+            purpose: str) -> tuple[DataFrame, DataFrame]:
+    """Components of the confirmed links between nodes that share a block; and the links (a, b) found.
 
-    `confirm` takes distinct pairs (a, b), a < b, and returns those that are linked. Not all pairs of a block are tried:
-    members of one component need no more links. So each block first tries its smallest member against the others;
-    blocks that still hold several components try one drawn at random; and what is then left is tried in full, each
-    pair of different components. No candidate pair is left untried unless its two nodes are connected already.
+    `members` has key, node and columns that `possible`, a condition on two of its rows called x and y, needs to tell
+    pairs that cannot be linked. `confirm` takes distinct pairs (a, b), a < b, and returns those that are linked.
+
+    Not all pairs of a block are tried: members of one component need no more links. So each block first tries the
+    member that comes first by the `lead` columns against the others; blocks that still hold several components try one
+    drawn at random; and what is then left is tried in full: each possible pair of different components. There the
+    members of the largest component of a block are on one side only. No possible pair is left untried unless its two
+    nodes are connected already.
     """
-    shared = blocks.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead <> last")
-    members = stage(blocks.join(shared.select("key", "lead"), "key").distinct(), f"{purpose}-members")
-    tried = stage(members.filter("node <> lead").select(*_pairs("lead", "node")).distinct(), f"{purpose}-tried")
+    members = stage(members, f"{purpose}-members")
+    columns = members.columns
+
+    def named(df: DataFrame, side: str, more: tuple[str, ...] = ()) -> DataFrame:
+        return df.select("key", F.struct(*(c for c in columns if c != "key"), *more).alias(side))
+
+    def against(firsts: DataFrame, others: DataFrame, more: str, known: tuple[str, ...] = ()) -> DataFrame:
+        joined = named(firsts, "x", known).join(named(others, "y", known), "key")
+        return joined.filter(f"x.node <> y.node AND ({more}) AND ({possible})").select(*_pairs("x.node", "y.node")).distinct()
+
+    def drawn(df: DataFrame, order: list) -> DataFrame:
+        first = F.min(F.struct(*(F.col(c).alias(f"_{i}") if isinstance(c, str) else c.alias(f"_{i}") for i, c in enumerate(order)),
+                               F.struct(*(c for c in df.columns if c != "key")).alias("row"))).alias("first")
+        return df.groupBy("key").agg(first).select("key", "first.row.*")
+
+    tried = stage(against(drawn(members, lead), members, "true"), f"{purpose}-tried")
     links = stage(confirm(tried), f"{purpose}-links")
     found = stage(components(links, f"{purpose}-stars"), f"{purpose}-components")
     for last in (False, True):
-        placed = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
-        drawn = F.min(F.struct(F.xxhash64("key", "node").alias("draw"), "node", "part")).alias("drawn")
-        mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), drawn).filter("low <> high")
-        open_members = stage(placed.join(mixed.select("key", "drawn"), "key"), f"{purpose}-open")
+        placed = members.join(found, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+        parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+            F.max(F.struct("n", "part")).alias("largest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+        open_members = stage(placed.join(parts.select("key", F.col("largest.part").alias("big")), "key"), f"{purpose}-open")
         if last:
-            left, right = (open_members.select("key", F.col("node").alias(f"{s}_node"), F.col("part").alias(f"{s}_part")) for s in "xy")
-            pairs = left.join(right, "key").filter("x_part < y_part").select(*_pairs("x_node", "y_node"))
+            apart = "x.part <> y.part AND (x.part = x.big OR x.part < y.part)"
+            pairs = against(open_members, open_members.filter("part <> big"), apart, ("part", "big"))
         else:
-            pairs = open_members.filter("part <> drawn.part").select(*_pairs("drawn.node", "node"))
-        fresh = stage(pairs.distinct().join(tried, ["a", "b"], "left_anti"), f"{purpose}-tried")
+            pairs = against(drawn(open_members, [F.xxhash64("key", "node")]), open_members, "x.part <> y.part", ("part",))
+        fresh = stage(pairs.join(tried, ["a", "b"], "left_anti"), f"{purpose}-tried")
         more = stage(confirm(fresh), f"{purpose}-links")
         tried, links = tried.union(fresh), links.union(more)
         # a component is a star already: its members and the new links are all there is to connect
         stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = stage(components(stars.union(more), f"{purpose}-stars"), f"{purpose}-components")
     return found, links
+
+
+#: Buckets of keys; a table with a row for each is 16 MB, whatever the number of keys.
+KEY_BUCKETS = 1 << 20
+
+
+def sharing(blocks: DataFrame) -> DataFrame:
+    """The rows (key, node) of blocks that hold more than one node. A node has a key once.
+
+    A small table of buckets of the shared keys leaves most other rows out before the join moves any.
+    """
+    shared = blocks.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("key")
+    bucket = F.pmod(F.xxhash64("key"), F.lit(KEY_BUCKETS)).cast("int")
+    some = F.broadcast(shared.select(bucket.alias("bucket")).distinct())  # KEY_BUCKETS rows at most
+    likely = blocks.withColumn("bucket", bucket).join(some, "bucket", "left_semi").drop("bucket")
+    return likely.join(shared, "key")

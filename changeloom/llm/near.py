@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.components import connect
+from changeloom.llm.components import connect, sharing
 from changeloom.llm.hashing import mixed, run_hashes, signed, word_hashes
 from changeloom.llm.tables import document_keys, stage, without
 
@@ -36,6 +36,9 @@ CHUNK = 32_768
 #: Bits of the filter of ids whose sets are needed: 4 MB, whatever their number. A fuller one only lets more through.
 FILTER_BITS = 1 << 25
 
+#: Numbers of 64 bits in the parity map of a set.
+PARITY = 16
+
 _SEEDS = np.array([xxhash.xxh3_64_intdigest(f"register {i}") for i in range(REGISTERS)], np.uint64)
 
 
@@ -45,6 +48,15 @@ def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(run_hashes(word_hashes(words), min(size, len(words)))) if words else np.empty(0, np.uint64)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """PARITY numbers: bit i says whether the number of shingles whose hash ends in i is odd.
+
+    Two sets differ in at least as many shingles as their parity maps do in bits.
+    """
+    odd = np.bincount((shingles % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def registers(sets: list[np.ndarray]) -> np.ndarray:
     """One row of REGISTERS per set; a set that is empty has zeros."""
     out = np.zeros((len(sets), REGISTERS), np.uint16)
@@ -145,7 +157,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, similarity: int = SIMILARITY
 
 
 def full_sets(docs: DataFrame, needed: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """node, shingles (the sorted set) of the `needed` classes (node, digest, doc_id), read from the texts again."""
+    """node, shingles (the sorted set), parity (its map) of the `needed` classes (node, digest, doc_id), read from the texts again."""
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
     cells = needed.groupBy(F.shiftright(bit, 6).alias("cell")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {bits}) & 63 AS int))")).alias("set_bits")).collect()
@@ -162,11 +174,36 @@ def full_sets(docs: DataFrame, needed: DataFrame, bits: int = FILTER_BITS) -> Da
                 sets = [shingle_set(batch.column("text")[int(i)].as_py()) for i in places[begin : begin + 256]]
                 yield pa.record_batch(
                     [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                     pa.array([signed(s) for s in sets], pa.list_(pa.int64()))], names=["digest", "shingles"])
+                     pa.array([signed(s) for s in sets], pa.list_(pa.int64())),
+                     pa.array([parity(s) for s in sets], pa.list_(pa.int64()))], names=["digest", "shingles", "parity"])
 
     texts = docs.select(bit.alias("bit"), F.col("text").cast("binary").alias("text"))
-    found = texts.mapInArrow(read, "digest binary, shingles array<long>").join(needed.select("node", "digest"), "digest")
-    return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    found = texts.mapInArrow(read, "digest binary, shingles array<long>, parity array<long>").join(needed.select("node", "digest"), "digest")
+    return found.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("parity").alias("parity"))
+
+
+def common(sets: DataFrame) -> DataFrame:
+    """node, size, common (how many of its shingles any other set has), own (the share that none has), m0, m1, ... (parity)."""
+    owners = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
+    own = owners.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    size = F.size("shingles").cast("long")
+    alone = F.coalesce("alone", F.lit(0))
+    maps = [F.get("parity", F.lit(i)).alias(f"m{i}") for i in range(PARITY)]
+    return sets.select("node", size.alias("size"), *maps).join(own, "node", "left").select(
+        "node", "size", (F.col("size") - alone).alias("common"), (alone / F.col("size")).alias("own"), *(f"m{i}" for i in range(PARITY)))
+
+
+def possible(similarity: int = SIMILARITY) -> str:
+    """A condition on two rows of `common`, x and y, that all pairs of similar sets meet.
+
+    Two sets have no more in common than either has that is not its own alone, and no more than what is left of both
+    when the shingles by which their parity maps differ are taken off.
+    """
+    both = "(x.size + y.size)"
+    differing = " + ".join(f"bit_count(x.m{i} ^ y.m{i})" for i in range(PARITY))
+    return (f"{100 + similarity} * least(x.common, y.common) >= {similarity} * {both} AND "
+            f"{100 + similarity} * ({both} - ({differing})) >= {2 * similarity} * {both}")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -191,15 +228,14 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     by_set = found.filter("n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
     classes = stage(by_set.withColumn("node", F.monotonically_increasing_id()), "near-classes")
-    blocks = stage(bands(classes), "near-bands")
-    sharing = blocks.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
-    needed = blocks.join(sharing.select("key"), "key").select("node").distinct().join(classes.select("node", "digest", "doc_id"), "node")
+    members = stage(sharing(stage(bands(classes), "near-bands")), "near-shared")
+    needed = members.select("node").distinct().join(classes.select("node", "digest", "doc_id"), "node")
     sets = stage(full_sets(docs, stage(needed, "near-needed")), "near-sets")
-
     def confirm(pairs: DataFrame) -> DataFrame:
         return confirmed(estimated(pairs, classes, similarity), sets, similarity)
 
-    linked, links = connect(blocks, confirm, "near")
+    # texts with few shingles of their own are in the middle of their group, and link most of it
+    linked, links = connect(members.join(stage(common(sets), "near-common"), "node"), possible(similarity), ["own", "node"], confirm, "near")
     degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     named = classes.select("node", "digest", "doc_id").join(linked, "node").join(degrees, "node", "left")
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
