@@ -254,6 +254,21 @@ def test_line_dedup_equals_all_pairs(documents):
         assert row["n_removed"] == row["n_lines"] - len(kept)
 
 
+def test_line_dedup_finds_lines_with_as_many_edits_as_are_allowed(documents):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"word{i}" if i % 3 else f"w{i}" for i in range(3000)]
+    texts = []
+    for i, n in enumerate([*range(7, 37), *range(40, 130, 5)]):
+        line = [str(w) for w in rng.choice(vocabulary, n)]
+        edited = list(line)
+        for at in rng.choice(n, max(1, math.floor((1 - lines.SIMILARITY) * n + 1e-9)), replace=False):
+            edited[at] = f"replaced{i}x{at}"
+        texts += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(edited))]
+    texts += [(900, "one two three four five six"), (901, "one two three four five and six"), (902, "one two three four five seven")]
+    removed = {r["doc_id"]: r["n_removed"] for r in lines.dedup(documents(texts)).collect()}
+    assert removed == {i: i % 2 for i, _ in texts}
+
+
 def test_line_dedup_edges(documents, empty):
     line = "this is one line of text that stands twice"
     docs = documents([(2, f"{line}\nshort\nshort"), (1, f"{line.upper()}!\n"), (3, None), (4, ""), (None, line), (5, LONG), (6, LONG), (7, line), (7, line)])
