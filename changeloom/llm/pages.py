@@ -1,9 +1,10 @@
 """Main text of HTML pages, by site template removal.
 
-Each page is parsed once into blocks of text. The subtrees of its elements outside the article get hashes, which Spark
-counts per host; a subtree that recurs across many different pages of its host is part of the site's template, and the
-blocks in it go. What a page names as menu, advert, form and so on goes too. An article that is marked as such is the
-main text, and nothing in it counts as template: mirrored articles and shared passages recur, but belong to the text.
+Each page is parsed once into blocks of text. The subtrees of the elements around them get hashes, which Spark counts per
+host; a subtree that recurs across many different pages of its host is part of the site's template, and the blocks in it
+go, also inside an article that is marked as such. A mirrored article is no template: subtrees inside an article count
+once per different article, and the article itself never goes. Nor is a passage in an article that other hosts have too.
+What a page names as menu, advert, form and so on goes as well. If a marked article is left, it alone is the main text.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.tables import stage
+from changeloom.llm.tables import KEY_BUCKETS, stage
 
 #: A subtree is template if it is on that many different pages of its host, and on that share of them.
 MIN_PAGES, MIN_SHARE = 3, 0.1
@@ -47,27 +48,34 @@ NAMES = re.compile(
 
 
 class Block:
-    __slots__ = ("text", "subtrees", "main")
+    """`article` is the innermost marked element around the text."""
 
-    def __init__(self, text: str, subtrees: list, main: bool) -> None:
-        self.text, self.subtrees, self.main = text, subtrees, main
+    __slots__ = ("text", "around", "article")
+
+    def __init__(self, text: str, around: list, article: Element | None) -> None:
+        self.text, self.around, self.article = text, around, article
+
+    def subtrees(self) -> list[tuple[int, int | None]]:
+        """Hash, and hash of the marked element that it stands in, of the elements around that hold no marked one."""
+        return [(e.hash, e.inside.hash if e.inside else None) for e in self.around if not e.holds]
 
 
 class Element:
-    __slots__ = ("tag", "parts", "out", "main", "hash")
+    """`inside` is the innermost marked element around it, `holds` tells whether it is or has one."""
 
-    def __init__(self, tag: str, head: str, out: bool, main: bool) -> None:
-        self.tag, self.parts, self.out, self.main, self.hash = tag, [head], out, main, None
+    __slots__ = ("tag", "parts", "out", "inside", "holds", "hash")
+
+    def __init__(self, tag: str, head: str, out: bool, inside: Element | None, marked: bool) -> None:
+        self.tag, self.parts, self.out, self.inside, self.holds, self.hash = tag, [head], out, inside, marked, None
 
 
 class Page(HTMLParser):
-    """Blocks of text that may be main text, each with the elements around it; and the hashes of all subtrees."""
+    """Blocks of text that may be main text, each with the elements around it."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack = [Element("", "", False, False)]
+        self.stack = [Element("", "", False, None, False)]
         self.blocks: list[Block] = []
-        self.hashes: set[int] = set()
         self._words: list[str] = []
 
     def _flush(self) -> None:
@@ -75,15 +83,19 @@ class Page(HTMLParser):
         self._words.clear()
         top = self.stack[-1]
         if text and not top.out:
-            self.blocks.append(Block(text, [] if top.main else self.stack[1:], top.main))
+            self.blocks.append(Block(text, self.stack[1:], self._article()))
+
+    def _article(self) -> Element | None:
+        """The innermost open element that is marked."""
+        top = self.stack[-1]
+        return top if top.tag in MAIN and top.holds and not top.out else top.inside
 
     def _close(self) -> None:
         closed = self.stack.pop()
         closed.hash = xxhash.xxh3_64_intdigest("\x00".join(closed.parts)) - (1 << 63)
         closed.parts.clear()
         self.stack[-1].parts.append(str(closed.hash))
-        if not closed.main:
-            self.hashes.add(closed.hash)
+        self.stack[-1].holds |= closed.holds
 
     def _end(self, at: int) -> None:
         if any(e.tag not in INLINE for e in self.stack[at:]):
@@ -111,11 +123,11 @@ class Page(HTMLParser):
         named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
         # the header of a page goes, that of an article is part of it
-        header = tag == "header" and not around.main
+        header = tag == "header" and not self._article()
         out = around.out or tag in RAW or tag in ASIDE or header or hidden or (
             tag not in ("html", "body") and bool(NAMES.search(named)))
         head = tag + " " + " ".join(sorted(f"{k}={v}" for k, v in attrs))
-        self.stack.append(Element(tag, head, out, around.main or (tag in MAIN and not out)))
+        self.stack.append(Element(tag, head, out, self._article(), tag in MAIN and not out))
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "p" and not any(e.tag == "p" for e in self.stack):
@@ -143,40 +155,49 @@ def host(url: str | None) -> str:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """row, page_id, url, host, body (hash of the page), subtrees (hashes), blocks (text, hashes of subtrees around it)."""
-    block = pa.struct([("text", pa.string()), ("subtrees", pa.list_(pa.int64()))])
+    """row, page_id, url, host, body (hash of the page), blocks (text, main, subtrees around it).
+
+    A subtree has a hash and an owner: the hash of the marked element that it stands in, or else that of the page.
+    """
+    subtree = pa.struct([("subtree", pa.int64()), ("owner", pa.int64())])
+    block = pa.struct([("text", pa.string()), ("main", pa.bool_()), ("subtrees", pa.list_(subtree))])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                bodies, subtrees, blocks = [], [], []
+                bodies, blocks = [], []
                 for html in part.column("html"):
                     page = Page()
                     page.feed(html.as_py())
                     page.finish()
-                    main = any(b.main for b in page.blocks)
-                    blocks.append([{"text": b.text, "subtrees": [e.hash for e in b.subtrees]} for b in page.blocks if b.main or not main])
-                    subtrees.append(list(page.hashes))
-                    bodies.append(xxhash.xxh3_64_intdigest(html.as_py()) - (1 << 63))
+                    body = xxhash.xxh3_64_intdigest(html.as_py()) - (1 << 63)
+                    blocks.append([{"text": b.text, "main": b.article is not None, "subtrees": [
+                        {"subtree": h, "owner": body if owner is None else owner} for h, owner in b.subtrees()]} for b in page.blocks])
+                    bodies.append(body)
                 hosts = [host(url.as_py()) for url in part.column("url")]
                 yield pa.record_batch(
                     [part.column("row"), part.column("page_id"), part.column("url"), pa.array(hosts, pa.string()), pa.array(bodies, pa.int64()),
-                     pa.array(subtrees, pa.list_(pa.int64())), pa.array(blocks, pa.list_(block))],
-                    names=["row", "page_id", "url", "host", "body", "subtrees", "blocks"])
+                     pa.array(blocks, pa.list_(block))],
+                    names=["row", "page_id", "url", "host", "body", "blocks"])
 
     source = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", F.col("url").cast("string").alias("url"),
                           F.coalesce("html", F.lit("")).alias("html"))
     return source.mapInArrow(parse, f"row long, page_id {dict(source.dtypes)['page_id']}, url string, host string, body long, "
-                                    "subtrees array<long>, blocks array<struct<text:string,subtrees:array<long>>>")
+                                    "blocks array<struct<text:string,main:boolean,subtrees:array<struct<subtree:long,owner:long>>>>")
 
 
 def templates(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """host, subtree: those that recur. Pages that are the same throughout count as one, so that mirrors are no template."""
-    subtrees = found.select("host", "body", F.explode("subtrees").alias("subtree")).distinct()
-    counts = subtrees.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+    """host, subtree, hosts (that have it): those that recur. Pages that are the same throughout count as one, and so do
+    marked articles, so that mirrors are no template."""
+    around = found.select("host", F.explode("blocks.subtrees").alias("each")).select("host", F.explode("each").alias("each"))
+    counts = around.select("host", "each.*").distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(counts, "html-subtrees")
+    hosts = counts.groupBy("subtree").agg(F.count(F.lit(1)).alias("hosts"), F.max("n").alias("n")).filter(
+        F.col("n") >= min_pages).drop("n")
     pages = found.select("host", "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    return counts.join(pages, "host").filter(F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
+    often = counts.filter(F.col("n") >= min_pages).join(pages, "host").filter(F.col("n") >= min_share * F.col("pages"))
+    return often.join(hosts, "subtree").select("host", "subtree", "hosts")
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -189,14 +210,20 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     """
     found = stage(parsed(pages), "html-blocks")
     recurring = templates(found, min_pages, min_share)
-    # blocks of a marked article are in no subtree that could go: their pages need not move
-    open_blocks = F.exists("blocks", lambda b: F.size(b["subtrees"]) > 0)
-    checked, settled = found.filter(open_blocks), found.filter(~open_blocks)
-    inside = checked.select("row", "host", F.posexplode("blocks").alias("place", "block")).select(
-        "row", "host", "place", F.explode("block.subtrees").alias("subtree"))
-    dropped = inside.join(recurring, ["host", "subtree"]).groupBy("row").agg(F.collect_set("place").alias("dropped"))  # places of one page
-    kept = F.expr("filter(transform(blocks, (b, i) -> CASE WHEN dropped IS NULL OR NOT array_contains(dropped, i) THEN b.text END), "
-                  "t -> t IS NOT NULL)")
-    text = checked.join(dropped, "row", "left").select("page_id", "url", F.array_join(kept, "\n").alias("text")).union(
-        settled.select("page_id", "url", F.array_join(F.col("blocks.text"), "\n").alias("text")))
+    inside = found.select("row", "host", F.posexplode("blocks").alias("place", "block")).select(
+        "row", "host", "place", "block.main", F.explode("block.subtrees.subtree").alias("subtree"))
+    dropped = inside.join(recurring, ["host", "subtree"]).filter("NOT main OR hosts = 1").groupBy("row").agg(
+        F.collect_set("place").alias("dropped"))  # places of one page
+    dropped = stage(dropped, "html-dropped")
+    # a small table of buckets decides which pages need to move
+    bucket = F.pmod(F.xxhash64("row"), F.lit(KEY_BUCKETS)).cast("int")
+    some = F.broadcast(dropped.select(bucket.alias("bucket")).distinct())  # KEY_BUCKETS rows at most
+    placed = found.withColumn("bucket", bucket)
+    touched, others = placed.join(some, "bucket", "left_semi"), placed.join(some, "bucket", "left_anti")
+    left = F.expr("CASE WHEN dropped IS NULL THEN blocks ELSE filter(blocks, (b, i) -> NOT array_contains(dropped, i)) END")
+    blocks = touched.join(dropped, "row", "left").select("page_id", "url", left.alias("blocks")).union(
+        others.select("page_id", "url", "blocks"))
+    # a marked article that is left comes before all else
+    best = F.expr("CASE WHEN exists(blocks, b -> b.main) THEN filter(blocks, b -> b.main) ELSE blocks END")
+    text = blocks.select("page_id", "url", F.array_join(F.transform(best, lambda b: b["text"]), "\n").alias("text"))
     return text.withColumn("n_chars", F.length("text").cast("long"))

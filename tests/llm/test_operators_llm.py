@@ -316,6 +316,21 @@ def test_main_text(spark):
     assert pages.main_text(pages_df.filter("page_id > 99")).count() == 0
 
 
+def test_main_text_deletes_templates_inside_articles(spark):
+    box = "<section><p>Written by the same hand</p></section>"
+    rows = [(i, f"http://a.com/{i}", f"<body><article><p>Story {i}</p>{box}<p>Quoted by all</p></article><p>Seen {i}</p></body>") for i in range(6)]
+    rows += [(10, "http://b.com/1", "<article><p>Other</p><p>Quoted by all</p></article>")]
+    rows += [(20 + i, f"http://c.com/{i}", f"<main><article><p>Mirror</p><p>of one text</p></article><p>Next {i}</p></main>") for i in range(6)]
+    rows += [(30 + i, f"http://d.com/{i}", f"<article>{box.replace('hand', 'pen')}</article><p>All of page {i}</p>" if i else
+              f"<article><p>Long</p>{box.replace('hand', 'pen')}</article>") for i in range(6)]
+    rows += [(40 + i, f"http://d.com/x{i}", f"<article><p>More {i}</p>{box.replace('hand', 'pen')}</article>") for i in range(3)]
+    found = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert {found[i] for i in range(6)} == {f"Story {i}\nQuoted by all" for i in range(6)} and found[10] == "Other\nQuoted by all"
+    assert {found[20 + i] for i in range(6)} == {f"Mirror\nof one text\nNext {i}" for i in range(6)}
+    assert found[30] == "Long" and {found[30 + i] for i in range(1, 6)} == {f"All of page {i}" for i in range(1, 6)}
+    assert {found[40 + i] for i in range(3)} == {f"More {i}" for i in range(3)}
+
+
 def test_toxicity_learns_from_training_rows_only(spark, documents, empty):
     rng = np.random.default_rng(4)
     clean = [f"plain{i}" for i in range(300)]
