@@ -40,11 +40,25 @@ ENDED_BY = {
 #: Elements that a paragraph cannot contain, and so end it.
 ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
           "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
-#: Words in class, id or role that mark what is not main text.
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|overlay|sidebar|side|menu|nav\w*|"
-    r"breadcrumbs?|footer|masthead|toolbar|share|sharing|social|comments?|replies|respond|disqus\w*|related|recommend\w*|newsletter|"
-    r"subscribe|signup|login|search|pagination|pager|skip|widget|complementary|contentinfo|alert|hidden)(?:$|[\s_-])", re.I)
+#: Words in class, id or role that mark what is not main text: as a whole name, as its last part (what the name
+#: is: site-footer), or as its first part before a word for a container (comments-list).
+TELLTALE = (r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|overlay|sidebar|menu|nav\w*|"
+            r"breadcrumbs?|footer|masthead|toolbar|share|sharing|social|comments?|replies|respond|disqus\w*|related|recommend\w*|newsletter|"
+            r"subscribe|signup|login|search|pagination|pager|skip|widget|complementary|contentinfo|alert)")
+HOLDER = (r"(?:container|wrapper|wrap|box|bar|lists?|links?|buttons?|icons?|items?|sections?|area|block|panel|slot|unit|posts?|articles?|"
+          r"inner|form|thread|left|right|top|bottom|\d+)")
+NAME = re.compile(rf"{TELLTALE}|side|hidden|(?:is|visually)[_-]hidden|(?:[^\W_]+[_-]+)+{TELLTALE}|{TELLTALE}(?:[_-]+{HOLDER})+", re.I)
+#: Parts of names that tell of something else than the element itself: what it has or lacks, and what it is filed under.
+OF_OTHERS = {"with", "without", "has", "have", "no", "not", "non", "hide", "show", "category", "cat", "tag", "topic", "format", "by", "overflow"}
+
+
+def aside(names: str) -> bool:
+    """Whether one of the names marks what is not main text. What follows two hyphens only modifies a name."""
+    for name in names.split():
+        plain = name.partition("--")[0] or name
+        if NAME.fullmatch(plain) and OF_OTHERS.isdisjoint(re.split("[_-]+", plain.lower())):
+            return True
+    return False
 
 
 class Block:
@@ -61,12 +75,13 @@ class Block:
 
 
 class Element:
-    """`inside` is the innermost marked element around it, `holds` tells whether it is or has one."""
+    """`aside` tells that its names speak against it, `inside` is the innermost marked element around it, and `holds` tells
+    whether it is or has one."""
 
-    __slots__ = ("tag", "parts", "out", "inside", "holds", "hash")
+    __slots__ = ("tag", "parts", "out", "aside", "inside", "holds", "hash")
 
-    def __init__(self, tag: str, head: str, out: bool, inside: Element | None, marked: bool) -> None:
-        self.tag, self.parts, self.out, self.inside, self.holds, self.hash = tag, [head], out, inside, marked, None
+    def __init__(self, tag: str, head: str, out: bool, aside: bool, inside: Element | None, marked: bool) -> None:
+        self.tag, self.parts, self.out, self.aside, self.inside, self.holds, self.hash = tag, [head], out, aside, inside, marked, None
 
 
 class Page(HTMLParser):
@@ -74,7 +89,7 @@ class Page(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack = [Element("", "", False, None, False)]
+        self.stack = [Element("", "", False, False, None, False)]
         self.blocks: list[Block] = []
         self._words: list[str] = []
 
@@ -124,10 +139,9 @@ class Page(HTMLParser):
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
         # the header of a page goes, that of an article is part of it
         header = tag == "header" and not self._article()
-        out = around.out or tag in RAW or tag in ASIDE or header or hidden or (
-            tag not in ("html", "body") and bool(NAMES.search(named)))
+        out = around.out or tag in RAW or tag in ASIDE or header or hidden
         head = tag + " " + " ".join(sorted(f"{k}={v}" for k, v in attrs))
-        self.stack.append(Element(tag, head, out, self._article(), tag in MAIN and not out))
+        self.stack.append(Element(tag, head, out, tag not in ("html", "body") and aside(named), self._article(), tag in MAIN and not out))
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "p" and not any(e.tag == "p" for e in self.stack):
@@ -145,6 +159,19 @@ class Page(HTMLParser):
         self.close()
         self._flush()
         self._end(1)
+        self.blocks = self._named_right()
+
+    def _named_right(self) -> list[Block]:
+        """The blocks without those in elements whose names speak against them.
+
+        Where all marked articles stand in such elements, those that hold one stay if they have more text than the rest.
+        """
+        free = [b for b in self.blocks if not any(e.aside for e in b.around)]
+        if any(b.article for b in free):
+            return free
+        held = [b for b in self.blocks if all(e.holds for e in b.around if e.aside)]
+        more = [b for b in held if any(e.aside for e in b.around)]
+        return held if sum(len(b.text) for b in more) > sum(len(b.text) for b in free) else free
 
 
 def host(url: str | None) -> str:

@@ -331,6 +331,22 @@ def test_main_text_deletes_templates_inside_articles(spark):
     assert {found[40 + i] for i in range(3)} == {f"More {i}" for i in range(3)}
 
 
+def test_names_of_layouts_do_not_drop_the_text(spark):
+    layouts = ["layout with-sidebar", "no-sidebar", "col-main has-nav", "post overflow-hidden", "post comments-open",
+               "post category-social-media tag-search", "two-col side-by-side", "page--sidebar", "left-sidebar"]
+    menus = ["ad", "AD-slot", "x site-footer", "sidebar", "comments-list", "main-nav", "layout__sidebar", "sidebar--open", "share-buttons", "is-hidden"]
+    rows = [(i, f"http://a.com/{i}", f"<div class='{name}'><article><p>Text {i} of the page</p></article></div><p>Other</p>") for i, name in enumerate(layouts)]
+    rows += [(20 + i, f"http://a.com/p{i}", f"<div class='{name}'><p>Text {20 + i} of the page</p></div>") for i, name in enumerate(layouts[:-1])]
+    rows += [(40 + i, f"http://b.com/{i}", f"<p>Body {i}</p><div class='{name}'><p>Not text</p></div>") for i, name in enumerate(menus)]
+    rows += [(60, "http://c.com", "<article>Text</article><div class=comments><article>A longer comment</article></div>"),
+             (61, "http://c.com", "<p>Text of a page without a mark</p><div class=comments><article>Comment</article></div>")]
+    found = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert [found[i] for i in range(9)] == [f"Text {i} of the page" for i in range(9)]
+    assert [found[20 + i] for i in range(8)] == [f"Text {20 + i} of the page" for i in range(8)]
+    assert [found[40 + i] for i in range(len(menus))] == [f"Body {i}" for i in range(len(menus))]
+    assert (found[60], found[61]) == ("Text", "Text of a page without a mark")
+
+
 def test_toxicity_learns_from_training_rows_only(spark, documents, empty):
     rng = np.random.default_rng(4)
     clean = [f"plain{i}" for i in range(300)]
