@@ -52,15 +52,16 @@ def forms(word: str) -> list[str]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """text, toxic of the first `size` labelled rows in the order of a hash of their ids, none of them held out.
+    """text, toxic of the first `size` labelled ids in the order of a hash, none of them held out; one row per id.
 
-    Where labels of an id differ, toxic counts. Of rows that share an id, each is taken.
+    Where labels of an id differ, toxic counts. Of rows that share an id, the one with the least text is taken.
     """
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     first = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(first), "doc_id").select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    joined = texts.join(F.broadcast(first), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    return joined.select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
 
 
 def stems(sampled: DataFrame, size: int = STEMS) -> list[str]:

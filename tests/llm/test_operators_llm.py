@@ -374,6 +374,12 @@ def test_toxicity_learns_from_training_rows_only(spark, documents, empty):
     assert toxicity.score(empty, labels).count() == 0
 
 
+def test_toxicity_sample_is_bounded_in_rows(spark, documents):
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    docs = documents([(i, f"text {i}") for i in range(60)] + [(i % 60, f"text {i} again") for i in range(600)])
+    assert toxicity.sample(docs, labels, 10).count() == 10
+
+
 def test_label_model_weighs_correlated_voters_once():
     rng = np.random.default_rng(6)
     truth = rng.random(4000) < 0.3
