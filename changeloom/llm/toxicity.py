@@ -26,8 +26,9 @@ SAMPLE = 20_000
 STEMS = 600
 VOTERS = 48
 #: Thresholds of the patterns: words with a stem, and their share of all words (TIMES and SHARES).
-#: Least log-odds of a stem, and least log-odds times the root of its toxic texts.
-MIN_ODDS, MIN_GAIN = 2.0, 8.0
+#: Least log-odds of a stem, and least log-odds times the root of its toxic texts; in a small sample, that is no more than
+#: GAIN_SHARE times the root of all toxic texts.
+MIN_ODDS, MIN_GAIN, GAIN_SHARE = 2.0, 8.0, 0.45
 TIMES = (1, 2, 3, 5)
 SHARES = (0.003, 0.006, 0.01, 0.015, 0.02, 0.03)
 #: Weight of the squares of the classifier's weights.
@@ -68,7 +69,8 @@ def stems(sampled: DataFrame, size: int = STEMS) -> list[str]:
     """The beginnings of words that speak most for toxic texts, by how much more of their words have them, best first.
 
     What a stem says is the log of the ratio of its shares of the words, times the root of the number of toxic texts that
-    have it. Of stems with the same counts, one of which begins the other, only the shorter is taken.
+    have it. Of stems with the same counts, one of which begins the other, only the shorter is taken. Where none reaches the
+    thresholds, those that speak for toxic at all are taken.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,17 +93,23 @@ def stems(sampled: DataFrame, size: int = STEMS) -> list[str]:
             yield pa.record_batch([pa.array(part, pa.string()), *(pa.array([n[form] for form in part], pa.int64()) for n in (*times, texts))],
                                   names=["stem", "clean", "toxic", "texts"])
 
+    toxic_texts = sampled.filter("toxic = 1").count()
     counts = sampled.mapInArrow(count, "stem string, clean long, toxic long, texts long").groupBy("stem").agg(
-        *(F.sum(c).alias(c) for c in ("clean", "toxic", "texts"))).filter("texts >= 3 OR stem = ''").persist()
+        *(F.sum(c).alias(c) for c in ("clean", "toxic", "texts"))).filter(f"texts >= {min(3, max(toxic_texts, 1))} OR stem = ''").persist()
     whole = counts.filter("stem = ''").first()
     if whole is None or not whole["clean"] or not whole["toxic"]:
         counts.unpersist()
         return []
     odds = F.log((F.col("toxic") + 0.5) / whole["toxic"]) - F.log((F.col("clean") + 0.5) / whole["clean"])
     gain = odds * F.sqrt("texts")
-    best = counts.filter("stem <> ''").filter(odds > MIN_ODDS).withColumn("gain", gain).filter(F.col("gain") > MIN_GAIN).groupBy(
-        "clean", "toxic", "texts", "gain", F.substring("stem", 1, min(PREFIXES)).alias("start")).agg(F.min(F.struct(F.length("stem"), "stem")).alias("least"))
-    found = [row["stem"] for row in best.select("least.stem", "gain").orderBy(F.desc("gain"), "stem").limit(size).collect()]
+    found: list[str] = []
+    for least_odds, least_gain in ((MIN_ODDS, min(MIN_GAIN, GAIN_SHARE * toxic_texts**0.5)), (0.0, 0.0)):
+        if found:
+            break
+        best = counts.filter("stem <> ''").filter(odds > least_odds).withColumn("gain", gain).filter(F.col("gain") > least_gain).groupBy(
+            "clean", "toxic", "texts", "gain", F.substring("stem", 1, min(PREFIXES)).alias("start")).agg(
+            F.min(F.struct(F.length("stem"), "stem")).alias("least"))
+        found = [row["stem"] for row in best.select("least.stem", "gain").orderBy(F.desc("gain"), "stem").limit(size).collect()]
     counts.unpersist()
     return found
 
@@ -201,7 +209,7 @@ def fit_linear(rows: list[tuple[list[int], list[float]]], target: np.ndarray, wi
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model | None:
-    """The classifier; None if the sample lacks one of the classes."""
+    """The classifier; None if the sample lacks one of the classes, or no stem speaks for toxic."""
     sampled = sample(docs, labels, size).persist()
     try:
         known = stems(sampled)

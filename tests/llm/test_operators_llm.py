@@ -380,6 +380,15 @@ def test_toxicity_sample_is_bounded_in_rows(spark, documents):
     assert toxicity.sample(docs, labels, 10).count() == 10
 
 
+def test_toxicity_learns_from_few_labels(spark, documents):
+    rng = np.random.default_rng(9)
+    words = [[str(w) for w in rng.choice([f"plain{i}" for i in range(80)], 30)] for _ in range(60)]
+    docs = documents([(i, " ".join([*w[:28], "vileword", "vileword"] if i % 6 == 0 else w)) for i, w in enumerate(words)])
+    labels = spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    rows = toxicity.score(docs, labels).collect()
+    assert min(r["score"] for r in rows if r["doc_id"] % 6 == 0) > max(r["score"] for r in rows if r["doc_id"] % 6)
+
+
 def test_label_model_weighs_correlated_voters_once():
     rng = np.random.default_rng(6)
     truth = rng.random(4000) < 0.3
