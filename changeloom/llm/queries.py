@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changeloom.llm import contamination, exact, lines, lm, mixing, near, pages, pii, tokens, toxicity
+from changeloom.llm import contamination, exact, lines, lm, mixing, near, packing, pages, pii, tokens, toxicity
 from changeloom.llm.tables import read
 
 
@@ -51,6 +51,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(read(spark, sf_dir, "documents")))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fuzzy_lines": op1,
     "op2_main_text": op2,
@@ -62,4 +66,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8,
     "op9_lattice_score": op9,
     "op10_personal_data": op10,
+    "op13_pack_along_curve": op13,
 }
