@@ -136,9 +136,39 @@ FROM texts LEFT JOIN hit USING (row) LEFT JOIN listed USING (row)
 """
 
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+phrases AS (
+    SELECT lang, k, unnest([array_to_string(w[i : i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+    FROM cut, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(w) >= k),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM phrases GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+often AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE f >= 30),
+cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, j, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.f) // (x.f + y.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM often WHERE k > 1) AS c
+    JOIN often AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : j], ' ')
+    JOIN often AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1 : c.k], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+    SELECT lang, f, array_to_string(w[i : i + s - 1], ' ') AS phrase
+    FROM (SELECT lang, f, w, s, unnest(range(1, k - s + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS s FROM often WHERE k > 2))),
+covered AS (SELECT lang, phrase, max(f) AS f FROM inside GROUP BY ALL),
+listed AS (
+    SELECT best.* FROM best LEFT JOIN covered USING (lang, phrase) WHERE covered.f IS NULL OR 100 * covered.f < 80 * best.a
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM listed JOIN totals USING (lang)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_mix_sources": mixing(),
     "op8_decontaminate": contamination(),
     "op6_exact_dedup": EXACT,
     "op10_personal_data": PII,
+    "op11_collocations": COLLOCATIONS,
 }

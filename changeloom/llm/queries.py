@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changeloom.llm import contamination, exact, lines, lm, mixing, near, packing, pages, pii, repair, tokens, toxicity
+from changeloom.llm import collocations, contamination, exact, lines, lm, mixing, near, packing, pages, pii, repair, tokens, toxicity
 from changeloom.llm.tables import read
 
 
@@ -51,6 +51,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(read(spark, sf_dir, "documents")))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(read(spark, sf_dir, "conversations"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8,
     "op9_lattice_score": op9,
     "op10_personal_data": op10,
+    "op11_collocations": op11,
     "op12_repair_conversations": op12,
     "op13_pack_along_curve": op13,
 }
