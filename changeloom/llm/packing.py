@@ -8,6 +8,7 @@ that documents near each other on it have similar tokens. The documents are laid
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +26,13 @@ END = 2
 #: Slots of a document's hashed vector, dimensions of the curve and bits per dimension.
 SLOTS, DIMENSIONS, BITS = 256, 4, 12
 #: Words whose ids a task remembers, characters of the longest of them, and ids in one batch that a task hands on.
-REMEMBERED, LONG, HANDED = 200_000, 64, 1 << 22
+REMEMBERED, LONG, HANDED = 300_000, 64, 1 << 22
+#: Texts of printable ASCII, white space and the letters of Latin-1 that have one lower-case letter and no other form.
+PLAIN = re.compile(r"[\x20-\x7E\n\t\rÀ-ÖØ-öø-ÿ]*")
+#: The pre-tokens of such a text, in lower case: endings, letters, single digits, signs.
+RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~]+")
+#: Words that are encoded together.
+ENCODED = 10_000
 
 
 class Words:
@@ -38,30 +45,61 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         self._tokenizer = Tokenizer.from_file(file)
         self._tokenizer.no_truncation(), self._tokenizer.no_padding()
-        self.kind = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.size = self._tokenizer.get_vocab_size()
+        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self._known: dict[str, bytes] = {}
         probes = ("a b", "It's  1\n2\tword", "x ́y", "ΑΣ ΑΣ", "a <|endoftext|> b")
         self._by_word = all(self._ids(probe) == [i for word in probe.split() for i in self._ids(word)] for probe in probes)
+        # for plain texts, the model alone: what stands before it only makes them lower case and parts the runs
+        self._bare = Tokenizer(self._tokenizer.model)
+        probes = ("Word it's 12 x2y", "Été!? straßE... (_) ÿ~ zz|> `a` 'tis ''s don't.'S we'LL,;", "A-1's\t$3.50\r\n", "Antidisestablishmentarianism")
+        self._plain = all(self._ids(p) == [i for run in RUNS.findall(p.lower()) for i in self._bare.encode(_in_signs(run)).ids] for p in probes)
+        special = self._tokenizer.get_added_tokens_decoder().values()
+        self._special = re.compile("|".join(re.escape(t.content) for t in special)) if special else None
 
     def _ids(self, text: str) -> list[int]:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _cut(self, text: str) -> tuple[bool, list[str]]:
+        """Whether a text is plain, and its parts: runs, or words, or the whole."""
+        if self._plain and PLAIN.fullmatch(text) and not (self._special and self._special.search(text)):
+            return True, RUNS.findall(text.lower())
+        # of the characters that the tokenizer takes for white space, those that surely part words
+        return False, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if self._by_word else [text]
+
+    def _learn(self, parts: list[str], runs: bool) -> None:
+        encode = (self._bare if runs else self._tokenizer).encode_batch_fast
+        for at in range(0, len(parts), ENCODED):
+            some = parts[at : at + ENCODED]
+            for part, found in zip(some, encode(list(map(_in_signs, some)) if runs else some, add_special_tokens=False)):
+                self._known[part] = np.array(found.ids, self.kind).tobytes()
+
     def of(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        # of the characters that the tokenizer takes for white space, those that surely part words
-        cut = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if self._by_word else [text] for text in texts]
         if len(self._known) > REMEMBERED:
             self._known.clear()
-        new = list({word for words in cut for word in words} - self._known.keys())
-        found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self._known.update(zip(new, (np.array(e.ids, self.kind).tobytes() for e in found)))
-        ids = [np.frombuffer(b"".join(map(self._known.__getitem__, words)), self.kind) for words in cut]
-        for word in new:
-            if len(word) > LONG:
-                del self._known[word]
+        cut = [self._cut(text) for text in texts]
+        long = []
+        for runs in (True, False):  # a run has the same ids as a word of its own
+            new = list(set().union(*(parts for plain, parts in cut if plain == runs)) - self._known.keys())
+            self._learn(new, runs)
+            long += [part for part in new if len(part) > LONG]
+        ids = [np.frombuffer(b"".join(map(self._known.__getitem__, parts)), self.kind) for _, parts in cut]
+        for part in long:
+            del self._known[part]
         return ids
 
 
+def _in_signs(run: str) -> str:
+    """A run as the model sees it: one printable sign per byte of its UTF-8, as byte-level vocabularies write them."""
+    return run if run.isascii() else run.encode().decode("latin-1").translate(_SIGNS)
+
+
+#: The bytes that are printable in Latin-1 stand for themselves; the others follow from 256 on, in order.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SIGNS = {byte: 256 + i for i, byte in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
+
+
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     """The place of each point (one row of whole numbers below 2**bits) on a Hilbert curve.
 
@@ -90,31 +128,33 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
-def _axes() -> np.ndarray:
-    """One direction per dimension, each slot a number between -1 and 1 that depends on nothing but its place."""
-    numbers = mixed(np.arange(SLOTS * DIMENSIONS, dtype=np.uint64) + np.uint64(1))
-    return (numbers >> np.uint64(11)).astype(np.float64).reshape(SLOTS, DIMENSIONS) / 2.0**52 - 1
+class Curve:
+    """The place of documents on the curve. A token adds one or takes one in its slot, by a hash of its id."""
 
+    def __init__(self, vocabulary: int) -> None:
+        hashes = mixed(np.arange(vocabulary, dtype=np.uint64) + np.uint64(1))
+        self._slot = (hashes % np.uint64(SLOTS)).astype(np.int64)
+        self._sign = np.where(hashes >> np.uint64(63), 1.0, -1.0)
+        # one direction per dimension: each slot a number between -1 and 1 that depends on nothing but its place
+        numbers = mixed(np.arange(SLOTS * DIMENSIONS, dtype=np.uint64) + np.uint64(1), 1)
+        self._axes = (numbers >> np.uint64(11)).astype(np.float64).reshape(SLOTS, DIMENSIONS) / 2.0**52 - 1
 
-def places(ids: list[np.ndarray], axes: np.ndarray) -> np.ndarray:
-    """The place of each document on the curve. Documents without tokens stand in the middle of the space."""
-    points = np.zeros((len(ids), DIMENSIONS))
-    for i, own in enumerate(ids):
-        tokens, n = np.unique(own, return_counts=True)
-        slots = mixed(tokens.astype(np.uint64))
-        sign = np.where(slots >> np.uint64(63), 1.0, -1.0)
-        vector = np.bincount((slots % np.uint64(SLOTS)).astype(np.int64), sign * np.log1p(n), SLOTS)
-        points[i] = vector @ axes / max(np.linalg.norm(vector), 1e-9)
-    # a projection of a unit vector is close to normal, with a deviation of a third in its square
-    spread = 0.5 + 0.5 * np.tanh(points * 1.4)
-    return hilbert(np.minimum(spread * (1 << BITS), (1 << BITS) - 1), BITS)
+    def places(self, ids: list[np.ndarray]) -> np.ndarray:
+        """The place of each document. Documents without tokens stand in the middle of the space."""
+        vectors = np.array([np.bincount(self._slot[own], self._sign[own], SLOTS) for own in ids]).reshape(len(ids), SLOTS)
+        vectors = np.sign(vectors) * np.log1p(np.abs(vectors))
+        points = vectors @ self._axes / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+        # a projection of a unit vector is close to normal, with a deviation of a third in its square
+        spread = 0.5 + 0.5 * np.tanh(points * 1.4)
+        return hilbert(np.minimum(spread * (1 << BITS), (1 << BITS) - 1), BITS)
 
 
 def encode(docs: DataFrame, file: str, end: int) -> DataFrame:
     """row, doc_id, n, curve, ids: the ids of each document with `end` behind them, and its place on the curve."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, axes = Words(file), _axes()
+        words = Words(file)
+        curve = Curve(words.size)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             at = 0
@@ -128,7 +168,7 @@ def encode(docs: DataFrame, file: str, end: int) -> DataFrame:
                 whole = [own.tobytes() + np.array([end], words.kind).tobytes() for own in found]
                 yield pa.record_batch(
                     [part.column("row"), part.column("doc_id"), pa.array([len(own) + 1 for own in found], pa.int64()),
-                     pa.array(places(found, axes), pa.int64()), pa.array(whole, pa.large_binary()).cast(pa.binary())],
+                     pa.array(curve.places(found), pa.int64()), pa.array(whole, pa.large_binary()).cast(pa.binary())],
                     names=["row", "doc_id", "n", "curve", "ids"])
                 at = upto
 

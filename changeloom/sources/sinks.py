@@ -6,11 +6,13 @@ import logging
 import threading
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeloom import schemas
 from changeloom.operators import activity
+from changeloom.sources.store import delete, folders
 
 LOG = logging.getLogger(__name__)
 #: Parts of a batch from this number on are its failed attempts.
@@ -19,6 +21,8 @@ RETRY_PART = 1000
 CONNECTOR_PART = 500
 #: The streams of one driver number their events one after another. Two drivers must not share a log.
 APPENDING = threading.Lock()
+#: The newest id of each log that this driver writes.
+NEWEST: dict[str, int] = {}
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -36,59 +40,80 @@ def write_dead_letters(letters: DataFrame, path: str, batch_id: int) -> None:
 class EventLog:
     """The activity log on files. Each write is a part of a batch and replaces that part when it is repeated.
 
-    Writing is best effort: a failure is logged and never fails the batch. Ids follow the newest one in the log.
+    Writing is best effort: a failure is logged and never fails the batch. Ids follow the newest one in the log, which is
+    read once and then kept. The folder of a part is named by its first id, so a part that is written again takes the
+    ids that it had: no reader sees its events anew, and they do not push later ones out of the log.
     Retention drops whole parts, at most once per `PRUNE_SECONDS`; `read` leaves out the rest of what is too old.
     """
 
     PRUNE_SECONDS = 60
+    PLACES = (T.StructField("batch_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("first_id", T.LongType()))
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
         self._pruned: datetime | None = None
 
-    def _folder(self, *below: str):
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *below]))
-        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _stored(self) -> DataFrame:
+        schema = T.StructType([*schemas.EVENT_LOG.fields, *self.PLACES])
+        known = folders(self.spark, self.path)
+        return self.spark.read.schema(schema).parquet(self.path) if known else schemas.empty(self.spark, schema)
 
     def stored(self) -> DataFrame:
         """Everything that is on files, with batch_id and part."""
-        folder, fs = self._folder()
-        places = [T.StructField("batch_id", T.LongType()), T.StructField("part", T.IntegerType())]
-        schema = T.StructType([*schemas.EVENT_LOG.fields, *places])
-        return self.spark.read.schema(schema).parquet(self.path) if fs.exists(folder) else schemas.empty(self.spark, schema)
+        return self._stored().drop("first_id")
 
     def read(self, now: datetime) -> DataFrame:
         return activity.prune(self.stored().drop("batch_id", "part"), now)
 
+    def _newest(self) -> int:
+        if self.path not in NEWEST or not folders(self.spark, self.path):
+            NEWEST[self.path] = self._stored().agg(F.max("id")).first()[0] or 0  # one number, once per driver
+        return NEWEST[self.path]
+
     def append(self, events: DataFrame, batch_id: int, part: int = 0) -> bool:
         try:
             with APPENDING:
-                others = self.stored().where(f"batch_id <> {batch_id} OR part <> {part}")
-                newest = others.agg({"id": "max"}).first()[0]  # the log is short: retention keeps it so
-                numbered = activity.number(events, newest or 0)
-                numbered.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}/part={part}")
+                place = f"{self.path}/batch_id={batch_id}/part={part}"
+                newest = self._newest()
+                before = [int(name[9:]) for name in folders(self.spark, place) if name.startswith("first_id=")]
+                if not before:
+                    self._write(events, place, newest + 1)
+                    return True
+                had = self.spark.read.parquet(f"{place}/first_id={before[0]}").agg(F.max("id")).first()[0] or before[0] - 1
+                last = self._write(events, place, before[0])
+                if last > had and newest > had:  # more events than it had, and others follow: all of them come anew
+                    self._write(events, place, newest + 1)
+                    delete(self.spark, f"{place}/first_id={before[0]}")
             return True
         except Exception:
             LOG.warning("activity events of batch %s not written", batch_id, exc_info=True)
             return False
 
+    def _write(self, events: DataFrame, place: str, first: int) -> int:
+        seen = Observation()
+        numbered = activity.number(events, first - 1).observe(seen, F.max("id").alias("last"))
+        numbered.write.mode("overwrite").parquet(f"{place}/first_id={first}")
+        last = seen.get["last"] or first - 1
+        NEWEST[self.path] = max(NEWEST[self.path], last)
+        return last
+
     def retries(self, batch_id: int) -> int:
         """How often a batch failed before."""
-        return self.stored().where(f"batch_id = {batch_id} AND part >= {RETRY_PART}").select("part").distinct().count()
+        return sum(int(name[5:]) >= RETRY_PART for name in folders(self.spark, f"{self.path}/batch_id={batch_id}") if name.startswith("part="))
 
     def prune(self, now: datetime) -> int:
-        """Delete the parts of which retention keeps no event; returns how many went."""
+        """Delete the parts of which retention keeps no event, but for the one with the newest; returns how many went."""
         if self._pruned is not None and (now - self._pruned).total_seconds() < self.PRUNE_SECONDS:
             return 0
         self._pruned = now
-        stored = self.stored()
-        kept = activity.prune(stored, now).select("batch_id", "part").distinct()
-        gone = stored.select("batch_id", "part").distinct().join(kept, ["batch_id", "part"], "left_anti").collect()
-        for row in gone:  # one row per part on files
-            folder, fs = self._folder(f"batch_id={row['batch_id']}", f"part={row['part']}")
-            fs.delete(folder, True)
-        return len(gone)
+        parts = self._stored().groupBy("batch_id", "part").agg(F.max("id").alias("last"), F.max("ts").alias("ts"))
+        newest = parts.agg(F.max("last")).scalar()
+        gone = activity.prune(parts.select("batch_id", "part", F.col("last").alias("id"), "ts"), now, newest, keep=False).where(F.col("id") < newest)
+        places = gone.select("batch_id", "part").collect()  # one row per part on files
+        for row in places:
+            delete(self.spark, f"{self.path}/batch_id={row['batch_id']}/part={row['part']}")
+        return len(places)
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -1,116 +1,154 @@
-"""The current-state table on plain files: one full version per applied batch, never changed once written.
+"""The current-state table, and the ledger of the batches that were merged into it.
 
-A version is the folder of one Spark write, committed by its _SUCCESS marker, so readers never see half a batch and a
-retried batch starts over in its own folder. With `buckets`, versions are bucketed and sorted by the key: a merge then
-shuffles only the incoming rows and reads the target in place. A merge still writes the whole table, so this store is a
-stand-in for small targets and tests: at scale, give the sync a `CatalogTarget`, which rewrites only what a batch touches.
+`PersonTable` is a folder of Parquet files, partitioned by tenant and by a hash of the id. A merge reads and writes the
+parts that its batch touches; all others keep their files. `CatalogTarget` is a table in a catalog with row-level changes.
 """
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeloom import schemas
 from changeloom.operators import merge as M
 from changeloom.schemas import KEY
 
+#: Parts per tenant of a small table. At scale choose it so that a part is one file of a few hundred megabytes.
+PARTS = 4
 
-class PersonStore:
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, keep: int | None = None):
-        """`keep` versions stay when a batch is applied; None keeps all."""
+
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, name: str) -> list[str]:
+    """The names of the folders in a folder; none where it does not exist."""
+    path, fs = _path(spark, name)
+    return sorted(e.getPath().getName() for e in fs.listStatus(path) if e.isDirectory()) if fs.exists(path) else []
+
+
+def delete(spark: SparkSession, name: str) -> None:
+    path, fs = _path(spark, name)
+    fs.delete(path, True)
+
+
+class Ledger:
+    """Which batches were merged, as ranges of batch ids: one row per range without gaps, whatever the target is.
+
+    A new row takes in the one that it follows, and is written before that goes; so a reader finds each batch at least once.
+    """
+
+    SCHEMA = T.StructType([T.StructField("first_batch", T.LongType()), T.StructField("applied_at", T.TimestampNTZType()),
+                           T.StructField("last_batch", T.LongType())])
+
+    def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.buckets = buckets
-        self.keep = keep
-
-    def _fs(self):
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def versions(self) -> list[tuple[int, int, int]]:
-        """Committed versions in order, as (batch, patch, buckets); 0 buckets means plain files."""
-        folder, fs = self._fs()
-        if not fs.exists(folder):
-            return []
-        found = []
-        for entry in fs.listStatus(folder):
-            name = entry.getPath().getName()
-            done = self.spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
-            if name.startswith("v_") and fs.exists(done):
-                batch, patch, buckets = (int(n) for n in name[2:].split("_"))
-                found.append((batch, patch, buckets))
-        return sorted(found)
-
-    def _folder(self, version: tuple[int, int, int]) -> str:
-        return f"{self.path}/v_{version[0]}_{version[1]}_{version[2]}"
-
-    def _table(self, version: tuple[int, int, int]) -> str:
-        digest = hashlib.sha1(self._folder(version).encode()).hexdigest()[:16]
-        return f"changeloom_person_{digest}"
-
-    def _load(self, version: tuple[int, int, int]) -> DataFrame:
-        folder = self._folder(version)
-        if not version[2]:
-            return self.spark.read.parquet(folder)
-        # The files carry their bucket numbers; a session that did not write them only needs the table definition.
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(folder).schema)
-        keys = ", ".join(KEY)
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self._table(version)} ({columns}) USING parquet "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {version[2]} BUCKETS LOCATION '{folder}'"
-        )
-        return self.spark.table(self._table(version))
-
-    def _write(self, df: DataFrame, version: tuple[int, int, int]) -> None:
-        folder = self._folder(version)
-        if not version[2]:
-            df.write.mode("overwrite").parquet(folder)
-            return
-        table = self._table(version)
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        writer = df.write.mode("overwrite").format("parquet").option("path", folder)
-        writer.bucketBy(version[2], *KEY).sortBy(*KEY).saveAsTable(table)
-
-    def read(self, before_batch: int | None = None) -> DataFrame:
-        """The newest version, or the newest one of an earlier batch; an empty table where there is none."""
-        known = [v for v in self.versions() if before_batch is None or v[0] < before_batch]
-        return self._load(known[-1]) if known else schemas.empty(self.spark, schemas.PERSON)
-
-    def last_batch(self) -> int:
-        known = self.versions()
-        return known[-1][0] if known else -1
+
+    def read(self) -> DataFrame:
+        """first_batch, last_batch, applied_at; ranges may overlap after a failure."""
+        known = self.spark.read.schema(self.SCHEMA).parquet(self.path) if folders(self.spark, self.path) else schemas.empty(self.spark, self.SCHEMA)
+        return known.select("first_batch", "last_batch", "applied_at")
+
+    def ranges(self) -> list[tuple[int, int]]:
+        return sorted((row["first_batch"], row["last_batch"]) for row in self.read().collect())  # a row per range
+
+    def last(self) -> int:
+        return max((last for _, last in self.ranges()), default=-1)
+
+    def holds(self, batch_id: int) -> bool:
+        return any(first <= batch_id <= last for first, last in self.ranges())
+
+    def record(self, first: int, last: int, now: datetime) -> None:
+        before = [r for r in self.ranges() if r[0] <= first <= r[1] + 1]
+        start = min([first, *(r[0] for r in before)])
+        row = self.spark.range(1).select(F.lit(start).cast("bigint").alias("first_batch"), F.lit(now).cast("timestamp_ntz").alias("applied_at"))
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/last_batch={last}")
+        for _, old in before:
+            if old != last:
+                delete(self.spark, f"{self.path}/last_batch={old}")
+
+
+class PersonTable:
+    """The current-state table on files, with one folder per tenant and hash of the id.
+
+    A batch is merged in two steps. The touched parts are written as they are to be, to a folder of their own; once that is
+    complete (its `_SUCCESS` file), Spark's dynamic overwrite puts them in place. A retry after the first step only repeats
+    the second, so that a part that was being replaced is not lost. A reader in the middle of the second step may miss a
+    part; where that matters, use a `CatalogTarget`. The number of parts is that of the first write, kept in the path.
+    """
+
+    PLACE = ["tenant_id", "part"]
+
+    def __init__(self, spark: SparkSession, path: str, parts: int = PARTS):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        known = [int(name[6:]) for name in folders(spark, self.path) if name.startswith("parts=")]
+        self.parts = known[0] if known else parts
+        self.data = f"{self.path}/parts={self.parts}"
+
+    def part(self, key: str = "legacy_id") -> Column:
+        return F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(self.parts)).cast("int")
+
+    def stored(self) -> DataFrame:
+        """The table with the part of each row."""
+        if not folders(self.spark, self.data):
+            return schemas.empty(self.spark, schemas.PERSON).withColumn("part", F.lit(None).cast("int"))
+        # files that were written before a column came up do not have it
+        return self.spark.read.option("mergeSchema", "true").schema(self._schema()).parquet(self.data)
+
+    def _schema(self) -> T.StructType:
+        found = self.spark.read.option("mergeSchema", "true").parquet(self.data).schema
+        kinds = {f.name: f for f in found} | {f.name: f for f in schemas.PERSON} | {"part": T.StructField("part", T.IntegerType())}
+        order = [*M.PERSON_COLUMNS, *(c for c in found.names if c not in M.PERSON_COLUMNS and c != "part"), "part"]
+        return T.StructType([kinds[c] for c in order])
+
+    def read(self) -> DataFrame:
+        return self.stored().drop("part")
+
+    def touched(self, staging: DataFrame, delete_mode: str = "dead_letter") -> list[tuple[str, int]]:
+        """The parts that a batch changes: no more than the table has parts."""
+        keys = M.accepted(staging, delete_mode).select("tenant_id", self.part("source_id").alias("part"))
+        return sorted((row["tenant_id"], row["part"]) for row in keys.distinct().collect())
 
     def apply_batch(self, staging: DataFrame, batch_id: int, now: datetime, delete_mode: str = "dead_letter") -> bool:
-        """Merge one batch. A batch that was applied already is skipped, so that a retry keeps later patches."""
-        if any(v[0] >= batch_id for v in self.versions()):
+        """Merge one batch; repeating it gives the same rows."""
+        touched = self.touched(staging, delete_mode)
+        if not touched:
             return False
-        target = self.read(before_batch=batch_id)
-        self._write(M.merge(target, staging, now, delete_mode), (batch_id, 0, self.buckets or 0))
-        if self.keep:
-            self.vacuum(self.keep)
+        of = {tenant: [p for t, p in touched if t == tenant] for tenant, _ in touched}
+        where = F.lit(False)
+        for tenant, parts in of.items():  # both are folder names, so only these folders are listed and read
+            where = where | ((F.col("tenant_id") == tenant) & F.col("part").isin(parts))
+        self._replace(lambda: M.merge(self.stored().where(where).drop("part"), staging, now, delete_mode), f"batch_{batch_id}", touched)
         return True
 
     def patch(self, change: Callable[[DataFrame], DataFrame]) -> None:
-        """Rewrite the newest version through `change`: target-only writes go here, between batches."""
-        known = self.versions()
-        batch, number = (known[-1][0], known[-1][1] + 1) if known else (-1, 0)
-        self._write(change(self.read()), (batch, number, self.buckets or 0))
-
-    def vacuum(self, keep: int = 2) -> int:
-        """Delete all but the newest versions; keep at least the one that readers may still be scanning."""
-        _, fs = self._fs()
-        old = self.versions()[: -max(keep, 1)]
-        for version in old:
-            if version[2]:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(version)}")
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(version)), True)
-        return len(old)
+        """Rewrite the table through `change`: target-only writes go here, between batches."""
+        parts = [(tenant[10:], int(part[5:])) for tenant in folders(self.spark, self.data) if tenant.startswith("tenant_id=")
+                 for part in folders(self.spark, f"{self.data}/{tenant}")]
+        self._replace(lambda: change(self.read()), f"patch_{uuid.uuid4().hex}", parts)
+
+    def _replace(self, rows: Callable[[], DataFrame], name: str, touched: list[tuple[str, int]]) -> None:
+        pending = f"{self.path}/_pending/{name}"
+        done, fs = _path(self.spark, f"{pending}/_SUCCESS")
+        if not fs.exists(done):
+            placed = rows().withColumn("part", self.part()).repartition(*self.PLACE)  # one task per part, one file each
+            placed.write.mode("overwrite").partitionBy(*self.PLACE).parquet(pending)
+        left = {(tenant[10:], int(part[5:])) for tenant in folders(self.spark, pending) for part in folders(self.spark, f"{pending}/{tenant}")}
+        if left:
+            ready = self.spark.read.option("mergeSchema", "true").option("basePath", pending).parquet(pending)
+            ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.PLACE).parquet(self.data)
+        for tenant, part in touched:  # a part whose last row was deleted has nothing to overwrite it with
+            if (tenant, part) not in left:
+                delete(self.spark, f"{self.data}/tenant_id={tenant}/part={part}")
+        delete(self.spark, pending)
 
 
 def merge_into_sql(table: str, source: str, columns: list[str], delete_mode: str = "dead_letter") -> str:
@@ -141,19 +179,17 @@ class CatalogTarget:
     """The current-state table in a catalog with row-level changes (Delta, Iceberg; needs its connector).
 
     A merge rewrites only what a batch touches, so its cost follows the batch and not the table. Repeating a batch
-    changes nothing, so none has to be skipped.
+    changes nothing; which batches were merged is the ledger's business. `execute` runs the statement, by default in the session.
     """
 
-    def __init__(self, spark: SparkSession, table: str):
+    def __init__(self, spark: SparkSession, table: str, execute: Callable[[str], object] | None = None):
         self.spark = spark
         self.table = table
+        self.execute = execute or spark.sql
 
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def last_batch(self) -> int:
-        return -1
-
     def apply_batch(self, staging: DataFrame, batch_id: int, now: datetime, delete_mode: str = "dead_letter") -> bool:
         stamp = F.lit(now).cast("timestamp_ntz")
         incoming = M.map_columns(M.latest_per_key(M.accepted(staging, delete_mode))).withColumns(
@@ -162,7 +198,7 @@ class CatalogTarget:
         incoming.createOrReplaceTempView(view)
         try:
             columns = [c for c in incoming.columns if c not in ("operation", "had_delete")]
-            self.spark.sql(merge_into_sql(self.table, view, columns, delete_mode))
+            self.execute(merge_into_sql(self.table, view, columns, delete_mode))
         finally:
             self.spark.catalog.dropTempView(view)
         return True
