@@ -201,11 +201,15 @@ def failures_of(batch: DataFrame, dimension: DataFrame, attempt: int, ts: dateti
         "topic", "partition", "offset", "tenant_id", F.lit(ts).cast("timestamp_ntz").alias("ts"), F.lit(attempt).alias("attempt"))
 
 
-def prune(log: DataFrame, now: datetime) -> DataFrame:
-    """The events that retention keeps: younger than the age limit, and within the id distance of the newest one."""
-    newest = log.agg(F.max("id")).scalar()
+def prune(log: DataFrame, now: datetime, newest: Column | None = None, keep: bool = True) -> DataFrame:
+    """The events that retention keeps: younger than the age limit, and within the id distance of the newest one.
+
+    With `keep=False` those that it deletes. `newest` is the newest id, if `log` does not hold the events themselves.
+    """
+    newest = log.agg(F.max("id")).scalar() if newest is None else newest
     cutoff = F.lit(now).cast("timestamp_ntz") - F.expr(f"INTERVAL {MAX_AGE}")
-    return log.where(~((F.col("ts") < cutoff) | (F.col("id") <= newest - MAX_ROWS)))
+    gone = (F.col("ts") < cutoff) | (F.col("id") <= newest - MAX_ROWS)
+    return log.where(~gone if keep else gone)
 
 
 def first_event_ids(log: DataFrame, by: list[str] | None = None) -> DataFrame:

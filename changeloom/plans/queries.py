@@ -6,7 +6,6 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +24,7 @@ from changeloom.schemas import DATA_COLUMNS, KEY
 from changeloom.sources import changes as S
 from changeloom.sources import sinks
 from changeloom.sources import tables as T
-from changeloom.sources.store import PersonStore
+from changeloom.sources.store import PersonTable
 from changeloom.streaming import connectors as stream_connectors
 from changeloom.streaming import sync as stream_sync
 
@@ -527,20 +526,20 @@ def record_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sync whose target refuses each batch twice before it takes it: the failed attempts that the log holds."""
-    folder = session.fresh_folder(spark, "retries")
-    for half in T.halves(_events(spark, sf_dir)):
-        T.change_feed(half).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
-    feed = S.read_changes(spark, {"format": "parquet", "path": f"{folder}/feed", "max_files": 1}, stream=True)
-    target = T.Stubborn(PersonStore(spark, f"{folder}/sync/person"), 2)
-    for _ in range(8):
-        query = stream_sync.start_sync(feed, f"{folder}/sync", clock=lambda: Y.FIRST_SYNC, interval=None, target=target)
-        try:
-            query.awaitTermination()
-            break
-        except StreamingQueryException:
-            continue  # the next start reads the batch again
-    return A.retry_counts(sinks.EventLog(spark, f"{folder}/sync/events").stored())
+    """The failed attempts in a log whose batches, one per half of the feed, were each tried three times.
+
+    Each attempt writes the events of its batch again, which keep the ids that they got first.
+    """
+    log = sinks.EventLog(spark, session.fresh_folder(spark, "retries"))
+    dimension = schemas.tenants(spark)
+    for number, half in enumerate(T.halves(_messages(spark, sf_dir))):
+        feed = T.change_feed(half)
+        consumed = session.written(A.consumer_events(D.decode(feed, dimension)), "retried-events")
+        for attempt in range(1, 4):
+            log.append(consumed, number)
+            if attempt < 3:
+                log.append(A.retry_events(A.failures_of(feed, dimension, attempt, Y.FIRST_SYNC)), number, sinks.RETRY_PART + attempt)
+    return A.retry_counts(log.stored())
 
 
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -553,7 +552,7 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sync as a stream over files: half of the feed, a target-only write, and the rest after a restart."""
     folder = session.fresh_folder(spark, "stream-merge")
     source = f"{folder}/feed"
-    store = PersonStore(spark, f"{folder}/sync/person")
+    store = PersonTable(spark, f"{folder}/sync/person")
     halves = T.halves(_events(spark, sf_dir))
     for number, (half, now) in enumerate(zip(halves, (Y.FIRST_SYNC, Y.SECOND_SYNC))):
         T.change_feed(half).write.mode("append").parquet(source)
@@ -569,7 +568,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the feed, a target-only write, and then a new checkpoint on the same tables, which reads all of it."""
     folder = session.fresh_folder(spark, "stream-replay")
     source = f"{folder}/feed"
-    store = PersonStore(spark, f"{folder}/sync/person")
+    store = PersonTable(spark, f"{folder}/sync/person")
     for number, (half, now) in enumerate(zip(T.halves(_events(spark, sf_dir)), (Y.FIRST_SYNC, Y.SECOND_SYNC))):
         T.change_feed(half).write.mode("append").parquet(source)
         feed = S.read_changes(spark, {"format": "parquet", "path": source}, stream=True)

@@ -42,6 +42,7 @@ class Ledger:
     """Which batches were merged, as ranges of batch ids: one row per range without gaps, whatever the target is.
 
     A new row takes in the one that it follows, and is written before that goes; so a reader finds each batch at least once.
+    One driver writes a ledger; it reads the ranges once and then keeps them.
     """
 
     SCHEMA = T.StructType([T.StructField("first_batch", T.LongType()), T.StructField("applied_at", T.TimestampNTZType()),
@@ -50,6 +51,7 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._ranges: list[tuple[int, int]] | None = None
 
     def read(self) -> DataFrame:
         """first_batch, last_batch, applied_at; ranges may overlap after a failure."""
@@ -57,7 +59,9 @@ class Ledger:
         return known.select("first_batch", "last_batch", "applied_at")
 
     def ranges(self) -> list[tuple[int, int]]:
-        return sorted((row["first_batch"], row["last_batch"]) for row in self.read().collect())  # a row per range
+        if self._ranges is None:
+            self._ranges = sorted((row["first_batch"], row["last_batch"]) for row in self.read().collect())  # a row per range
+        return self._ranges
 
     def last(self) -> int:
         return max((last for _, last in self.ranges()), default=-1)
@@ -73,18 +77,22 @@ class Ledger:
         for _, old in before:
             if old != last:
                 delete(self.spark, f"{self.path}/last_batch={old}")
+        self._ranges = sorted([*(r for r in self.ranges() if r not in before), (start, last)])
 
 
 class PersonTable:
     """The current-state table on files, with one folder per tenant and hash of the id.
 
-    A batch is merged in two steps. The touched parts are written as they are to be, to a folder of their own; once that is
-    complete (its `_SUCCESS` file), Spark's dynamic overwrite puts them in place. A retry after the first step only repeats
-    the second, so that a part that was being replaced is not lost. A reader in the middle of the second step may miss a
-    part; where that matters, use a `CatalogTarget`. The number of parts is that of the first write, kept in the path.
+    A batch is merged in two steps. The touched parts are written as they are to be, to a folder of their own, then the list
+    of those parts; once both are complete, Spark's dynamic overwrite puts them in place. What a failure leaves between
+    the steps is put in place before the next change, so that a part that was being replaced is not lost. A reader in
+    the middle of the second step may miss a part; where that matters, use a `CatalogTarget`. The number of parts is that
+    of the first write, kept in the path; the columns are those of an empty table beside the parts, as files that were
+    written before a column came up do not have it.
     """
 
     PLACE = ["tenant_id", "part"]
+    TOUCHED = "tenant_id STRING, part INT"
 
     def __init__(self, spark: SparkSession, path: str, parts: int = PARTS):
         self.spark = spark
@@ -92,22 +100,25 @@ class PersonTable:
         known = [int(name[6:]) for name in folders(spark, self.path) if name.startswith("parts=")]
         self.parts = known[0] if known else parts
         self.data = f"{self.path}/parts={self.parts}"
+        self.pending = f"{self.path}/_pending"
+        self.columns = f"{self.path}/_columns"
 
     def part(self, key: str = "legacy_id") -> Column:
         return F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(self.parts)).cast("int")
 
+    def _schema(self) -> T.StructType:
+        known = [name for name in folders(self.spark, self.path) if name == "_columns"]
+        return self.spark.read.parquet(self.columns).schema if known else schemas.PERSON
+
+    def _files(self, path: str) -> DataFrame:
+        schema = T.StructType([*self._schema().fields, T.StructField("part", T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(path).select(schema.names)
+
     def stored(self) -> DataFrame:
         """The table with the part of each row."""
         if not folders(self.spark, self.data):
             return schemas.empty(self.spark, schemas.PERSON).withColumn("part", F.lit(None).cast("int"))
-        # files that were written before a column came up do not have it
-        return self.spark.read.option("mergeSchema", "true").schema(self._schema()).parquet(self.data)
-
-    def _schema(self) -> T.StructType:
-        found = self.spark.read.option("mergeSchema", "true").parquet(self.data).schema
-        kinds = {f.name: f for f in found} | {f.name: f for f in schemas.PERSON} | {"part": T.StructField("part", T.IntegerType())}
-        order = [*M.PERSON_COLUMNS, *(c for c in found.names if c not in M.PERSON_COLUMNS and c != "part"), "part"]
-        return T.StructType([kinds[c] for c in order])
+        return self._files(self.data)
 
     def read(self) -> DataFrame:
         return self.stored().drop("part")
@@ -118,37 +129,48 @@ class PersonTable:
         return sorted((row["tenant_id"], row["part"]) for row in keys.distinct().collect())
 
     def apply_batch(self, staging: DataFrame, batch_id: int, now: datetime, delete_mode: str = "dead_letter") -> bool:
-        """Merge one batch; repeating it gives the same rows."""
+        """Merge one batch; repeating it gives the same rows. Which batches were merged is the ledger's business."""
+        self._finish()
         touched = self.touched(staging, delete_mode)
         if not touched:
             return False
-        of = {tenant: [p for t, p in touched if t == tenant] for tenant, _ in touched}
         where = F.lit(False)
-        for tenant, parts in of.items():  # both are folder names, so only these folders are listed and read
-            where = where | ((F.col("tenant_id") == tenant) & F.col("part").isin(parts))
-        self._replace(lambda: M.merge(self.stored().where(where).drop("part"), staging, now, delete_mode), f"batch_{batch_id}", touched)
+        for tenant in sorted({tenant for tenant, _ in touched}):  # both are folder names, so only these folders are read
+            where = where | ((F.col("tenant_id") == tenant) & F.col("part").isin([p for t, p in touched if t == tenant]))
+        self._replace(M.merge(self.stored().where(where).drop("part"), staging, now, delete_mode), f"batch_{batch_id}", touched)
         return True
 
     def patch(self, change: Callable[[DataFrame], DataFrame]) -> None:
         """Rewrite the table through `change`: target-only writes go here, between batches."""
+        self._finish()
         parts = [(tenant[10:], int(part[5:])) for tenant in folders(self.spark, self.data) if tenant.startswith("tenant_id=")
                  for part in folders(self.spark, f"{self.data}/{tenant}")]
-        self._replace(lambda: change(self.read()), f"patch_{uuid.uuid4().hex}", parts)
-
-    def _replace(self, rows: Callable[[], DataFrame], name: str, touched: list[tuple[str, int]]) -> None:
-        pending = f"{self.path}/_pending/{name}"
-        done, fs = _path(self.spark, f"{pending}/_SUCCESS")
-        if not fs.exists(done):
-            placed = rows().withColumn("part", self.part()).repartition(*self.PLACE)  # one task per part, one file each
-            placed.write.mode("overwrite").partitionBy(*self.PLACE).parquet(pending)
-        left = {(tenant[10:], int(part[5:])) for tenant in folders(self.spark, pending) for part in folders(self.spark, f"{pending}/{tenant}")}
-        if left:
-            ready = self.spark.read.option("mergeSchema", "true").option("basePath", pending).parquet(pending)
-            ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.PLACE).parquet(self.data)
-        for tenant, part in touched:  # a part whose last row was deleted has nothing to overwrite it with
-            if (tenant, part) not in left:
-                delete(self.spark, f"{self.data}/tenant_id={tenant}/part={part}")
-        delete(self.spark, pending)
+        self._replace(change(self.read()), f"patch_{uuid.uuid4().hex}", parts)
+
+    def _replace(self, rows: DataFrame, name: str, touched: list[tuple[str, int]]) -> None:
+        if rows.schema.names != self._schema().names or not folders(self.spark, self.data):
+            rows.limit(0).coalesce(1).write.mode("overwrite").parquet(self.columns)
+        placed = rows.withColumn("part", self.part()).repartition(*self.PLACE)  # one task per part, one file each
+        placed.write.mode("overwrite").partitionBy(*self.PLACE).parquet(f"{self.pending}/{name}/rows")
+        parts = self.spark.createDataFrame(touched, self.TOUCHED).coalesce(1)
+        parts.write.mode("overwrite").parquet(f"{self.pending}/{name}/touched")
+        self._finish()
+
+    def _finish(self) -> None:
+        """Put in place what was written in full, and delete what was not."""
+        for name in folders(self.spark, self.pending):
+            place = f"{self.pending}/{name}"
+            done, fs = _path(self.spark, f"{place}/touched/_SUCCESS")
+            if fs.exists(done):
+                left = {(tenant[10:], int(part[5:])) for tenant in folders(self.spark, f"{place}/rows")
+                        for part in folders(self.spark, f"{place}/rows/{tenant}")}
+                if left:
+                    ready = self._files(f"{place}/rows").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                    ready.partitionBy(*self.PLACE).parquet(self.data)
+                for row in self.spark.read.schema(self.TOUCHED).parquet(f"{place}/touched").collect():  # a row per part
+                    if (row["tenant_id"], row["part"]) not in left:  # its last row was deleted
+                        delete(self.spark, f"{self.data}/tenant_id={row['tenant_id']}/part={row['part']}")
+            delete(self.spark, place)
 
 
 def merge_into_sql(table: str, source: str, columns: list[str], delete_mode: str = "dead_letter") -> str:

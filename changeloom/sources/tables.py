@@ -217,22 +217,3 @@ def connector_polls(events: DataFrame) -> DataFrame:
         F.when(up, state).alias("state"),
         F.when(up, task).alias("tasks"),
     )
-
-
-class Stubborn:
-    """A target that refuses each batch `refusals` times before it takes it."""
-
-    def __init__(self, target, refusals: int):
-        self.spark = target.spark
-        self.target = target
-        self.refusals = refusals
-        self.tries: dict[int, int] = {}
-
-    def last_batch(self) -> int:
-        return self.target.last_batch()
-
-    def apply_batch(self, staging: DataFrame, batch_id: int, *rest) -> bool:
-        self.tries[batch_id] = self.tries.get(batch_id, 0) + 1
-        if self.tries[batch_id] <= self.refusals:
-            raise RuntimeError(f"batch {batch_id} is refused")
-        return self.target.apply_batch(staging, batch_id, *rest)

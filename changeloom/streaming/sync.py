@@ -1,22 +1,29 @@
 """The sync as a stream: decode each micro-batch, write its outcomes, merge it into the current-state table.
 
-Every write of a batch goes to a folder named by its number, and the merge skips a batch that was applied, so a batch
+Every write of a batch goes to a folder named by its number, and a ledger names the batches that were merged, so a batch
 that is retried after a failure leaves the same result. Offsets are committed by the checkpoint, after the batch.
 """
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeloom import schemas
 from changeloom.operators import activity, decode, merge
 from changeloom.sources import sinks
-from changeloom.sources.store import CatalogTarget, PersonStore
+from changeloom.sources.store import PARTS, CatalogTarget, Ledger, PersonTable, folders
+
+LOG = logging.getLogger(__name__)
+#: What `catch_up` merges at once, in staged rows.
+CHUNK_ROWS = 10_000_000
 
 
 def utc_now() -> datetime:
@@ -32,10 +39,11 @@ class Tables:
         self.dead_letters = f"{folder}/dead_letters"
         self.events = f"{folder}/events"
         self.person = f"{folder}/person"
+        self.merged = f"{folder}/merged"
         self.checkpoint = checkpoint or f"{folder}/checkpoint"
 
 
-def first_batch(spark: SparkSession, tables: Tables, target) -> int:
+def first_batch(spark: SparkSession, tables: Tables) -> int:
     """The number of the first batch of a checkpoint.
 
     Spark counts the batches of each checkpoint from 0. A new checkpoint on existing tables goes on after the last
@@ -46,11 +54,8 @@ def first_batch(spark: SparkSession, tables: Tables, target) -> int:
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(path):
         return int(spark.read.text(path.toString()).first()[0])
-    known = [target.last_batch()]
-    staging = spark._jvm.org.apache.hadoop.fs.Path(tables.staging)
-    if fs.exists(staging):
-        names = [entry.getPath().getName() for entry in fs.listStatus(staging)]
-        known += [int(name.split("=")[1]) for name in names if name.startswith("batch_id=")]
+    known = [Ledger(spark, tables.merged).last()]
+    known += [int(name[9:]) for name in folders(spark, tables.staging) if name.startswith("batch_id=")]
     out = fs.create(path)
     out.writeBytes(str(max(known) + 1))
     out.close()
@@ -62,6 +67,7 @@ def batch_function(
 ) -> Callable[[DataFrame, int], None]:
     """What the stream does with each micro-batch. Batches are numbered from `first` on."""
     log = sinks.EventLog(target.spark, tables.events)
+    ledger = Ledger(target.spark, tables.merged)
 
     def handle(batch: DataFrame, number: int, known: DataFrame) -> None:
         spark = batch.sparkSession
@@ -79,7 +85,9 @@ def batch_function(
         started = time.monotonic()
         log.append(activity.merge_started(spark, clock()), number, 1)
         try:
-            target.apply_batch(written, number, clock(), delete_mode)
+            if not ledger.holds(number):
+                target.apply_batch(written, number, clock(), delete_mode)
+                ledger.record(number, number, clock())
         except Exception as error:
             log.append(activity.merge_failed(spark, clock(), f"{type(error).__name__}: {error}"[:2000]), number, 2)
             raise
@@ -108,30 +116,70 @@ def start_sync(
     clock: Callable[[], datetime] = utc_now,
     delete_mode: str = "dead_letter",
     interval: str | None = "1 second",
-    buckets: int | None = None,
-    keep: int | None = 2,
-    target: CatalogTarget | PersonStore | None = None,
+    parts: int = PARTS,
+    target: CatalogTarget | PersonTable | None = None,
     checkpoint: str | None = None,
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
     """Start the sync of a streaming change feed. With `interval=None` it handles what is there and stops.
 
-    `target` is the current-state table: a `CatalogTarget` at scale; without one, files below `folder`, of which `keep`
-    versions stay. A new `checkpoint` reads the feed from its start again and goes on with the tables as they are.
+    `target` is the current-state table; without one, files below `folder`, in `parts` parts per tenant. A new
+    `checkpoint` reads the feed from its start again and goes on with the tables as they are. `repeats_within` drops
+    messages that the feed repeats within that time, so that staging and the log hold each once; the state that this
+    takes is bounded by the same time. Without it a repeat is staged again; the merge gives the same rows either way.
     """
     spark = changes.sparkSession
     tables = Tables(folder, checkpoint)
-    store = target or PersonStore(spark, tables.person, buckets, keep)
-    run = batch_function(store, tables, dimension, clock, delete_mode, first_batch(spark, tables, store))
-    writer = changes.writeStream.foreachBatch(run).option("checkpointLocation", tables.checkpoint)
+    store = target or PersonTable(spark, tables.person, parts)
+    run = batch_function(store, tables, dimension, clock, delete_mode, first_batch(spark, tables))
+    feed = merge.dedupe_stream(changes, repeats_within) if repeats_within else changes
+    writer = feed.writeStream.foreachBatch(run).option("checkpointLocation", tables.checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def catch_up(store: PersonStore, staging_path: str, now: datetime, delete_mode: str = "dead_letter") -> int:
-    """Merge everything that was staged but not merged, as one batch; returns the last batch id of the store."""
-    spark = store.spark
-    staging = merge.unapplied(sinks.read_batches(spark, staging_path, schemas.STAGING), store.last_batch())
-    newest = staging.agg({"batch_id": "max"}).first()[0]
-    if newest is not None:
-        store.apply_batch(staging.drop("batch_id"), newest, now, delete_mode)
-    return store.last_batch()
+def keep_running(start: Callable[[], StreamingQuery], in_a_row: int | None = None, delay: float = activity.RETRY_DELAY,
+                 wait: Callable[[float], None] = time.sleep) -> int:
+    """Run a streaming query, and start it again from its checkpoint `delay` seconds after each failure.
+
+    Returns the number of failures once the query ends by itself. `in_a_row` failures without a finished batch in
+    between are raised; None goes on for ever, as the failing batch is read again and none is lost.
+    """
+    failures = fruitless = 0
+    while True:
+        query = start()
+        try:
+            query.awaitTermination()
+            return failures
+        except StreamingQueryException as error:
+            failures += 1
+            fruitless = 1 if any(p["numInputRows"] for p in query.recentProgress) else fruitless + 1
+            if in_a_row is not None and fruitless >= in_a_row:
+                raise
+            LOG.warning("the query failed and starts again in %s s: %s", delay, str(error)[:500])
+            wait(delay)
+
+
+def catch_up(target: CatalogTarget | PersonTable, tables: Tables, now: datetime, delete_mode: str = "dead_letter",
+             chunk_rows: int = CHUNK_ROWS) -> int:
+    """Merge what was staged but not merged, in chunks of whole batches with at most `chunk_rows` rows (or one batch).
+
+    Each chunk is recorded in the ledger once it is merged, so a run that fails goes on there. Returns the last merged batch.
+    """
+    spark = target.spark
+    ledger = Ledger(spark, tables.merged)
+    staging = merge.unapplied(sinks.read_batches(spark, tables.staging, schemas.STAGING), ledger.last())
+    waiting = staging.groupBy("batch_id").count().orderBy("batch_id").collect()  # a row per batch
+    chunks: list[list[int]] = []
+    rows = 0
+    for batch_id, count in waiting:
+        if not chunks or rows + count > chunk_rows:
+            chunks.append([])
+            rows = 0
+        chunks[-1].append(batch_id)
+        rows += count
+    for chunk in chunks:
+        part = staging.where(F.col("batch_id").between(chunk[0], chunk[-1])).drop("batch_id")
+        target.apply_batch(part, chunk[-1], now, delete_mode)
+        ledger.record(chunk[0], chunk[-1], now)
+    return ledger.last()

@@ -7,43 +7,130 @@ from changeloom import schemas, session
 from changeloom.operators import merge as M
 from changeloom.sources import changes, sinks
 from changeloom.sources import tables as T
-from changeloom.sources.store import PersonStore, merge_into_sql
+from changeloom.sources.store import CatalogTarget, Ledger, PersonTable, merge_into_sql
 from changeloom.streaming import sync
 from test_merge import LATER, NOW, event, rows, staging
 
 
-@pytest.mark.parametrize("buckets", [None, 4])
-def test_store_applies_patches_and_skips_a_repeated_batch(spark, tmp_path, buckets):
-    store = PersonStore(spark, f"{tmp_path}/person", buckets)
-    assert store.read().count() == 0 and store.last_batch() == -1
-    assert store.apply_batch(staging(spark, event(1), event(2, 2)), 0, NOW)
+class Stubborn:
+    """A target that refuses each batch `refusals` times before it takes it."""
+
+    def __init__(self, target, refusals: int):
+        self.spark = target.spark
+        self.target = target
+        self.refusals = refusals
+        self.tries = {}
+
+    def apply_batch(self, staging, batch_id, *rest):
+        self.tries[batch_id] = self.tries.get(batch_id, 0) + 1
+        if self.tries[batch_id] <= self.refusals:
+            raise RuntimeError(f"batch {batch_id} is refused")
+        return self.target.apply_batch(staging, batch_id, *rest)
+
+
+def data_files(table):
+    import pathlib
+
+    return {(str(f), f.stat().st_mtime_ns) for f in pathlib.Path(table.data).rglob("*.parquet")}
+
+
+def test_a_merge_leaves_the_files_of_untouched_parts(spark, tmp_path):
+    table = PersonTable(spark, f"{tmp_path}/person", 8)
+    assert table.read().count() == 0
+    assert table.apply_batch(staging(spark, *[event(i, i) for i in range(1, 41)]), 0, NOW)
     day = datetime.date(2024, 5, 1)
-    store.patch(lambda df: df.withColumn("modernized_only", F.lit(day)))
-    assert not store.apply_batch(staging(spark, event(1, firstname="again")), 0, LATER)
-    assert store.apply_batch(staging(spark, event(3, firstname="New")), 1, LATER)
-    got = {k: (r["firstname"], r["modernized_only"], r["synced_at"]) for k, r in rows(store.read()).items()}
-    assert got == {("tenant_a1", 1): ("New", day, LATER), ("tenant_a1", 2): ("Ann", day, NOW)}
-    # another session's store object finds the same version
-    assert rows(PersonStore(spark, f"{tmp_path}/person").read()) == rows(store.read())
-    assert store.vacuum(keep=1) == 2
-    assert len(rows(store.read())) == 2
-
-
-def test_an_unfinished_version_is_not_read(spark, tmp_path):
-    store = PersonStore(spark, f"{tmp_path}/person")
-    store.apply_batch(staging(spark, event(1)), 0, NOW)
-    (tmp_path / "person" / "v_1_0_0").mkdir()
-    assert store.last_batch() == 0
-    assert store.apply_batch(staging(spark, event(2, 2)), 1, LATER)
-    assert len(rows(store.read())) == 2
-
-
-def test_a_bucketed_target_is_not_shuffled(spark, tmp_path):
-    store = PersonStore(spark, f"{tmp_path}/person", 4)
-    store.apply_batch(staging(spark, *[event(i, i) for i in range(50)]), 0, NOW)
-    batch = staging(spark, *[event(100 + i, i) for i in range(5)])
-    plan = M.merge(store.read(), batch, LATER)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1, plan
+    table.patch(lambda df: df.withColumn("modernized_only", F.lit(day)))
+    before = data_files(table)
+    batch = staging(spark, event(100, 3, firstname="New"), event(101, 77))
+    touched = table.touched(batch)
+    assert 1 <= len(touched) <= 2
+    assert table.apply_batch(batch, 1, LATER)
+    after = data_files(table)
+    assert len(before - after) <= 2 and len(before & after) >= len(before) - 2
+    changed = {f"tenant_id={t}/part={p}" for t, p in touched}
+    assert all(any(c in f for c in changed) for f, _ in before ^ after)
+    got = {k[1]: (r["firstname"], r["modernized_only"], r["synced_at"]) for k, r in rows(table.read()).items()}
+    assert len(got) == 41 and got[3] == ("New", day, LATER) and got[77][1:] == (None, LATER) and got[4] == ("Ann", day, NOW)
+    # an object that is made with another number of parts finds the table as it is; an empty batch changes nothing
+    again = PersonTable(spark, f"{tmp_path}/person", 3)
+    assert again.parts == 8 and rows(again.read()) == rows(table.read())
+    assert not table.apply_batch(staging(spark, event(1)).limit(0), 2, LATER) and data_files(table) == after
+
+
+def test_a_merge_reads_only_the_parts_that_it_touches(spark, tmp_path):
+    table = PersonTable(spark, f"{tmp_path}/person", 8)
+    table.apply_batch(staging(spark, *[event(i, i) for i in range(1, 41)]), 0, NOW)
+    tenant, part = table.touched(staging(spark, event(100, 3)))[0]
+    some = table.stored().where((F.col("tenant_id") == tenant) & F.col("part").isin([part]))
+    assert "PartitionFilters: [isnotnull(tenant_id" in some._jdf.queryExecution().executedPlan().toString()
+    assert len({r["f"] for r in some.select(F.input_file_name().alias("f")).collect()}) == 1
+
+
+@pytest.mark.parametrize("mode", ["dead_letter", "apply"])
+def test_parts_hold_what_one_merge_gives_and_new_columns_come_up(spark, tmp_path, mode):
+    table = PersonTable(spark, f"{tmp_path}/person", 3)
+    first = staging(spark, *[event(i, i % 7) for i in range(20)])
+    second = staging(spark, event(30, 2, firstname="X"), event(31, 3, operation="DELETE")).withColumn("nickname", F.lit("nick"))
+    table.apply_batch(first, 0, NOW, mode)
+    table.apply_batch(second, 1, LATER, mode)
+    expected = M.merge(M.merge_first(first, NOW, mode), second, LATER, mode)
+    assert table.read().columns == expected.columns and rows(table.read()) == rows(expected)
+    table.apply_batch(second, 1, LATER, mode)  # repeated
+    assert rows(table.read()) == rows(expected)
+
+
+def test_a_part_whose_last_row_is_deleted_goes(spark, tmp_path):
+    table = PersonTable(spark, f"{tmp_path}/person", 64)
+    table.apply_batch(staging(spark, event(1, 1), event(2, 2)), 0, NOW, "apply")
+    table.apply_batch(staging(spark, event(3, 2, operation="DELETE")), 1, LATER, "apply")
+    assert [k[1] for k in rows(table.read())] == [1] and len(data_files(table)) == 1
+
+
+def test_what_a_failure_left_is_finished_or_dropped(spark, tmp_path):
+    table = PersonTable(spark, f"{tmp_path}/person", 2)
+    table.apply_batch(staging(spark, event(1), event(2, 2)), 0, NOW)
+    put, table._finish = table._finish, lambda: None  # ends after the first step
+    table.apply_batch(staging(spark, event(3, firstname="New")), 1, LATER)
+    assert rows(table.read())[("tenant_a1", 1)]["firstname"] == "Ann"
+    table._finish = put
+    half = f"{tmp_path}/person/_pending/batch_9/rows/tenant_id=tenant_a1/part=0"
+    spark.range(1).write.parquet(half)  # a first step that did not end
+    other = PersonTable(spark, f"{tmp_path}/person")
+    assert other.apply_batch(staging(spark, event(4, 5)), 2, LATER)
+    got = {k[1]: r["firstname"] for k, r in rows(other.read()).items()}
+    assert got == {1: "New", 2: "Ann", 5: "Ann"} and not list((tmp_path / "person" / "_pending").iterdir())
+
+
+def test_the_ledger_holds_ranges_of_batches(spark, tmp_path):
+    ledger = Ledger(spark, f"{tmp_path}/merged")
+    assert ledger.last() == -1 and not ledger.holds(0)
+    for first, last in ((0, 0), (1, 3), (7, 8), (9, 9)):
+        ledger.record(first, last, NOW)
+    again = Ledger(spark, f"{tmp_path}/merged")
+    assert again.ranges() == ledger.ranges() == [(0, 3), (7, 9)]
+    assert again.last() == 9 and again.holds(2) and again.holds(9) and not again.holds(5)
+
+
+def test_a_catalog_target_catches_up_in_chunks(spark, tmp_path):
+    """No catalog with row-level changes is installed, so the statements are run on a table of files."""
+    tables = sync.Tables(f"{tmp_path}/sync")
+    for batch in range(5):
+        sinks.write_staging(staging(spark, *[event(10 * batch + i, i) for i in range(3)]), tables.staging, batch)
+    statements = []
+    target = CatalogTarget(spark, "cat.db.person", statements.append)
+    assert sync.catch_up(target, tables, NOW, chunk_rows=6) == 4
+    assert len(statements) == 3 and all(s.startswith("MERGE WITH SCHEMA EVOLUTION INTO") for s in statements)
+    assert Ledger(spark, tables.merged).ranges() == [(0, 4)]
+    assert sync.catch_up(target, tables, NOW, chunk_rows=6) == 4 and len(statements) == 3
+    # a chunk that fails leaves those before it merged
+    failing = sync.Tables(f"{tmp_path}/failing")
+    for batch in range(3):
+        sinks.write_staging(staging(spark, event(batch, batch + 1)), failing.staging, batch)
+    person = PersonTable(spark, failing.person)
+    with pytest.raises(RuntimeError):
+        sync.catch_up(Stubborn(person, 1), failing, NOW, chunk_rows=1)
+    sync.catch_up(person, failing, NOW, chunk_rows=1)
+    assert len(rows(person.read())) == 3 and Ledger(spark, failing.merged).ranges() == [(0, 2)]
 
 
 def test_merge_statements_parse(spark):
@@ -62,10 +149,10 @@ def test_stream_in_small_batches_equals_one_batch(spark, dimension, sf_dir, tmp_
     feed.repartitionByRange(5, "offset").write.parquet(f"{tmp_path}/feed")
     source = {"format": "parquet", "path": f"{tmp_path}/feed", "max_files": 2}
     stream = changes.read_changes(spark, source, stream=True)
-    sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: NOW, mode, interval=None, buckets=2, keep=None).awaitTermination()
+    sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: NOW, mode, interval=None, parts=2).awaitTermination()
     tables = sync.Tables(f"{tmp_path}/sync")
-    store = PersonStore(spark, tables.person)
-    assert store.last_batch() == 2
+    store = PersonTable(spark, tables.person)
+    assert store.parts == 2 and Ledger(spark, tables.merged).ranges() == [(0, 2)]
     from changeloom.operators import decode as D
 
     decoded = D.decode(changes.read_changes(spark, source), dimension, mode, NOW)
@@ -82,11 +169,13 @@ def test_stream_in_small_batches_equals_one_batch(spark, dimension, sf_dir, tmp_
     assert len(merges) == 6 and merges[0] == "dbt run started" and " staged row(s) merged into person (" in merges[1]
     # started again with nothing new, and then with the merges lost: both end in the same table
     sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: LATER, mode, interval=None).awaitTermination()
-    assert store.last_batch() == 2
-    again = PersonStore(spark, f"{tmp_path}/again")
-    assert sync.catch_up(again, tables.staging, NOW, mode) == 2
+    assert Ledger(spark, tables.merged).last() == 2
+    lost = sync.Tables(f"{tmp_path}/sync")
+    lost.merged = f"{tmp_path}/again-merged"
+    again = PersonTable(spark, f"{tmp_path}/again")
+    assert sync.catch_up(again, lost, NOW, mode, chunk_rows=1) == 2
     assert rows(again.read()) == rows(store.read())
-    assert sync.catch_up(again, tables.staging, LATER, mode) == 2
+    assert sync.catch_up(again, lost, LATER, mode) == 2 and rows(again.read()) == rows(store.read())
 
 
 def test_repeats_in_a_stream_are_dropped(spark, sf_dir, tmp_path):
@@ -140,16 +229,61 @@ def test_retention_keeps_the_newest_events_of_the_stored_log(spark, tmp_path):
 def test_a_failing_merge_is_logged_and_tried_again(spark, dimension, sf_dir, tmp_path):
     from changeloom.operators import activity
 
-    T.change_feed(T.load(spark, sf_dir, "events").where("event_id < 200")).coalesce(1).write.parquet(f"{tmp_path}/feed")
-    stream = changes.read_changes(spark, {"format": "parquet", "path": f"{tmp_path}/feed"}, stream=True)
-    target = T.Stubborn(PersonStore(spark, f"{tmp_path}/sync/person"), 1)
+    events = T.load(spark, sf_dir, "events").where("event_id < 400")
+    for half in T.halves(events):
+        T.change_feed(half).coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
+    stream = changes.read_changes(spark, {"format": "parquet", "path": f"{tmp_path}/feed", "max_files": 1}, stream=True)
+    target = Stubborn(PersonTable(spark, f"{tmp_path}/sync/person"), 2)
+    pauses = []
+
+    def start():
+        return sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: NOW, interval=None, target=target)
+
     with pytest.raises(Exception, match="is refused"):
-        sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: NOW, interval=None, target=target).awaitTermination()
-    sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: NOW, interval=None, target=target).awaitTermination()
+        sync.keep_running(start, in_a_row=1, wait=pauses.append)
+    first = {(r["topic"], r["offset"], r["stage"], r["id"]) for r in numbered_events(spark, tmp_path)}
+    assert sync.keep_running(start, in_a_row=3, wait=pauses.append) == 3
+    assert pauses == [activity.RETRY_DELAY] * 3
     log = sinks.EventLog(spark, f"{tmp_path}/sync/events").stored()
-    assert {(r["retries"], r["last_attempt"]) for r in activity.retry_counts(log).collect()} == {(1, 1)}
+    counts = activity.retry_counts(log).collect()
+    assert {(r["retries"], r["last_attempt"]) for r in counts} == {(2, 2)} and len({(r["topic"], r["offset"]) for r in counts}) == len(counts)
     assert log.select("id").distinct().count() == log.count()
-    assert target.target.read().count() > 0 and target.last_batch() == 0
+    assert first <= {(r["topic"], r["offset"], r["stage"], r["id"]) for r in numbered_events(spark, tmp_path)}
+    assert rows(target.target.read()) and Ledger(spark, f"{tmp_path}/sync/merged").ranges() == [(0, 1)]
+
+
+def numbered_events(spark, tmp_path):
+    log = sinks.EventLog(spark, f"{tmp_path}/sync/events").stored()
+    places = F.from_json("detail", "topic STRING, partition INT, offset BIGINT")
+    return log.where("stage = 'consumer.staged'").select(places["topic"].alias("topic"), places["offset"].alias("offset"), "stage", "id").collect()
+
+
+def test_a_retried_part_keeps_its_ids_in_a_long_log(spark, tmp_path):
+    log = sinks.EventLog(spark, f"{tmp_path}/events")
+    warning = log_events(spark, 1, "warning")
+    for attempt in (1, 2):
+        assert log.append(log_events(spark, 6000), 0)  # more than retention keeps
+        assert log.append(warning, 0, sinks.RETRY_PART + attempt)
+    assert log.append(log_events(spark, 6000), 0)
+    ids = {r["id"] for r in log.stored().where("message LIKE 'warning%'").collect()}
+    assert ids == {6001, 6002} and log.retries(0) == 2
+    kept = log.read(NOW)
+    assert kept.where("message LIKE 'warning%'").count() == 2 and kept.count() == 5000
+    assert log.append(log_events(spark, 6005), 0)  # more than before: they come anew, after the warnings
+    assert log.stored().where("message LIKE 't %'").agg(F.min("id"), F.max("id")).first()[:] == (6003, 12007)
+    assert log.stored().count() == log.stored().select("id").distinct().count() == 6007
+
+
+def test_the_sync_drops_repeats_if_asked(spark, dimension, sf_dir, tmp_path):
+    feed = T.change_feed(T.load(spark, sf_dir, "events").where("event_id < 200"))
+    for _ in range(2):  # the repeats come in a later micro-batch
+        feed.coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
+    stream = changes.read_changes(spark, {"format": "parquet", "path": f"{tmp_path}/feed", "max_files": 1}, stream=True)
+    query = sync.start_sync(stream, f"{tmp_path}/sync", dimension, lambda: NOW, interval=None, repeats_within="60 days")
+    query.awaitTermination()
+    staged = sinks.read_batches(spark, f"{tmp_path}/sync/staging", schemas.STAGING)
+    assert staged.count() == staged.select("topic", "partition", "offset").distinct().count() > 0
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 200
 
 
 def test_a_new_checkpoint_goes_on_after_the_last_batch(spark, dimension, sf_dir, tmp_path):
@@ -162,8 +296,8 @@ def test_a_new_checkpoint_goes_on_after_the_last_batch(spark, dimension, sf_dir,
         T.change_feed(events.where("event_id >= 300 AND event_id < 500")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
     staged = sinks.read_batches(spark, f"{tmp_path}/sync/staging", schemas.STAGING)
     assert sorted(r["batch_id"] for r in staged.select("batch_id").distinct().collect()) == [0, 1]
-    person = PersonStore(spark, f"{tmp_path}/sync/person")
-    assert person.last_batch() == 1 and {r["synced_at"] for r in person.read().collect()} == {LATER}
+    person = PersonTable(spark, f"{tmp_path}/sync/person")
+    assert Ledger(spark, f"{tmp_path}/sync/merged").last() == 1 and {r["synced_at"] for r in person.read().collect()} == {LATER}
 
 
 def test_writing_a_batch_again_replaces_it(spark, tmp_path):
