@@ -23,13 +23,29 @@ def topic_progress(feed: DataFrame, handled: DataFrame) -> DataFrame:
         (F.col("newest") - F.coalesce("handled", F.lit(-1))).alias("lag"))
 
 
-def barrier(markers: DataFrame, handled: DataFrame) -> DataFrame:
-    """Per marker row: whether everything before it in its topic partition was consumed. Valid per tenant only."""
+def first_missing(feed: DataFrame, handled: DataFrame) -> DataFrame:
+    """Per topic partition the first offset of the feed that was not handled. Offsets that the feed lacks are no gaps.
+
+    The anti-join is dealt by offset, so a topic partition with most of the messages is spread over all tasks.
+    """
+    place = ["topic", "partition", "offset"]
+    return feed.join(handled.select(*place), place, "left_anti").groupBy("topic", "partition").agg(F.min("offset").alias("missing"))
+
+
+def barrier(markers: DataFrame, handled: DataFrame, feed: DataFrame | None = None) -> DataFrame:
+    """Per marker row: whether everything up to it in its topic partition was handled. Valid per tenant only.
+
+    With the feed, a marker passes if no offset up to it is missing. Without it the newest handled offset decides, which
+    is right only where messages are handled in their order and none is left out, as by one stream.
+    """
     done = handled.groupBy("topic", "partition").agg(F.max("offset").alias("handled"))
-    passed = F.coalesce(F.col("handled") >= F.col("marker_offset"), F.lit(False))
-    # one row per topic partition, so that the markers stay where they are
-    return markers.join(F.broadcast(done), ["topic", "partition"], "left").select(
-        "topic", "partition", "marker_offset", "handled", passed.alias("passed"))
+    state = markers.join(done, ["topic", "partition"], "left")  # one row per topic partition
+    if feed is None:
+        passed = F.coalesce(F.col("handled") >= F.col("marker_offset"), F.lit(False))
+        return state.select("topic", "partition", "marker_offset", "handled", passed.alias("passed"))
+    passed = F.coalesce(F.col("missing") > F.col("marker_offset"), F.col("handled") >= F.col("marker_offset"), F.lit(False))
+    return state.join(first_missing(feed, handled), ["topic", "partition"], "left").select(
+        "topic", "partition", "marker_offset", "handled", "missing", passed.alias("passed"))
 
 
 def quiet(staging: DataFrame, last_applied: int, now: datetime, at_least: int) -> DataFrame:

@@ -82,6 +82,21 @@ def backfill_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- merge ---
 
+def snapshot_cutover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot that was read after a quarter of the feed, merged after the first half of it; then the rest."""
+    low = _events(spark, sf_dir).agg(F.floor(F.count("*") / 4).cast("bigint")).scalar()
+    first, second = (Y.staged_events(spark, half) for half in T.message_halves(spark, sf_dir))
+    chunk = S.unchanged_since(Y.backfill(spark, sf_dir), first, low)
+    person = M.merge(M.merge_first(first, Y.FIRST_SYNC), chunk, Y.FIRST_SYNC)
+    return M.merge(person, second, Y.SECOND_SYNC)
+
+
+def snapshot_and_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot and the whole feed in one batch: the log wins."""
+    log = Y.staged_events(spark, _messages(spark, sf_dir))
+    return M.merge_first(Y.backfill(spark, sf_dir).unionByName(log), Y.FIRST_SYNC)
+
+
 def merge_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Y.person_in_one_batch(spark, sf_dir)
 
@@ -426,6 +441,17 @@ def barrier_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.barrier(markers, T.change_feed(first))
 
 
+def barrier_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is a marker; half of the feed was handled, but for some messages of its second half."""
+    events = _events(spark, sf_dir)
+    first, _ = T.halves(events)
+    quarter = events.agg(F.floor(F.count("*") / 4).cast("bigint")).scalar()
+    feed = T.change_feed(events).where(F.col("topic") != T.OTHER_TOPIC)
+    handled = T.change_feed(first).where((F.col("offset") % 89 != 17) | (F.col("offset") < quarter))
+    markers = feed.select("topic", "partition", F.col("offset").alias("marker_offset"))
+    return P.barrier(markers, handled, feed)
+
+
 def quiet_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old messages that were staged one second per batch from FIRST_SYNC on: while they wait, when all are merged, and
     when nothing was staged for a while as well."""
@@ -607,7 +633,7 @@ def stream_late_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        decode_changes, dead_letters, dropped_messages, outcome_counts, deleted_ids, backfill_snapshot,
+        decode_changes, dead_letters, dropped_messages, outcome_counts, deleted_ids, backfill_snapshot, snapshot_cutover, snapshot_and_log,
         merge_first, merge_incremental, merge_apply_deletes, merge_unapplied, merge_quarantine, preserve_join,
         merge_survivors, affected_keys, evolve_schema, latest_window, replay_diff, replay_dedup, snapshot_diff,
         tenant_counts, layer_counts, prefix_counts, duplicate_keys, staging_backlog,
@@ -617,7 +643,7 @@ QUERIES: dict[str, Query] = {
         tenant_isolation,
         tenant_list, person_list, legacy_list, legacy_lookup, existing_keys, person_find, latest_staged,
         latest_synced, event_feed_first, event_feed_since, event_feed_own, event_search, system_status,
-        topic_progress, barrier_check, quiet_check, sync_lag,
+        topic_progress, barrier_check, barrier_gaps, quiet_check, sync_lag,
         state_changes, current_state, connector_readiness, restart_list,
         prune_events, prune_own_log, event_log, command_log, connector_log, record_journey, retry_counts, batch_summary,
         stream_merge, stream_replay, stream_state_changes, stream_late_names,

@@ -9,6 +9,8 @@ from changeloom import schemas
 from changeloom.functions.envelope import envelope
 from changeloom.schemas import FAMILY_COLUMNS
 
+#: The partition of snapshot rows. It is below those of the log, so in one batch any log event of a key comes after them.
+SNAPSHOT_PARTITION = -1
 #: What one micro-batch reads at most, unless a feed says otherwise: messages from Kafka, or files.
 MAX_OFFSETS, MAX_FILES = 1_000_000, 64
 
@@ -72,20 +74,30 @@ def row_image(family: str) -> Column:
 
 
 def snapshot_changes(legacy: DataFrame, topic: str, timestamp: Column, family: str | None = None) -> DataFrame:
-    """Existing rows of one legacy table as change messages with op `r`. A row's id is its offset.
+    """Existing rows of one legacy table as change messages with op `r`, before all messages of the log. A row's id is its offset.
 
-    `family` is the schema family of the table; a topic of the built-in dimension has one already.
+    A chunk that is read while the log goes on is merged by `unchanged_since`. `family` is the schema family of the table; a topic of the built-in dimension has one already.
     """
     family = family or {t: f for t, _, f in schemas.TENANTS}[topic]
     return legacy.select(
         F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
+        F.lit(SNAPSHOT_PARTITION).alias("partition"),
         F.col("id").cast("bigint").alias("offset"),
         timestamp.cast("timestamp_ntz").alias("timestamp"),
         envelope(F.lit("r"), None, row_image(family)).alias("value"),
     )
 
 
+def unchanged_since(chunk: DataFrame, staging: DataFrame, low: Column | int) -> DataFrame:
+    """The staged rows of a snapshot chunk that may be merged after what `staging` holds of the log.
+
+    `low` is the newest log offset from before the chunk was read: what the log says up to there is in the chunk already. A
+    key with a later event is left to the log, as the chunk may be older. One anti-join on the key, of the later events only.
+    """
+    later = staging.where((F.col("partition") > SNAPSHOT_PARTITION) & (F.col("offset") > low))
+    return chunk.join(later.select("tenant_id", "source_id").distinct(), ["tenant_id", "source_id"], "left_anti").select(*chunk.columns)
+
+
 def unify(sources: list[DataFrame]) -> DataFrame:
     """All sources as one table with the columns of both families; a column a source lacks is NULL."""
     union = sources[0]

@@ -131,3 +131,18 @@ def test_row_order_and_partitioning_do_not_matter(spark):
     expected = rows(M.merge_first(df, NOW))
     for parts in (1, 3, 8):
         assert rows(M.merge_first(df.orderBy(F.rand(parts)).repartition(parts), NOW)) == expected
+
+
+def test_the_log_wins_over_a_snapshot_of_the_same_key(spark):
+    from changeloom.sources.changes import unchanged_since
+
+    snapshot = [event(1000, 1, "Snapshot", "INSERT", partition=-1), event(1001, 2, "Snapshot", "INSERT", partition=-1),
+                event(1002, 3, "Snapshot", "INSERT", partition=-1)]
+    log = [event(10, 1, "Log"), event(20, 2, "Log")]
+    together = rows(M.merge_first(staging(spark, *snapshot, *log), NOW))
+    assert {k[1]: r["firstname"] for k, r in together.items()} == {1: "Log", 2: "Log", 3: "Snapshot"}
+    # a chunk that was read after offset 10: what it says of key 1 is newer than the log, that of key 2 may be older
+    before = staging(spark, *log)
+    chunk = unchanged_since(staging(spark, *snapshot), before, 10)
+    after = rows(M.merge(M.merge_first(before, NOW), chunk, LATER))
+    assert {k[1]: r["firstname"] for k, r in after.items()} == {1: "Snapshot", 2: "Log", 3: "Snapshot"}

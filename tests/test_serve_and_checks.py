@@ -149,3 +149,14 @@ def test_barrier_and_progress(spark):
     markers = feed.where("offset IN (3, 5, 6)").withColumnRenamed("offset", "marker_offset")
     passed = {(r["topic"], r["marker_offset"]): r["passed"] for r in P.barrier(markers, handled).collect()}
     assert passed == {("a", 3): True, ("a", 5): True, ("a", 6): False, ("b", 3): False}
+
+
+def test_a_barrier_does_not_pass_over_a_gap(spark):
+    # offsets 4 and 8 of the log do not exist; 6 was not handled, though 9 was
+    feed = spark.createDataFrame([("a", 0, o) for o in range(10) if o not in (4, 8)] + [("b", 1, 2)], "topic STRING, partition INT, offset BIGINT")
+    handled = feed.where("topic = 'a' AND offset <> 6")
+    markers = feed.withColumnRenamed("offset", "marker_offset")
+    got = {(r["topic"], r["marker_offset"]): (r["missing"], r["passed"]) for r in P.barrier(markers, handled, feed).collect()}
+    assert got == {("a", o): (6, o < 6) for o in (0, 1, 2, 3, 5, 6, 7, 9)} | {("b", 2): (2, False)}
+    assert all(r["passed"] for r in P.barrier(markers, feed, feed).collect())
+    assert P.barrier(markers.limit(0), handled, feed).count() == 0
