@@ -11,6 +11,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ SIZE = 4096
 END = 2
 #: Slots of a document's hashed vector, dimensions of the curve and bits per dimension.
 SLOTS, DIMENSIONS, BITS = 256, 4, 12
-#: Words whose ids a task remembers, characters of the longest of them, and ids in one batch that a task hands on.
-REMEMBERED, LONG, HANDED = 300_000, 64, 1 << 22
+#: Words whose ids a task remembers, ids that it remembers for them, and ids in one batch that a task hands on.
+REMEMBERED, HELD, HANDED = 300_000, 1 << 22, 1 << 22
 #: Texts of printable ASCII, white space and the letters of Latin-1 that have one lower-case letter and no other form.
 PLAIN = re.compile(r"[\x20-\x7E\n\t\rÀ-ÖØ-öø-ÿ]*")
 #: The pre-tokens of such a text, in lower case: endings, letters, single digits, signs.
@@ -35,6 +36,14 @@ RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~]+"
 ENCODED = 10_000
 
 
+class Numbers(dict):
+    """Parts of texts, numbered in the order in which they are first asked for."""
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = len(self)
+        return number
+
+
 class Words:
     """The ids of whole texts. A text is cut at white space, which no token spans, and each distinct word encoded once.
 
@@ -47,7 +56,7 @@ class Words:
         self._tokenizer.no_truncation(), self._tokenizer.no_padding()
         self.size = self._tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self._known: dict[str, bytes] = {}
+        self._forget()
         probes = ("a b", "It's  1\n2\tword", "x ́y", "ΑΣ ΑΣ", "a <|endoftext|> b")
         self._by_word = all(self._ids(probe) == [i for word in probe.split() for i in self._ids(word)] for probe in probes)
         # for plain texts, the model alone: what stands before it only makes them lower case and parts the runs
@@ -67,27 +76,47 @@ class Words:
         # of the characters that the tokenizer takes for white space, those that surely part words
         return False, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if self._by_word else [text]
 
+    def _forget(self) -> None:
+        """No parts are known: their numbers, and by number where their ids start in `_held` and how many there are."""
+        self._numbers = Numbers()
+        self._held, self._starts, self._lengths = np.empty(0, self.kind), np.empty(0, np.int64), np.empty(0, np.int64)
+
     def _learn(self, parts: list[str], runs: bool) -> None:
-        encode = (self._bare if runs else self._tokenizer).encode_batch_fast
+        """Hold the ids of newly numbered parts."""
+        ids, lengths = [self._held], [self._lengths]
         for at in range(0, len(parts), ENCODED):
             some = parts[at : at + ENCODED]
-            for part, found in zip(some, encode(list(map(_in_signs, some)) if runs else some, add_special_tokens=False)):
-                self._known[part] = np.array(found.ids, self.kind).tobytes()
+            if runs:  # one call for all runs; each id tells the run that it comes from
+                found = self._bare.encode(list(map(_in_signs, some)), is_pretokenized=True, add_special_tokens=False)
+                ids.append(np.array(found.ids, self.kind))
+                lengths.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+            else:
+                found = [e.ids for e in self._tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                ids += [np.array(own, self.kind) for own in found]
+                lengths.append(np.array([len(own) for own in found], np.int64))
+        self._held, self._lengths = np.concatenate(ids), np.concatenate(lengths)
+        self._starts = np.cumsum(self._lengths) - self._lengths
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
+        if len(self._numbers) > REMEMBERED or len(self._held) > HELD:
+            self._forget()
         cut = [self._cut(text) for text in texts]
-        long = []
+        numbers = [np.empty(0, np.int64)] * len(cut)
         for runs in (True, False):  # a run has the same ids as a word of its own
-            new = list(set().union(*(parts for plain, parts in cut if plain == runs)) - self._known.keys())
-            self._learn(new, runs)
-            long += [part for part in new if len(part) > LONG]
-        ids = [np.frombuffer(b"".join(map(self._known.__getitem__, parts)), self.kind) for _, parts in cut]
-        for part in long:
-            del self._known[part]
-        return ids
+            known = len(self._numbers)
+            for i, (plain, parts) in enumerate(cut):
+                if plain == runs:
+                    numbers[i] = np.fromiter(map(self._numbers.__getitem__, parts), np.int64, len(parts))
+            new = list(islice(reversed(self._numbers), len(self._numbers) - known))
+            if new:
+                self._learn(new[::-1], runs)
+        every = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
+        lengths = self._lengths[every]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self._held[np.arange(upto[-1]) + np.repeat(self._starts[every] - upto[:-1], lengths)]
+        ends = upto[np.cumsum([len(own) for own in numbers], dtype=np.int64)]
+        return np.split(ids, ends[:-1]) if texts else []
 
 
 def _in_signs(run: str) -> str:
