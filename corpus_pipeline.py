@@ -53,7 +53,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("decontamination", decontaminate),
     ("mix_sources", mix_sources),
 ]
-#: The first stage fits a classifier, which SQL cannot express; tests/llm checks each stage against brute force.
+#: The first stage fits a classifier, which SQL cannot express.
 ORACLE_SQL = None
 
 
