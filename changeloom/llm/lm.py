@@ -22,6 +22,9 @@ from changeloom.llm.tables import stage
 
 START = "▁"
 SMOOTH = 0.5
+#: Characters of words whose lattices are summed together, and the factor of the hash of their substrings.
+TOGETHER = 1 << 17
+FACTOR = 0x9E3779B97F4A7C15
 #: Fixed value: the training split. Rows whose crc32(doc_id as text) leaves this remainder are held out.
 FOLDS, HELD_OUT = 5, 1
 
@@ -40,34 +43,63 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 class Lattice:
-    """Pieces of a vocabulary with log probabilities."""
+    """Pieces of a vocabulary with log probabilities.
+
+    A piece is looked up by a 64-bit hash of its characters, so that the substrings of many words are found at once.
+    """
 
     def __init__(self, file: str, log_p: np.ndarray) -> None:
         model = sentencepiece.SentencePieceProcessor(model_file=file)
-        self._pieces: dict[str, float] = {}
-        self._bytes = [0.0] * 256
+        pieces: dict[int, float] = {}
+        self._longest = 1
+        self._bytes = np.zeros(256)
         for i in range(model.get_piece_size()):
+            piece = model.id_to_piece(i)
             if model.is_byte(i):
-                self._bytes[int(model.id_to_piece(i)[3:5], 16)] = float(log_p[i])
+                self._bytes[int(piece[3:5], 16)] = log_p[i]
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                self._pieces[model.id_to_piece(i)] = float(log_p[i])
-        self._longest = max(map(len, self._pieces), default=1)
-
-    def log_probability(self, word: bytes) -> float:
-        text = START + word.decode(errors="replace")
-        pieces, longest = self._pieces, self._longest
-        forward = [0.0]
-        for end in range(1, len(text) + 1):
-            paths = []
-            for begin in range(max(0, end - longest), end):
-                score = pieces.get(text[begin:end])
-                if score is not None:
-                    paths.append(forward[begin] + score)
+                pieces[self._hash(piece)] = float(log_p[i])
+                self._longest = max(self._longest, len(piece))
+        self._hashes = np.array(sorted(pieces), np.uint64)
+        self._scores = np.array([pieces[h] for h in self._hashes.tolist()])
+
+    @staticmethod
+    def _hash(piece: str) -> int:
+        found = 0
+        for character in piece:
+            found = (found * FACTOR + ord(character) + 1) % (1 << 64)
+        return found
+
+    def log_probabilities(self, words: list[bytes]) -> np.ndarray:
+        """Per word the log of the sum over all its segmentations. Words of one length go through the recursion together."""
+        texts = [START + word.decode(errors="replace") for word in words]
+        found = np.empty(len(texts))
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        for length in np.unique(lengths).tolist():
+            places = np.flatnonzero(lengths == length)
+            together = max(1, TOGETHER // length)
+            for at in range(0, len(places), together):
+                some = places[at : at + together]
+                found[some] = self._forward("".join([texts[i] for i in some.tolist()]), length)
+        return found
+
+    def _forward(self, texts: str, length: int) -> np.ndarray:
+        """The forward recursion over texts of one length, end to end. It keeps the rows that a piece can reach back to."""
+        codes = np.frombuffer(texts.encode("utf-32-le"), np.uint32).reshape(-1, length).T
+        used, which = np.unique(codes, return_inverse=True)
+        spelled = np.array([self._bytes[list(chr(c).encode())].sum() for c in used.tolist()])[which.reshape(codes.shape)]
+        forward = np.zeros((1, codes.shape[1]))
+        hashes = np.zeros((1, codes.shape[1]), np.uint64)
+        for end in range(length):
+            hashes = hashes * np.uint64(FACTOR) + (codes[end].astype(np.uint64) + np.uint64(1))  # from each begin to this end
+            at = np.minimum(np.searchsorted(self._hashes, hashes), len(self._hashes) - 1)
+            scores = np.where(self._hashes[at] == hashes, self._scores[at], -np.inf)
             # any character can also be spelled by its bytes
-            last = text[end - 1]
-            paths.append(forward[end - 1] + sum(self._bytes[b] for b in last.encode()))
-            top = max(paths)
-            forward.append(top + math.log(sum(math.exp(path - top) for path in paths)) if len(paths) > 1 else top)
+            paths = np.vstack((forward + scores, forward[-1] + spelled[end]))
+            top = paths.max(axis=0)
+            last = top + np.log(np.exp(paths - top).sum(axis=0))
+            forward = np.vstack((forward, last))[-self._longest :]
+            hashes = np.vstack((hashes, np.zeros_like(hashes[:1])))[-self._longest :]
         return forward[-1]
 
 
@@ -109,7 +141,7 @@ def word_scores(words: DataFrame, file: str, ends: int) -> tuple[DataFrame, dict
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(file, shared.value)
         for batch in batches:
-            found = [lattice.log_probability(word) / math.log(10) for word in batch.column("piece").to_pylist()]
+            found = lattice.log_probabilities(batch.column("piece").to_pylist()) / math.log(10)
             learned = batch.column("learned").to_numpy()
             yield pa.record_batch(
                 [batch.column("piece"), batch.column("n"), pa.array(np.log10((learned + SMOOTH) / below)),

@@ -136,8 +136,12 @@ def test_lattice_sums_over_all_segmentations():
         spelled = math.exp(sum(log_p[ids[f"<0x{b:02X}>"]] for b in text[0].encode())) * brute(text[1:])
         return spelled + sum(math.exp(log_p[ids[text[:n]]]) * brute(text[n:]) for n in range(1, len(text) + 1) if text[:n] in ids)
 
-    for word in ("the", "under", "étude", "中x", ""):
-        assert lattice.log_probability(word.encode()) == pytest.approx(math.log(brute("▁" + word)))
+    words = ["the", "under", "étude", "中x", "", "then", "a", "😀b", "the"]
+    scores = lattice.log_probabilities([word.encode() for word in words])
+    assert scores == pytest.approx([math.log(brute("▁" + word)) for word in words])
+    long = [b"ab" * 3000, b"x" * 20, b"\xff\xfe"]
+    assert lattice.log_probabilities(long + [b"of"]) == pytest.approx([lattice.log_probabilities([w])[0] for w in [*long, b"of"]])
+    assert lattice.log_probabilities([]).size == 0
 
 
 def test_language_model(documents, empty):
