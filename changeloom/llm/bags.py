@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 #: Entries of the table that is sent to the tasks, and the length of its longest piece: 12 MB at most.
 HEAD = 1 << 17
 HEAD_BYTES = 64
-#: Distinct units that a task holds before it hands them on, units whose sums it remembers, and rows that it hands on.
+#: Distinct units that a task holds before it hands them on, units whose pieces it remembers (twice: the newest ones, and as
+#: many before them), and rows that it hands on.
 HELD = 250_000
-REMEMBERED = 100_000
+REMEMBERED = 75_000
 ROWS = 20_000
 
 
@@ -101,12 +102,17 @@ def summed(docs: DataFrame, bag: Callable[[], Bag], values: DataFrame, names: li
         at, known = shared.value
         cut = bag()
         memo: dict = {}  # per unit the places of its frequent pieces, and its other pieces
+        older: dict = {}
 
         def learn(unit) -> tuple[tuple[int, ...], tuple[bytes, ...]]:
+            nonlocal memo, older
             if len(memo) >= REMEMBERED:
-                memo.clear()
-            pieces = cut.pieces(unit)
-            found = memo[unit] = (tuple([at[piece] for piece in pieces if piece in at]), tuple([piece for piece in pieces if piece not in at]))
+                memo, older = {}, memo
+            found = older.get(unit)
+            if found is None:
+                pieces = cut.pieces(unit)
+                found = (tuple([at[piece] for piece in pieces if piece in at]), tuple([piece for piece in pieces if piece not in at]))
+            memo[unit] = found
             return found
 
         for batch in batches:

@@ -22,6 +22,8 @@ INK = r"[!-~¡-ʯͰ-֏]"
 CUT = re.compile(f"(?<={INK})(?= {INK})")
 #: A space at which a text must not be cut without a closer look.
 ODD = re.compile(f" (?:(?<!{INK} )|(?!{INK}))")
+#: A line feed that does not stand alone between two such signs; any other is a pre-token of its own.
+ODD_LINE = re.compile(f"\n(?:(?<!{INK}\n)|(?!{INK}))")
 #: Letters, digits and signs whose classes every engine agrees on; most units have no others. And the pre-tokens of such units:
 #: the contractions, letters, digits, or signs, each but the first with the space before it.
 PLAIN = re.compile(r" ?[!-~À-ÖØ-öø-ɏ]+")
@@ -36,7 +38,10 @@ BARE = "\0"
 
 
 class PreTokens:
-    """Cuts a text into units, and those into the library's own pre-tokens. A unit is a word after a space, or a marked text."""
+    """Cuts a text into units, and those into the library's own pre-tokens.
+
+    A unit is a word after a space, a line feed and the word after it, or a marked text.
+    """
 
     def __init__(self, file: str) -> None:
         tokenizer = Tokenizer.from_file(file)
@@ -54,6 +59,8 @@ class PreTokens:
     def _units(text: str) -> list[str]:
         if ODD.search(text):
             return [BARE + unit for unit in CUT.split(text)]
+        if not ODD_LINE.search(text):
+            text = text.replace("\n", " \n")
         units = text.split(" ")
         units[0] = BARE + units[0]
         return units
@@ -66,7 +73,9 @@ class PreTokens:
         return [unit for part in parts for unit in ([BARE + part] if part in self._names else self._units(part))]
 
     def pieces(self, unit: str) -> tuple[bytes, ...]:
-        text = unit[1:] if unit[0] == BARE else " " + unit
+        if unit.startswith("\n"):  # no other unit does: a space before a line feed is odd
+            return (b"\n", *self.pieces(BARE + unit[1:]))
+        text = unit[1:] if unit.startswith(BARE) else " " + unit
         if text in self._names:
             return (text.encode(),)
         if self._plain and PLAIN.fullmatch(text):
