@@ -514,6 +514,23 @@ ranked AS (
 SELECT tenant_id, percentile, lag_ms FROM ranked
 JOIN (VALUES ('p50', 50), ('p95', 95), ('max', 100)) AS w(percentile, pct) ON rn = greatest(1, (n * pct + 99) // 100)"""
 
+RECONCILED = f"""WITH {LEGACY},
+        target AS (
+          SELECT * REPLACE (CASE WHEN legacy_id % 19 = 0 THEN NULL ELSE city END AS city,
+            CASE WHEN legacy_id % 13 = 0 THEN 'x' ELSE extra_field END AS extra_field)
+          FROM backfill WHERE legacy_id % 17 <> 0)
+        SELECT l.tenant_id, l.legacy_id,
+          CASE WHEN t.legacy_id IS NULL THEN 'missing'
+            WHEN l.city IS DISTINCT FROM t.city OR coalesce(l.data_2, l.data_c) IS DISTINCT FROM t.extra_field
+            THEN 'different' ELSE 'equal' END AS status,
+          CASE WHEN t.legacy_id IS NOT NULL THEN nullif(concat_ws(',',
+            CASE WHEN l.city IS DISTINCT FROM t.city THEN 'city' END,
+            CASE WHEN coalesce(l.data_2, l.data_c) IS DISTINCT FROM t.extra_field THEN 'extra_field' END), '')
+            END AS differences
+        FROM legacy l LEFT JOIN target t ON l.tenant_id = t.tenant_id AND l.legacy_id = t.legacy_id
+        UNION ALL
+        SELECT tenant_id, legacy_id + 10000000, 'extra', NULL FROM backfill WHERE legacy_id % 23 = 0"""
+
 ORACLE: dict[str, str] = {
     "decode_changes": f"""WITH {FEED} SELECT {STAGING_COLUMNS}
         FROM (SELECT * EXCLUDE created_at, created_at AS message_time, TIMESTAMP '{FIRST}' AS created_at FROM staged)""",
@@ -561,6 +578,7 @@ ORACLE: dict[str, str] = {
         CAST(0 AS BIGINT) AS differences""",
     "replay_dedup": f"WITH {FEED} SELECT tenant_id, count(*) AS staged FROM staged GROUP BY ALL",
     "snapshot_diff": f"WITH {BOTH},{diff('p1', 'p2')} SELECT * FROM diff",
+    "snapshot_diff_digests": f"WITH {BOTH},{diff('p1', 'p2')} SELECT * FROM diff",
     "tenant_counts": f"WITH {ONE_BATCH} SELECT tenant_id, count(*) AS persons FROM person GROUP BY ALL",
     "layer_counts": f"""WITH {ONE_BATCH}
         SELECT 'legacy' AS layer, count(*) AS records FROM customer
@@ -575,22 +593,8 @@ ORACLE: dict[str, str] = {
         FROM staged""",
     "missing_keys": f"""WITH {ONE_BATCH},{LEGACY} SELECT tenant_id, legacy_id FROM legacy
         WHERE (tenant_id, legacy_id) NOT IN (SELECT tenant_id, legacy_id FROM person)""",
-    "reconcile": f"""WITH {LEGACY},
-        target AS (
-          SELECT * REPLACE (CASE WHEN legacy_id % 19 = 0 THEN NULL ELSE city END AS city,
-            CASE WHEN legacy_id % 13 = 0 THEN 'x' ELSE extra_field END AS extra_field)
-          FROM backfill WHERE legacy_id % 17 <> 0)
-        SELECT l.tenant_id, l.legacy_id,
-          CASE WHEN t.legacy_id IS NULL THEN 'missing'
-            WHEN l.city IS DISTINCT FROM t.city OR coalesce(l.data_2, l.data_c) IS DISTINCT FROM t.extra_field
-            THEN 'different' ELSE 'equal' END AS status,
-          CASE WHEN t.legacy_id IS NOT NULL THEN nullif(concat_ws(',',
-            CASE WHEN l.city IS DISTINCT FROM t.city THEN 'city' END,
-            CASE WHEN coalesce(l.data_2, l.data_c) IS DISTINCT FROM t.extra_field THEN 'extra_field' END), '')
-            END AS differences
-        FROM legacy l LEFT JOIN target t ON l.tenant_id = t.tenant_id AND l.legacy_id = t.legacy_id
-        UNION ALL
-        SELECT tenant_id, legacy_id + 10000000, 'extra', NULL FROM backfill WHERE legacy_id % 23 = 0""",
+    "reconcile": RECONCILED,
+    "reconcile_digests": f"SELECT * FROM ({RECONCILED}) WHERE status <> 'equal'",
     "quality_report": f"""WITH {LEGACY},{FAULTY},{diff('backfill', 'faulty')},
         results AS ({column_failures('faulty')} UNION ALL {key_failures('faulty')}
           UNION ALL {ARRIVED.format(table='faulty')}

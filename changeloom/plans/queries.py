@@ -15,6 +15,7 @@ from changeloom.operators import checks as Q
 from changeloom.operators import commands as C
 from changeloom.operators import connectors as N
 from changeloom.operators import decode as D
+from changeloom.operators import digests as G
 from changeloom.operators import merge as M
 from changeloom.operators import ordered
 from changeloom.operators import progress as P
@@ -32,6 +33,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BATCH_SIZE = 1000
 LAST_APPLIED = 4
+# More ranges than keys with a difference, so that most ranges have none.
+DIGEST_PARTS = 1 << 16
 STATUS_NOW = datetime(2024, 1, 30, 12, 0, 0)
 PRUNE_NOW = datetime(2024, 1, 16, 0, 0, 0)
 
@@ -189,6 +192,13 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.snapshot_diff(Y.person_after_first(spark, sf_dir), Y.person_after_both(spark, sf_dir))
 
 
+def snapshot_diff_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from tables on files, by digests of key ranges."""
+    before = session.written(Y.person_after_first(spark, sf_dir), "diff-before")
+    after = session.written(Y.person_after_both(spark, sf_dir), "diff-after")
+    return G.snapshot_diff(before, after, DIGEST_PARTS)
+
+
 # --- aggregates ---
 
 def tenant_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,8 +235,8 @@ def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.missing_keys(Y.legacy(spark, sf_dir), Y.person_in_one_batch(spark, sf_dir))
 
 
-def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source rows against a target with lost, changed and invented rows."""
+def _faulty_target(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Source rows, a target with lost, changed and invented rows, and the columns that both have."""
     source = Y.legacy(spark, sf_dir).withColumn("extra_field", F.coalesce("data_2", "data_c"))
     person = Y.person_from_backfill(spark, sf_dir)
     kept = person.where(F.col("legacy_id") % 17 != 0).withColumns({
@@ -235,8 +245,19 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
     invented = person.where(F.col("legacy_id") % 23 == 0).withColumn(
         "legacy_id", F.col("legacy_id") + F.lit(10000000))
-    columns = ["firstname", "surname", "date_of_birth", "city", "extra_field"]
-    return Q.reconcile(source, kept.unionByName(invented), columns)
+    return source, kept.unionByName(invented), ["firstname", "surname", "date_of_birth", "city", "extra_field"]
+
+
+def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source rows against a target with lost, changed and invented rows."""
+    return Q.reconcile(*_faulty_target(spark, sf_dir))
+
+
+def reconcile_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys that are not equal, by digests of key ranges."""
+    source, person, columns = _faulty_target(spark, sf_dir)
+    pair = (session.written(df.select(*KEY, *columns), "reconcile-side") for df in (source, person))
+    return G.reconcile(*pair, columns, DIGEST_PARTS)
 
 
 def _faulty(person: DataFrame) -> DataFrame:
@@ -635,9 +656,9 @@ QUERIES: dict[str, Query] = {
     for f in (
         decode_changes, dead_letters, dropped_messages, outcome_counts, deleted_ids, backfill_snapshot, snapshot_cutover, snapshot_and_log,
         merge_first, merge_incremental, merge_apply_deletes, merge_unapplied, merge_quarantine, preserve_join,
-        merge_survivors, affected_keys, evolve_schema, latest_window, replay_diff, replay_dedup, snapshot_diff,
+        merge_survivors, affected_keys, evolve_schema, latest_window, replay_diff, replay_dedup, snapshot_diff, snapshot_diff_digests,
         tenant_counts, layer_counts, prefix_counts, duplicate_keys, staging_backlog,
-        missing_keys, reconcile, quality_report, check_summary, shared_ids,
+        missing_keys, reconcile, reconcile_digests, quality_report, check_summary, shared_ids,
         commands_validate, commands_resolve, commands_create, commands_legacy_create, commands_update,
         commands_legacy_patch, commands_apply, patch_target_only, command_changes, command_roundtrip,
         tenant_isolation,
