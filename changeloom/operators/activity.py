@@ -212,6 +212,45 @@ def prune(log: DataFrame, now: datetime, newest: Column | None = None, keep: boo
     return log.where(~gone if keep else gone)
 
 
+def _counts() -> list[Column]:
+    return [F.max(F.when(F.col("source") == "cdc-consumer", F.col("ts"))).alias("last_consumer"),
+            F.count_if(F.col("severity") == "error").alias("errors")]
+
+
+def part_summary() -> list[Column]:
+    """What a part of the log holds, as aggregates over its numbered events."""
+    return [F.max("id").alias("last_id"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count("*").alias("events"), *_counts()]
+
+
+def recent_from(now: datetime) -> Column:
+    return F.lit(now).cast("timestamp_ntz") - F.expr("INTERVAL 1 MINUTE")
+
+
+def log_counts(log: DataFrame, now: datetime) -> DataFrame:
+    """One row: last_consumer, errors, and recent, the events of the last minute."""
+    return log.agg(*_counts(), F.count_if(F.col("ts") > recent_from(now)).alias("recent"))
+
+
+def log_counts_by_parts(parts: DataFrame, stored: DataFrame, now: datetime) -> DataFrame:
+    """The same for what retention keeps of a stored log, from one row per part.
+
+    A part that a limit of retention or the last minute cuts through is read; the others are not. `stored` has batch_id
+    and part, on which its folders are pruned.
+    """
+    newest = parts.agg(F.max("last_id")).scalar()
+    cutoff = F.lit(now).cast("timestamp_ntz") - F.expr(f"INTERVAL {MAX_AGE}")
+    gone = (F.col("last_ts") < cutoff) | (F.col("last_id") <= newest - MAX_ROWS)
+    whole = (F.col("first_ts") >= cutoff) & (F.col("first_id") > newest - MAX_ROWS)
+    one_side = (F.col("first_ts") > recent_from(now)) | (F.col("last_ts") <= recent_from(now))
+    live = parts.where((F.col("events") > 0) & ~gone).withColumn("cut", ~(whole & one_side))
+    known = live.where(~F.col("cut")).select(
+        "last_consumer", "errors", F.when(F.col("first_ts") > recent_from(now), F.col("events")).otherwise(0).alias("recent"))
+    opened = stored.join(live.where("cut").select("batch_id", "part"), ["batch_id", "part"], "left_semi")
+    both = known.unionByName(log_counts(prune(opened, now, newest), now))
+    return both.agg(F.max("last_consumer").alias("last_consumer"), F.coalesce(F.sum("errors"), F.lit(0)).alias("errors"),
+                    F.coalesce(F.sum("recent"), F.lit(0)).alias("recent"))
+
+
 def first_event_ids(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     """The first event id of each stage, per record; one pass and one shuffle for all stages."""
     return (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -23,6 +24,27 @@ def topic_progress(feed: DataFrame, handled: DataFrame) -> DataFrame:
         (F.col("newest") - F.coalesce("handled", F.lit(-1))).alias("lag"))
 
 
+def handled_offsets(decoded: DataFrame) -> DataFrame:
+    """Per topic partition of a batch the first and the newest offset, and the number of messages, whatever became of them."""
+    return decoded.groupBy("topic", "partition").agg(
+        F.min("offset").alias("first_offset"), F.max("offset").alias("offset"), F.count("*").alias("messages"))
+
+
+def newest_offsets(report: dict) -> list[tuple[str, int, int]]:
+    """(topic, partition, newest offset) as a running query's progress report has them for its Kafka sources.
+
+    The report names the offset that comes next. Sources without offsets per topic partition, as files, give no row.
+    """
+    found = []
+    for source in report.get("sources", []):
+        latest = source.get("latestOffset")
+        latest = json.loads(latest) if isinstance(latest, str) and latest.startswith("{") else latest
+        for topic, offsets in (latest.items() if isinstance(latest, dict) else ()):
+            if isinstance(offsets, dict):
+                found += [(topic, int(partition), int(offset) - 1) for partition, offset in offsets.items()]
+    return sorted(found)
+
+
 def first_missing(feed: DataFrame, handled: DataFrame) -> DataFrame:
     """Per topic partition the first offset of the feed that was not handled. Offsets that the feed lacks are no gaps.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom import schemas
+from changeloom.operators import activity
 from changeloom.schemas import KEY
 
 # The page size of the activity feed.
@@ -129,21 +130,20 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
 
 
 def status(spark: SparkSession, now: datetime, staging: DataFrame | None, letters: DataFrame | None,
-           log: DataFrame | None, last_applied: int) -> DataFrame:
+           log: DataFrame | None, last_applied: int, counts: DataFrame | None = None) -> DataFrame:
     """The five status metrics as one row. A table that is not there gives NULL, not an error.
 
+    `counts` are the log's as `activity.log_counts_by_parts` gives them; then `log` is not needed.
     Each table is read once and reduced to one row; the rows meet as scalar subqueries, so nothing is joined.
     """
-    stamp = F.lit(now).cast("timestamp_ntz")
 
     def metric(df: DataFrame | None, expr: Column, kind: str) -> Column:
         return F.lit(None).cast(kind) if df is None else df.agg(expr.alias("v")).scalar().cast(kind)
 
-    log_row = None if log is None else log.agg(F.struct(
-        F.max(F.when(F.col("source") == "cdc-consumer", F.col("ts"))).alias("last_consumer_activity"),
-        F.count_if(F.col("severity") == "error").alias("errors"),
-        F.count_if(F.col("ts") > stamp - F.expr("INTERVAL 1 MINUTE")).alias("events_last_minute"),
-    ).alias("v"))
+    if counts is None and log is not None:
+        counts = activity.log_counts(log, now)
+    log_row = None if counts is None else counts.select(F.struct(
+        F.col("last_consumer").alias("last_consumer_activity"), "errors", F.col("recent").alias("events_last_minute")).alias("v"))
     nothing = F.lit(None).cast(
         "struct<last_consumer_activity:timestamp_ntz,errors:bigint,events_last_minute:bigint>")
     return spark.range(1).select(

@@ -514,6 +514,13 @@ ranked AS (
 SELECT tenant_id, percentile, lag_ms FROM ranked
 JOIN (VALUES ('p50', 50), ('p95', 95), ('max', 100)) AS w(percentile, pct) ON rn = greatest(1, (n * pct + 99) // 100)"""
 
+PROGRESS = f"""WITH {FEED},
+        done AS (SELECT topic, max(event_id) AS handled FROM feed
+          WHERE event_id < (SELECT count(*) // 2 FROM events) GROUP BY ALL)
+        SELECT topic, CAST(0 AS INTEGER) AS "partition", max(event_id) AS newest, any_value(handled) AS handled,
+          max(event_id) - coalesce(any_value(handled), -1) AS lag
+        FROM feed LEFT JOIN done USING (topic) GROUP BY topic"""
+
 RECONCILED = f"""WITH {LEGACY},
         target AS (
           SELECT * REPLACE (CASE WHEN legacy_id % 19 = 0 THEN NULL ELSE city END AS city,
@@ -664,12 +671,15 @@ ORACLE: dict[str, str] = {
         (SELECT max(ts) FROM log WHERE source = 'cdc-consumer') AS last_consumer_activity,
         (SELECT count(*) FROM log WHERE severity = 'error') AS errors,
         (SELECT count(*) FROM log WHERE ts > TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 1 MINUTE) AS events_last_minute""",
-    "topic_progress": f"""WITH {FEED},
-        done AS (SELECT topic, max(event_id) AS handled FROM feed
-          WHERE event_id < (SELECT count(*) // 2 FROM events) GROUP BY ALL)
-        SELECT topic, CAST(0 AS INTEGER) AS "partition", max(event_id) AS newest, any_value(handled) AS handled,
-          max(event_id) - coalesce(any_value(handled), -1) AS lag
-        FROM feed LEFT JOIN done USING (topic) GROUP BY topic""",
+    "status_by_parts": f"""WITH {FEED}, own AS ({OWN_LOG}),
+        kept AS (SELECT * FROM own WHERE ts >= TIMESTAMP '2024-01-16 00:00:00' - INTERVAL 24 HOUR AND id > (SELECT max(id) FROM own) - 5000)
+        SELECT (SELECT count(*) FROM staged WHERE batch_id > 4) AS staging_backlog,
+          (SELECT count(*) FROM feed WHERE outcome = 'dead_letter') AS dead_letters,
+          (SELECT max(ts) FROM kept WHERE source = 'cdc-consumer') AS last_consumer_activity,
+          (SELECT count(*) FROM kept WHERE severity = 'error') AS errors,
+          (SELECT count(*) FROM kept WHERE ts > TIMESTAMP '2024-01-16 00:00:00' - INTERVAL 1 MINUTE) AS events_last_minute""",
+    "topic_progress": PROGRESS,
+    "stream_lag": PROGRESS,
     "barrier_check": f"""WITH {FEED},
         done AS (SELECT topic, max(event_id) AS handled FROM feed
           WHERE event_id < (SELECT count(*) // 2 FROM events) GROUP BY ALL)
@@ -719,5 +729,10 @@ ORACLE: dict[str, str] = {
     "stream_replay": f"""WITH {BOTH} SELECT tenant_id, legacy_id, firstname, surname, extra_field, modernized_only,
         (SELECT count(*) + count(*) FILTER (NOT late) FROM staged) AS staged FROM p2""",
     "stream_state_changes": STATE_CHANGES,
+    "stream_repeats": f"""WITH {FEED} SELECT 'staging' AS layer, count(*) AS records FROM staged
+        UNION ALL SELECT 'dead_letter', (SELECT count(*) FROM feed WHERE outcome = 'dead_letter')
+          + (SELECT count(*) FROM staged WHERE firstname IS NULL OR surname IS NULL)""",
+    "catch_up_backlog": f"""WITH {ONE_BATCH} SELECT tenant_id, legacy_id, firstname, surname, extra_field, synced_at,
+        (SELECT max(batch_id) // 4 FROM staged) AS last_batch FROM person""",
     "stream_late_names": f"""{STATE_CHANGES} WHERE to_state <> 'UNREACHABLE'""",
 }

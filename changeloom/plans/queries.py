@@ -35,6 +35,8 @@ BATCH_SIZE = 1000
 LAST_APPLIED = 4
 # More ranges than keys with a difference, so that most ranges have none.
 DIGEST_PARTS = 1 << 16
+# Longer than the sample feed lasts.
+REPEATS_WITHIN = "400 days"
 STATUS_NOW = datetime(2024, 1, 30, 12, 0, 0)
 PRUNE_NOW = datetime(2024, 1, 16, 0, 0, 0)
 
@@ -444,6 +446,25 @@ def system_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.activity_log(_events(spark, sf_dir)), LAST_APPLIED)
 
 
+def status_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status after the log was written in four parts: from the row that each part has, and the parts that a limit cuts."""
+    log = sinks.EventLog(spark, session.fresh_folder(spark, "status-log"))
+    dimension = schemas.tenants(spark)
+    batch = F.floor(F.col("offset") / BATCH_SIZE).cast("bigint").alias("batch_id")
+    outcomes = []
+    for number, half in enumerate(T.halves(_messages(spark, sf_dir))):
+        decoded = session.written(D.decode(T.change_feed(half), dimension), "status-decoded")
+        events = A.consumer_events(decoded)
+        middle = events.agg(F.floor((F.min("position") + F.max("position")) / 2)).scalar()
+        for part, some in enumerate((events.where(F.col("position") < middle), events.where(F.col("position") >= middle))):
+            log.append(some, number, part)
+        outcomes.append(decoded.select("outcome", batch))
+    once = reduce(DataFrame.unionByName, outcomes)
+    return R.status(
+        spark, PRUNE_NOW, once.where(F.col("outcome") == D.STAGED), once.where(F.col("outcome") == D.DEAD_LETTER), None,
+        LAST_APPLIED, A.log_counts_by_parts(log.parts(), log.stored(), PRUNE_NOW))
+
+
 # --- progress ---
 
 def topic_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -651,6 +672,46 @@ def stream_late_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_batches(spark, f"{folder}/monitor/changes", stream_connectors.STATE_CHANGES).drop("batch_id")
 
 
+def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lag of a sync that has handled half of the feed, from the offsets that its batches recorded."""
+    folder = session.fresh_folder(spark, "stream-lag")
+    events = _events(spark, sf_dir)
+    T.change_feed(T.halves(events)[0]).write.parquet(f"{folder}/feed")
+    feed = S.read_changes(spark, {"format": "parquet", "path": f"{folder}/feed"}, stream=True)
+    stream_sync.start_sync(feed, f"{folder}/sync", clock=lambda: Y.FIRST_SYNC, interval=None).awaitTermination()
+    return stream_sync.lag(spark, stream_sync.Tables(f"{folder}/sync"), T.change_feed(events))
+
+
+def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message comes twice, the second time after a restart, to a sync that drops repeats: what was staged and
+    dead-lettered."""
+    folder = session.fresh_folder(spark, "stream-repeats")
+    for _ in range(2):
+        T.change_feed(_events(spark, sf_dir)).write.mode("append").parquet(f"{folder}/feed")
+        feed = S.read_changes(spark, {"format": "parquet", "path": f"{folder}/feed"}, stream=True)
+        stream_sync.start_sync(feed, f"{folder}/sync", clock=lambda: Y.FIRST_SYNC, interval=None,
+                               repeats_within=REPEATS_WITHIN).awaitTermination()
+    tables = stream_sync.Tables(f"{folder}/sync")
+    layers = {"staging": sinks.read_batches(spark, tables.staging, schemas.STAGING),
+              "dead_letter": sinks.read_batches(spark, tables.dead_letters, schemas.DEAD_LETTERS)}
+    return R.layer_counts(layers)
+
+
+def catch_up_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged batches of which none was merged, merged in chunks of a few batches; a second run finds nothing to do."""
+    folder = session.fresh_folder(spark, "catch-up")
+    tables = stream_sync.Tables(folder)
+    target = PersonTable(spark, tables.person)
+    staged = session.written(_batched(spark, sf_dir), "backlog")
+    size = T.div("batch_id", 4)
+    staged.withColumn("batch_id", size).select(*[f.name for f in schemas.STAGING], "batch_id").write.partitionBy("batch_id").parquet(tables.staging)
+    rows = staged.count()
+    last = 0
+    for _ in range(2):
+        last = stream_sync.catch_up(target, tables, Y.FIRST_SYNC, chunk_rows=max(1, rows // 3))
+    return target.read().select(*KEY, "firstname", "surname", "extra_field", "synced_at", F.lit(last).cast("bigint").alias("last_batch"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -663,10 +724,11 @@ QUERIES: dict[str, Query] = {
         commands_legacy_patch, commands_apply, patch_target_only, command_changes, command_roundtrip,
         tenant_isolation,
         tenant_list, person_list, legacy_list, legacy_lookup, existing_keys, person_find, latest_staged,
-        latest_synced, event_feed_first, event_feed_since, event_feed_own, event_search, system_status,
+        latest_synced, event_feed_first, event_feed_since, event_feed_own, event_search, system_status, status_by_parts,
         topic_progress, barrier_check, barrier_gaps, quiet_check, sync_lag,
         state_changes, current_state, connector_readiness, restart_list,
         prune_events, prune_own_log, event_log, command_log, connector_log, record_journey, retry_counts, batch_summary,
         stream_merge, stream_replay, stream_state_changes, stream_late_names,
+        stream_lag, stream_repeats, catch_up_backlog,
     )
 }

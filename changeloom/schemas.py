@@ -91,6 +91,26 @@ EVENT_LOG = T.StructType([
     T.StructField("detail", T.StringType()),
 ])
 
+# What a batch of the sync has handled of a topic partition.
+HANDLED = T.StructType([
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("first_offset", T.LongType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("messages", T.LongType()),
+])
+
+# What a part of the activity log holds.
+LOG_PART = T.StructType([
+    T.StructField("first_id", T.LongType()),
+    T.StructField("last_id", T.LongType()),
+    T.StructField("first_ts", T.TimestampNTZType()),
+    T.StructField("last_ts", T.TimestampNTZType()),
+    T.StructField("events", T.LongType()),
+    T.StructField("errors", T.LongType()),
+    T.StructField("last_consumer", T.TimestampNTZType()),
+])
+
 # An event before it is numbered: where it stands among the events of its batch, and the log's columns but the id.
 EVENTS = T.StructType([
     T.StructField("position", T.LongType()),

@@ -43,6 +43,7 @@ class EventLog:
     Writing is best effort: a failure is logged and never fails the batch. Ids follow the newest one in the log, which is
     read once and then kept. The folder of a part is named by its first id, so a part that is written again takes the
     ids that it had: no reader sees its events anew, and they do not push later ones out of the log.
+    What each part holds is one row of a small table beside the log, from which status and retention are answered.
     Retention drops whole parts, at most once per `PRUNE_SECONDS`; `read` leaves out the rest of what is too old.
     """
 
@@ -52,6 +53,7 @@ class EventLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._parts = f"{self.path}_parts"
         self._pruned: datetime | None = None
 
     def _stored(self) -> DataFrame:
@@ -92,12 +94,22 @@ class EventLog:
 
     def _write(self, events: DataFrame, place: str, first: int) -> int:
         seen = Observation()
-        numbered = activity.number(events, first - 1).observe(seen, F.max("id").alias("last"))
+        numbered = activity.number(events, first - 1).observe(seen, *activity.part_summary())
         numbered.write.mode("overwrite").parquet(f"{place}/first_id={first}")
-        last = seen.get["last"] or first - 1
+        found = seen.get
+        last = found["last_id"] or first - 1
+        row = [first if f.name == "first_id" else found[f.name] for f in schemas.LOG_PART]
+        self.spark.createDataFrame([tuple(row)], schemas.LOG_PART).coalesce(1).write.mode("overwrite").parquet(
+            place.replace(self.path, self._parts, 1))
         NEWEST[self.path] = max(NEWEST[self.path], last)
         return last
 
+    def parts(self) -> DataFrame:
+        """One row per part of the log, with batch_id and part."""
+        schema = T.StructType([*schemas.LOG_PART.fields, *self.PLACES[:2]])
+        known = folders(self.spark, self._parts)
+        return self.spark.read.schema(schema).parquet(self._parts) if known else schemas.empty(self.spark, schema)
+
     def retries(self, batch_id: int) -> int:
         """How often a batch failed before."""
         return sum(int(name[5:]) >= RETRY_PART for name in folders(self.spark, f"{self.path}/batch_id={batch_id}") if name.startswith("part="))
@@ -107,12 +119,13 @@ class EventLog:
         if self._pruned is not None and (now - self._pruned).total_seconds() < self.PRUNE_SECONDS:
             return 0
         self._pruned = now
-        parts = self._stored().groupBy("batch_id", "part").agg(F.max("id").alias("last"), F.max("ts").alias("ts"))
-        newest = parts.agg(F.max("last")).scalar()
-        gone = activity.prune(parts.select("batch_id", "part", F.col("last").alias("id"), "ts"), now, newest, keep=False).where(F.col("id") < newest)
+        parts = self.parts().select("batch_id", "part", F.col("last_id").alias("id"), F.col("last_ts").alias("ts"))
+        newest = parts.agg(F.max("id")).scalar()
+        gone = activity.prune(parts, now, newest, keep=False).where(F.col("id") < newest)
         places = gone.select("batch_id", "part").collect()  # one row per part on files
         for row in places:
-            delete(self.spark, f"{self.path}/batch_id={row['batch_id']}/part={row['part']}")
+            for table in (self.path, self._parts):
+                delete(self.spark, f"{table}/batch_id={row['batch_id']}/part={row['part']}")
         return len(places)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeloom import schemas
-from changeloom.operators import activity, decode, merge
+from changeloom.operators import activity, decode, merge, progress
 from changeloom.sources import sinks
 from changeloom.sources.store import PARTS, CatalogTarget, Ledger, PersonTable, folders
 
@@ -40,6 +40,7 @@ class Tables:
         self.events = f"{folder}/events"
         self.person = f"{folder}/person"
         self.merged = f"{folder}/merged"
+        self.progress = f"{folder}/progress"
         self.checkpoint = checkpoint or f"{folder}/checkpoint"
 
 
@@ -79,6 +80,7 @@ def batch_function(
             letters = decode.dead_letters(decoded).unionByName(merge.quarantined(staged, delete_mode))
             sinks.write_dead_letters(letters, tables.dead_letters, number)
             log.append(activity.consumer_events(decoded), number, 0)
+            sinks.write_batch(progress.handled_offsets(decoded), tables.progress, number)
         finally:
             decoded.unpersist()
         written = sinks.read_batch(spark, tables.staging, number, schemas.STAGING)
@@ -160,6 +162,15 @@ def keep_running(start: Callable[[], StreamingQuery], in_a_row: int | None = Non
             wait(delay)
 
 
+def lag(spark: SparkSession, tables: Tables, newest: DataFrame) -> DataFrame:
+    """Lag per topic partition from what the batches recorded, one row per topic partition and batch; the feed is not read.
+
+    `newest` has topic, partition, offset: the feed itself, or `progress.newest_offsets` of the running query. A batch
+    counts once it is decoded and written.
+    """
+    return progress.topic_progress(newest, sinks.read_batches(spark, tables.progress, schemas.HANDLED))
+
+
 def catch_up(target: CatalogTarget | PersonTable, tables: Tables, now: datetime, delete_mode: str = "dead_letter",
              chunk_rows: int = CHUNK_ROWS) -> int:
     """Merge what was staged but not merged, in chunks of whole batches with at most `chunk_rows` rows (or one batch).
