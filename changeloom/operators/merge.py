@@ -27,7 +27,7 @@ def dedupe_stream(changes: DataFrame, delay: str) -> DataFrame:
     """The same for a streaming feed: repeats are dropped if they come within `delay` of the first copy's time.
 
     Spark also drops messages that are older than the newest one by more than `delay`, so choose it longer than any
-    replay reaches back. The sync does not use this: its merge is idempotent and needs no bound on lateness.
+    replay reaches back. The sync does this only if asked: its merge is idempotent and needs no bound on lateness.
     """
     timed = changes.withColumn("event_time", F.col("timestamp").cast("timestamp")).withWatermark("event_time", delay)
     return timed.dropDuplicatesWithinWatermark(["topic", "partition", "offset"]).drop("event_time")
