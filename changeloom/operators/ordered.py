@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 SLICE_WIDTH = 1 << 16
 
 
+def _dealt(rows: DataFrame, *by: str) -> DataFrame:
+    """`rows` dealt by `by` over as many parts as the session shuffles into.
+
+    A number of parts that is given is kept. Otherwise adaptive execution joins parts up to a size in compressed bytes;
+    rows in order compress so well that one task would sort millions of them.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def carry_forward(
     df: DataFrame,
     keys: list[str],
@@ -48,7 +57,7 @@ def carry_forward(
     carried = rows.groupBy("__key", "__slice").agg(*[ends(n) for n in names]).select(
         "__key", "__slice", *[over(n, before_slice).alias(f"__carried_{n}") for n in names]
     )
-    local = rows.withColumns({f"__local_{n}": over(n, in_slice) for n in names})
+    local = _dealt(rows, "__key", "__slice").withColumns({f"__local_{n}": over(n, in_slice) for n in names})
 
     def nearest(name: str) -> Column:
         near, far = f"__local_{name}", f"__carried_{name}"

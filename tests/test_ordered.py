@@ -41,6 +41,15 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     assert share < 25000
 
 
+def test_rows_that_compress_well_stay_spread(spark):
+    """Adaptive execution joins parts by compressed bytes; it leaves alone a number of parts that was asked for."""
+    key = F.when(F.col("id") % 10000 == 7, "cold").otherwise("hot")
+    df = spark.range(40000).select(key.alias("k"), F.col("id").alias("pos"), F.col("id").alias("v"))
+    got = carry_forward(df, ["k"], "pos", {"seen": F.col("v")}, width=1000)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert any("hashpartitioning(__key" in line and "REPARTITION_BY_NUM" in line for line in text.splitlines())
+
+
 def test_a_struct_carries_nulls(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 30, None), ("a", 31, "y")], "k STRING, pos BIGINT, v STRING")
     got = carry_forward(df, ["k"], "pos", {"old": F.struct(F.col("v").alias("v"))}, width=10)
