@@ -560,11 +560,12 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def command_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = C.resolve(Y.legacy(spark, sf_dir), Y.commands(spark, sf_dir), schemas.tenants(spark))
-    return A.number(A.command_events(resolved, F.col("written_at"))).drop("detail")
+    return A.number(session.written(A.command_events(resolved, F.col("written_at")), "command-events")).drop("detail")
 
 
 def connector_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.number(A.connector_events(N.state_changes(_polls(spark, sf_dir)), F.lit(Y.FIRST_SYNC)))
+    events = A.connector_events(N.state_changes(_polls(spark, sf_dir)), F.lit(Y.FIRST_SYNC))
+    return A.number(session.written(events, "connector-events"))
 
 
 def record_journey(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,3 +56,10 @@ def test_scans_read_only_what_they_need(spark, sf_dir):
     text = QUERIES["event_feed_since"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_id), GreaterThan(event_id,1000)" in text
     assert "TakeOrderedAndProject" in text
+
+
+def test_numbered_logs_are_made_once(spark, sf_dir):
+    """Numbering reads its events twice; behind that is a folder, not the query that makes them."""
+    for name in ("connector_log", "command_log", "event_log"):
+        text = plan(QUERIES[name](spark, sf_dir))
+        assert "events.parquet" not in text and "orders.parquet" not in text, name
