@@ -578,8 +578,10 @@ def record_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = session.written(C.resolve(Y.legacy(spark, sf_dir), Y.commands(spark, sf_dir), dimension), "journey-commands")
     decoded = D.decode(Y.command_changes(spark, sf_dir), dimension)
     batch = T.div("position", BATCH_SIZE).alias("batch_id")
-    written = A.command_events(resolved, F.col("written_at")).withColumn("batch_id", batch)
-    consumed = A.consumer_events(decoded).withColumn("batch_id", batch)
+    columns = ["position", "step", "topic", "stage", "tenant_id", "legacy_id"]
+    written = A.command_events(resolved, F.col("written_at")).select(*columns).withColumn("batch_id", batch)
+    # Written once: numbering the log reads it twice, and each time all messages would be made and parsed.
+    consumed = session.written(A.consumer_events(decoded).select(*columns), "journey-events").withColumn("batch_id", batch)
     batches = resolved.where("status = 'applied'").select(T.div("seq", BATCH_SIZE).alias("batch_id")).distinct()
     half = batches.agg(F.floor(F.max("batch_id") / 2)).scalar()
     merged = batches.where(F.col("batch_id") <= half)

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from changeloom.plans import queries
 from changeloom.plans.queries import QUERIES
 
 BATCH = [n for n in QUERIES if not n.startswith("stream_")]
@@ -63,3 +64,16 @@ def test_numbered_logs_are_made_once(spark, sf_dir):
     for name in ("connector_log", "command_log", "event_log"):
         text = plan(QUERIES[name](spark, sf_dir))
         assert "events.parquet" not in text and "orders.parquet" not in text, name
+
+
+def test_record_journey_parses_each_message_once(spark, sf_dir, monkeypatch):
+    parsed = []
+    written = queries.session.written
+
+    def kept(df, purpose):
+        parsed.append("try_variant_get" in plan(df) or "VariantExpressionEvalUtils" in plan(df))
+        return written(df, purpose)
+
+    monkeypatch.setattr(queries.session, "written", kept)
+    QUERIES["record_journey"](spark, sf_dir)
+    assert parsed == [False, True, False]  # commands, events of the consumer, log
