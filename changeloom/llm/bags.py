@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 from typing import Protocol
 
 import numpy as np
@@ -18,13 +19,22 @@ from pyspark.sql import functions as F
 #: Entries of the table that is sent to the tasks, and the length of its longest piece: 12 MB at most.
 HEAD = 1 << 17
 HEAD_BYTES = 64
-#: Distinct units that a task holds before it hands them on, units whose pieces it remembers (twice: the newest ones, and as
-#: many before them), and rows that it hands on.
+#: Distinct units that a task holds before it hands them on, units whose pieces it remembers, units that it sums together,
+#: and rows that it hands on.
 HELD = 250_000
-REMEMBERED = 75_000
+REMEMBERED = 150_000
+UNITS = 1 << 19
 ROWS = 20_000
 
 
+class Numbers(dict):
+    """Units, numbered in the order in which they are first asked for."""
+
+    def __missing__(self, unit) -> int:
+        self[unit] = number = len(self)
+        return number
+
+
 class Bag(Protocol):
     def units(self, text: bytes) -> list: ...
 
@@ -101,19 +111,18 @@ def summed(docs: DataFrame, bag: Callable[[], Bag], values: DataFrame, names: li
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, known = shared.value
         cut = bag()
-        memo: dict = {}  # per unit the places of its frequent pieces, and its other pieces
-        older: dict = {}
-
-        def learn(unit) -> tuple[tuple[int, ...], tuple[bytes, ...]]:
-            nonlocal memo, older
-            if len(memo) >= REMEMBERED:
-                memo, older = {}, memo
-            found = older.get(unit)
-            if found is None:
-                pieces = cut.pieces(unit)
-                found = (tuple([at[piece] for piece in pieces if piece in at]), tuple([piece for piece in pieces if piece not in at]))
-            memo[unit] = found
-            return found
+        numbers, values, tails = Numbers(), np.empty((0, len(names))), []
+
+        def learn() -> None:
+            """Per newly numbered unit the sums over its frequent pieces, and its other pieces."""
+            nonlocal values
+            new = [cut.pieces(unit) for unit in islice(numbers, len(tails), None)]
+            places = [[at[piece] for piece in pieces if piece in at] for pieces in new]
+            owner = np.repeat(np.arange(len(new)), [len(own) for own in places])
+            found = known[list(chain.from_iterable(places))]
+            sums = [np.bincount(owner, found[:, j], len(new)) for j in range(len(names))]
+            values = np.concatenate([values, np.array(sums).T.reshape(len(new), len(names))])
+            tails.extend(tuple([piece for piece in pieces if piece not in at]) for pieces in new)
 
         for batch in batches:
             ids = batch.column("row").to_pylist()
@@ -131,18 +140,29 @@ def summed(docs: DataFrame, bag: Callable[[], Bag], values: DataFrame, names: li
                 more_rows.clear(), more_pieces.clear(), more_n.clear()
                 return out
 
-            for i, text in enumerate(batch.column("text")):
-                places, times = [], []
-                for unit, n in Counter(cut.units(text.as_py())).items():
-                    found = memo.get(unit) or learn(unit)
-                    for place in found[0]:
-                        places.append(place), times.append(n)
-                    for piece in found[1]:
-                        more_rows.append(ids[i]), more_pieces.append(piece), more_n.append(n)
-                if places:
-                    sums[i] = np.array(times, np.float64) @ known[places]
-                if len(more_rows) >= ROWS:
-                    yield tail()
+            texts, first = batch.column("text"), 0
+            while first < len(ids):
+                if len(numbers) > REMEMBERED:
+                    numbers, values, tails = Numbers(), np.empty((0, len(names))), []
+                units, upto, held = [], first, 0
+                while upto < len(ids) and held < UNITS:
+                    own = cut.units(texts[upto].as_py())
+                    units.append(np.fromiter(map(numbers.__getitem__, own), np.int64, len(own)))
+                    held, upto = held + len(own), upto + 1
+                if len(numbers) > len(tails):
+                    learn()
+                every = np.concatenate(units)
+                rows = np.repeat(np.arange(first, upto), [len(own) for own in units])
+                for j in range(len(names)):
+                    sums[first:upto, j] = np.bincount(rows - first, values[every, j], upto - first)
+                rare = np.array([bool(pieces) for pieces in tails], bool)[every]
+                pairs, times = np.unique(rows[rare] * len(tails) + every[rare], return_counts=True)
+                for row, unit, n in zip((pairs // max(len(tails), 1)).tolist(), (pairs % max(len(tails), 1)).tolist(), times.tolist()):
+                    for piece in tails[unit]:
+                        more_rows.append(ids[row]), more_pieces.append(piece), more_n.append(n)
+                    if len(more_rows) >= ROWS:
+                        yield tail()
+                first = upto
             if more_rows:
                 yield tail()
             # the row of the document itself has a key that no piece has, as it is not UTF-8; so these rows spread evenly

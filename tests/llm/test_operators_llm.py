@@ -123,6 +123,16 @@ def test_sums_do_not_depend_on_the_head(documents):
     assert results[0] == results[1] == results[2] and len(results[0]) == 40
 
 
+def test_sums_do_not_depend_on_what_a_task_remembers(documents, monkeypatch):
+    """Units are numbered and summed some texts at a time; what was learnt is forgotten between them."""
+    docs = documents([(i, " ".join(f"w{j % (i + 3)}" for j in range(50))) for i in range(40)] + [(40, None), (41, "")])
+    values = tables.stage(bags.counted(docs, lm.Words, F.lit(True)).withColumn("v", F.length("piece").cast("double")), "test")
+    expected = by_id(bags.summed(docs, lm.Words, values, ["v"], {"doc_id": F.col("doc_id")}, head=5))
+    monkeypatch.setattr(bags, "UNITS", 60)
+    monkeypatch.setattr(bags, "REMEMBERED", 4)
+    assert by_id(bags.summed(docs, lm.Words, values, ["v"], {"doc_id": F.col("doc_id")}, head=5)) == expected
+
+
 def test_lattice_sums_over_all_segmentations():
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
