@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.tables import stage
+from changeloom.llm.tables import likely, stage
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -90,17 +90,12 @@ def connect(members: DataFrame, possible: str, lead: list[str], confirm: Callabl
     return found, links
 
 
-#: Buckets of keys; a table with a row for each is 16 MB, whatever the number of keys.
-KEY_BUCKETS = 1 << 20
+def sharing(blocks: DataFrame, purpose: str) -> DataFrame:
+    """The distinct rows of blocks (key, node and more) whose key is that of more than one node.
 
-
-def sharing(blocks: DataFrame) -> DataFrame:
-    """The rows (key, node) of blocks that hold more than one node. A node has a key once.
-
-    A small table of buckets of the shared keys leaves most other rows out before the join moves any.
+    A filter of the shared keys leaves nearly all other rows out before the join moves any, and equal rows go before the
+    join deals the rows by key.
     """
-    shared = blocks.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("key")
-    bucket = F.pmod(F.xxhash64("key"), F.lit(KEY_BUCKETS)).cast("int")
-    some = F.broadcast(shared.select(bucket.alias("bucket")).distinct())  # KEY_BUCKETS rows at most
-    likely = blocks.withColumn("bucket", bucket).join(some, "bucket", "left_semi").drop("bucket")
-    return likely.join(shared, "key")
+    spread = blocks.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
+    shared = stage(spread.select("key"), purpose)
+    return likely(blocks, shared, "key").distinct().join(shared, "key")

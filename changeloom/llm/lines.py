@@ -4,17 +4,17 @@ Lines are normalised, and equal ones are one node. A node's SimHash has 63 bits,
 of all its words. Nodes whose words have the edit similarity may differ in up to DISTANCE of them, which is too many for
 blocks of bits to stay alone. So the pigeonhole is taken over runs of three words: an edit touches three runs at most, so
 that of the 3 d + 1 first runs in any fixed order one stays after d edits. Nodes that share one of them and lie within the
-distance are candidates, and the edit similarity of their words confirms them. Of each connected group of lines one
-occurrence stays.
+distance are candidates, unless the parities of their words show that they need more edits, and the edit similarity of
+their words confirms them. Only lines that share a run get a SimHash. Of each connected group of lines one occurrence stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeloom.llm.components import connect, sharing
-from changeloom.llm.tables import document_keys, parted, stage
+from changeloom.llm.tables import document_keys, likely, parted, stage
 
 #: Lines of fewer words are left alone: they recur by chance.
 MIN_WORDS = 5
@@ -28,6 +28,8 @@ LONG_WORD = 5
 #: Runs of a line that are looked up, at most. That is all that the edits allow up to 33 words; of a longer line with as
 #: many edits as are allowed, one run among them stays but for less than one case in a thousand.
 RUNS = 16
+#: Numbers of 64 bits of parity of a line, a power of two. Where they differ in more bits than the edits allow, no pair is made.
+PARITIES = 4
 #: Seven bits spread to the low bits of seven bytes: copies of the seven bits, each seven places on, and a mask.
 _COPIES = sum(1 << 7 * i for i in range(7))
 _LOW = sum(1 << 8 * i for i in range(7))
@@ -59,23 +61,29 @@ def _simhash(hashes: str) -> str:
 
 
 def _word_hashes(words: str) -> str:
-    """63 bits of hash per word, and the sign for long ones."""
-    return f"transform({words}, w -> (xxhash64(w) & {(1 << 63) - 1}L) | CASE WHEN length(w) >= {LONG_WORD} THEN shiftleft(1L, 63) ELSE 0L END)"
+    """59 bits of hash per word, and two bits above them that count it where it is short; three such numbers add up."""
+    return f"transform({words}, w -> (xxhash64(w) & {(1 << 59) - 1}L) + IF(length(w) < {LONG_WORD}, {1 << 61}L, 0L))"
 
 
 def _runs(hashes: str) -> str:
     """The first runs of words by number of long words and hash: as many as the edits that a similar line may have ask for.
 
-    A similar line has no more words than n / SIMILARITY. Lines that allow no edit have no runs.
+    A run is its words in any order: their sum. A similar line has no more words than n / SIMILARITY. Lines that allow no
+    edit have no runs.
     """
     edits = f"cast(floor({1 - SIMILARITY:.6f}D * floor(size({hashes}) / {SIMILARITY}D + 1e-9D) + 1e-9D) AS int)"
-    each = [f"get({hashes}, i + {j})" for j in range(RUN)]
-    short = f"{RUN}L - " + " - ".join(f"shiftrightunsigned({h}, 63)" for h in each)
-    run = f"shiftleft({short}, 61) | shiftrightunsigned(xxhash64({', '.join(each)}), 3)"
-    runs = f"sort_array(array_distinct(transform(sequence(0, size({hashes}) - {RUN}), i -> {run})))"
+    sums = f"transform({hashes}, (h, i) -> h + " + " + ".join(f"get({hashes}, i + {j})" for j in range(1, RUN)) + ")"
+    whole = f"slice({sums}, 1, size({hashes}) - {RUN - 1})"
+    runs = f"sort_array(array_distinct(transform({whole}, s -> (s & {3 << 61}L) | shiftrightunsigned(xxhash64(s), 3))))"
     return f"CASE WHEN {edits} > 0 THEN slice({runs}, 1, least({RUN} * {edits} + 1, {RUNS})) ELSE array() END"
 
 
+def _parity(hashes: str, part: int) -> str:
+    """64 bits, each whether an odd number of words falls on it; a word falls on one bit of one of the PARITIES parts."""
+    bit = f"IF((shiftright(h, 6) & {PARITIES - 1}) = {part}, shiftleft(1L, cast(h & 63 AS int)), 0L)"
+    return f"aggregate({hashes}, 0L, (s, h) -> s ^ {bit})"
+
+
 def normalised(line: Column) -> Column:
     """Lower case, with letters and digits only, and one space between words."""
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
@@ -87,61 +95,73 @@ def _letters(words: str) -> str:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """_doc, _doc2, doc_id, place, k1, k2 (hashes of the line), words (their number), simhash, runs, one row per line."""
+    """_doc, _doc2, doc_id, place, k1, k2 (hashes of the line), words (their number), runs, one row per line."""
     lines = docs.select(
         *document_keys(), "doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     plain = lines.withColumn("plain", normalised(F.col("line"))).drop("line")
     hashed = plain.select(
         "_doc", "_doc2", "doc_id", "place", F.xxhash64("plain").alias("k1"), F.xxhash64("plain", F.lit(1)).alias("k2"),
         F.split("plain", " ").alias("all")).withColumn("hashes", F.expr(_word_hashes("all")))
-    return hashed.select("_doc", "_doc2", "doc_id", "place", "k1", "k2", F.size("all").alias("words"),
-                         F.expr(_simhash("hashes")).alias("simhash"), F.expr(_runs("hashes")).alias("runs"))
+    return hashed.select("_doc", "_doc2", "doc_id", "place", "k1", "k2", F.size("all").alias("words"), F.expr(_runs("hashes")).alias("runs"))
 
 
-def blocks(nodes: DataFrame) -> DataFrame:
-    """key, node: one row per run that is looked up."""
-    runs = F.filter(F.array(*(f"run{i}" for i in range(RUNS))), lambda r: r.isNotNull())
-    return nodes.select(F.explode(runs).alias("key"), "node")
+def blocks(found: DataFrame) -> DataFrame:
+    """key, k1, k2, words: the lines that share a run with a line of a length that a similar one may have."""
+    each = found.select(F.explode("runs").alias("key"), F.col("k1").alias("node"), "k2", "words")
+    shared = sharing(each, "lines-shared").withColumnRenamed("node", "k1")
+    # of the lines of a block, the next shorter and the next longer ones are the closest in length
+    place = Window.partitionBy("key").orderBy("words", "k1", "k2")
+    near = shared.withColumn("fewer", F.lag("words").over(place)).withColumn("more", F.lead("words").over(place))
+    return near.filter(f"fewer >= {SIMILARITY}D * words - 1e-9D OR words >= {SIMILARITY}D * more - 1e-9D").select("key", "k1", "k2", "words")
 
 
-def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose words have the edit similarity."""
-    sides = [nodes.select(F.col("node").alias(s), F.col("words").alias(f"n_{s}")) for s in "ab"]
-    close = stage(pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "n_b"), "lines-close")
-    if close.isEmpty():
-        return close.select("a", "b")
-    needed = stage(close.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select(
-        "node", "_doc", "_doc2", "place"), "lines-needed")
-    lines = parted(docs.select("doc_id", "text"), needed)[0].join(needed, ["_doc", "_doc2"]).select(
-        "node", F.split(normalised(F.get(F.split("text", "\n"), F.col("place"))), " ").alias("all"))
+def sketches(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, simhash, parity0 and so on, letters: what tells whether nodes (node, _doc, _doc2, place) are similar."""
+    places = ["_doc", "_doc2", "place"]
+    lines = docs.select(*document_keys(), F.posexplode(F.split("text", "\n")).alias("place", "line"))
     # repeated documents have the line of a node more than once
-    letters = stage(lines.select("node", F.expr(_letters("all")).alias("letters")).dropDuplicates(["node"]), "lines-letters")
-    both = close.join(letters.select(F.col("node").alias("a"), F.col("letters").alias("l_a")), "a").join(
-        letters.select(F.col("node").alias("b"), F.col("letters").alias("l_b")), "b")
-    limit = f"cast(floor({1 - SIMILARITY:.6f}D * greatest(n_a, n_b) + 1e-9D) AS int)"
+    needed = likely(lines, nodes, *places).join(nodes, places).dropDuplicates(places)
+    cut = needed.select("node", F.split(normalised(F.col("line")), " ").alias("all"))
+    hashed = cut.withColumn("hashes", F.expr("transform(all, w -> xxhash64(w))"))
+    return hashed.select("node", F.expr(_simhash("hashes")).alias("simhash"),
+                         *(F.expr(_parity("hashes", i)).alias(f"parity{i}") for i in range(PARITIES)),
+                         F.expr(_letters("all")).alias("letters"))
+
+
+def similar(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose words have the edit similarity."""
+    both = pairs
+    for side in "ab":
+        both = both.join(sketched.select(F.col("node").alias(side), F.col("letters").alias(f"l_{side}")), side)
+    limit = f"cast(floor({1 - SIMILARITY:.6f}D * greatest(length(l_a), length(l_b)) + 1e-9D) AS int)"
     return both.filter(f"levenshtein(l_a, l_b, {limit}) >= 0").select("a", "b")
 
 
 def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """_doc, _doc2, places: the lines of each document that go."""
     found = stage(occurrences(docs), "lines-found").filter(F.col("words") >= min_words)
+    blocked = stage(blocks(found), "lines-blocks")
     # the first occurrence: smallest id, null ids last, then the first line; the keys stand for documents that share an id
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_doc", "_doc2", "place")).alias("first")
-    groups = found.groupBy("k1", "k2").agg(
-        first, F.count(F.lit(1)).alias("n"), F.first("simhash").alias("simhash"), F.first("words").alias("words"),
-        *(F.first(F.get("runs", F.lit(i))).alias(f"run{i}") for i in range(RUNS)))
-    nodes = stage(groups.select(F.monotonically_increasing_id().alias("node"), "*"), "lines-nodes")
-    places = nodes.select("node", "words", "first._doc", "first._doc2", "first.place")
-    close = (f"bit_count(x.simhash ^ y.simhash) <= {DISTANCE} AND "
-             f"least(x.words, y.words) >= {SIMILARITY}D * greatest(x.words, y.words) - 1e-9D")
-    # both uses of the blocks read them from the nodes; the shared keys are found once
-    members = sharing(blocks(nodes)).join(nodes.select("node", "simhash", "words"), "node")
-    linked, _ = connect(members, close, ["node"], lambda pairs: similar(pairs, places, docs), "lines")
+    groups = found.groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("n"))
+    wanted = blocked.select("k1", "k2").distinct().withColumn("wanted", F.lit(True))
+    nodes = stage(groups.join(wanted, ["k1", "k2"], "left").filter("n > 1 OR wanted").select(
+        F.monotonically_increasing_id().alias("node"), "*"), "lines-nodes")
+    sketched = stage(sketches(nodes.filter("wanted").select("node", "first._doc", "first._doc2", "first.place"), docs.select("doc_id", "text")), "lines-sketches")
+    # an edit takes away one word at most and brings one; so neither line has more words of its own than edits, and a word
+    # moves one bit of parity: twice the larger number is at least the bits that differ and the difference in length
+    apart = " + ".join([f"bit_count(x.parity{i} ^ y.parity{i})" for i in range(PARITIES)] + ["abs(x.words - y.words)"])
+    close = (f"least(x.words, y.words) >= {SIMILARITY}D * greatest(x.words, y.words) - 1e-9D AND "
+             f"bit_count(x.simhash ^ y.simhash) <= {DISTANCE} AND "
+             f"{apart} <= 2 * floor({1 - SIMILARITY:.6f}D * greatest(x.words, y.words) + 1e-9D)")
+    members = blocked.join(nodes.select("node", "k1", "k2"), ["k1", "k2"]).join(sketched.drop("letters"), "node").drop("k1", "k2")
+    linked, _ = connect(members, close, ["node"], lambda pairs: similar(pairs, sketched), "lines")
     grouped = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     keepers = grouped.groupBy("component").agg(F.min("first").alias("keeper"), F.sum("n").alias("total")).filter("total > 1")
-    lost = grouped.join(keepers.select("component", "keeper"), "component").select("k1", "k2", "keeper")
+    lost = stage(grouped.join(keepers.select("component", "keeper"), "component").select("k1", "k2", "keeper"), "lines-lost")
     # copies of a line are dealt by their key: a common one is the skewed side of the join
-    gone = found.join(lost, ["k1", "k2"]).filter("_doc <> keeper._doc OR _doc2 <> keeper._doc2 OR place <> keeper.place")
+    copies = likely(found.drop("runs"), lost, "k1", "k2").join(lost, ["k1", "k2"])
+    gone = copies.filter("_doc <> keeper._doc OR _doc2 <> keeper._doc2 OR place <> keeper.place")
     return gone.groupBy("_doc", "_doc2").agg(F.collect_set("place").alias("places"))  # places of one text
 
 

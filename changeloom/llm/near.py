@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     by_set = found.filter("n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
     classes = stage(by_set.withColumn("node", F.monotonically_increasing_id()), "near-classes")
-    members = stage(sharing(stage(bands(classes), "near-bands")), "near-shared")
+    members = stage(sharing(stage(bands(classes), "near-bands"), "near-keys"), "near-shared")
     needed = members.select("node").distinct().join(classes.select("node", "digest", "doc_id"), "node")
     sets = stage(full_sets(docs, stage(needed, "near-needed")), "near-sets")
     def confirm(pairs: DataFrame) -> DataFrame:

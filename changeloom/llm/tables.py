@@ -54,6 +54,23 @@ def words_in(text: str = "text") -> Column:
     return F.size(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), F.lit(0))).cast("long")
 
 
+#: Rows of a filter with 64 bits each: 16 MB, whatever the number of keys.
+FILTER = 1 << 20
+
+
+def likely(df: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
+    """The rows of `df` that have a row with equal `names` in `keys`, and some of the others.
+
+    A bit per hash decides, so that a join on these columns need not move most of the others: one in 60 at a million keys,
+    and more the more keys there are.
+    """
+    place = F.pmod(F.xxhash64(*names), F.lit(64 * FILTER))
+    bits = keys.select(place.alias("_place")).groupBy(F.expr("_place DIV 64").alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(_place % 64 AS INT)))").alias("_bits"))  # FILTER rows at most
+    placed = df.withColumn("_place", place).withColumn("_word", F.expr("_place DIV 64")).join(F.broadcast(bits), "_word")
+    return placed.filter("(shiftright(_bits, CAST(_place % 64 AS INT)) & 1) = 1").select(df.columns)
+
+
 #: Buckets of document keys; a table with a row for each is 16 MB, whatever the size of the corpus.
 KEY_BUCKETS = 1 << 20
 

@@ -283,6 +283,19 @@ def test_line_dedup_finds_lines_with_as_many_edits_as_are_allowed(documents):
     assert removed == {i: i % 2 for i, _ in texts}
 
 
+def test_lines_that_share_a_phrase_are_not_paired(documents, monkeypatch):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"word{i}" if i % 3 else f"w{i}" for i in range(2000)]
+    phrase = "seven longer words that stand everywhere together"
+    texts = [(i, " ".join([*rng.choice(vocabulary, 20), phrase, *rng.choice(vocabulary, 20)])) for i in range(300)]
+    texts += [(300, texts[0][1] + " more"), (301, texts[1][1])]
+    tried, similar = [], lines.similar
+    monkeypatch.setattr(lines, "similar", lambda pairs, *more: tried.append(pairs.count()) or similar(pairs, *more))
+    removed = {r["doc_id"]: r["n_removed"] for r in lines.dedup(documents(texts)).collect()}
+    assert removed == {i: int(i >= 300) for i, _ in texts}
+    assert sum(tried) < 30  # of 45,000 pairs that share a run
+
+
 def test_line_dedup_edges(documents, empty):
     line = "this is one line of text that stands twice"
     docs = documents([(2, f"{line}\nshort\nshort"), (1, f"{line.upper()}!\n"), (3, None), (4, ""), (None, line), (5, LONG), (6, LONG), (7, line), (7, line)])
