@@ -30,8 +30,8 @@ SLOTS, DIMENSIONS, BITS = 256, 4, 12
 REMEMBERED, HELD, HANDED = 300_000, 1 << 22, 1 << 22
 #: Texts of printable ASCII, white space and the letters of Latin-1 that have one lower-case letter and no other form.
 PLAIN = re.compile(r"[\x20-\x7E\n\t\rÀ-ÖØ-öø-ÿ]*")
-#: The pre-tokens of such a text, in lower case: endings, letters, single digits, signs.
-RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~]+")
+#: The pre-tokens of such a text, in lower case: letters, single digits, endings, signs.
+RUNS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[!-/:-`{-~]+")
 #: Words that are encoded together.
 ENCODED = 10_000
 
@@ -162,15 +162,16 @@ class Curve:
 
     def __init__(self, vocabulary: int) -> None:
         hashes = mixed(np.arange(vocabulary, dtype=np.uint64) + np.uint64(1))
-        self._slot = (hashes % np.uint64(SLOTS)).astype(np.int64)
-        self._sign = np.where(hashes >> np.uint64(63), 1.0, -1.0)
+        # the slots of tokens that add one, and behind them those of tokens that take one
+        self._slot = (hashes % np.uint64(SLOTS)).astype(np.int64) + np.where(hashes >> np.uint64(63), 0, SLOTS)
         # one direction per dimension: each slot a number between -1 and 1 that depends on nothing but its place
         numbers = mixed(np.arange(SLOTS * DIMENSIONS, dtype=np.uint64) + np.uint64(1), 1)
         self._axes = (numbers >> np.uint64(11)).astype(np.float64).reshape(SLOTS, DIMENSIONS) / 2.0**52 - 1
 
     def places(self, ids: list[np.ndarray]) -> np.ndarray:
         """The place of each document. Documents without tokens stand in the middle of the space."""
-        vectors = np.array([np.bincount(self._slot[own], self._sign[own], SLOTS) for own in ids]).reshape(len(ids), SLOTS)
+        counts = np.array([np.bincount(self._slot[own], minlength=2 * SLOTS) for own in ids]).reshape(len(ids), 2 * SLOTS)
+        vectors = (counts[:, :SLOTS] - counts[:, SLOTS:]).astype(np.float64)
         vectors = np.sign(vectors) * np.log1p(np.abs(vectors))
         points = vectors @ self._axes / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         # a projection of a unit vector is close to normal, with a deviation of a third in its square
