@@ -59,9 +59,9 @@ def connect(members: DataFrame, possible: str, lead: list[str], confirm: Callabl
     def named(df: DataFrame, side: str, more: tuple[str, ...] = ()) -> DataFrame:
         return df.select("key", F.struct(*(c for c in columns if c != "key"), *more).alias(side))
 
-    def against(firsts: DataFrame, others: DataFrame, more: str, known: tuple[str, ...] = ()) -> DataFrame:
+    def against(firsts: DataFrame, others: DataFrame, more: str, known: tuple[str, ...] = (), here: str = "true") -> DataFrame:
         joined = named(firsts, "x", known).join(named(others, "y", known), "key")
-        return joined.filter(f"x.node <> y.node AND ({more}) AND ({possible})").select(*_pairs("x.node", "y.node")).distinct()
+        return joined.filter(f"x.node <> y.node AND ({more}) AND ({possible}) AND ({here})").select(*_pairs("x.node", "y.node")).distinct()
 
     def drawn(df: DataFrame, order: list) -> DataFrame:
         first = F.min(F.struct(*(F.col(c).alias(f"_{i}") if isinstance(c, str) else c.alias(f"_{i}") for i, c in enumerate(order)),
@@ -78,7 +78,11 @@ def connect(members: DataFrame, possible: str, lead: list[str], confirm: Callabl
         open_members = stage(placed.join(parts.select("key", F.col("largest.part").alias("big")), "key"), f"{purpose}-open")
         if last:
             apart = "x.part <> y.part AND (x.part = x.big OR x.part < y.part)"
-            pairs = against(open_members, open_members.filter("part <> big"), apart, ("part", "big"))
+            # a pair is made in the first block that both are in: each open block has all its pairs of different components
+            blocks = open_members.groupBy("node").agg(F.collect_set("key").alias("keys"))  # as many as `members` has of a node
+            dealt = open_members.join(blocks, "node")
+            here = "key = array_min(array_intersect(x.keys, y.keys))"
+            pairs = against(dealt, dealt.filter("part <> big"), apart, ("part", "big", "keys"), here)
         else:
             pairs = against(drawn(open_members, [F.xxhash64("key", "node")]), open_members, "x.part <> y.part", ("part",))
         fresh = stage(pairs.join(tried, ["a", "b"], "left_anti"), f"{purpose}-tried")

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from changeloom.llm import bags, contamination, exact, lines, lm, mixing, near, pages, pii, tables, tokens, toxicity
+from changeloom.llm import bags, components, contamination, exact, lines, lm, mixing, near, pages, pii, tables, tokens, toxicity
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -283,6 +283,19 @@ def test_line_dedup_finds_lines_with_as_many_edits_as_are_allowed(documents):
     assert removed == {i: i % 2 for i, _ in texts}
 
 
+def test_connect_tries_every_possible_pair_of_shared_blocks(spark):
+    rng = np.random.default_rng(8)
+    rows = sorted({(int(k), int(n)) for n in range(120) for k in rng.choice(12, 4)})
+    held = {n: {k for k, m in rows if m == n} for n in range(120)}
+    linked = {(a, b) for a, b in combinations(range(120), 2) if held[a] & held[b] and (a * 7 + b * 13) % 61 == 0}
+    confirmed = spark.createDataFrame(sorted(linked), "a long, b long")
+    found, _ = components.connect(spark.createDataFrame(rows, "key long, node long"), "true", ["node"], lambda p: p.join(confirmed, ["a", "b"]), "test")
+    root = list(range(120))
+    for a, b in linked:
+        root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    assert {r["node"]: r["component"] for r in found.collect()} == {n: r for n, r in enumerate(root) if root.count(r) > 1}
+
+
 def test_lines_that_share_a_phrase_are_not_paired(documents, monkeypatch):
     rng = np.random.default_rng(5)
     vocabulary = [f"word{i}" if i % 3 else f"w{i}" for i in range(2000)]
