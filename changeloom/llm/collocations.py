@@ -6,7 +6,8 @@ runs of equal cells counted. The counts are summed by Spark, cell by cell. Pairs
 neighbouring pairs, which share a word, are the phrases of three words; and once more for four. No phrase is more frequent than its
 parts, so none is lost.
 
-Tasks get a table of the most frequent phrases of each length, of a fixed size (`HEADS`). What is frequent and not in it goes by
+Tasks cut many texts at once, and find words by 64-bit hashes of them and their language, which two words share by chance in about one
+of a million large corpora. They get a table of the most frequent phrases of each length, of a fixed size (`HEADS`). What is frequent and not in it goes by
 text instead, through a filter of a fixed size that tells what may be frequent; so results do not depend on these sizes.
 """
 
@@ -22,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from changeloom.llm.hashing import BYTES, Table, mixed, slices, word_hashes, xxhash64_words
 from changeloom.llm.tables import stage
 
 LEAST, LONGEST, TOP, INSIDE, SCALE = 30, 4, 2000, 80, 2_000_000
@@ -34,12 +36,51 @@ TILE, DENSE, HELD = 10, 1 << 16, 1 << 22
 #: Distinct words or phrases that a task holds by text.
 TEXTS = 250_000
 RARE, UNRANKED = -1, -2
-_BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
+#: What parts pieces becomes a line feed, what parts words a space.
+_BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 
 
-def pieces(text: bytes) -> list[list[bytes]]:
+@dataclass
+class Words:
+    """All words of some texts: where they start and end in `text`, the piece and the row of each, and a hash of it and its language."""
+
+    text: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    piece: np.ndarray
+    row: np.ndarray
+    hashes: np.ndarray
+
+    def phrase(self, at: int, n: int = 1) -> bytes:
+        """The n words from the one at `at` on."""
+        if n == 1:
+            return self.text[self.starts[at] : self.ends[at]]
+        return b" ".join([self.text[i:j] for i, j in zip(self.starts[at : at + n].tolist(), self.ends[at : at + n].tolist())])
+
+
+def _lang_hashes(langs: list[str]) -> np.ndarray:
+    return word_hashes([lang.encode() for lang in langs])
+
+
+def cut(langs: list[str], texts: list[bytes]) -> Words:
     """The words of each piece; ASCII letters in lower case."""
-    return [piece.split() for piece in text.lower().translate(_BREAKS).split(b"\n")]
+    text = b"\n".join(texts).lower().translate(_BREAKS)
+    values = np.frombuffer(text, np.uint8)
+    inside = np.zeros(len(values) + 2, bool)
+    inside[1:-1] = (values != 32) & (values != 10)
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = turns[::2], turns[1::2]
+    piece = np.searchsorted(np.flatnonzero(values == 10), starts)
+    row = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, "right")
+    return Words(text, starts, ends, piece, row, xxhash64_words(text, starts, ends - starts) ^ _lang_hashes(langs)[row])
+
+
+def _cuts(batches: Iterator[pa.RecordBatch], size: int = BYTES) -> Iterator[tuple[list[str], Words]]:
+    """The languages of the rows and the words of their texts, some rows at a time."""
+    for batch in batches:
+        for start, n in slices(batch.column("text"), size):
+            langs = batch.column("lang").slice(start, n).to_pylist()
+            yield langs, cut(langs, batch.column("text").slice(start, n).to_pylist())
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -63,15 +104,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
                                        pa.array(list(words.values()), pa.int64())], names=["lang", "phrase", "f"])
             held.clear()
 
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                words = held.setdefault(lang, Counter())
-                before = sum(map(len, held.values())) if len(held) > 1 else len(words)
-                for piece in pieces(text.as_py()):
-                    words.update(piece)
-                    total[lang] += len(piece)
-                if before > TEXTS:
-                    yield from rows()
+        for langs, words in _cuts(batches, 2 * BYTES):
+            for lang, n in zip(langs, np.bincount(words.row, minlength=len(langs)).tolist()):
+                total[lang] += n
+            _, first, n = np.unique(words.hashes, return_index=True, return_counts=True)
+            counters = [held.setdefault(lang, Counter()) for lang in langs]
+            found = zip(words.row[first].tolist(), words.starts[first].tolist(), words.ends[first].tolist(), n.tolist())
+            for row, start, end, m in found:
+                counters[row][words.text[start:end]] += m
+            if sum(map(len, held.values())) > TEXTS:
+                yield from rows()
         yield from rows()
         yield pa.record_batch([pa.array(list(total), pa.string()), pa.nulls(len(total), pa.string()),
                                pa.array(list(total.values()), pa.int64())], names=["lang", "phrase", "f"])
@@ -102,13 +144,17 @@ class Level:
     coded: np.ndarray | None = None  # filters of the others: by code, and by text
     texted: np.ndarray | None = None
 
-    def place(self, codes: np.ndarray) -> np.ndarray:
+    def table(self) -> Table:
+        """Of the ranked ones, by rank."""
+        ordered = np.empty_like(self.codes)
+        ordered[self.ranks] = self.codes
+        return Table(mixed(ordered.view(np.uint64)))
+
+    def place(self, table: Table, codes: np.ndarray) -> np.ndarray:
         """The rank of each code, or whether it is rare or without a rank."""
-        at = np.minimum(np.searchsorted(self.codes, codes), max(len(self.codes) - 1, 0))
-        known = self.codes[at] == codes if len(self.codes) else np.zeros(len(codes), bool)
-        places = np.where(known, self.ranks[at] if len(self.ranks) else 0, RARE)
+        places = table.find(mixed(codes.view(np.uint64)))
         if self.coded is not None:
-            places[~known & _held(self.coded, codes % CELLS)] = UNRANKED
+            places[(places < 0) & _held(self.coded, codes % CELLS)] = UNRANKED
         return places
 
 
@@ -122,11 +168,11 @@ class Known:
     word_filter: np.ndarray | None = None
     levels: list[Level] = field(default_factory=list)  # of two words and more
 
-    def ranks(self) -> dict[str, dict[bytes, int]]:
-        of: dict[str, dict[bytes, int]] = {lang: {} for lang in self.langs}
-        for rank, (lang, word) in enumerate(zip(self.lang_of.tolist(), self.words)):
-            of[self.langs[lang]][word] = rank
-        return of
+    def table(self) -> Table:
+        """Of the ranked words, by rank."""
+        text, sizes = b"".join(self.words), np.fromiter(map(len, self.words), np.int64, len(self.words))
+        hashes = xxhash64_words(text, np.cumsum(sizes) - sizes, sizes)
+        return Table(hashes ^ _lang_hashes(self.langs)[self.lang_of] if len(hashes) else hashes)
 
     def phrases(self, codes: np.ndarray, length: int) -> tuple[list[str], list[bytes]]:
         """The language and the text of phrases by code."""
@@ -165,7 +211,7 @@ def _count(docs: DataFrame, known: Known) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Known(**shared.value | {"levels": [Level(**level) for level in shared.value["levels"]]})
-        ranks, empty = known.ranks(), {}
+        ranks, tables = known.table(), [level.table() for level in known.levels]
         held: list[np.ndarray] = []
         size = 0
         texts: Counter = Counter()
@@ -191,38 +237,36 @@ def _count(docs: DataFrame, known: Known) -> DataFrame:
             cell = xxhash.xxh64_intdigest(_named(lang, phrase), 42) % CELLS
             return UNRANKED if int(bits[cell // 63]) >> cell % 63 & 1 else RARE
 
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                rank, words, units = ranks.get(lang, empty).get, [], []
-                for piece in pieces(text.as_py()):
-                    words += piece
-                    units += [rank(word, RARE) for word in piece]
-                    words.append(b"")
-                    units.append(RARE)
-                place = np.array(units, np.int64)
-                if known.word_filter is not None:
-                    for at in np.flatnonzero(place == RARE).tolist():
-                        if words[at]:
-                            place[at] = by_text(known.word_filter, lang, words[at])
-                for n, level in enumerate([*known.levels, None], 2):
-                    first, second = place[:-1], place[1:]
-                    both = (first >= 0) & (second >= 0)
-                    other = np.flatnonzero((first != RARE) & (second != RARE) & ~both).tolist()
-                    codes = first[both] << 32 | second[both]
-                    if level is None:
-                        held.append(codes)
-                        size += len(codes)
-                        texts.update((lang, b" ".join(words[at : at + n])) for at in other)
-                    else:
-                        place = np.full(len(first), RARE, np.int64)
-                        place[both] = level.place(codes)
-                        for at in other:
-                            place[at] = by_text(level.texted, lang, b" ".join(words[at : at + n]))
-                if size >= HELD:
-                    yield from coded()
-                    size = 0
-                if len(texts) >= TEXTS:
-                    yield from texted()
+        for langs, words in _cuts(batches):
+            at = np.arange(len(words.row))
+            at[1:] += np.cumsum(words.piece[1:] != words.piece[:-1])  # a place is left free between pieces
+            place = np.full(at[-1] + 1 if len(at) else 0, RARE)
+            place[at] = ranks.find(words.hashes)
+            word = np.zeros(len(place), np.int64)
+            word[at] = np.arange(len(at))
+            if known.word_filter is not None:
+                for i in at[place[at] == RARE].tolist():
+                    place[i] = by_text(known.word_filter, langs[words.row[word[i]]], words.phrase(word[i]))
+            for n, (level, table) in enumerate([*zip(known.levels, tables), (None, None)], 2):
+                first, second = place[:-1], place[1:]
+                both = (first >= 0) & (second >= 0)
+                other = np.flatnonzero((first != RARE) & (second != RARE) & ~both)
+                spelled = [(langs[words.row[i]], words.phrase(i, n)) for i in word[other].tolist()]
+                codes = first[both] << 32 | second[both]
+                if level is None:
+                    held.append(codes)
+                    size += len(codes)
+                    texts.update(spelled)
+                else:
+                    place = np.full(len(first), RARE)
+                    place[both] = level.place(table, codes)
+                    for i, (lang, phrase) in zip(other.tolist(), spelled):
+                        place[i] = by_text(level.texted, lang, phrase)
+            if size >= HELD:
+                yield from coded()
+                size = 0
+            if len(texts) >= TEXTS:
+                yield from texted()
         yield from coded()
         yield from texted()
 

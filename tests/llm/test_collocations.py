@@ -6,9 +6,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from changeloom.llm import collocations as C
+from changeloom.llm import hashing
 
 
 def plain(rows, least=30, top=2000):
@@ -79,3 +81,39 @@ def test_tiles_count_every_pair(tile, dense):
     assert sum(map(len, found)) == len(set(codes.tolist()))
     assert {c: n for part in found for c, n in part.items()} == Counter(codes.tolist())
     assert all(len(c) == 0 for c, _ in C.tiled(codes[:0], tile, dense))
+
+
+def test_words_of_many_texts_are_cut_at_once(made):
+    langs, texts = [lang or "und" for lang, _ in made], [(text or "").encode() for _, text in made]
+    words = C.cut(langs, texts)
+    found = defaultdict(list)
+    for i, (row, piece) in enumerate(zip(words.row.tolist(), words.piece.tolist())):
+        found[row, piece].append(words.phrase(i))
+    expected = [(row, piece.split()) for row, text in enumerate(texts) for piece in re.split(rb"[.,;:!?\x0A-\x0D]", text.lower()) if piece.split()]
+    assert [(row, piece) for (row, _), piece in found.items()] == expected
+    named = {(langs[row], words.phrase(i)) for i, row in enumerate(words.row.tolist())}
+    assert len(np.unique(words.hashes)) == len(named)
+    empty = C.cut(["en", "fr"], [b"", b" .\n"])
+    assert len(empty.starts) == len(empty.hashes) == 0
+
+
+def test_words_are_hashed_at_once_as_one_by_one():
+    rng = random.Random(4)
+    words = [bytes(rng.choice(b"abc\xc3\xa9xyz") for _ in range(n)) for n in [*range(80), *range(80)]]
+    sizes = np.array([len(w) for w in words])
+    found = hashing.xxhash64_words(b"".join(words), np.cumsum(sizes) - sizes, sizes)
+    assert found.tolist() == [xxhash.xxh64_intdigest(w, 42) for w in words]
+    numbers = np.array([0, 1, 2**63, 2**64 - 1], np.uint64)
+    assert hashing.xxhash64_numbers(numbers).tolist() == [xxhash.xxh64_intdigest(n.tobytes(), 42) for n in numbers]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_a_table_finds_its_keys_only(n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(np.concatenate([rng.integers(0, 2**64, n, np.uint64), np.arange(n // 2, dtype=np.uint64)]))
+    rng.shuffle(keys)
+    others = np.setdiff1d(np.concatenate([keys + np.uint64(1), keys ^ np.uint64(1 << 63), np.array([7, 2**64 - 1], np.uint64)]), keys)
+    table = hashing.Table(keys)
+    assert table.find(keys).tolist() == list(range(len(keys)))
+    assert (table.find(others) == -1).all()
+    assert len(table.find(keys[:0])) == 0
