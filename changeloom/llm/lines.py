@@ -30,34 +30,22 @@ LONG_WORD = 5
 RUNS = 16
 #: Numbers of 64 bits of parity of a line, a power of two. Where they differ in more bits than the edits allow, no pair is made.
 PARITIES = 4
-#: Seven bits spread to the low bits of seven bytes: copies of the seven bits, each seven places on, and a mask.
-_COPIES = sum(1 << 7 * i for i in range(7))
-_LOW = sum(1 << 8 * i for i in range(7))
-#: Words of a group that a byte can count.
-_BYTE = 254
+#: Words that have a bit are counted for two bits in one number, in halves of it: a line has fewer words than a half can count.
+_HALF = 32
+_COUNTS = [f"count{i}" for i in range(_HALF)]
 
 
-def _third(hashes: str, low: int) -> str:
-    """Majorities of 21 bits of an array of hashes, from bit `low` on; bit low + 7k + j is bit 8j + k of the result.
-
-    Three numbers of seven byte-wide counters are added up. A byte's high bit is set where the count, plus what half of
-    the hashes is short of 128, reaches 128. Longer arrays count bit by bit.
-    """
-    spread = ", ".join(f"'c{k}', s.c{k} + (((shiftright(h, {low + 7 * k}) & 127) * {_COPIES}L) & {_LOW}L)" for k in range(3))
-    zero = "'c0', 0L, 'c1', 0L, 'c2', 0L"
-    major = " | ".join(f"shiftright((s.c{k} + (127 - size({hashes}) div 2) * {_LOW}L) & {_LOW << 7}L, {7 - k})" for k in range(3))
-    quick = f"aggregate({hashes}, named_struct({zero}), (s, h) -> named_struct({spread}), s -> {major})"
-    one = f"CASE WHEN 2 * size(filter({hashes}, h -> (shiftright(h, {low} + i) & 1) = 1)) > size({hashes}) THEN 1L ELSE 0L END"
-    long = f"aggregate(sequence(0, 20), 0L, (s, i) -> s | shiftleft({one}, cast(8 * (i % 7) + i div 7 AS int)))"
-    return f"CASE WHEN size({hashes}) <= {_BYTE} THEN {quick} ELSE {long} END"
+def _counts() -> list[Column]:
+    """How many hashes h of a group have each of 63 bits: bits i and i + 32 side by side."""
+    upper = [f" + shiftleft(shiftright(h, {i + _HALF}) & 1, {_HALF})" if i + _HALF < 63 else "" for i in range(_HALF)]
+    return [F.expr(f"sum((shiftright(h, {i}) & 1){upper[i]})").alias(c) for i, c in enumerate(_COUNTS)]
 
 
-def _simhash(hashes: str) -> str:
-    """Three times 21 bits side by side: in each byte three of the first, three of the second, two of the third; the last
-    seven bits of the third stand behind them."""
-    rest = " | ".join(f"shiftleft(shiftright(t, {8 * j + 2}) & 1, {56 + j})" for j in range(7))
-    placed = f"get(transform(array({_third(hashes, 42)}), t -> shiftleft(t & {_LOW * 3}L, 6) | {rest}), 0)"
-    return f"({_third(hashes, 0)}) | shiftleft({_third(hashes, 21)}, 3) | ({placed})"
+def _simhash() -> str:
+    """63 bits, each whether more than half of the `n` words have it."""
+    low = [f"IF(2 * (count{i} & {(1 << _HALF) - 1}L) > n, shiftleft(1L, {i}), 0L)" for i in range(_HALF)]
+    high = [f"IF(2 * shiftright(count{i}, {_HALF}) > n, shiftleft(1L, {i + _HALF}), 0L)" for i in range(63 - _HALF)]
+    return " | ".join(low + high)
 
 
 def _word_hashes(words: str) -> str:
@@ -78,10 +66,9 @@ def _runs(hashes: str) -> str:
     return f"CASE WHEN {edits} > 0 THEN slice({runs}, 1, least({RUN} * {edits} + 1, {RUNS})) ELSE array() END"
 
 
-def _parity(hashes: str, part: int) -> str:
-    """64 bits, each whether an odd number of words falls on it; a word falls on one bit of one of the PARITIES parts."""
-    bit = f"IF((shiftright(h, 6) & {PARITIES - 1}) = {part}, shiftleft(1L, cast(h & 63 AS int)), 0L)"
-    return f"aggregate({hashes}, 0L, (s, h) -> s ^ {bit})"
+def _parity(part: int) -> Column:
+    """64 bits, each whether an odd number of hashes h of a group falls on it; one falls on one bit of one of the PARITIES parts."""
+    return F.expr(f"bit_xor(IF((shiftright(h, 6) & {PARITIES - 1}) = {part}, shiftleft(1L, cast(h & 63 AS int)), 0L))").alias(f"parity{part}")
 
 
 def normalised(line: Column) -> Column:
@@ -121,11 +108,14 @@ def sketches(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     lines = docs.select(*document_keys(), F.posexplode(F.split("text", "\n")).alias("place", "line"))
     # repeated documents have the line of a node more than once
     needed = likely(lines, nodes, *places).join(nodes, places).dropDuplicates(places)
-    cut = needed.select("node", F.split(normalised(F.col("line")), " ").alias("all"))
-    hashed = cut.withColumn("hashes", F.expr("transform(all, w -> xxhash64(w))"))
-    return hashed.select("node", F.expr(_simhash("hashes")).alias("simhash"),
-                         *(F.expr(_parity("hashes", i)).alias(f"parity{i}") for i in range(PARITIES)),
-                         F.expr(_letters("all")).alias("letters"))
+    cut = needed.select(*places, "node", F.split(normalised(F.col("line")), " ").alias("all"))
+    # the words of a line are where the line is: neither the sums nor the join move them
+    words = cut.select(*places, "node", F.explode("all").alias("word")).select(*places, "node", F.xxhash64("word").alias("h"))
+    summed = words.groupBy(*places, "node").agg(F.count(F.lit(1)).alias("n"), *_counts(), *(_parity(i) for i in range(PARITIES)))
+    # the node is taken from here, so that both sides read the same columns and the lines move once
+    letters = cut.select(*places, "node", F.expr(_letters("all")).alias("letters"))
+    return summed.withColumn("simhash", F.expr(_simhash())).drop("node").join(letters, places).select(
+        "node", "simhash", *(f"parity{i}" for i in range(PARITIES)), "letters")
 
 
 def similar(pairs: DataFrame, sketched: DataFrame) -> DataFrame:

@@ -296,6 +296,25 @@ def test_connect_tries_every_possible_pair_of_shared_blocks(spark):
     assert {r["node"]: r["component"] for r in found.collect()} == {n: r for n, r in enumerate(root) if root.count(r) > 1}
 
 
+def test_sketches_count_the_bits_of_all_words_of_a_line(spark, documents):
+    rng = np.random.default_rng(6)
+    texts = [(n, "Ab, " + " ".join(f"w{i}" for i in rng.integers(0, 90, n)) + "!\nno node") for n in (6, 7, 33, 254, 255, 3000)]
+    docs = documents([*texts, texts[0]]).select("doc_id", "text")
+    nodes = docs.distinct().select(F.col("doc_id").alias("node"), *tables.document_keys(), F.lit(0).alias("place"))
+    rows = {r["node"]: r for r in lines.sketches(nodes, docs).collect()}
+    assert len(rows) == len(texts)
+    for n, text in texts:
+        words = re.findall(r"\w+", text.split("\n")[0].lower())
+        hashes = [xxhash.xxh64_intdigest(w, 42) for w in words]
+        assert rows[n]["simhash"] == sum(1 << i for i in range(63) if 2 * sum(h >> i & 1 for h in hashes) > len(words))
+        for part in range(lines.PARITIES):
+            odd = 0
+            for h in hashes:
+                odd ^= (1 << (h & 63)) * ((h >> 6) % lines.PARITIES == part)
+            assert rows[n][f"parity{part}"] % 2**64 == odd
+        assert len(rows[n]["letters"]) == len(words)
+
+
 def test_lines_that_share_a_phrase_are_not_paired(documents, monkeypatch):
     rng = np.random.default_rng(5)
     vocabulary = [f"word{i}" if i % 3 else f"w{i}" for i in range(2000)]
