@@ -11,7 +11,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -60,15 +60,18 @@ class Words:
         probes = ("a b", "It's  1\n2\tword", "x ́y", "ΑΣ ΑΣ", "a <|endoftext|> b")
         self._by_word = all(self._ids(probe) == [i for word in probe.split() for i in self._ids(word)] for probe in probes)
         # for plain texts, the model alone: what stands before it only makes them lower case and parts the runs
-        self._bare = Tokenizer(self._tokenizer.model)
+        self._model = self._tokenizer.model
         probes = ("Word it's 12 x2y", "Été!? straßE... (_) ÿ~ zz|> `a` 'tis ''s don't.'S we'LL,;", "A-1's\t$3.50\r\n", "Antidisestablishmentarianism")
-        self._plain = all(self._ids(p) == [i for run in RUNS.findall(p.lower()) for i in self._bare.encode(_in_signs(run)).ids] for p in probes)
+        self._plain = all(self._ids(p) == [i for run in RUNS.findall(p.lower()) for i in self._run(run)] for p in probes)
         special = self._tokenizer.get_added_tokens_decoder().values()
         self._special = re.compile("|".join(re.escape(t.content) for t in special)) if special else None
 
     def _ids(self, text: str) -> list[int]:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _run(self, run: str) -> list[int]:
+        return [token.id for token in self._model.tokenize(_in_signs(run))]
+
     def _cut(self, text: str) -> tuple[bool, list[str]]:
         """Whether a text is plain, and its parts: runs, or words, or the whole."""
         if self._plain and PLAIN.fullmatch(text) and not (self._special and self._special.search(text)):
@@ -86,14 +89,9 @@ class Words:
         ids, lengths = [self._held], [self._lengths]
         for at in range(0, len(parts), ENCODED):
             some = parts[at : at + ENCODED]
-            if runs:  # one call for all runs; each id tells the run that it comes from
-                found = self._bare.encode(list(map(_in_signs, some)), is_pretokenized=True, add_special_tokens=False)
-                ids.append(np.array(found.ids, self.kind))
-                lengths.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
-            else:
-                found = [e.ids for e in self._tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-                ids += [np.array(own, self.kind) for own in found]
-                lengths.append(np.array([len(own) for own in found], np.int64))
+            found = list(map(self._run, some)) if runs else [e.ids for e in self._tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            lengths.append(np.fromiter(map(len, found), np.int64, len(some)))
+            ids.append(np.fromiter(chain.from_iterable(found), self.kind, lengths[-1].sum()))
         self._held, self._lengths = np.concatenate(ids), np.concatenate(lengths)
         self._starts = np.cumsum(self._lengths) - self._lengths
 
@@ -114,9 +112,12 @@ class Words:
         every = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
         lengths = self._lengths[every]
         upto = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self._held[np.arange(upto[-1]) + np.repeat(self._starts[every] - upto[:-1], lengths)]
+        # half as wide where the places allow it, which is nearly always
+        wide = np.int32 if upto[-1] + len(self._held) < 1 << 31 else np.int64
+        at = np.repeat((self._starts[every] - upto[:-1]).astype(wide), lengths)
+        at += np.arange(len(at), dtype=wide)
         ends = upto[np.cumsum([len(own) for own in numbers], dtype=np.int64)]
-        return np.split(ids, ends[:-1]) if texts else []
+        return np.split(self._held.take(at), ends[:-1]) if texts else []
 
 
 def _in_signs(run: str) -> str:

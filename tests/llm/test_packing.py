@@ -97,3 +97,31 @@ def test_similar_documents_are_neighbours(documents):
     order = [r["doc_id"] // 100 for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])) if r["start"] == 0]
     together = sum(a == b for a, b in zip(order, order[1:]))
     assert together > 120  # 20 by chance
+
+
+def test_plain_texts_need_the_model_alone(monkeypatch):
+    """Runs of plain texts are encoded without the records that the library keeps per token; the ids are the library's."""
+    asked = []
+
+    class Watched:
+        def __init__(self, own):
+            self._own = own if isinstance(own, Tokenizer) else Tokenizer(own)
+
+        @staticmethod
+        def from_file(file):
+            return Watched(Tokenizer.from_file(file))
+
+        def __getattr__(self, name):
+            if name.startswith("encode"):
+                asked.append(name)
+            return getattr(self._own, name)
+
+    monkeypatch.setattr(packing, "Tokenizer", Watched)
+    words, library = packing.Words(FILE), Tokenizer.from_file(FILE)
+    texts = ["It's 12 words, x2y; (straße) naïve...", "", "Été a\nb\tzzqxkjv we'LL don't.'S", "It's " * 50]
+    asked.clear()
+    found = words.of(texts)
+    assert not asked
+    assert [own.tolist() for own in found] == [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert words.of(["日本 a"])[0].tolist() == library.encode("日本 a", add_special_tokens=False).ids
+    assert asked
