@@ -5,12 +5,13 @@ of all its words. Nodes whose words have the edit similarity may differ in up to
 blocks of bits to stay alone. So the pigeonhole is taken over runs of three words: an edit touches three runs at most, so
 that of the 3 d + 1 first runs in any fixed order one stays after d edits. Nodes that share one of them and lie within the
 distance are candidates, unless the parities of their words show that they need more edits, and the edit similarity of
-their words confirms them. Only lines that share a run get a SimHash. Of each connected group of lines one occurrence stays.
+their words confirms them. Only lines that share a run with a line to which parities allow them to be similar get a SimHash.
+Of each connected group of lines one occurrence stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.llm.components import connect, sharing
@@ -30,15 +31,26 @@ LONG_WORD = 5
 RUNS = 16
 #: Numbers of 64 bits of parity of a line, a power of two. Where they differ in more bits than the edits allow, no pair is made.
 PARITIES = 4
-#: Words that have a bit are counted for two bits in one number, in halves of it: a line has fewer words than a half can count.
+#: Words that have a bit are counted for eight bits in one number, a byte each; so many words of a line keep the highest byte
+#: from overflowing. Such counts add up for two bits in one number, in halves of it: a line has fewer words than a half can count.
+_TOGETHER = 127
+_BYTES = [f"bytes{i}" for i in range(8)]
 _HALF = 32
 _COUNTS = [f"count{i}" for i in range(_HALF)]
 
 
+def _bytes() -> list[Column]:
+    """How many of at most _TOGETHER hashes h have each of 63 bits: bits i, i + 8 and so on in the bytes of one number."""
+    return [F.expr(f"sum(shiftright(h, {i}) & {int('01' * 8, 16)}L)").alias(c) for i, c in enumerate(_BYTES)]
+
+
 def _counts() -> list[Column]:
-    """How many hashes h of a group have each of 63 bits: bits i and i + 32 side by side."""
-    upper = [f" + shiftleft(shiftright(h, {i + _HALF}) & 1, {_HALF})" if i + _HALF < 63 else "" for i in range(_HALF)]
-    return [F.expr(f"sum((shiftright(h, {i}) & 1){upper[i]})").alias(c) for i, c in enumerate(_COUNTS)]
+    """The counts of _bytes added up, each of 63 bits: bits i and i + 32 side by side."""
+    def count(bit: int) -> str:
+        return f"shiftright({_BYTES[bit % 8]}, {bit // 8 * 8}) & 255"
+
+    upper = [f" + shiftleft({count(i + _HALF)}, {_HALF})" if i + _HALF < 63 else "" for i in range(_HALF)]
+    return [F.expr(f"sum(({count(i)}){upper[i]})").alias(c) for i, c in enumerate(_COUNTS)]
 
 
 def _simhash() -> str:
@@ -66,6 +78,11 @@ def _runs(hashes: str) -> str:
     return f"CASE WHEN {edits} > 0 THEN slice({runs}, 1, least({RUN} * {edits} + 1, {RUNS})) ELSE array() END"
 
 
+def _parities(hashes: str) -> str:
+    """64 bits, each whether an odd number of the hashes falls on it: what the parts of _parity give together."""
+    return f"aggregate({hashes}, 0L, (bits, h) -> bits ^ shiftleft(1L, cast(h & 63 AS int)))"
+
+
 def _parity(part: int) -> Column:
     """64 bits, each whether an odd number of hashes h of a group falls on it; one falls on one bit of one of the PARITIES parts."""
     return F.expr(f"bit_xor(IF((shiftright(h, 6) & {PARITIES - 1}) = {part}, shiftleft(1L, cast(h & 63 AS int)), 0L))").alias(f"parity{part}")
@@ -82,24 +99,33 @@ def _letters(words: str) -> str:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """_doc, _doc2, doc_id, place, k1, k2 (hashes of the line), words (their number), runs, one row per line."""
+    """_doc, _doc2, doc_id, place, k1, k2 (hashes of the line), words (their number), parity, runs, one row per line."""
     lines = docs.select(
         *document_keys(), "doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     plain = lines.withColumn("plain", normalised(F.col("line"))).drop("line")
     hashed = plain.select(
         "_doc", "_doc2", "doc_id", "place", F.xxhash64("plain").alias("k1"), F.xxhash64("plain", F.lit(1)).alias("k2"),
         F.split("plain", " ").alias("all")).withColumn("hashes", F.expr(_word_hashes("all")))
-    return hashed.select("_doc", "_doc2", "doc_id", "place", "k1", "k2", F.size("all").alias("words"), F.expr(_runs("hashes")).alias("runs"))
+    return hashed.select("_doc", "_doc2", "doc_id", "place", "k1", "k2", F.size("all").alias("words"), F.expr(_parities("hashes")).alias("parity"), F.expr(_runs("hashes")).alias("runs"))
+
+
+def _alike(apart: str) -> str:
+    """That lines x and y may be similar: `apart` counts bits of parity that differ, for all words or more finely.
+
+    An edit takes away one word at most and brings one. So neither line has more words of its own than edits, and a word
+    moves one bit of parity: twice the edits is at least the bits that differ and the difference in length.
+    """
+    return (f"least(x.words, y.words) >= {SIMILARITY}D * greatest(x.words, y.words) - 1e-9D AND "
+            f"{apart} + abs(x.words - y.words) <= 2 * floor({1 - SIMILARITY:.6f}D * greatest(x.words, y.words) + 1e-9D)")
 
 
 def blocks(found: DataFrame) -> DataFrame:
-    """key, k1, k2, words: the lines that share a run with a line of a length that a similar one may have."""
-    each = found.select(F.explode("runs").alias("key"), F.col("k1").alias("node"), "k2", "words")
-    shared = sharing(each, "lines-shared").withColumnRenamed("node", "k1")
-    # of the lines of a block, the next shorter and the next longer ones are the closest in length
-    place = Window.partitionBy("key").orderBy("words", "k1", "k2")
-    near = shared.withColumn("fewer", F.lag("words").over(place)).withColumn("more", F.lead("words").over(place))
-    return near.filter(f"fewer >= {SIMILARITY}D * words - 1e-9D OR words >= {SIMILARITY}D * more - 1e-9D").select("key", "k1", "k2", "words")
+    """key, k1, k2, words: the lines that share a run with a line to which words and parity allow them to be similar."""
+    each = found.select(F.explode("runs").alias("key"), F.col("k1").alias("node"), "k2", "words", "parity")
+    shared = stage(sharing(each, "lines-shared").withColumnRenamed("node", "k1"), "lines-sharing")
+    other = (F.expr("x.key = y.key AND (x.k1 <> y.k1 OR x.k2 <> y.k2)")) & F.expr(_alike("bit_count(x.parity ^ y.parity)"))
+    # the first such line is enough: in a group of similar lines few are looked at
+    return shared.alias("x").join(shared.alias("y"), other, "left_semi").select("key", "k1", "k2", "words")
 
 
 def sketches(nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -110,8 +136,11 @@ def sketches(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     needed = likely(lines, nodes, *places).join(nodes, places).dropDuplicates(places)
     cut = needed.select(*places, "node", F.split(normalised(F.col("line")), " ").alias("all"))
     # the words of a line are where the line is: neither the sums nor the join move them
-    words = cut.select(*places, "node", F.explode("all").alias("word")).select(*places, "node", F.xxhash64("word").alias("h"))
-    summed = words.groupBy(*places, "node").agg(F.count(F.lit(1)).alias("n"), *_counts(), *(_parity(i) for i in range(PARITIES)))
+    words = cut.select(*places, "node", F.posexplode("all").alias("at", "word")).select(
+        *places, "node", F.expr(f"at DIV {_TOGETHER}").alias("some"), F.xxhash64("word").alias("h"))
+    some = words.groupBy(*places, "node", "some").agg(F.count(F.lit(1)).alias("n"), *_bytes(), *(_parity(i) for i in range(PARITIES)))
+    summed = some.groupBy(*places, "node").agg(
+        F.sum("n").alias("n"), *_counts(), *(F.bit_xor(f"parity{i}").alias(f"parity{i}") for i in range(PARITIES)))
     # the node is taken from here, so that both sides read the same columns and the lines move once
     letters = cut.select(*places, "node", F.expr(_letters("all")).alias("letters"))
     return summed.withColumn("simhash", F.expr(_simhash())).drop("node").join(letters, places).select(
@@ -138,12 +167,8 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     nodes = stage(groups.join(wanted, ["k1", "k2"], "left").filter("n > 1 OR wanted").select(
         F.monotonically_increasing_id().alias("node"), "*"), "lines-nodes")
     sketched = stage(sketches(nodes.filter("wanted").select("node", "first._doc", "first._doc2", "first.place"), docs.select("doc_id", "text")), "lines-sketches")
-    # an edit takes away one word at most and brings one; so neither line has more words of its own than edits, and a word
-    # moves one bit of parity: twice the larger number is at least the bits that differ and the difference in length
-    apart = " + ".join([f"bit_count(x.parity{i} ^ y.parity{i})" for i in range(PARITIES)] + ["abs(x.words - y.words)"])
-    close = (f"least(x.words, y.words) >= {SIMILARITY}D * greatest(x.words, y.words) - 1e-9D AND "
-             f"bit_count(x.simhash ^ y.simhash) <= {DISTANCE} AND "
-             f"{apart} <= 2 * floor({1 - SIMILARITY:.6f}D * greatest(x.words, y.words) + 1e-9D)")
+    apart = " + ".join(f"bit_count(x.parity{i} ^ y.parity{i})" for i in range(PARITIES))
+    close = f"{_alike(apart)} AND bit_count(x.simhash ^ y.simhash) <= {DISTANCE}"
     members = blocked.join(nodes.select("node", "k1", "k2"), ["k1", "k2"]).join(sketched.drop("letters"), "node").drop("k1", "k2")
     linked, _ = connect(members, close, ["node"], lambda pairs: similar(pairs, sketched), "lines")
     grouped = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))

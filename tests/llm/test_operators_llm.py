@@ -482,3 +482,30 @@ def test_parity_maps_bound_the_difference():
         b = np.union1d(a[change:], rng.integers(0, 2**63, change // 2).astype(np.uint64))
         differing = sum(int(x).bit_count() for x in (near.parity(a) ^ near.parity(b)).view(np.uint64))
         assert 0 < differing <= len(np.setxor1d(a, b))
+
+
+def test_only_lines_that_parities_allow_stay_in_blocks(documents):
+    rng = np.random.default_rng(12)
+    vocabulary = [f"word{i}" if i % 3 else f"w{i}" for i in range(3000)]
+    phrase = "seven longer words that stand everywhere together"
+    texts = [(i, " ".join([*rng.choice(vocabulary, 20), phrase, *rng.choice(vocabulary, 20)])) for i in range(100)]
+    texts += [(100, texts[0][1] + " more"), (101, texts[1][1].replace(phrase, "another phrase"))]
+    found = lines.occurrences(documents(texts)).cache()
+    rows = found.collect()
+    odd = {}
+    for i, text in texts:
+        odd[i] = 0
+        for word in text.split():
+            odd[i] ^= 1 << (xxhash.xxh64_intdigest(word, 42) & 63)
+    assert {r["doc_id"]: r["parity"] % 2**64 for r in rows} == odd
+    words = {r["doc_id"]: r["words"] for r in rows}
+    alike = set()
+    for x, y in combinations(rows, 2):
+        a, b = x["doc_id"], y["doc_id"]
+        edits = math.floor((1 - lines.SIMILARITY) * max(words[a], words[b]) + 1e-9)
+        if min(words[a], words[b]) >= lines.SIMILARITY * max(words[a], words[b]) and (odd[a] ^ odd[b]).bit_count() + abs(words[a] - words[b]) <= 2 * edits:
+            alike |= {(key, i) for key in set(x["runs"]) & set(y["runs"]) for i in (a, b)}
+    names = {r["k1"]: r["doc_id"] for r in rows}
+    blocked = [(r["key"], names[r["k1"]]) for r in lines.blocks(found).collect()]
+    assert sorted(blocked) == sorted(alike)
+    assert {0, 1, 100, 101} <= {i for _, i in blocked} and len({i for _, i in blocked}) < 12  # nearly all others share the phrase only
